@@ -36,33 +36,50 @@ def _group(s: Column, i: int) -> Column:
     return F.regexp_extract(s, _DATE_RE, i)
 
 
-def parse_mail_date(c) -> Column:
-    """H2: RFC 2822 date string -> ``struct<ts, zoned, offset_min, wall_date>``.
+def normalise_date_text(c) -> Column:
+    """Comments removed, whitespace runs collapsed, ends trimmed."""
+    s = F.regexp_replace(as_col(c), r"\([^()]*\)", " ")
+    return F.regexp_replace(F.trim(F.regexp_replace(s, r"\s+", " ")), r"^\s+|\s+$", "")
 
-    * ``ts`` (TIMESTAMP_NTZ): the UTC instant when the date carries a zone,
-      otherwise the wall-clock time as written (a *naive* date).
-    * ``zoned``: false when the zone is missing, unknown or ``-0000``.
-    * ``wall_date``: calendar date as written in the header.
 
-    Anything that does not parse yields a null struct, never an error.
+DATE_FIELDS = ("dd", "mon", "yy", "hh", "mi", "ss", "zone")
+
+
+def date_field_exprs(s) -> dict[str, Column]:
+    """Regex groups of a normalised date as separate columns (plus ``ok``)."""
+    s = as_col(s)
+    out = {"ok": s.rlike(_DATE_RE)}
+    out.update({n: _group(s, i) for i, n in enumerate(DATE_FIELDS, 1)})
+    return out
+
+
+def date_fields(s) -> Column:
+    """Regex groups of a normalised date: ``struct<ok, dd, mon, yy, hh, mi, ss, zone>``."""
+    return F.struct(*[c.alias(n) for n, c in date_field_exprs(s).items()])
+
+
+def date_from_fields(g) -> Column:
+    """Date fields -> ``struct<ts, zoned, offset_min, wall_date>`` (see ``parse_mail_date``).
+
+    ``g`` is a ``date_fields`` struct column or a mapping of field name to column.
     """
-    s = F.regexp_replace(as_col(c), r"\([^()]*\)", " ")
-    s = F.regexp_replace(F.trim(F.regexp_replace(s, r"\s+", " ")), r"^\s+|\s+$", "")
-    ok = s.rlike(_DATE_RE)
-    day = _group(s, 1).try_cast("int")
-    mon_txt = F.lower(_group(s, 2))
+    if isinstance(g, dict):
+        g = dict(g)
+    else:
+        g = {n: as_col(g)[n] for n in ("ok", *DATE_FIELDS)}
+    day = g["dd"].try_cast("int")
+    mon_txt = F.lower(g["mon"])
     short = F.array_position(F.array(*[F.lit(m) for m in MONTHS_SHORT]), mon_txt)
     long_ = F.array_position(F.array(*[F.lit(m) for m in MONTHS_LONG]), mon_txt)
     month = F.when(short > 0, short).when(long_ > 0, long_).cast("int")
-    y_raw = _group(s, 3)
+    y_raw = g["yy"]
     y = y_raw.try_cast("int")
     year = (F.when(F.length(y_raw) > 2, y)
             .when(y > 68, y + 1900).otherwise(y + 2000))
-    hour = _group(s, 4).try_cast("int")
-    minute = _group(s, 5).try_cast("int")
-    sec_txt = _group(s, 6)
-    second = F.when(sec_txt == "", F.lit(0)).otherwise(sec_txt.try_cast("int"))
-    zone = F.upper(_group(s, 7))
+    hour = g["hh"].try_cast("int")
+    minute = g["mi"].try_cast("int")
+    second = F.when(g["ss"] == "", F.lit(0)).otherwise(g["ss"].try_cast("int"))
+    zone = F.upper(g["zone"])
     numeric = zone.rlike(r"^[+-]\d{4}$")
     sign = F.when(F.substring(zone, 1, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
     num_off = sign * (F.substring(zone, 2, 2).try_cast("int") * 60
@@ -74,7 +91,7 @@ def parse_mail_date(c) -> Column:
     wall = F.try_make_timestamp_ntz(year, month, day, hour, minute, second.cast("decimal(16,6)"))
     ts = F.when(offset.isNull(), wall).otherwise(
         F.timestamp_add("MINUTE", -offset, wall))
-    valid = ok & wall.isNotNull() & (second < 60)
+    valid = g["ok"] & wall.isNotNull() & (second < 60)
     return F.when(valid, F.struct(
         ts.alias("ts"),
         offset.isNotNull().alias("zoned"),
@@ -83,6 +100,22 @@ def parse_mail_date(c) -> Column:
     ))
 
 
+def parse_mail_date(c) -> Column:
+    """H2: RFC 2822 date string -> ``struct<ts, zoned, offset_min, wall_date>``.
+
+    * ``ts`` (TIMESTAMP_NTZ): the UTC instant when the date carries a zone,
+      otherwise the wall-clock time as written (a *naive* date).
+    * ``zoned``: false when the zone is missing, unknown or ``-0000``.
+    * ``wall_date``: calendar date as written in the header.
+
+    Anything that does not parse yields a null struct, never an error.
+    As one expression the regex runs once per group; over large tables
+    prefer ``operators.headers.add_mail_date``, which stages the work in
+    three projections so every regex is evaluated once per row.
+    """
+    return date_from_fields(date_fields(normalise_date_text(c)))
+
+
 def local_date(parsed, tz: str) -> Column:
     """Calendar date of a parsed mail date on a machine in time zone ``tz``.
 

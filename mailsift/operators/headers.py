@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from mailsift.functions.mail import local_date, normalise_address, parse_mail_date
+from mailsift.functions.mail import (
+    date_field_exprs, date_from_fields, local_date, normalise_address, normalise_date_text,
+)
 from mailsift.operators.order import ordinal
 
 HEADER_FIELDS = ("from", "subject", "date")
@@ -66,8 +68,23 @@ def add_sender(df: DataFrame, from_col: str = "from", name: str = "sender") -> D
 
 
 def add_mail_date(df: DataFrame, date_col: str = "date", name: str = "dt") -> DataFrame:
-    """H2 as a column: parsed mail date struct (null when unparseable)."""
-    return df.withColumn(name, parse_mail_date(F.col(f"`{date_col}`")))
+    """H2 as a column: parsed mail date struct (null when unparseable).
+
+    Three stages - normalised text, regex groups, typed struct - so each
+    regex runs once per row.
+    """
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    normalised = df.select(*cols, normalise_date_text(F.col(f"`{date_col}`")).alias("__date_s"))
+    fields = date_field_exprs(F.col("__date_s"))
+    staged = normalised.select(*cols, *[c.alias(f"__date_{n}") for n, c in fields.items()])
+    refs = {n: F.col(f"__date_{n}") for n in fields}
+    # Regex groups are plain columns (not struct fields), so Catalyst keeps
+    # them computed once instead of inlining each regex at every use. The
+    # parsed struct leaves through a one-row generator: a later filter on it
+    # (the run-day predicate) cannot be pushed below the generator and so
+    # does not re-inline the parse either.
+    return staged.select(*cols, F.inline(F.array(F.struct(
+        date_from_fields(refs).alias(name)))))
 
 
 def filter_senders(df: DataFrame, senders: Iterable[str] | DataFrame,

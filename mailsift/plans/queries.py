@@ -13,11 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.functions import (
-    normalise_address, normalise_terms, parse_flag, parse_mail_date,
-)
+from mailsift.functions import normalise_address, normalise_terms, parse_flag
 from mailsift.operators import (
-    build_prompts, choose_body, dedupe_first, drop_tail, explode_parts, extract_anchors,
+    add_mail_date, build_prompts, choose_body, dedupe_first, drop_tail, explode_parts, extract_anchors,
     extract_items, filter_run_day, funnel_counts, infer, items_panel, keep_links,
     keyword_filter, keyword_semi_join, markdown_outline, number_items, parse_headers,
     project_headers, rank_messages, render_item_list, render_report, report_metadata,
@@ -100,10 +98,9 @@ def _order_dates(spark, d):
 
 
 def mail_date_parsed(spark, d):
-    parsed = parse_mail_date("date_hdr")
-    return _order_dates(spark, d).select(
-        "o_orderkey", "date_hdr", parsed["ts"].alias("ts"), parsed["zoned"].alias("zoned"),
-        parsed["offset_min"].alias("offset_min"), parsed["wall_date"].alias("wall_date"))
+    parsed = add_mail_date(_order_dates(spark, d), "date_hdr", "dt")
+    return parsed.select("o_orderkey", "date_hdr", "dt.ts", "dt.zoned", "dt.offset_min",
+                         "dt.wall_date")
 
 
 def _event_headers(spark, d):
@@ -113,7 +110,7 @@ def _event_headers(spark, d):
 
 
 def run_day_messages(spark, d):
-    hdr = _event_headers(spark, d).withColumn("dt", parse_mail_date("date_hdr"))
+    hdr = add_mail_date(_event_headers(spark, d), "date_hdr", "dt")
     return filter_run_day(hdr, "2024-01-07", True, "UTC").select("event_id", "ts", "date_hdr")
 
 
