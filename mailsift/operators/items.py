@@ -74,23 +74,70 @@ def keyword_filter(df: DataFrame, terms: Sequence[str] | str | None,
     return df.filter(cond)
 
 
+def _any_term_udf(terms: list[str]):
+    """Arrow-batched any-substring test for many terms (Aho-Corasick, one pass per text)."""
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+
+    built = {}
+
+    def automaton():
+        if "a" not in built:  # once per task, reused by every Arrow batch
+            import ahocorasick
+
+            auto = ahocorasick.Automaton()
+            for t in terms:
+                auto.add_word(t, None)
+            auto.make_automaton()
+            built["a"] = auto
+        return built["a"]
+
+    def any_term(blobs):
+        auto = automaton()
+
+        def hit(b):
+            if b is None:
+                return False
+            for _ in auto.iter(b):
+                return True
+            return False
+        return blobs.map(hit).astype(bool)
+
+    # Real classes, not postponed strings: pandas_udf reads the hints.
+    any_term.__annotations__ = {"blobs": pd.Series, "return": pd.Series}
+    return pandas_udf("boolean")(any_term)
+
+
+def _have_ahocorasick() -> bool:
+    try:
+        import ahocorasick  # noqa: F401
+        return True
+    except ImportError:
+        return False
+
+
 def keyword_semi_join(df: DataFrame, terms_df: DataFrame, term_col: str = "term",
                       title_col: str = "title", abstract_col: str = "abstract",
                       max_broadcast_terms: int = 50_000, max_term_bytes: int = 64 << 20,
+                      max_jvm_terms: int = 64,
                       row_key: Sequence[str] | None = None) -> DataFrame:
     """I4: keyword any-match with the terms as a table.
 
     The terms side is normalised (trim, lower, no blanks, distinct). Its
     size is measured first (one count and byte sum - a tiny action on a
-    parameter table):
-
-    * empty -> ``df`` unchanged (a semi join would return nothing);
-    * within ``max_broadcast_terms`` / ``max_term_bytes`` -> one broadcast
-      nested-loop left-semi join on ``contains``; each task stops at the
-      first matching term;
-    * larger -> the terms are cut into broadcast-sized chunks by a
-      ``term_id`` range, each chunk semi-joined, and the matching row keys
-      unioned and deduplicated; ``row_key`` must identify a row.
+    parameter table). The lower-cased text is computed once per row, before
+    any matching.
+
+    * no terms -> ``df`` unchanged (a semi join would return nothing);
+    * up to ``max_jvm_terms`` -> broadcast nested-loop left-semi join on
+      ``contains``, all JVM-side; a row stops at its first matching term;
+    * up to the broadcast bound (``max_broadcast_terms`` / ``max_term_bytes``)
+      -> the checked, bounded term list is shipped to the tasks and an
+      Arrow-batched Aho-Corasick UDF tests each text in one pass, however
+      many terms there are (only the text column crosses to Python);
+    * beyond the bound -> the terms are cut into broadcast-sized chunks by
+      hash, each chunk semi-joined, and the matching row keys unioned and
+      deduplicated; ``row_key`` must identify a row. Nothing is collected.
     """
     terms = (terms_df.select(F.lower(F.regexp_replace(F.col(term_col), r"^\s+|\s+$", ""))
                              .alias("__term"))
@@ -100,16 +147,21 @@ def keyword_semi_join(df: DataFrame, terms_df: DataFrame, term_col: str = "term"
     n, nbytes = int(stats["n"]), int(stats["b"])
     if n == 0:
         return df
-    blob = keyword_blob(title_col, abstract_col)
+    with_blob = df.withColumn("__blob", keyword_blob(title_col, abstract_col))
+    if n <= max_jvm_terms or (n <= max_broadcast_terms and nbytes <= max_term_bytes
+                              and not _have_ahocorasick()):
+        return (with_blob.join(F.broadcast(terms), F.col("__blob").contains(F.col("__term")),
+                               "left_semi").drop("__blob"))
     if n <= max_broadcast_terms and nbytes <= max_term_bytes:
-        return df.join(F.broadcast(terms), blob.contains(F.col("__term")), "left_semi")
+        bounded = [r["__term"] for r in terms.collect()]
+        return with_blob.filter(_any_term_udf(bounded)(F.col("__blob"))).drop("__blob")
     if not row_key:
         raise ValueError("keyword_semi_join: row_key is required for a terms table "
                          f"beyond the broadcast bound ({n} terms, {nbytes} bytes)")
     n_chunks = max((n + max_broadcast_terms - 1) // max_broadcast_terms,
                    (nbytes + max_term_bytes - 1) // max_term_bytes)
     ided = terms.withColumn("__chunk", F.pmod(F.xxhash64("__term"), F.lit(n_chunks)))
-    keys = df.select(*row_key, blob.alias("__blob"))
+    keys = with_blob.select(*row_key, "__blob")
     hits = None
     for c in range(n_chunks):
         chunk = F.broadcast(ided.filter(F.col("__chunk") == c).select("__term"))
