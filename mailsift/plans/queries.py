@@ -357,4 +357,5 @@ QUERIES: dict[str, Query] = {
     "digest_latest": digest_latest,
     "digest_by_sender": digest_by_sender,
     "digest_parsed": digest_parsed,
+    "digest_incremental": digest_incremental,
 }
