@@ -48,7 +48,7 @@ def drop_tail(df: DataFrame, order: OrderSpec = ITEM_ORDER, k: int = 2,
         w = Window.partitionBy()
     droppable = (tail.withColumn("__tn", F.count(F.lit(1)).over(w))
                  .filter(F.col("__tn") >= k).drop("__tn"))
-    return df.join(droppable, key, "left_anti")
+    return df.join(droppable, key, "left_anti").select(*df.columns)
 
 
 def keyword_blob(title_col: str = "title", abstract_col: str = "abstract"):
@@ -168,7 +168,7 @@ def keyword_semi_join(df: DataFrame, terms_df: DataFrame, term_col: str = "term"
         part = keys.join(chunk, F.col("__blob").contains(F.col("__term")), "left_semi") \
             .select(*row_key)
         hits = part if hits is None else hits.unionByName(part)
-    return df.join(hits.distinct(), list(row_key), "left_semi")
+    return df.join(hits.distinct(), list(row_key), "left_semi").select(*df.columns)
 
 
 def number_items(df: DataFrame, order: OrderSpec = ITEM_ORDER, by: Sequence[str] = (),

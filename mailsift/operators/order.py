@@ -92,8 +92,8 @@ def ordinal(df: DataFrame, by: Sequence[str] | str | None, order: OrderSpec,
     offsets = sizes.select(pid, *by, F.coalesce(F.sum("__ord_n").over(w_prev), F.lit(0))
                            .alias(off))
     return (sliced.join(offsets, [pid, *by], "inner")
-            .withColumn(name, (F.col(off) + F.col(local)).cast("int"))
-            .drop(pid, local, off))
+            .select(*[F.col(f"`{c}`") for c in df.columns],
+                    (F.col(off) + F.col(local)).cast("int").alias(name)))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: OrderSpec) -> DataFrame:
