@@ -76,6 +76,51 @@ def explode_parts(df: DataFrame, raw_col: str = "raw", keep: Sequence[str] = ("u
     return src.mapInPandas(run, schema)
 
 
+def pick_body(parts: list[tuple]) -> str:
+    """B2 + B3 for one message's ``decode_parts`` output (same rules as ``choose_body``)."""
+    if not parts:
+        return ""
+    if parts[0][1] == "N":
+        _, _, ctype, _, text, _ = parts[0]
+        if not text:
+            return ""
+        if ctype == "text/html":
+            return text
+        if ctype == "text/plain":
+            return PLAIN_PREFIX + text + PLAIN_SUFFIX
+        return ""
+    for p in parts:
+        if p[2] == "text/html" and p[4] is not None:
+            return p[4]
+    for p in parts:
+        if p[2] == "text/plain" and p[4] is not None:
+            return PLAIN_PREFIX + p[4] + PLAIN_SUFFIX
+    return ""
+
+
+def decode_bodies(df: DataFrame, raw_col: str = "raw", keep: Sequence[str] = ("uid",)) -> DataFrame:
+    """B1-B3 in one narrow pass: raw message -> ``keep..., html``.
+
+    A message's parts never leave the task that decoded them, so choosing
+    the body needs no shuffle and no sort (``choose_body`` is the grouped
+    form for part tables that arrive separately).
+    """
+    keep = list(keep)
+    schema = StructType([df.schema[k] for k in keep] + [StructField("html", StringType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = pdf[[f"k{i}" for i in range(len(keep))]].copy()
+            out.columns = keep
+            out["html"] = [None if raw is None else pick_body(decode_parts(raw))
+                           for raw in pdf["r"]]
+            yield out
+
+    src = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)],
+                    F.col(raw_col).alias("r"))
+    return src.mapInPandas(run, schema)
+
+
 def wrap_plain(text_col="text"):
     """Plain text as an html document around ``<pre>``, not escaped."""
     t = F.col(text_col) if isinstance(text_col, str) else text_col

@@ -17,7 +17,10 @@ from mailsift.operators.extract import (
     DEFAULT_BLOCK_TAGS, DEFAULT_LINK_CONTAINS, DEFAULT_LINK_PREFIXES, DEFAULT_MIN_TITLE_LEN,
     extract_anchors, extract_items, keep_links,
 )
-from mailsift.operators.headers import filter_run_day, filter_senders
+from mailsift.operators.bodies import decode_bodies
+from mailsift.operators.headers import (
+    add_mail_date, add_sender, filter_run_day, filter_senders, parse_headers,
+)
 from mailsift.operators.items import (
     ITEM_ORDER, dedupe_first, drop_tail, keyword_filter, number_items,
 )
@@ -29,7 +32,7 @@ from mailsift.sources.messages import latest_n
 class DigestParams:
     recent: int = 0                      # S2: latest N messages, 0 = all
     mailbox_by: Sequence[str] = ()       # S2 per mailbox (empty = one mailbox)
-    senders: Sequence[str] | None = None  # H4 allow-list (None = no filter)
+    senders: Sequence[str] | DataFrame | None = None  # H4 allow-list (None = no filter)
     today_only: bool = False             # H5
     run_date: str | None = None          # H5 day to keep
     tz: str = "UTC"                      # H5 local zone
@@ -46,16 +49,24 @@ class DigestParams:
 def digest_stages(messages: DataFrame, p: DigestParams) -> dict[str, DataFrame]:
     """All intermediate tables of one digest, lazily (``scanned`` ... ``numbered``).
 
-    ``messages`` needs ``uid``, ``html``, the ``report_by`` columns and, for
-    the filters, ``sender`` and a parsed ``dt``.
+    ``messages`` needs ``uid``, the ``report_by`` columns and either
+    ``html`` (plus ``sender`` / parsed ``dt`` for the filters) or ``raw``
+    RFC 822 bytes, from which headers and the body are decoded in narrow
+    ``mapInPandas`` passes.
     """
     report_by = list(p.report_by)
     scanned = latest_n(messages, p.recent, "uid", by=list(p.mailbox_by) or None)
     matched = scanned
+    if "raw" in messages.columns:
+        # Raw RFC 822 input: parse only the header block first (H1-H3); the
+        # body is decoded only for messages that pass the filters.
+        matched = add_mail_date(add_sender(parse_headers(matched)), "date", "dt")
     if p.senders is not None:
         matched = filter_senders(matched, p.senders)
     if p.today_only:
         matched = filter_run_day(matched, p.run_date, True, p.tz)
+    if "raw" in messages.columns:
+        matched = decode_bodies(matched, keep=[*report_by, "uid"])
     bodies = matched.filter(F.col("html").isNotNull() & (F.col("html") != ""))
     keep = [*report_by, "uid"]
     if p.extractor == "native":

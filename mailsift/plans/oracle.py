@@ -452,8 +452,9 @@ SELECT conv_id, turn, line_no, level, heading,
          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section
 FROM based"""
 
-    def digest_sql(part: str = "", latest: int = 0, parsed: bool = False) -> str:
-        extra = ""
+    def digest_sql(part: str = "", latest: int = 0, parsed: bool = False,
+                   where: str = "") -> str:
+        extra = where
         if latest:
             extra = (f"WHERE uid IN (SELECT page_id FROM pages ORDER BY page_id DESC "
                      f"LIMIT {latest})")
@@ -479,6 +480,7 @@ FROM selected"""
     out["digest_by_sender"] = digest_sql("sender")
     out["digest_parsed"] = digest_sql("report_date", parsed=True)
     out["digest_incremental"] = out["digest"]
+    out["digest_raw"] = digest_sql("report_date", where="WHERE starts_with(sender, 'blog.')")
     return out
 
 

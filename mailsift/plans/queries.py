@@ -21,6 +21,7 @@ from mailsift.operators import (
     project_headers, rank_messages, render_item_list, render_report, report_metadata,
     report_totals,
 )
+from mailsift.operators.bodies import decode_bodies, drop_empty_bodies
 from mailsift.operators.extract import dedupe_in_message
 from mailsift.operators.items import ITEM_ORDER
 from mailsift.plans import standins as S
@@ -147,7 +148,7 @@ def parts_exploded(spark, d):
 
 def message_bodies(spark, d):
     raw = S.conversation_raw(_t(spark, d, "conversations"))
-    return choose_body(explode_parts(raw)).filter(F.col("html") != "")
+    return drop_empty_bodies(decode_bodies(raw))
 
 
 # ---------------------------------------------------------------- X1-X7
@@ -315,6 +316,12 @@ def digest_parsed(spark, d):
     return digest(msgs, _digest_params(extractor="parser", block_tags=("ul",)))
 
 
+def digest_raw(spark, d):
+    pages = _t(spark, d, "pages")
+    raw = S.page_raw_messages(pages)
+    return digest(raw, _digest_params(senders=S.blog_senders(pages)))
+
+
 def digest_incremental(spark, d):
     from mailsift.streaming.incremental import incremental_digest_from_table
     return incremental_digest_from_table(spark, d, _digest_params())
@@ -357,5 +364,6 @@ QUERIES: dict[str, Query] = {
     "digest_latest": digest_latest,
     "digest_by_sender": digest_by_sender,
     "digest_parsed": digest_parsed,
+    "digest_raw": digest_raw,
     "digest_incremental": digest_incremental,
 }

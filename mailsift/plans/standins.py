@@ -92,6 +92,30 @@ def conversation_raw(conversations: DataFrame) -> DataFrame:
         F.encode(F.concat(head, body), "UTF-8").alias("raw"))
 
 
+def page_raw_messages(pages: DataFrame) -> DataFrame:
+    """pages -> RFC 822 alert messages: From the site's alerts address (upper-cased
+    domain), a Date derived from the page id, base64 ``text/html`` body."""
+    host = html_host("url")
+    ts = F.timestamp_add("MINUTE", F.col("page_id"), F.lit("2025-11-19 00:00:00").cast("timestamp_ntz"))
+    head = F.concat(
+        F.lit("From: Site alerts <alerts@"), F.upper(host), F.lit(">\r\n"),
+        F.lit("Subject: page "), F.col("page_id").cast("string"), F.lit("\r\n"),
+        F.lit("Date: "), F.date_format(ts, "EEE, d MMM yyyy HH:mm:ss"), F.lit(" +0000\r\n"),
+        F.lit('MIME-Version: 1.0\r\nContent-Type: text/html; charset="utf-8"\r\n'),
+        F.lit("Content-Transfer-Encoding: base64\r\n\r\n"))
+    return pages.select(
+        F.col("page_id").alias("uid"), F.to_date(F.lit(RUN_DATE)).alias("report_date"),
+        F.encode(F.concat(head, F.base64(F.encode(F.col("html"), "UTF-8"))), "UTF-8")
+        .alias("raw"))
+
+
+def blog_senders(pages: DataFrame) -> DataFrame:
+    """Allow-list table derived from pages: the alerts address of every ``blog.`` site."""
+    host = html_host("url")
+    return (pages.select(F.concat(F.lit("alerts@"), host).alias("address"))
+            .filter(F.col("address").startswith("alerts@blog.")).distinct())
+
+
 def conversation_markdown(conversations: DataFrame) -> DataFrame:
     """conversations -> a Markdown document per turn: ``## role turn N`` over ``###`` lines."""
     md = F.concat(F.lit("## "), F.col("role"), F.lit(" turn "), F.col("turn").cast("string"),

@@ -3,7 +3,7 @@
 import pytest
 
 from mailsift.operators.bodies import (
-    choose_body, decode_parts, drop_empty_bodies, explode_parts, wrap_plain,
+    choose_body, decode_bodies, decode_parts, drop_empty_bodies, explode_parts, wrap_plain,
 )
 from mailsift.operators.headers import add_sender, parse_headers, project_headers
 
@@ -81,6 +81,11 @@ def test_choose_body_on_fixtures(raw_df):
     assert got == {uid: want for uid, (_, want) in FIXTURES.items()}
 
 
+def test_decode_bodies_equals_grouped_choice(raw_df):
+    narrow = {r.uid: r.html for r in decode_bodies(raw_df).collect()}
+    assert narrow == {uid: want for uid, (_, want) in FIXTURES.items()}
+
+
 def test_drop_empty_bodies(raw_df):
     kept = {r.uid for r in drop_empty_bodies(choose_body(explode_parts(raw_df))).collect()}
     assert kept == {uid for uid, (_, want) in FIXTURES.items() if want}
