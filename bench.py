@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 BENCH_SET = ["anchors_extracted", "items_deduped", "keyword_selected",
              "keyword_selected_table", "prompt_text", "digest", "digest_by_sender",
-             "digest_parsed"]
+             "digest_parsed", "digest_raw"]
 
 
 def main() -> None:
