@@ -25,7 +25,7 @@ from mailsift.operators.items import (
     ITEM_ORDER, dedupe_first, drop_tail, keyword_filter, number_items,
 )
 from mailsift.session import checkpoint_dir
-from mailsift.sources.messages import latest_n
+from mailsift.sources.messages import latest_n, spread_for_cpu
 
 
 @dataclass
@@ -56,7 +56,10 @@ def digest_stages(messages: DataFrame, p: DigestParams) -> dict[str, DataFrame]:
     """
     report_by = list(p.report_by)
     scanned = latest_n(messages, p.recent, "uid", by=list(p.mailbox_by) or None)
-    matched = scanned
+    # Spread before the first CPU-heavy stage, while the plan is still a
+    # plain scan (checking a plan with a broadcast join would run its build
+    # side early). A no-op for inputs that already have enough partitions.
+    matched = spread_for_cpu(scanned)
     if "raw" in messages.columns:
         # Raw RFC 822 input: parse only the header block first (H1-H3); the
         # body is decoded only for messages that pass the filters.

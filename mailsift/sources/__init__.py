@@ -1,6 +1,6 @@
 """Sources: message tables and files (S1), latest-N (S2), driver-table stand-ins."""
 
-from mailsift.sources.messages import latest_n, pages_as_messages, read_messages
+from mailsift.sources.messages import latest_n, pages_as_messages, read_messages, spread_for_cpu
 from mailsift.sources.tables import load_table
 
-__all__ = ["latest_n", "load_table", "pages_as_messages", "read_messages"]
+__all__ = ["latest_n", "load_table", "pages_as_messages", "read_messages", "spread_for_cpu"]

@@ -68,3 +68,20 @@ def latest_n(df: DataFrame, n: int, order_col: str = "uid",
         w = Window.partitionBy(*by).orderBy(F.col(order_col).desc_nulls_last())
         return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
     return df.orderBy(F.col(order_col).desc_nulls_last()).limit(n)
+
+
+def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a CPU-heavy narrow stage (regex extraction, MIME / HTML parsing)
+    at least one partition per core.
+
+    Only when the input has *fewer* partitions than the cluster's default
+    parallelism - a small table in one or two files - is it spread by a
+    round-robin repartition; that shuffle moves little data and lets every
+    core work. A large input (many files, many splits) is returned as is, so
+    at scale this never adds a shuffle. Checking the partition count plans
+    the query but runs nothing.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
