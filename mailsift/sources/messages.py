@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mailsift.functions.text import html_host
 
 RAW_SCHEMA = "uid LONG, raw BINARY"
 
@@ -38,16 +37,6 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "auto") -> DataFram
     )
 
 
-def pages_as_messages(pages: DataFrame) -> DataFrame:
-    """Driver-table stand-in: a web page is a message whose sender is its host."""
-    return pages.select(
-        F.col("page_id").alias("uid"),
-        html_host("url").alias("sender"),
-        F.col("url"),
-        F.col("html"),
-    )
-
-
 def latest_n(df: DataFrame, n: int, order_col: str = "uid",
              by: Sequence[str] | str | None = None) -> DataFrame:
     """The last ``n`` messages in mailbox order (largest ``order_col``).

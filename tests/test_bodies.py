@@ -105,3 +105,21 @@ def test_headers_from_raw(raw_df, spark):
 def test_wrap_plain(spark):
     r = spark.createDataFrame([("x<y",)], "t string").select(wrap_plain("t")).first()[0]
     assert r == "<html><body><pre>x<y</pre></body></html>"
+
+
+def test_read_eml_folder_to_items(spark, tmp_path):
+    from mailsift.operators.extract import extract_items
+    from mailsift.sources import latest_n, read_messages
+
+    for uid, (raw, _) in FIXTURES.items():
+        (tmp_path / f"{uid}.eml").write_bytes(as_bytes(raw))
+    (tmp_path / "notes.txt").write_text("not a message")
+    msgs = read_messages(spark, str(tmp_path))
+    assert sorted(r.uid for r in msgs.select("uid").collect()) == sorted(FIXTURES)
+    latest = latest_n(msgs, 3)
+    assert sorted(r.uid for r in latest.select("uid").collect()) == [8, 9, 10]
+    bodies = decode_bodies(latest)
+    items = extract_items(bodies, min_len=1, contains=(), prefixes=("",))
+    assert [tuple(r) for r in items.collect()] == []
+    html = decode_bodies(msgs).filter("uid = 1").first().html
+    assert html == "<p>html one</p>"

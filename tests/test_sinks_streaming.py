@@ -97,3 +97,30 @@ def test_stream_in_several_batches_equals_batch(spark, tmp_out):
     got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "digest")).select(
         "report_date", "ordinal", "uid", "pos", "title", "link", "abstract").collect())
     assert got == sorted(tuple(r) for r in digest_q(spark, SF_SMALL).collect())
+
+
+def test_run_digest_end_to_end(spark, tmp_out):
+    from mailsift.plans.digest import digest_stages
+    from mailsift.plans.run import run_digest
+
+    pages = spark.read.parquet(os.path.join(SF_SMALL, "pages.parquet"))
+    msgs = S.page_messages(pages)
+    p = _digest_params(report_by=("sender",))
+    paths = run_digest(msgs, p, os.path.join(tmp_out, "run"), S.GENERATED_AT)
+    stages = digest_stages(msgs, p)
+    saved_n = stages["saved"].count()
+    selected = stages["selected"].groupBy("sender").count().collect()
+    assert len(read_json_lines(paths["items"])) == saved_n
+    lists = spark.read.parquet(paths["lists"])
+    assert lists.count() == stages["saved"].select("sender").distinct().count()
+    prompts = spark.read.parquet(paths["prompts"])
+    assert prompts.count() == len(selected)
+    summ = spark.read.parquet(paths["summaries"]).collect()
+    assert {r.backend for r in summ} == {"echo"} and all(r.summary for r in summ)
+    reports = spark.read.parquet(paths["reports"]).collect()
+    assert len(reports) == len(selected)
+    totals = {r.sender: r["count"] for r in selected}
+    for r in reports:
+        assert f"<dt>Total items</dt><dd>{totals[r.sender]}</dd>" in r.text
+    funnel = {(r.sender, r.stage): r.n for r in spark.read.parquet(paths["funnel"]).collect()}
+    assert sum(n for (_, st), n in funnel.items() if st == "saved") == saved_n
