@@ -123,8 +123,10 @@ def local_date(parsed, tz: str) -> Column:
     wall date. Null stays null.
     """
     p = as_col(parsed)
-    return F.when(p["zoned"], F.to_date(F.from_utc_timestamp(p["ts"].cast("timestamp"), tz))) \
-        .otherwise(p["wall_date"])
+    # convert_timezone works on TIMESTAMP_NTZ values, so the result does not
+    # depend on the session time zone.
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), p["ts"])
+    return F.when(p["zoned"], F.to_date(local)).otherwise(p["wall_date"])
 
 
 def normalise_address(c) -> Column:

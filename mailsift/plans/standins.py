@@ -37,13 +37,35 @@ def doc_items(documents: DataFrame) -> DataFrame:
         F.when(nl > 0, F.expr("substring(text, instr(text, '\n') + 1)")).alias("abstract"))
 
 
+def _two(c: Column) -> Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
+def format_ntz(ts: Column, pattern_date: str, seconds: bool = True,
+               weekday: bool = False) -> Column:
+    """Format a TIMESTAMP_NTZ as ``[EEE, ]<date pattern> HH:mm[:ss]`` without the session zone.
+
+    ``date_format`` on an NTZ value goes through the session time zone, which
+    moves wall times that fall into a daylight-saving gap; the date part is
+    formatted from the DATE and the clock part from its fields instead.
+    """
+    day = F.to_date(ts)
+    clock = F.concat(_two(F.hour(ts)), F.lit(":"), _two(F.minute(ts)))
+    if seconds:
+        clock = F.concat(clock, F.lit(":"), _two(F.second(ts)))
+    text = F.concat(F.date_format(day, pattern_date), F.lit(" "), clock)
+    if weekday:
+        text = F.concat(F.date_format(day, "EEE"), F.lit(", "), text)
+    return text
+
+
 def mail_date_header(ts: Column, key: Column) -> Column:
     """A mail Date header for ``ts`` in one of eight spellings chosen by ``key % 8``."""
     sel = F.pmod(key, F.lit(8))
-    full = F.date_format(ts, "EEE, d MMM yyyy HH:mm:ss")
-    plain = F.date_format(ts, "d MMM yyyy HH:mm:ss")
-    plus1 = F.date_format(ts + F.expr("INTERVAL 1 HOURS"), "d MMM yyyy HH:mm")
-    minus530 = F.date_format(ts - F.expr("INTERVAL 330 MINUTES"), "d MMM yy HH:mm:ss")
+    full = format_ntz(ts, "d MMM yyyy", weekday=True)
+    plain = format_ntz(ts, "d MMM yyyy")
+    plus1 = format_ntz(F.timestamp_add("HOUR", F.lit(1), ts), "d MMM yyyy", seconds=False)
+    minus530 = format_ntz(F.timestamp_add("MINUTE", F.lit(-330), ts), "d MMM yy")
     return (F.when(sel == 0, F.concat(full, F.lit(" +0000")))
             .when(sel == 1, F.concat(plus1, F.lit(" +0100")))
             .when(sel == 2, F.concat(full, F.lit(" GMT")))
@@ -100,7 +122,7 @@ def page_raw_messages(pages: DataFrame) -> DataFrame:
     head = F.concat(
         F.lit("From: Site alerts <alerts@"), F.upper(host), F.lit(">\r\n"),
         F.lit("Subject: page "), F.col("page_id").cast("string"), F.lit("\r\n"),
-        F.lit("Date: "), F.date_format(ts, "EEE, d MMM yyyy HH:mm:ss"), F.lit(" +0000\r\n"),
+        F.lit("Date: "), format_ntz(ts, "d MMM yyyy", weekday=True), F.lit(" +0000\r\n"),
         F.lit('MIME-Version: 1.0\r\nContent-Type: text/html; charset="utf-8"\r\n'),
         F.lit("Content-Transfer-Encoding: base64\r\n\r\n"))
     return pages.select(

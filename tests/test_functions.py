@@ -133,3 +133,15 @@ def test_numbered_entry_null_vs_empty_abstract(spark):
     got = [r[0] for r in df.select(numbered_entry("i", "t", "l", "a")).collect()]
     assert got == ["1. T\n   Link: L\n\n", "2. T\n   Link: L\n\n",
                    "3. T\n   Link: L\n   Abstract: A\n\n"]
+
+
+def test_local_date_ignores_session_zone(spark):
+    df = spark.createDataFrame([("1 Jan 2025 23:30:00 -0500",)], "v string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        got = df.select(local_date(parse_mail_date("v"), "UTC").alias("d"),
+                        local_date(parse_mail_date("v"), "Asia/Tokyo").alias("t")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert (got.d, got.t) == (dt.date(2025, 1, 2), dt.date(2025, 1, 2))
