@@ -9,7 +9,7 @@ from mailsift.operators.extract import (
     dedupe_in_message, extract_anchors, extract_items, keep_links,
 )
 from mailsift.operators.headers import (
-    add_mail_date, add_sender, filter_run_day, filter_senders, parse_headers,
+    add_mail_date, add_sender, filter_run_day, filter_senders, header_fields, parse_headers,
     project_headers, rank_messages,
 )
 from mailsift.operators.inference import infer
@@ -23,7 +23,7 @@ __all__ = [
     "add_mail_date", "add_sender", "build_prompts", "choose_body", "dedupe_first",
     "dedupe_in_message", "drop_empty_bodies", "drop_tail", "explode_parts",
     "extract_anchors", "extract_items", "filter_run_day", "filter_senders",
-    "first_per_key", "funnel_counts", "infer", "items_panel", "keep_links",
+    "first_per_key", "funnel_counts", "header_fields", "infer", "items_panel", "keep_links",
     "keyword_filter", "keyword_semi_join", "markdown_outline", "number_items",
     "ordered_text", "ordinal", "parse_headers", "project_headers", "rank_messages",
     "render_item_list", "render_report", "report_metadata", "report_totals",

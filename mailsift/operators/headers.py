@@ -62,6 +62,33 @@ def parse_headers(raw_df: DataFrame) -> DataFrame:
     return raw_df.mapInPandas(_header_batches, schema)
 
 
+# A leading blank line means an empty header block.
+_HEADER_BLOCK_RE = r"(?s)^(?!\r?\n)(.*?)(?:\r?\n\r?\n|$)"
+
+
+def header_fields(df: DataFrame, raw_col: str = "raw") -> DataFrame:
+    """Raw RFC 822 bytes -> ``from, subject, date`` columns, JVM-side (H1).
+
+    The header block is everything before the first blank line; a field is
+    the first ``Name:`` line in it (name case-insensitive), leading blanks
+    dropped, folded continuation lines kept - the same values the standard
+    library's header parser returns (``parse_headers``, checked in tests),
+    without shipping the message to Python. Absent -> null.
+    """
+    block = F.regexp_extract(F.col(raw_col).cast("string"), _HEADER_BLOCK_RE, 1)
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    staged = df.select(*cols, block.alias("__hdr"))
+    fields = []
+    for h in HEADER_FIELDS:
+        pat = rf"(?im)^{h}:[ \t]*(.*(?:\r?\n[ \t].*)*)"
+        found = F.col("__hdr").rlike(rf"(?im)^{h}:")
+        fields.append(F.when(found, F.regexp_extract("__hdr", pat, 1)).alias(h))
+    # Fields leave through a one-row generator so that sender/date filters
+    # and the allow-list semi join, which Catalyst pushes below projections,
+    # stop here instead of re-running the header regexes over the message.
+    return staged.select(*cols, F.inline(F.array(F.struct(*fields))))
+
+
 def add_sender(df: DataFrame, from_col: str = "from", name: str = "sender") -> DataFrame:
     """H3 as a column: normalised sender address."""
     return df.withColumn(name, normalise_address(F.col(f"`{from_col}`")))

@@ -19,7 +19,7 @@ from mailsift.operators.extract import (
 )
 from mailsift.operators.bodies import decode_bodies
 from mailsift.operators.headers import (
-    add_mail_date, add_sender, filter_run_day, filter_senders, parse_headers,
+    add_mail_date, add_sender, filter_run_day, filter_senders, header_fields,
 )
 from mailsift.operators.items import (
     ITEM_ORDER, dedupe_first, drop_tail, keyword_filter, number_items,
@@ -61,9 +61,9 @@ def digest_stages(messages: DataFrame, p: DigestParams) -> dict[str, DataFrame]:
     # side early). A no-op for inputs that already have enough partitions.
     matched = spread_for_cpu(scanned)
     if "raw" in messages.columns:
-        # Raw RFC 822 input: parse only the header block first (H1-H3); the
-        # body is decoded only for messages that pass the filters.
-        matched = add_mail_date(add_sender(parse_headers(matched)), "date", "dt")
+        # Raw RFC 822 input: read only the header block first (H1-H3, JVM-side);
+        # the body is decoded in Python only for messages that pass the filters.
+        matched = add_mail_date(add_sender(header_fields(matched)), "date", "dt")
     if p.senders is not None:
         matched = filter_senders(matched, p.senders)
     if p.today_only:

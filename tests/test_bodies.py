@@ -123,3 +123,28 @@ def test_read_eml_folder_to_items(spark, tmp_path):
     assert [tuple(r) for r in items.collect()] == []
     html = decode_bodies(msgs).filter("uid = 1").first().html
     assert html == "<p>html one</p>"
+
+
+HEADER_CASES = [
+    b"From: A <a@x.org>\r\nSubject: hello\r\n world\r\nDate: Wed, 19 Nov 2025 10:00:00 +0000\r\n\r\nbody",
+    b"subject: lower\nFROM:  B <b@y.org>  \nX: y\n\nbody\nFrom: no",
+    b"From: first@x.org\r\nFrom: second@x.org\r\n\r\n",
+    b"Subject: =?utf-8?q?caf=C3=A9?=\r\n\r\n",
+    b"no headers here",
+    b"\r\nFrom: after-blank@x.org\r\n",
+    b"Date: 1 Jan 2025 10:00:00\r\nFrom:\r\n\r\n",
+]
+
+
+def test_native_header_fields_equal_stdlib(spark, raw_df):
+    from mailsift.operators.headers import header_fields
+
+    rows = [(100 + i, c) for i, c in enumerate(HEADER_CASES)]
+    df = spark.createDataFrame(rows, "uid long, raw binary").unionByName(raw_df)
+    native = {r.uid: (r["from"], r.subject, r.date)
+              for r in header_fields(df).select("uid", "from", "subject", "date").collect()}
+    stdlib = {r.uid: (r["from"], r.subject, r.date)
+              for r in parse_headers(df).select("uid", "from", "subject", "date").collect()}
+    assert native == stdlib
+    assert native[100][1] == "hello\r\n world" and native[102][0] == "first@x.org"
+    assert native[104] == (None, None, None) and native[105] == (None, None, None)
