@@ -60,15 +60,17 @@ def ordinal(df: DataFrame, by: Sequence[str] | str | None, order: OrderSpec,
 
     ``skew_safe=True`` (default) never puts a whole group into one task:
 
-    1. range-partition on ``by + order``: a hot group is cut into
-       consecutive slices that land in different partitions;
-    2. number rows inside each (partition, group) slice with a window keyed
-       on ``(partition id, by)`` - every slice is at most one range partition;
-    3. per slice, count rows (partial aggregate, map-side combined); a
-       running sum over the slice counts of one group (at most one row per
-       partition, so tiny) gives the slice's starting offset;
-    4. join the offsets back on ``(partition id, by)``; AQE turns this into
-       a broadcast join when the offsets table is small at run time.
+    1. range-partition on ``by + order`` and sort within partitions: a hot
+       group is cut into consecutive slices that land in different
+       partitions, and a row's position inside its partition is known
+       (``monotonically_increasing_id`` after the sort);
+    2. per (partition, group) slice, count rows and take the first position
+       (a partial aggregate, at most one row per partition and group);
+    3. a running sum over the slice counts of each group (one row per
+       partition it spans, so tiny) gives each slice's starting offset;
+    4. join the slice table back on ``(partition id, by)``: ordinal =
+       offset + position - first position + 1. AQE broadcasts the slice
+       table when its measured size is small, so the rows are shuffled once.
 
     ``order`` must make rows unique within a group (ties would be numbered
     in an arbitrary order, exactly as with ``row_number``).
@@ -80,20 +82,20 @@ def ordinal(df: DataFrame, by: Sequence[str] | str | None, order: OrderSpec,
         return df.withColumn(name, F.row_number().over(w))
 
     n = _partitions(df, partitions)
-    pid, local, off = "__ord_pid", "__ord_local", "__ord_off"
-    ranged = (df.repartitionByRange(n, *[F.col(b).asc_nulls_first() for b in by],
-                                    *sort_exprs(order))
-              .withColumn(pid, F.spark_partition_id()))
-    w_slice = Window.partitionBy(pid, *by).orderBy(*sort_exprs(order))
-    sliced = ranged.withColumn(local, F.row_number().over(w_slice))
-    sizes = sliced.groupBy(pid, *by).agg(F.count(F.lit(1)).alias("__ord_n"))
+    pid, pos, first, off = "__ord_pid", "__ord_pos", "__ord_first", "__ord_off"
+    keys = [*[F.col(b).asc_nulls_first() for b in by], *sort_exprs(order)]
+    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn(pid, F.spark_partition_id())
+              .withColumn(pos, F.monotonically_increasing_id()))
+    slices = ranged.groupBy(pid, *by).agg(F.count(F.lit(1)).alias("__ord_n"),
+                                          F.min(pos).alias(first))
     w_prev = Window.partitionBy(*by).orderBy(pid) if by else Window.orderBy(pid)
     w_prev = w_prev.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(pid, *by, F.coalesce(F.sum("__ord_n").over(w_prev), F.lit(0))
-                           .alias(off))
-    return (sliced.join(offsets, [pid, *by], "inner")
+    offsets = slices.select(pid, *by, first, F.coalesce(F.sum("__ord_n").over(w_prev), F.lit(0))
+                            .alias(off))
+    return (ranged.join(offsets, [pid, *by], "inner")
             .select(*[F.col(f"`{c}`") for c in df.columns],
-                    (F.col(off) + F.col(local)).cast("int").alias(name)))
+                    (F.col(off) + F.col(pos) - F.col(first) + 1).cast("int").alias(name)))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: OrderSpec) -> DataFrame:

@@ -44,6 +44,7 @@ class DigestParams:
     prefixes: Sequence[str] = DEFAULT_LINK_PREFIXES
     tail_k: int = 2                      # I2
     terms: Sequence[str] | None = field(default_factory=list)  # I3
+    materialise_unique: bool = True      # write deduplicated items once (see digest_stages)
 
 
 def digest_stages(messages: DataFrame, p: DigestParams) -> dict[str, DataFrame]:
@@ -81,6 +82,14 @@ def digest_stages(messages: DataFrame, p: DigestParams) -> dict[str, DataFrame]:
     else:
         raise ValueError(f"unknown extractor {p.extractor!r}")
     unique = dedupe_first(items, ("title", "link"), ITEM_ORDER, by=report_by)
+    if p.materialise_unique:
+        # The tail drop reads the deduplicated items twice (to find the tail
+        # and to remove it). Catalyst prunes the two branches differently, so
+        # their shuffles are not reused and extraction would run twice. The
+        # compact item table is written once (reliable checkpoint in
+        # spark.checkpoint.dir) and both branches read it; it also bounds
+        # what a lost executor has to recompute.
+        unique = materialise(unique)
     saved = drop_tail(unique, ITEM_ORDER, p.tail_k, by=report_by)
     selected = keyword_filter(saved, p.terms)
     numbered = number_items(selected, ITEM_ORDER, by=report_by)
