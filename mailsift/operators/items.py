@@ -35,6 +35,9 @@ def drop_tail(df: DataFrame, order: OrderSpec = ITEM_ORDER, k: int = 2,
     ``WindowGroupLimit`` with ``by``), the ``>= k`` guard is a count over
     those at most ``k`` rows per group, and the drop is a left-anti join on
     the (unique) order key. AQE broadcasts the tiny tail side at run time.
+
+    ``df`` is read twice (to find the tail and to remove it); when it is
+    expensive to compute, materialise it first (``plans.digest.materialise``).
     """
     if k <= 0:
         return df

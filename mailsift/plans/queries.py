@@ -25,7 +25,7 @@ from mailsift.operators.bodies import decode_bodies, drop_empty_bodies
 from mailsift.operators.extract import dedupe_in_message
 from mailsift.operators.items import ITEM_ORDER
 from mailsift.plans import standins as S
-from mailsift.plans.digest import DigestParams, digest, digest_stages
+from mailsift.plans.digest import DigestParams, digest, digest_stages, materialise
 from mailsift.sources import latest_n, load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,13 +187,13 @@ def items_deduped(spark, d):
 
 
 def items_tail_dropped(spark, d):
-    uniq = dedupe_first(_page_anchors(spark, d))
+    uniq = materialise(dedupe_first(_page_anchors(spark, d)))
     return drop_tail(uniq, ITEM_ORDER, 2).select("uid", "pos", "title", "link")
 
 
 def items_tail_dropped_by_sender(spark, d):
     a = _page_anchors(spark, d, report_by=("sender",))
-    uniq = dedupe_first(a, by=("sender",))
+    uniq = materialise(dedupe_first(a, by=("sender",)))
     return drop_tail(uniq, ITEM_ORDER, 2, by=("sender",)).select(
         "sender", "uid", "pos", "title", "link")
 
