@@ -37,7 +37,7 @@ class DigestParams:
     run_date: str | None = None          # H5 day to keep
     tz: str = "UTC"                      # H5 local zone
     report_by: Sequence[str] = ("report_date",)
-    extractor: str = "native"            # "native" (X1 regex) | "parser" (X1-X5 html.parser)
+    extractor: str = "parser"            # "parser" (X1-X5, block abstracts) | "native" (X1 regex)
     block_tags: Sequence[str] = DEFAULT_BLOCK_TAGS
     min_len: int = DEFAULT_MIN_TITLE_LEN
     contains: Sequence[str] = DEFAULT_LINK_CONTAINS

@@ -227,7 +227,7 @@ def items_numbered(spark, d):
 
 def _sender_digest_params():
     return DigestParams(report_by=("sender",), contains=(), prefixes=S.PAGE_PREFIXES,
-                        terms=list(S.PAGE_TERMS))
+                        terms=list(S.PAGE_TERMS), extractor="native")
 
 
 def report_totals_q(spark, d):
@@ -291,7 +291,8 @@ def markdown_outline_q(spark, d):
 # ---------------------------------------------------------------- flagship
 
 def _digest_params(**kw):
-    base = dict(contains=(), prefixes=S.PAGE_PREFIXES, terms=list(S.PAGE_TERMS))
+    base = dict(contains=(), prefixes=S.PAGE_PREFIXES, terms=list(S.PAGE_TERMS),
+                extractor="native")
     base.update(kw)
     return DigestParams(**base)
 

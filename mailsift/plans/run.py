@@ -31,6 +31,16 @@ from mailsift.plans.digest import DigestParams, digest_stages
 from mailsift.sinks import write_items_jsonl, write_summaries, write_text_documents
 
 
+def _read(spark, path: str, like: DataFrame) -> DataFrame:
+    """Read a written stage back with the schema it was written with (works when empty)."""
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+
+
+def _write_and_read(writer, df: DataFrame, path: str) -> DataFrame:
+    writer.parquet(path)
+    return _read(df.sparkSession, path, df)
+
+
 def run_digest(messages: DataFrame, p: DigestParams, out_dir: str, generated_at: str,
                backend: str = "echo", backends: Mapping[str, Factory] | None = None
                ) -> dict[str, str]:
@@ -48,8 +58,8 @@ def run_digest(messages: DataFrame, p: DigestParams, out_dir: str, generated_at:
     # Saved set (before the keyword filter), numbered per report, written once.
     saved = number_items(stages["saved"], ITEM_ORDER, by=by)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    saved.write.mode("overwrite").partitionBy(*by).parquet(paths["_saved"])
-    saved = spark.read.parquet(paths["_saved"])
+    saved = _write_and_read(saved.write.mode("overwrite").partitionBy(*by), saved,
+                            paths["_saved"])
 
     write_items_jsonl(saved, paths["items"], partition_by=by)
     write_text_documents(render_item_list(saved, by), paths["lists"], "markdown", by)
@@ -57,12 +67,14 @@ def run_digest(messages: DataFrame, p: DigestParams, out_dir: str, generated_at:
     selected = number_items(keyword_filter(saved.drop("ordinal"), p.terms), ITEM_ORDER, by=by)
     prompts = build_prompts(selected, p.terms, by)
     write_text_documents(prompts, paths["prompts"], "prompt", by)
-    prompts = spark.read.parquet(paths["prompts"]).withColumnRenamed("text", "prompt")
+    prompts = _read(spark, paths["prompts"], prompts.select(*by, "chunk",
+                                                            prompts["prompt"].alias("text")))
+    prompts = prompts.withColumnRenamed("text", "prompt")
 
     # Model calls run once; everything downstream reads the written table.
     summaries = infer(prompts, backend, key=[*by, "chunk"], backends=backends)
     write_summaries(summaries, paths["summaries"], partition_by=[*by, "backend"])
-    summaries = spark.read.parquet(paths["summaries"])
+    summaries = _read(spark, paths["summaries"], summaries)
 
     meta = report_metadata(selected, p.terms, by, generated_at)
     reports = render_report(meta, summaries.filter(summaries.backend == backend), by)

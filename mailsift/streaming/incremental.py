@@ -27,7 +27,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.operators.extract import extract_anchors, keep_links
+from mailsift.operators.extract import extract_anchors, extract_items, keep_links
 from mailsift.operators.items import ITEM_ORDER, dedupe_first, drop_tail, keyword_filter, number_items
 from mailsift.plans.digest import DigestParams
 from mailsift.session import checkpoint_dir
@@ -36,6 +36,9 @@ from mailsift.session import checkpoint_dir
 def _batch_items(batch: DataFrame, p: DigestParams) -> DataFrame:
     keep = [*p.report_by, "uid"]
     bodies = batch.filter(F.col("html").isNotNull() & (F.col("html") != ""))
+    if p.extractor == "parser":
+        return extract_items(bodies, keep=keep, block_tags=p.block_tags, min_len=p.min_len,
+                             contains=p.contains, prefixes=p.prefixes, dedupe=False)
     items = keep_links(extract_anchors(bodies, keep=keep), p.min_len, p.contains, p.prefixes)
     return items.withColumn("abstract", F.lit(None).cast("string"))
 

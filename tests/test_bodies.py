@@ -148,3 +148,36 @@ def test_native_header_fields_equal_stdlib(spark, raw_df):
     assert native == stdlib
     assert native[100][1] == "hello\r\n world" and native[102][0] == "first@x.org"
     assert native[104] == (None, None, None) and native[105] == (None, None, None)
+
+
+def test_cli_run_over_eml_folder(spark, tmp_path):
+    import json as _json
+    import os as _os
+    from mailsift.__main__ import main
+
+    box = tmp_path / "box"
+    box.mkdir()
+    html = ('<html><body><table><tr><td><a href="https://example.org/p1">Solid electrolyte paper</a>'
+            '<div>About lithium ions.</div></td></tr>'
+            '<tr><td><a href="https://example.org/p2">Unrelated title here</a></td></tr>'
+            '<tr><td><a href="https://example.org/f1">Footer one</a></td></tr>'
+            '<tr><td><a href="https://example.org/f2">Footer two</a></td></tr></table></body></html>')
+    for uid, sender in ((1, "Alerts <ALERTS@x.org>"), (2, "other@y.org")):
+        (box / f"{uid}.eml").write_text(
+            f"From: {sender}\r\nSubject: s\r\nDate: Wed, 19 Nov 2025 10:00:00 +0000\r\n"
+            f"Content-Type: text/html; charset=utf-8\r\n\r\n{html}")
+    out = tmp_path / "out"
+    assert main(["run", "--messages", str(box), "--out", str(out), "--recent", "0",
+                 "--senders", "alerts@x.org", "--keywords", "Lithium, nothing",
+                 "--run-date", "2025-11-19"]) == 0
+    items = []
+    for d, _, files in _os.walk(out / "items"):
+        for f in files:
+            if f.endswith(".json"):
+                items += [_json.loads(x) for x in open(_os.path.join(d, f), encoding="utf-8")]
+    # 4 anchors in the one allowed message, last two dropped; the abstract of
+    # the first comes from its enclosing cell, so "lithium" selects it.
+    assert sorted(i["title"] for i in items) == ["Solid electrolyte paper", "Unrelated title here"]
+    prompts = spark.read.parquet(str(out / "prompts")).collect()
+    assert len(prompts) == 1 and "1. Title: Solid electrolyte paper" in prompts[0].text
+    assert "Unrelated" not in prompts[0].text
