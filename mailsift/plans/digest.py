@@ -60,7 +60,7 @@ def digest_stages(messages: DataFrame, p: DigestParams) -> dict[str, DataFrame]:
     # Spread before the first CPU-heavy stage, while the plan is still a
     # plain scan (checking a plan with a broadcast join would run its build
     # side early). A no-op for inputs that already have enough partitions.
-    matched = spread_for_cpu(scanned)
+    matched = spread_for_cpu(scanned, key="uid")
     if "raw" in messages.columns:
         # Raw RFC 822 input: read only the header block first (H1-H3, JVM-side);
         # the body is decoded in Python only for messages that pass the filters.

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailsift.functions.text import html_host
+from mailsift.sources.messages import spread_for_cpu
 
 # Fixed parameters of the stand-in queries.
 RUN_DATE = "2025-11-19"
@@ -22,14 +23,15 @@ REPORT_TERMS = ("license", "nicht", "être", "the", "que", "ung")
 
 def page_messages(pages: DataFrame) -> DataFrame:
     """pages -> messages: ``uid`` = page_id, ``sender`` = host of the url."""
-    return pages.select(F.col("page_id").alias("uid"), html_host("url").alias("sender"),
-                        F.to_date(F.lit(RUN_DATE)).alias("report_date"), "html")
+    return spread_for_cpu(pages, key="page_id").select(
+        F.col("page_id").alias("uid"), html_host("url").alias("sender"),
+        F.to_date(F.lit(RUN_DATE)).alias("report_date"), "html")
 
 
 def doc_items(documents: DataFrame) -> DataFrame:
     """documents -> items: title = first line, abstract = the rest (null if none)."""
     nl = F.instr(F.col("text"), "\n")
-    return documents.select(
+    return spread_for_cpu(documents, key="doc_id").select(
         "doc_id", "lang", "source",
         F.substring_index(F.col("text"), "\n", 1).alias("title"),
         F.concat(F.lit("doc://"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"))

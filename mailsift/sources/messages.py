@@ -59,18 +59,24 @@ def latest_n(df: DataFrame, n: int, order_col: str = "uid",
     return df.orderBy(F.col(order_col).desc_nulls_last()).limit(n)
 
 
-def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread_for_cpu(df: DataFrame, min_partitions: int | None = None,
+                   key: str | None = None) -> DataFrame:
     """Give a CPU-heavy narrow stage (regex extraction, MIME / HTML parsing)
     at least one partition per core.
 
     Only when the input has *fewer* partitions than the cluster's default
     parallelism - a small table in one or two files - is it spread by a
-    round-robin repartition; that shuffle moves little data and lets every
+    repartition (hash of ``key`` when given, else round-robin); that shuffle
+    moves little data and lets every
     core work. A large input (many files, many splits) is returned as is, so
     at scale this never adds a shuffle. Checking the partition count plans
     the query but runs nothing.
     """
+    if df.isStreaming:
+        return df  # micro-batches are sized by the stream's trigger options
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    # Hashing a unique key is deterministic on retry without the per-partition
+    # sort that a round-robin repartition needs.
+    return df.repartition(target, F.col(key)) if key else df.repartition(target)
