@@ -37,26 +37,45 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "auto") -> DataFram
     )
 
 
+MAX_BROADCAST_KEYS = 1_000_000
+
+
 def latest_n(df: DataFrame, n: int, order_col: str = "uid",
              by: Sequence[str] | str | None = None) -> DataFrame:
     """The last ``n`` messages in mailbox order (largest ``order_col``).
 
     ``n == 0`` means *all* messages (the source's ``uids[-0:]``); negative
-    ``n`` is rejected. Without ``by`` this plans as ``TakeOrderedAndProject``:
-    each task keeps its own top ``n`` and only ``n x tasks`` rows reach the
-    final merge. With ``by`` (one mailbox per group) ``row_number() <= n``
-    plans as ``WindowGroupLimit`` partial + final, so a mailbox holding a
-    third of all rows is cut to ``n`` rows per map task before the shuffle.
+    ``n`` is rejected. ``order_col`` identifies a message within a mailbox.
+
+    The choice runs on the key columns only - a Parquet scan then reads just
+    those columns - and the chosen rows are fetched by a null-safe left-semi
+    join, so message bodies never travel to the merge step:
+
+    * without ``by``: a top-``n`` (``TakeOrderedAndProject``, each task keeps
+      its own ``n`` keys) gives at most ``n`` keys, broadcast to the join
+      (a bound proven by ``n`` itself, up to ``MAX_BROADCAST_KEYS``);
+    * with ``by`` (one mailbox per group): ``row_number() <= n`` plans as
+      ``WindowGroupLimit`` partial + final, so a mailbox holding a third of
+      all rows is cut to ``n`` keys per map task before the shuffle; the
+      join side then has ``n`` keys per mailbox and AQE sizes the join.
     """
     if n < 0:
         raise ValueError(f"latest_n: n must be >= 0, got {n}")
     if n == 0:
         return df
+    by = [by] if isinstance(by, str) else list(by or [])
+    keys = [*by, order_col]
     if by:
-        by = [by] if isinstance(by, str) else list(by)
         w = Window.partitionBy(*by).orderBy(F.col(order_col).desc_nulls_last())
-        return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
-    return df.orderBy(F.col(order_col).desc_nulls_last()).limit(n)
+        top = (df.select(*keys).withColumn("__rn", F.row_number().over(w))
+               .filter(F.col("__rn") <= n).drop("__rn"))
+    else:
+        top = df.select(order_col).orderBy(F.col(order_col).desc_nulls_last()).limit(n)
+        if n <= MAX_BROADCAST_KEYS:
+            top = F.broadcast(top)
+    top = top.select(*[F.col(k).alias(f"__top_{k}") for k in keys])
+    cond = [df[k].eqNullSafe(top[f"__top_{k}"]) for k in keys]
+    return df.join(top, cond, "left_semi")
 
 
 def spread_for_cpu(df: DataFrame, min_partitions: int | None = None,
