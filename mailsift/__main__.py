@@ -22,6 +22,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from mailsift.functions.params import normalise_term_list
+from mailsift.operators.extract import (
+    DEFAULT_LINK_CONTAINS, DEFAULT_LINK_PREFIXES, DEFAULT_MIN_TITLE_LEN,
+)
 from mailsift.plans.digest import DigestParams
 from mailsift.plans.run import run_digest
 from mailsift.sources import read_messages
@@ -40,9 +43,9 @@ def build_parser() -> argparse.ArgumentParser:
     run.add_argument("--tz", default="UTC", help="local time zone for --today-only")
     run.add_argument("--keywords", default="", help="comma-separated terms (empty = all)")
     run.add_argument("--backend", default="echo")
-    run.add_argument("--min-title-len", type=int, default=4)
-    run.add_argument("--link-prefixes", default="http")
-    run.add_argument("--link-contains", default="scholar.google")
+    run.add_argument("--min-title-len", type=int, default=DEFAULT_MIN_TITLE_LEN)
+    run.add_argument("--link-prefixes", default=",".join(DEFAULT_LINK_PREFIXES))
+    run.add_argument("--link-contains", default=",".join(DEFAULT_LINK_CONTAINS))
     run.add_argument("--extractor", choices=("parser", "native"), default="parser",
                      help="parser: enclosing-block abstracts; native: JVM regex, no abstracts")
     return ap
