@@ -32,12 +32,15 @@ DEFAULT_BACKENDS: dict[str, Factory] = {"echo": echo_backend}
 
 def infer(prompts: DataFrame, backend: str, key: Sequence[str],
           prompt_col: str = "prompt",
-          backends: Mapping[str, Factory] | None = None) -> DataFrame:
+          backends: Mapping[str, Factory] | None = None,
+          partitions: int | None = None) -> DataFrame:
     """One call per prompt row -> ``key..., backend, summary, error``.
 
     Output is stripped. A failing call gives a null summary and the error
     text, so one bad prompt does not fail the job. An unknown backend is a
-    ``ValueError`` before any task runs.
+    ``ValueError`` before any task runs. Model calls are slow and few, and a
+    prompt table is small (AQE may coalesce it into one partition), so
+    ``partitions`` spreads the calls by hashing the key.
     """
     registry = dict(DEFAULT_BACKENDS if backends is None else backends)
     if backend not in registry:
@@ -66,4 +69,6 @@ def infer(prompts: DataFrame, backend: str, key: Sequence[str],
             yield out
 
     src = prompts.select(*key, F.col(prompt_col).alias("__prompt"))
+    if partitions:
+        src = src.repartition(partitions, *key)
     return src.mapInPandas(run, schema)

@@ -72,7 +72,8 @@ def run_digest(messages: DataFrame, p: DigestParams, out_dir: str, generated_at:
     prompts = prompts.withColumnRenamed("text", "prompt")
 
     # Model calls run once; everything downstream reads the written table.
-    summaries = infer(prompts, backend, key=[*by, "chunk"], backends=backends)
+    summaries = infer(prompts, backend, key=[*by, "chunk"], backends=backends,
+                      partitions=spark.sparkContext.defaultParallelism)
     write_summaries(summaries, paths["summaries"], partition_by=[*by, "backend"])
     summaries = _read(spark, paths["summaries"], summaries)
 
