@@ -21,7 +21,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.functions.params import normalise_term_list
+from mailsift.functions.params import DEFAULT_TERMS, normalise_term_list
 from mailsift.operators.extract import (
     DEFAULT_LINK_CONTAINS, DEFAULT_LINK_PREFIXES, DEFAULT_MIN_TITLE_LEN,
 )
@@ -41,7 +41,8 @@ def build_parser() -> argparse.ArgumentParser:
     run.add_argument("--today-only", action="store_true")
     run.add_argument("--run-date", default=None, help="report date, default today")
     run.add_argument("--tz", default="UTC", help="local time zone for --today-only")
-    run.add_argument("--keywords", default="", help="comma-separated terms (empty = all)")
+    run.add_argument("--keywords", default=DEFAULT_TERMS,
+                     help="comma-separated terms; '' passes every item")
     run.add_argument("--backend", default="echo")
     run.add_argument("--min-title-len", type=int, default=DEFAULT_MIN_TITLE_LEN)
     run.add_argument("--link-prefixes", default=",".join(DEFAULT_LINK_PREFIXES))

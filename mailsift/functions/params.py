@@ -18,6 +18,11 @@ from mailsift.functions.text import ustrip
 # The lower-cased spellings that count as a true flag.
 TRUE_SPELLINGS = ("true", "1", "yes", "on")
 
+# The default keyword list of the source tool's configuration
+# (used by the command line when no --keywords are given).
+DEFAULT_TERMS = ("electrolyte, lithium, battery, solid-state, ion-conductor, "
+                 "solid electrolyte, diffusion, ion transport")
+
 
 def normalise_terms(c) -> Column:
     """S3: split on ``,``, strip, lower-case, drop blanks; order and repeats kept."""
