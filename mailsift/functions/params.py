@@ -20,8 +20,7 @@ TRUE_SPELLINGS = ("true", "1", "yes", "on")
 
 # The default keyword list of the source tool's configuration
 # (used by the command line when no --keywords are given).
-DEFAULT_TERMS = ("electrolyte, lithium, battery, solid-state, ion-conductor, "
-                 "solid electrolyte, diffusion, ion transport")
+DEFAULT_TERMS = "electrolyte, lithium, battery, solid-state, ion-conductor, solid electrolyte, diffusion, ion transport"  # noqa: E501
 
 
 def normalise_terms(c) -> Column:
