@@ -47,40 +47,55 @@ class DigestParams:
     materialise_unique: bool = True      # write deduplicated items once (see digest_stages)
 
 
-def digest_stages(messages: DataFrame, p: DigestParams) -> dict[str, DataFrame]:
-    """All intermediate tables of one digest, lazily (``scanned`` ... ``numbered``).
+def filter_messages(scanned: DataFrame, p: DigestParams) -> DataFrame:
+    """Sender / run-day filters (H4, H5) and, for raw input, headers and body.
 
-    ``messages`` needs ``uid``, the ``report_by`` columns and either
-    ``html`` (plus ``sender`` / parsed ``dt`` for the filters) or ``raw``
-    RFC 822 bytes, from which headers and the body are decoded in narrow
-    ``mapInPandas`` passes.
+    Raw RFC 822 input (a ``raw`` column) has its header block read first
+    (H1-H3, JVM-side); the body is decoded in Python (B1-B3) only for
+    messages that pass the filters. Stateless, so it also runs per
+    micro-batch in the streaming form.
     """
     report_by = list(p.report_by)
-    scanned = latest_n(messages, p.recent, "uid", by=list(p.mailbox_by) or None)
-    # Spread before the first CPU-heavy stage, while the plan is still a
-    # plain scan (checking a plan with a broadcast join would run its build
-    # side early). A no-op for inputs that already have enough partitions.
-    matched = spread_for_cpu(scanned, key="uid")
-    if "raw" in messages.columns:
-        # Raw RFC 822 input: read only the header block first (H1-H3, JVM-side);
-        # the body is decoded in Python only for messages that pass the filters.
+    matched = scanned
+    raw = "raw" in scanned.columns
+    if raw:
         matched = add_mail_date(add_sender(header_fields(matched)), "date", "dt")
     if p.senders is not None:
         matched = filter_senders(matched, p.senders)
     if p.today_only:
         matched = filter_run_day(matched, p.run_date, True, p.tz)
-    if "raw" in messages.columns:
+    if raw:
         matched = decode_bodies(matched, keep=[*report_by, "uid"])
+    return matched
+
+
+def message_items(matched: DataFrame, p: DigestParams) -> DataFrame:
+    """Messages with ``html`` -> items ``report..., uid, pos, title, link, abstract``."""
+    keep = [*p.report_by, "uid"]
     bodies = matched.filter(F.col("html").isNotNull() & (F.col("html") != ""))
-    keep = [*report_by, "uid"]
     if p.extractor == "native":
         items = keep_links(extract_anchors(bodies, keep=keep), p.min_len, p.contains, p.prefixes)
-        items = items.withColumn("abstract", F.lit(None).cast("string"))
-    elif p.extractor == "parser":
-        items = extract_items(bodies, keep=keep, block_tags=p.block_tags, min_len=p.min_len,
-                              contains=p.contains, prefixes=p.prefixes, dedupe=False)
-    else:
-        raise ValueError(f"unknown extractor {p.extractor!r}")
+        return items.withColumn("abstract", F.lit(None).cast("string"))
+    if p.extractor == "parser":
+        return extract_items(bodies, keep=keep, block_tags=p.block_tags, min_len=p.min_len,
+                             contains=p.contains, prefixes=p.prefixes, dedupe=False)
+    raise ValueError(f"unknown extractor {p.extractor!r}")
+
+
+def digest_stages(messages: DataFrame, p: DigestParams) -> dict[str, DataFrame]:
+    """All intermediate tables of one digest (``scanned`` ... ``numbered``).
+
+    ``messages`` needs ``uid``, the ``report_by`` columns and either
+    ``html`` (plus ``sender`` / parsed ``dt`` for the filters) or ``raw``
+    RFC 822 bytes.
+    """
+    report_by = list(p.report_by)
+    scanned = latest_n(messages, p.recent, "uid", by=list(p.mailbox_by) or None)
+    # Spread before the first CPU-heavy stage, while the plan is still a
+    # plain scan (checking a plan with a broadcast join would run its build
+    # side early). A no-op for inputs that already have enough partitions.
+    matched = filter_messages(spread_for_cpu(scanned, key="uid"), p)
+    items = message_items(matched, p)
     unique = dedupe_first(items, ("title", "link"), ITEM_ORDER, by=report_by)
     if p.materialise_unique:
         # The tail drop reads the deduplicated items twice (to find the tail

@@ -28,7 +28,9 @@ from mailsift.operators.inference import Factory, infer
 from mailsift.operators.items import ITEM_ORDER, keyword_filter, number_items
 from mailsift.operators.metrics import funnel_counts
 from mailsift.plans.digest import DigestParams, digest_stages
-from mailsift.sinks import write_items_jsonl, write_summaries, write_text_documents
+from mailsift.sinks import (
+    overwrite_partitions, write_items_jsonl, write_summaries, write_text_documents,
+)
 
 
 def _read(spark, path: str, like: DataFrame) -> DataFrame:
@@ -57,8 +59,7 @@ def run_digest(messages: DataFrame, p: DigestParams, out_dir: str, generated_at:
 
     # Saved set (before the keyword filter), numbered per report, written once.
     saved = number_items(stages["saved"], ITEM_ORDER, by=by)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    saved = _write_and_read(saved.write.mode("overwrite").partitionBy(*by), saved,
+    saved = _write_and_read(overwrite_partitions(saved).partitionBy(*by), saved,
                             paths["_saved"])
 
     write_items_jsonl(saved, paths["items"], partition_by=by)
@@ -83,5 +84,5 @@ def run_digest(messages: DataFrame, p: DigestParams, out_dir: str, generated_at:
 
     funnel = funnel_counts({"scanned": stages["scanned"], "matched": stages["matched"],
                             "saved": saved, "selected": selected}, by)
-    funnel.write.mode("overwrite").partitionBy(*by).parquet(paths["funnel"])
+    overwrite_partitions(funnel).partitionBy(*by).parquet(paths["funnel"])
     return {k: v for k, v in paths.items() if not k.startswith("_")}

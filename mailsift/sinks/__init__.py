@@ -1,5 +1,8 @@
 """Partitioned, rerun-safe writers for items, documents and summaries."""
 
-from mailsift.sinks.writers import write_items_jsonl, write_summaries, write_text_documents
+from mailsift.sinks.writers import (
+    overwrite_partitions, write_items_jsonl, write_summaries, write_text_documents,
+)
 
-__all__ = ["write_items_jsonl", "write_summaries", "write_text_documents"]
+__all__ = ["overwrite_partitions", "write_items_jsonl", "write_summaries",
+           "write_text_documents"]

@@ -13,9 +13,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def overwrite_partitions(df: DataFrame):
+    """A writer that replaces only the partitions present in ``df`` (K7).
+
+    Set as a write option, not a session setting: inside ``foreachBatch``
+    the stream runs on its own session copy, which would not see it.
+    """
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+
+
 def _writer(df: DataFrame, partition_by: Sequence[str]):
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    w = df.write.mode("overwrite")
+    w = overwrite_partitions(df)
     if partition_by:
         w = w.partitionBy(*partition_by)
     return w

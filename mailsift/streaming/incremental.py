@@ -27,20 +27,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.operators.extract import extract_anchors, extract_items, keep_links
 from mailsift.operators.items import ITEM_ORDER, dedupe_first, drop_tail, keyword_filter, number_items
-from mailsift.plans.digest import DigestParams
+from mailsift.plans.digest import DigestParams, filter_messages, message_items
 from mailsift.session import checkpoint_dir
+from mailsift.sinks import overwrite_partitions
 
 
 def _batch_items(batch: DataFrame, p: DigestParams) -> DataFrame:
-    keep = [*p.report_by, "uid"]
-    bodies = batch.filter(F.col("html").isNotNull() & (F.col("html") != ""))
-    if p.extractor == "parser":
-        return extract_items(bodies, keep=keep, block_tags=p.block_tags, min_len=p.min_len,
-                             contains=p.contains, prefixes=p.prefixes, dedupe=False)
-    items = keep_links(extract_anchors(bodies, keep=keep), p.min_len, p.contains, p.prefixes)
-    return items.withColumn("abstract", F.lit(None).cast("string"))
+    """The stateless stages for one micro-batch: filters, body decode, extraction."""
+    return message_items(filter_messages(batch, p), p)
 
 
 def _recompute(spark: SparkSession, items_path: str, digest_path: str, touched: DataFrame,
@@ -52,15 +47,15 @@ def _recompute(spark: SparkSession, items_path: str, digest_path: str, touched:
     saved = drop_tail(unique, ITEM_ORDER, p.tail_k, by=by)
     numbered = number_items(keyword_filter(saved, p.terms), ITEM_ORDER, by=by)
     out = numbered.select(*by, "ordinal", "uid", "pos", "title", "link", "abstract")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    out.write.mode("overwrite").partitionBy(*by).parquet(digest_path)
+    overwrite_partitions(out).partitionBy(*by).parquet(digest_path)
 
 
 def start_incremental_digest(stream: DataFrame, out_dir: str, p: DigestParams,
                              available_now: bool = True):
     """Start T1 over a streaming DataFrame of messages; returns the ``StreamingQuery``.
 
-    ``stream`` needs ``uid``, ``html`` and the ``report_by`` columns. The
+    ``stream`` needs ``uid``, the ``report_by`` columns and ``html`` or
+    ``raw`` RFC 822 bytes (e.g. a ``binaryFile`` stream of ``.eml`` files). The
     set of touched report keys per batch is bounded by the batch, and is
     broadcast only after its size is checked (a handful of dates/mailboxes).
     """
@@ -71,8 +66,7 @@ def start_incremental_digest(stream: DataFrame, out_dir: str, p: DigestParams,
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         items = _batch_items(batch, p).withColumn("batch", F.lit(int(batch_id)))
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        items.write.mode("overwrite").partitionBy(*by, "batch").parquet(items_path)
+        overwrite_partitions(items).partitionBy(*by, "batch").parquet(items_path)
         touched = batch.select(*by).distinct()
         if touched.limit(10_001).count() > 10_000:
             raise ValueError("incremental digest: more than 10000 report keys in one batch; "
