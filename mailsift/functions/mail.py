@@ -28,7 +28,7 @@ ZONE_NAMES = {
 }
 
 # [weekday,] day month year hh:mm[:ss] [zone]; comments removed beforehand.
-_DATE_RE = (r"^(?:[A-Za-z]+,?\s+)?(\d{1,2})\s+([A-Za-z]+)\s+(\d{2,4})\s+"
+DATE_RE = _DATE_RE = (r"^(?:[A-Za-z]+,?\s+)?(\d{1,2})\s+([A-Za-z]+)\s+(\d{2,4})\s+"
             r"(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?(?:\s+([+-]\d{4}|[A-Za-z]+))?$")
 
 
@@ -53,6 +53,17 @@ def date_field_exprs(s) -> dict[str, Column]:
     return out
 
 
+def date_group_list(s) -> Column:
+    """All regex groups of a normalised date in one regex pass: ``array<string>`` of 7.
+
+    The groups hold only digits, letters and signs, so ``|`` can join them;
+    rows that do not match are flagged by ``rlike`` and ignored.
+    """
+    joined = F.regexp_replace(as_col(s), _DATE_RE,
+                              "|".join(f"${i}" for i in range(1, len(DATE_FIELDS) + 1)))
+    return F.split(joined, r"\|", -1)
+
+
 def date_fields(s) -> Column:
     """Regex groups of a normalised date: ``struct<ok, dd, mon, yy, hh, mi, ss, zone>``."""
     return F.struct(*[c.alias(n) for n, c in date_field_exprs(s).items()])

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from mailsift.functions.mail import (
-    date_field_exprs, date_from_fields, local_date, normalise_address, normalise_date_text,
+    DATE_FIELDS, DATE_RE, date_from_fields, date_group_list, local_date, normalise_address,
+    normalise_date_text,
 )
 from mailsift.operators.order import ordinal
 
@@ -102,9 +103,12 @@ def add_mail_date(df: DataFrame, date_col: str = "date", name: str = "dt") -> Da
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
     normalised = df.select(*cols, normalise_date_text(F.col(f"`{date_col}`")).alias("__date_s"))
-    fields = date_field_exprs(F.col("__date_s"))
-    staged = normalised.select(*cols, *[c.alias(f"__date_{n}") for n, c in fields.items()])
-    refs = {n: F.col(f"__date_{n}") for n in fields}
+    # One regex pass for the match flag, one for all groups (split once).
+    staged = normalised.select(*cols, F.col("__date_s").rlike(DATE_RE).alias("__date_ok"),
+                               date_group_list("__date_s").alias("__date_parts"))
+    refs = {"ok": F.col("__date_ok")}
+    refs.update({n: F.try_element_at("__date_parts", F.lit(i))
+                 for i, n in enumerate(DATE_FIELDS, 1)})
     # Regex groups are plain columns (not struct fields), so Catalyst keeps
     # them computed once instead of inlining each regex at every use. The
     # parsed struct leaves through a one-row generator: a later filter on it

@@ -26,7 +26,7 @@ from mailsift.operators.extract import dedupe_in_message
 from mailsift.operators.items import ITEM_ORDER
 from mailsift.plans import standins as S
 from mailsift.plans.digest import DigestParams, digest, digest_stages, materialise
-from mailsift.sources import latest_n, load_table
+from mailsift.sources import latest_n, load_table, spread_for_cpu
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,7 +93,7 @@ def sender_normalised(spark, d):
 
 
 def _order_dates(spark, d):
-    o = _t(spark, d, "orders")
+    o = spread_for_cpu(_t(spark, d, "orders"), key="o_orderkey")
     ts0 = F.timestamp_add("SECOND", F.pmod("o_orderkey", F.lit(86400)), F.col("o_orderdate"))
     return o.select("o_orderkey", S.mail_date_header(ts0, F.col("o_orderkey")).alias("date_hdr"))
 
@@ -105,7 +105,7 @@ def mail_date_parsed(spark, d):
 
 
 def _event_headers(spark, d):
-    ev = _t(spark, d, "events")
+    ev = spread_for_cpu(_t(spark, d, "events"), key="event_id")
     return ev.select("event_id", "ts", S.mail_date_header(F.col("ts"), F.col("event_id"))
                      .alias("date_hdr"))
 
