@@ -276,7 +276,8 @@ def summaries(spark, d):
 
 
 def report_html(spark, d):
-    sel = _numbered_docs(spark, d, S.REPORT_TERMS)
+    # metadata and prompts both read the numbered selection: number it once
+    sel = materialise(_numbered_docs(spark, d, S.REPORT_TERMS))
     meta = report_metadata(sel, S.REPORT_TERMS, ["lang"], S.GENERATED_AT)
     prompts = build_prompts(sel, S.REPORT_TERMS, ["lang"])
     summ = infer(prompts, "echo", key=["lang", "chunk"])

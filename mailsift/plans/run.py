@@ -54,7 +54,8 @@ def run_digest(messages: DataFrame, p: DigestParams, out_dir: str, generated_at:
     spark = messages.sparkSession
     by = list(p.report_by)
     paths = {k: os.path.join(out_dir, k)
-             for k in ("items", "lists", "prompts", "summaries", "reports", "funnel", "_saved")}
+             for k in ("items", "lists", "prompts", "summaries", "reports", "funnel", "_saved",
+                       "_selected")}
     stages = digest_stages(messages, p)
 
     # Saved set (before the keyword filter), numbered per report, written once.
@@ -65,7 +66,10 @@ def run_digest(messages: DataFrame, p: DigestParams, out_dir: str, generated_at:
     write_items_jsonl(saved, paths["items"], partition_by=by)
     write_text_documents(render_item_list(saved, by), paths["lists"], "markdown", by)
 
+    # Selected items feed prompts, report metadata and the funnel: written once.
     selected = number_items(keyword_filter(saved.drop("ordinal"), p.terms), ITEM_ORDER, by=by)
+    selected = _write_and_read(overwrite_partitions(selected).partitionBy(*by), selected,
+                               paths["_selected"])
     prompts = build_prompts(selected, p.terms, by)
     write_text_documents(prompts, paths["prompts"], "prompt", by)
     prompts = _read(spark, paths["prompts"], prompts.select(*by, "chunk",
