@@ -42,16 +42,52 @@ _COMMENT_RE = r"(?s)<!--.*?-->"
 _HAS_HREF_RE = r"(?is)^<a\b[^>]*?\shref\s*="
 
 
+_NUMERIC_REF_RE = r"&#([0-9]+|[xX][0-9A-Fa-f]+);"
+
+
+def _low_codepoint_table() -> Column:
+    """Code points below 256 whose reference does not decode to ``chr(cp)``
+    (NUL, control characters, the 128-159 remapping), derived from the
+    standard library's ``html.unescape`` rather than written out."""
+    import html
+
+    pairs = [(i, html.unescape(f"&#{i};")) for i in range(256)]
+    odd = [(i, ch) for i, ch in pairs if ch != chr(i)]
+    return F.create_map(*[x for i, ch in odd for x in (F.lit(i), F.lit(ch))])
+
+
+def _decode_numeric_ref(ref: Column) -> Column:
+    """``&#NNN;`` / ``&#xHH;`` -> its character, as ``html.unescape`` decodes it."""
+    body = F.regexp_extract(ref, r"&#[xX]?([0-9A-Fa-f]+);", 1)
+    is_hex = F.lower(F.substring(ref, 3, 1)) == "x"
+    cp = F.when(is_hex, F.conv(body, 16, 10)).otherwise(body).try_cast("long")
+    char = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
+    noncharacter = (((cp >= 0xFDD0) & (cp <= 0xFDEF))
+                    | (F.pmod(cp, F.lit(0x10000)) >= 0xFFFE))
+    return (F.when(cp.isNull() | (cp > 0x10FFFF) | ((cp >= 0xD800) & (cp <= 0xDFFF)),
+                   F.lit("\ufffd"))
+            .when(cp < 256, F.coalesce(F.element_at(_low_codepoint_table(), cp.cast("int")),
+                                       char))
+            .when(noncharacter, F.lit(""))
+            .otherwise(char))
+
+
 def decode_basic_entities(c) -> Column:
-    """The named/numeric entities common in mail markup; ``&amp;`` last.
+    """The named entities common in mail markup and every numeric reference.
 
-    Native extraction only; the parser path decodes every reference.
+    Numeric references are replaced one distinct reference at a time
+    (``aggregate`` over the references found in the text), then ``&amp;``
+    last so escaped references stay literal. Native extraction only; the
+    parser path decodes every named entity as well.
     """
     c = as_col(c)
     for ent, ch in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-                    ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")):
+                    ("&apos;", "'")):
         c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(_NUMERIC_REF_RE), 0))
+    decoded = F.aggregate(refs, c, lambda acc, r: F.replace(acc, r, _decode_numeric_ref(r)))
+    c = F.when(c.contains("&#"), decoded).otherwise(c)  # most texts have no reference
+    return F.replace(c, F.lit("&amp;"), F.lit("&"))
 
 
 def anchor_title(tag) -> Column:

@@ -100,3 +100,15 @@ def test_dedupe_in_message_first_wins(spark):
     a = extract_anchors(df)
     d = dedupe_in_message(a).filter(F.col("title") == "Firstitem").collect()
     assert [r.pos for r in d] == [1]
+
+
+def test_native_numeric_references_match_html_unescape(spark):
+    import html as _html
+
+    title = ("Li&#8211;ion &#x2019;s &#39;q&#39; &#128512; &#0; &#150; &#x1F600; &#xD800; "
+             "&#1114112; &#xFDD0; &amp;#38; x")
+    page = f'<p><a href="https://e.org/n">{title}</a></p>'
+    df = spark.createDataFrame([(1, page)], "uid long, html string")
+    got = extract_anchors(df).first().title
+    assert got == _html.unescape(title).strip()
+    assert got == parse_items(page)[0][1]
