@@ -2,9 +2,10 @@
 
 Two implementations of the anchor extractor:
 
-* ``extract_anchors`` (native): ``regexp_extract_all`` + ``posexplode``,
-  fully JVM-side. Exact on well-formed markup, which is what alert mails
-  and the driver's pages are. Gives title and link, no context.
+* ``extract_anchors`` (native): ``regexp_extract_all`` + ``inline`` of
+  per-anchor structs, fully JVM-side. Exact on well-formed markup, which is
+  what alert mails and the driver's pages are. Gives title and link, no
+  context.
 * ``extract_items`` (parser): one ``mapInPandas`` job running the standard
   library ``html.parser`` with an open-element stack (implied end tags for
   ``p``, ``li``, ``td``, ``tr``; void elements; script/style text excluded).
@@ -110,8 +111,9 @@ def extract_anchors(df: DataFrame, html_col: str = "html",
                     keep: Sequence[str] = ("uid",)) -> DataFrame:
     """X1 + X7 (native): one row per ``<a>`` with an ``href``, in document order.
 
-    ``pos`` is the 1-based position among the message's anchors, so
-    ``(msg order, pos)`` is the run's item order without any sort.
+    ``pos`` is the 1-based position among the message's anchors with an
+    ``href`` (as in the parser path), so ``(msg order, pos)`` is the run's
+    item order without any sort.
     """
     tags = F.filter(F.regexp_extract_all(F.col(html_col), F.lit(ANCHOR_RE), 0),
                     lambda t: t.rlike(_HAS_HREF_RE))
