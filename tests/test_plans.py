@@ -70,3 +70,15 @@ def test_tail_drop_never_sorts_everything(spark):
     assert "WindowGroupLimit" in p and "LeftAnti" in p
     p = plan(drop_tail(df, ITEM_ORDER, 2))
     assert "TakeOrderedAndProject" in p
+
+
+def test_spread_only_when_partitions_are_short(spark, tmp_out):
+    from mailsift.sources import spread_for_cpu
+
+    cores = spark.sparkContext.defaultParallelism
+    small = spark.range(100).coalesce(1)
+    assert spread_for_cpu(small, key="id").rdd.getNumPartitions() == cores
+    wide = spark.range(100).repartition(cores * 2)
+    assert spread_for_cpu(wide, key="id") is wide  # enough splits: unchanged, no shuffle
+    stream = spark.readStream.format("rate").load()
+    assert spread_for_cpu(stream) is stream
