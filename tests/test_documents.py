@@ -79,3 +79,15 @@ def test_markdown_outline(spark):
         (7, 6, 2, "Ideas", "ideas", "Ideas"),
         (7, 7, 3, "Idea: one!", "idea-one", "Ideas"),
     ]
+
+
+def test_report_escapes_body_and_terms(spark):
+    from mailsift.operators.documents import render_report
+
+    items = spark.createDataFrame([("d1", 1, "T", "L", None)], SCHEMA)
+    meta = report_metadata(items, ["a&b", "<c>"], ["rep"], "2025-11-19 09:05:00")
+    body = spark.createDataFrame([("d1", 0, "x < y & z > w")], "rep string, chunk int, summary string")
+    html = render_report(meta, body, ["rep"]).first().html
+    assert "x &lt; y &amp; z &gt; w" in html
+    assert "<dd>a&amp;b, &lt;c&gt;</dd>" in html
+    assert "<dt>Total items</dt><dd>1</dd>" in html

@@ -112,3 +112,21 @@ def test_native_numeric_references_match_html_unescape(spark):
     got = extract_anchors(df).first().title
     assert got == _html.unescape(title).strip()
     assert got == parse_items(page)[0][1]
+
+
+def test_title_length_boundary_and_nbsp():
+    page = ('<div><a href="https://e.org/3">abc</a></div>'
+            '<div><a href="https://e.org/4"> abcd </a></div>'
+            '<div><a href="https://e.org/4b"> ab&nbsp;</a></div>')
+    got = [(t, li) for _, t, li, _ in parse_items(page)]
+    assert got == [("abcd", "https://e.org/4")]
+
+
+def test_keyword_phrase_spans_title_and_abstract(spark):
+    from mailsift.operators.items import keyword_filter
+
+    df = spark.createDataFrame([(1, "Solid", "Electrolyte study"), (2, "Solid", None),
+                                (3, "x", "contains solidelectrolyte")],
+                               "uid long, title string, abstract string")
+    got = sorted(r.uid for r in keyword_filter(df, ["solid electrolyte"]).collect())
+    assert got == [1]
