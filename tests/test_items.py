@@ -172,3 +172,12 @@ def test_results_do_not_depend_on_partitioning(spark, items):
                                                                      by=("report",)),
                                                         by=("report",)), by=("report",)).collect())
     assert a == b
+
+
+def test_latest_n_keeps_null_keys_null_safely(spark):
+    df = spark.createDataFrame([(None, "a"), (1, "b"), (2, "c")], "uid long, v string")
+    assert sorted(r.v for r in latest_n(df, 3).collect()) == ["a", "b", "c"]
+    assert sorted(r.v for r in latest_n(df, 2).collect()) == ["b", "c"]
+    per = spark.createDataFrame([(None, "m", "a"), (1, "m", "b"), (5, "k", "c")],
+                                "uid long, box string, v string")
+    assert sorted(r.v for r in latest_n(per, 2, by="box").collect()) == ["a", "b", "c"]
