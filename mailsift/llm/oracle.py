@@ -89,8 +89,8 @@ q as (
 cuts as (
   select lang, source,
     max(q1 + greatest(6 * (q2 - q1), 0.05)) filter (ratio = 'symbols') c1,
-    max(q1 + greatest(6 * (q2 - q1), 0.2)) filter (ratio = 'dup_lines') c2,
-    max(q1 + greatest(6 * (q2 - q1), 0.15)) filter (ratio = 'repeats') c3,
+    max(q1 + greatest(6 * (q2 - q1), 0.35)) filter (ratio = 'dup_lines') c2,
+    max(q1 + greatest(6 * (q2 - q1), 0.35)) filter (ratio = 'repeats') c3,
     max(q1 + greatest(6 * (q2 - q1), 3.0)) filter (ratio = 'word_len') c4,
     max(q1 - greatest(6 * (q1 - q0), 2.0)) filter (ratio = 'word_len') c5
   from q group by all)

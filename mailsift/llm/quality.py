@@ -31,8 +31,8 @@ GAMMA = 1.02          # buckets a factor apart: quantiles within one per cent
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 # Rule: (ratio, side, quartile distances beyond the median, least margin)
-RULES = (("symbols", "high", 6.0, 0.05), ("dup_lines", "high", 6.0, 0.20),
-         ("repeats", "high", 6.0, 0.15), ("word_len", "high", 6.0, 3.0),
+RULES = (("symbols", "high", 6.0, 0.05), ("dup_lines", "high", 6.0, 0.35),
+         ("repeats", "high", 6.0, 0.35), ("word_len", "high", 6.0, 3.0),
          ("word_len", "low", 6.0, 2.0))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
