@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.llm import mixing, quality, sharding, simhash
+from mailsift.llm import mixing, pieces, quality, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("q_base_failed").alias("base_failed"), F.col("q_kept").alias("kept"))
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.sample_segmentations(_table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = sharding.text_sizes(_table(spark, sf_dir, "documents"))
     rows = sharding.shard_by_bytes(sizes, shards=8)
@@ -38,4 +42,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash, op6_mixing, op7_quality, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op4_simhash, op6_mixing, op7_quality, op8_pieces, op10_sharding)}
