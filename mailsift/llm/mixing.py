@@ -15,7 +15,8 @@ all rows is thus spread over many groups.
 Defined results: a null text has size 0; a null source is a source, ordered
 last; a null id hashes as the empty text; sources without words have target 0
 and no copies; an empty table gives no rows. Equal rows are numbered one
-after the other, so which of them gets an extra copy cannot be told apart.
+after the other, so which of them gets an extra copy cannot be told apart. Extra
+columns, whatever their names, travel inside a struct and come out unchanged.
 """
 
 from __future__ import annotations
@@ -77,10 +78,14 @@ def source_targets(docs: DataFrame, source_col: str = "source", size_col: str =
 
 
 def plan_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                source_col: str = "source", rows_per_slice: int = ROWS_PER_SLICE,
-                **mix) -> DataFrame:
-    """Input rows plus ``mix_size, source_size, target, copies`` (0, 1 or 2 by default)."""
-    sized = docs.withColumn("mix_size", word_count(F.col(text_col)))
+                source_col: str = "source", keep: tuple[str, ...] | None = None,
+                rows_per_slice: int = ROWS_PER_SLICE, **mix) -> DataFrame:
+    """``row`` (struct of the columns to keep, all by default) and ``mix_size, source_size,
+    target, copies`` for each input row; copies are 0, 1 or 2 by default."""
+    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"),
+                        F.col(id_col).alias("mix_id"), F.col(source_col).alias("mix_of"),
+                        word_count(F.col(text_col)).alias("mix_size"))
+    source_col, id_col = "mix_of", "mix_id"
     targets = written(source_targets(sized, source_col, **mix), "targets")
     rows = targets.agg(F.sum("mix_docs").alias("n")).first().n or 0
     slices = max(1, math.ceil(rows / rows_per_slice))
@@ -117,12 +122,12 @@ def plan_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     crossed = (F.floor(end * rate + F.col("mix_offset"))
                - F.floor((end - 1) * rate + F.col("mix_offset")))
     most = math.ceil(mix.get("most", MOST))
-    return placed.select(*[F.col(f"`{c}`") for c in docs.columns], "mix_size", "source_size",
-                         "target", F.least(crossed, F.lit(most)).cast("int").alias("copies"))
+    return placed.select("row", "mix_size", "source_size", "target",
+                         F.least(crossed, F.lit(most)).cast("int").alias("copies"))
 
 
 def mix_sources(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents: each input row as often as it is taken, columns unchanged."""
     return (plan_copies(docs, **options).filter("copies > 0")
-            .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+            .select("row.*"))

@@ -102,4 +102,30 @@ from judged j left join cuts c
   on j.lang is not distinct from c.lang and j.source is not distinct from c.source
 """
 
-ORACLE_SQL = {"op6_mixing": _OP6, "op7_quality": _OP7}
+_CONTROL = r"(\|im_start\|>|\|im_sep\|>|\|im_end\|>|s>|/s>|<SYS>>|</SYS>>)"
+_ESC = (r"regexp_replace(regexp_replace(replace({0}, '\', '\\'), '<" + _CONTROL + r"', '<\\\1', 'g'),"
+        r" '\[(INST\]|/INST\])', '[\\\1', 'g')")
+_OP2 = f"""
+with said as (
+  select conv_id, turn, coalesce(role, '') r, coalesce(text, '') t from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+walked as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, r, t) - 1 k,
+         lag(r) over (partition by conv_id order by turn nulls first, r, t) before,
+         length({_ESC.format('r')}) + length({_ESC.format('t')}) + 33 chars from said),
+judged as (
+  select *, not coalesce(case r when 'system' then before is null
+      when 'user' then before is null or before in ('system', 'assistant')
+      when 'assistant' then before = 'user' else false end, false) wrong from walked)
+select conv_id, count(*) n_turns,
+       sha256(string_agg(r || chr(10) || t || chr(10), '' order by k)) turns_sha256,
+       cast(sum(case when r = 'assistant' then length(t) else 0 end) as bigint) loss_chars,
+       sha256(coalesce(string_agg(t, '' order by k) filter (r = 'assistant'), '')) loss_sha256,
+       cast(sum(chars) as bigint) formatted_chars,
+       not bool_or(wrong) and arg_max(r, k) = 'assistant' valid_order,
+       cast(min(k) filter (wrong) as bigint) bad_turn
+from judged group by conv_id
+"""
+
+ORACLE_SQL = {"op2_chat": _OP2, "op6_mixing": _OP6, "op7_quality": _OP7}

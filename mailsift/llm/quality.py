@@ -10,8 +10,8 @@ thresholds are joined to the documents and the verdict is read off.
 
 Defined results: a null or empty text has no words and fails; null languages
 and sources form groups of their own; repeated rows get equal verdicts; an
-empty table gives no rows; columns whose names start with ``q_`` are the
-operator's own and must not be in the input.
+empty table gives no rows; extra columns, whatever their names, travel inside
+a struct and come out unchanged.
 """
 
 from __future__ import annotations
@@ -66,11 +66,14 @@ def _counts(text: Column) -> Column:
     return of(text)
 
 
-def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add ``q_counts`` (struct of the counts) and ``q_base_failed``."""
+def with_counts(docs: DataFrame, keep: tuple[str, ...], text_col: str = "text",
+                groups: tuple[str, ...] = ("lang", "source")) -> DataFrame:
+    """``row`` (struct of the columns to keep), ``q_group``, ``q_counts``, ``q_base_failed``."""
     c = F.col("q_counts")
     failed = (c.n_words < 50) | (100 * c.n_repeat_words > 50 * c.n_words)
-    return docs.withColumn("q_counts", _counts(F.col(text_col))) \
+    return docs.select(F.struct(*[F.col(f"`{k}`") for k in keep]).alias("row"),
+                       F.struct(*[F.col(g) for g in groups]).alias("q_group"),
+                       _counts(F.col(text_col)).alias("q_counts")) \
         .withColumn("q_base_failed", failed)
 
 
@@ -81,8 +84,8 @@ def ratios() -> dict[str, Column]:
             "repeats": over(c.n_repeat_words, c.n_words), "word_len": over(c.word_chars, c.n_words)}
 
 
-def sketch(counted: DataFrame, groups: tuple[str, ...]) -> DataFrame:
-    """Bucket counts ``(groups..., ratio, bucket, n)`` of the documents that pass the base.
+def sketch(counted: DataFrame) -> DataFrame:
+    """Bucket counts ``(q_group, ratio, bucket, n)`` of the documents that pass the base.
 
     Bucket null holds zeros; bucket b holds values in (GAMMA^(b-1), GAMMA^b].
     """
@@ -90,8 +93,8 @@ def sketch(counted: DataFrame, groups: tuple[str, ...]) -> DataFrame:
                        for k, v in ratios().items()])
     bucket = F.when(F.col("v.value") > 0,
                     F.ceil(F.log(F.col("v.value")) / F.lit(math.log(GAMMA)))).cast("int")
-    return (counted.filter(~F.col("q_base_failed")).select(*groups, F.explode(values).alias("v"))
-            .groupBy(*groups, F.col("v.ratio").alias("ratio"), bucket.alias("bucket"))
+    return (counted.filter(~F.col("q_base_failed")).select("q_group", F.explode(values).alias("v"))
+            .groupBy("q_group", F.col("v.ratio").alias("ratio"), bucket.alias("bucket"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -103,22 +106,22 @@ def merge(*sketches: DataFrame) -> DataFrame:
     return out.groupBy(*[c for c in out.columns if c != "n"]).agg(F.sum("n").alias("n"))
 
 
-def quantiles(table: DataFrame, groups: tuple[str, ...], probs: tuple[float, ...]) -> DataFrame:
+def quantiles(table: DataFrame, probs: tuple[float, ...]) -> DataFrame:
     """One row per group and ratio with columns ``q0, q1, ...``: upper bucket ends."""
-    of = Window.partitionBy(*groups, "ratio")
+    of = Window.partitionBy("q_group", "ratio")
     order = of.orderBy(F.col("bucket").asc_nulls_first())
     value = F.when(F.col("bucket").isNull(), 0.0).otherwise(F.pow(F.lit(GAMMA), F.col("bucket")))
     run = (table.withColumn("upto", F.sum("n").over(
                order.rowsBetween(Window.unboundedPreceding, 0)))
            .withColumn("all", F.sum("n").over(of)).withColumn("value", value))
-    return run.groupBy(*groups, "ratio").agg(
+    return run.groupBy("q_group", "ratio").agg(
         *[F.min(F.when(F.col("upto") >= F.ceil(F.col("all") * p), F.col("value"))).alias(f"q{i}")
           for i, p in enumerate(probs)])
 
 
-def thresholds(table: DataFrame, groups: tuple[str, ...]) -> DataFrame:
+def thresholds(table: DataFrame) -> DataFrame:
     """One row per group: ``q_<ratio>_<side>`` for every rule."""
-    q = quantiles(table, groups, (0.25, 0.5, 0.75))
+    q = quantiles(table, (0.25, 0.5, 0.75))
     picked = []
     for ratio, side, times, margin in RULES:
         if side == "high":
@@ -126,37 +129,33 @@ def thresholds(table: DataFrame, groups: tuple[str, ...]) -> DataFrame:
         else:
             cut = F.col("q1") - F.greatest(times * (F.col("q1") - F.col("q0")), F.lit(margin))
         picked.append(F.max(F.when(F.col("ratio") == ratio, cut)).alias(f"q_{ratio}_{side}"))
-    return q.groupBy(*groups).agg(*picked)
+    return q.groupBy("q_group").agg(*picked)
 
 
-def judge(counted: DataFrame, limits: DataFrame, groups: tuple[str, ...]) -> DataFrame:
+def judge(counted: DataFrame, limits: DataFrame) -> DataFrame:
     """Join the limits of each row's group and add ``q_kept``.
 
     The limits hold one row per language and source; the planner broadcasts
     them from their written size, and joins on the keys beyond the bound.
     """
-    right = limits.select(*[F.col(g).alias(f"q_of_{g}") for g in groups],
-                          *[c for c in limits.columns if c.startswith("q_")])
-    on = F.lit(True)
-    for g in groups:
-        on = on & F.col(g).eqNullSafe(F.col(f"q_of_{g}"))
+    right = limits.withColumnRenamed("q_group", "q_of")
+    same = F.lit(True)
+    for field in limits.schema["q_group"].dataType.names:
+        same = same & F.col(f"q_group.{field}").eqNullSafe(F.col(f"q_of.{field}"))
     broken, value = F.lit(False), ratios()
     for ratio, side, _, _ in RULES:
         cut = F.col(f"q_{ratio}_{side}")
         over = value[ratio] > cut if side == "high" else value[ratio] < cut
         broken = broken | F.coalesce(over, F.lit(False))
-    return (counted.join(right, on, "left")
-            .withColumn("q_kept", ~F.col("q_base_failed") & ~broken)
-            .drop(*[c for c in right.columns]))
+    return (counted.join(right, same, "left")
+            .withColumn("q_kept", ~F.col("q_base_failed") & ~broken).drop(*right.columns))
 
 
-def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def quality_verdicts(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text",
                      groups: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """``id, groups, q_counts, q_base_failed, q_kept`` per row; texts are read once."""
-    counted = written(with_counts(docs.select(id_col, text_col, *groups), text_col)
-                      .drop(text_col), "counts")
-    limits = written(thresholds(sketch(counted, groups), groups), "limits")
-    return judge(counted, limits, groups)
+    """``row, q_group, q_counts, q_base_failed, q_kept`` per row; texts are read once."""
+    counted = written(with_counts(docs, keep, text_col, groups), "counts")
+    return judge(counted, written(thresholds(sketch(counted)), "limits"))
 
 
 def keep_quality(docs: DataFrame, text_col: str = "text",
@@ -165,7 +164,6 @@ def keep_quality(docs: DataFrame, text_col: str = "text",
 
     The texts are read twice, in two narrow passes, and shuffled in neither.
     """
-    limits = written(thresholds(sketch(with_counts(docs.select(text_col, *groups), text_col),
-                                       groups), groups), "limits")
-    return judge(with_counts(docs, text_col), limits, groups).filter("q_kept") \
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    limits = written(thresholds(sketch(with_counts(docs, groups, text_col, groups))), "limits")
+    return judge(with_counts(docs, tuple(docs.columns), text_col, groups), limits) \
+        .filter("q_kept").select("row.*")

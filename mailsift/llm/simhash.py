@@ -19,7 +19,8 @@ linked values alone, each round written to the shared folder.
 
 Defined results: null and empty texts have fingerprint zero and are linked
 like any other; repeated rows share their component; a null id never names a
-component unless all of its ids are null; an empty table gives no rows.
+component unless all of its ids are null; an empty table gives no rows;
+extra columns, whatever their names, come out unchanged.
 """
 
 from __future__ import annotations
@@ -184,10 +185,12 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                              (F.col("key") == F.col("first")).alias("stays"), "n"), "judged")
 
     def among(table: DataFrame, how: str, rows: DataFrame) -> DataFrame:
-        return rows.join(table, F.col(id_col).eqNullSafe(F.col("k_id"))
-                         & (F.xxhash64(text_col) == F.col("k_text")), how)
+        return rows.join(table, F.col("key_id").eqNullSafe(F.col("k_id"))
+                         & (F.col("key_text") == F.col("k_text")), how)
 
-    left = among(judged.filter("not stays"), "left_anti", docs)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.col(id_col).alias("key_id"), F.xxhash64(text_col).alias("key_text"))
+    left = among(judged.filter("not stays"), "left_anti", packed)
     often = judged.filter("stays and n > 1")
     once, again = among(often, "left_anti", left), among(often, "left_semi", left)
-    return once.unionByName(again.dropDuplicates([id_col, text_col]))
+    return once.unionByName(again.dropDuplicates(["key_id", "key_text"])).select("row.*")
