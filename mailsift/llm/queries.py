@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.llm import chat, licenses, mixing, pieces, quality, sharding, simhash
+from mailsift.llm import (chat, licenses, mixing, pieces, ppm, quality, sharding,
+                          simhash)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = F.lit("</s>[INST] ok [/INST]")
@@ -70,4 +75,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chat, op4_simhash, op5_licenses, op6_mixing, op7_quality, op8_pieces, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_ppm, op2_chat, op4_simhash, op5_licenses, op6_mixing, op7_quality, op8_pieces, op10_sharding)}
