@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.llm import (chat, licenses, mixing, pieces, ppm, quality, sharding,
-                          simhash)
+from mailsift.llm import (chat, licenses, mixing, neighbours, pieces, ppm, quality,
+                          sharding, simhash)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,11 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "bad_turn")
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_rows(_table(spark, sf_dir, "embeddings"),
+                                   F.col("vec_id") % 100 == 0)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.duplicate_groups(_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -75,4 +80,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ppm, op2_chat, op4_simhash, op5_licenses, op6_mixing, op7_quality, op8_pieces, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_ppm, op2_chat, op3_neighbours, op4_simhash, op5_licenses, op6_mixing, op7_quality, op8_pieces, op10_sharding)}
