@@ -107,7 +107,7 @@ class Model:
         return out * (1 + 1e-6) + 1e-12
 
 
-def scan(query: np.ndarray, bound: float, columns: list[np.ndarray], k: int) -> np.ndarray:
+def scan(query: np.ndarray, bound: float, columns: list[np.ndarray]) -> np.ndarray:
     """Places of the candidates that no test abandons; ``columns`` are the turned blocks."""
     size, done = len(query), 0
     alive = np.arange(len(columns[0]))
@@ -211,7 +211,7 @@ def nearest_rows(table: DataFrame, asks: Column, id_col: str = "vec_id",
                                           _matrix(askers.column("plain"), size)):
                 best_ids, best = np.zeros(0, np.int64), np.zeros(0)
                 for i in range(0, len(ids), 2048):
-                    left = i + scan(q, bound, [c[i:i + 2048] for c in columns], k)
+                    left = i + scan(q, bound, [c[i:i + 2048] for c in columns])
                     left = left[ids[left] != asker]
                     score = np.sqrt(((plain[left] - p) ** 2).sum(1))
                     best, best_ids = np.append(best, score), np.append(best_ids, ids[left])

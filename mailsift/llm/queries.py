@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.llm import (chat, licenses, mixing, neighbours, pieces, ppm, quality,
+from mailsift.llm import (chat, licenses, maintext, mixing, neighbours, pieces, ppm, quality,
                           sharding, simhash)
 
 
@@ -73,6 +73,10 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.sample_segmentations(_table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op9_maintext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = sharding.text_sizes(_table(spark, sf_dir, "documents"))
     rows = sharding.shard_by_bytes(sizes, shards=8)
@@ -80,4 +84,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ppm, op2_chat, op3_neighbours, op4_simhash, op5_licenses, op6_mixing, op7_quality, op8_pieces, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_ppm, op2_chat, op3_neighbours, op4_simhash, op5_licenses, op6_mixing, op7_quality, op8_pieces,
+                                  op9_maintext, op10_sharding)}
