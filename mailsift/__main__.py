@@ -44,6 +44,8 @@ def build_parser() -> argparse.ArgumentParser:
     run.add_argument("--keywords", default=DEFAULT_TERMS,
                      help="comma-separated terms; '' passes every item")
     run.add_argument("--backend", default="echo")
+    run.add_argument("--temperature", type=float, default=0.2)
+    run.add_argument("--max-output-tokens", type=int, default=10_000)
     run.add_argument("--min-title-len", type=int, default=DEFAULT_MIN_TITLE_LEN)
     run.add_argument("--link-prefixes", default=",".join(DEFAULT_LINK_PREFIXES))
     run.add_argument("--link-contains", default=",".join(DEFAULT_LINK_CONTAINS))
@@ -66,7 +68,9 @@ def main(argv: list[str] | None = None) -> int:
         contains=tuple(c for c in args.link_contains.split(",") if c),
         extractor=args.extractor)
     stamp = dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
-    paths = run_digest(msgs, params, args.out, stamp, backend=args.backend)
+    paths = run_digest(msgs, params, args.out, stamp, backend=args.backend,
+                       options={"temperature": args.temperature,
+                                "max_output_tokens": args.max_output_tokens})
     print(json.dumps(paths))
     return 0
 

@@ -99,22 +99,26 @@ def pick_body(parts: list[tuple]) -> str:
 
 
 def decode_bodies(df: DataFrame, raw_col: str = "raw", keep: Sequence[str] = ("uid",)) -> DataFrame:
-    """B1-B3 in one narrow pass: raw message -> ``keep..., html``.
+    """B1-B3 in one narrow pass: raw message -> ``keep..., html, error``.
 
     A message's parts never leave the task that decoded them, so choosing
     the body needs no shuffle and no sort (``choose_body`` is the grouped
-    form for part tables that arrive separately).
+    form for part tables that arrive separately). ``error`` is the first decode
+    error among the parts (an unknown charset), null if there is none; rows
+    leave one message at a time, so a batch of large bodies is never held twice.
     """
     keep = list(keep)
-    schema = StructType([df.schema[k] for k in keep] + [StructField("html", StringType())])
+    schema = StructType([df.schema[k] for k in keep] + [StructField("html", StringType()),
+                                                        StructField("error", StringType())])
+    names = [f.name for f in schema]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = pdf[[f"k{i}" for i in range(len(keep))]].copy()
-            out.columns = keep
-            out["html"] = [None if raw is None else pick_body(decode_parts(raw))
-                           for raw in pdf["r"]]
-            yield out
+            for *lead, raw in pdf.itertuples(index=False, name=None):
+                parts = [] if raw is None else decode_parts(raw)
+                error = next((p[5] for p in parts if p[5]), None)
+                yield pd.DataFrame([(*lead, None if raw is None else pick_body(parts), error)],
+                                   columns=names)
 
     src = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)],
                     F.col(raw_col).alias("r"))

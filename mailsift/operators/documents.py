@@ -1,18 +1,17 @@
 """Items to documents: ordered text (A3), prompts (P1), lists (K2), reports (K5, K6),
 Markdown outline (P3).
 
-A document is assembled per report from numbered items. To keep every group
-bounded, a report is cut into chunks of ``items_per_doc`` consecutive items
-(``chunk`` 0, 1, ...); a report within the bound is exactly one document,
-as in the source tool. No item is dropped: a larger report simply yields
-several documents.
+A report is one document, whatever its size. Lists and panels can be asked for
+in parts of ``items_per_part`` items (off by default): the parts of a report,
+joined in ``chunk`` order, are the one document byte for byte, the heading
+standing in the first part alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailsift.functions.params import normalise_term_list
@@ -20,93 +19,78 @@ from mailsift.functions.text import (
     badge_list, escape_html, format_generated_on, numbered_entry, preview_list, ustrip,
 )
 
-DEFAULT_ITEMS_PER_DOC = 500
-
-# Prompt template (own wording). ``{keyword_clause}`` is replaced by one of
-# the two clauses below; the numbered items follow the last line.
-PROMPT_HEAD = (
-    "You are a careful research assistant preparing a literature digest.",
-    "{keyword_clause}",
-    "For each selected paper, give:",
-    "- Title",
-    "- A two-sentence summary in your own words",
-    "- Key insights as short bullet points (methods, findings, limitations, applications)",
-    "- Direct link",
+# Prompt wording: what to do, the shape of the answer, then the items.
+TASK = "Below is a numbered list of papers from today's alerts."
+CHOOSE = "Work only with those that bear on: {terms}. Leave the others out."
+CHOOSE_ALL = "Work with every one of them."
+ANSWER = (
+    "Write Markdown in two parts and nothing else.",
     "",
-    "Then propose five short, novel research ideas, each with:",
-    "- Idea title",
-    "- Rationale",
-    "- Feasibility (data, method, risks)",
-    "- Potential impact",
+    "# Digest",
+    "One level-three section per paper, headed by its title: what was done and found (at most "
+    "three sentences), one limitation the authors would admit, and the link as given.",
     "",
-    "Answer in Markdown with these headings:",
-    "## Selected Papers and Summaries",
-    "## Five New Research Ideas",
+    "# Next steps",
+    "Five experiments that these papers make possible, one paragraph each: the question, why it "
+    "is open, what it needs, and what an answer would change.",
     "",
-    "Papers to consider:",
+    "Papers:",
 )
-KEYWORD_CLAUSE = "First, select only the papers relevant to these keywords: {terms}."
-NO_KEYWORD_CLAUSE = "Summarize the following papers."
 LIST_HEADING = "# Alert items (saved)"
 
 
-def prompt_head(terms: Sequence[str] | None, head: Sequence[str] = PROMPT_HEAD) -> str:
+def prompt_head(terms: Sequence[str] | None) -> str:
     terms = normalise_term_list(terms)
-    clause = KEYWORD_CLAUSE.format(terms=", ".join(terms)) if terms else NO_KEYWORD_CLAUSE
-    return "\n".join(line.replace("{keyword_clause}", clause) for line in head)
+    choose = CHOOSE.format(terms="; ".join(terms)) if terms else CHOOSE_ALL
+    return "\n".join((TASK, choose, *ANSWER))
 
 
 def add_chunk(df: DataFrame, ordinal_col: str = "ordinal",
-              items_per_doc: int | None = DEFAULT_ITEMS_PER_DOC) -> DataFrame:
-    """``chunk`` = 0-based block of ``items_per_doc`` consecutive ordinals."""
-    if not items_per_doc:
+              items_per_part: int | None = None) -> DataFrame:
+    """``chunk`` = 0-based block of ``items_per_part`` consecutive ordinals; 0 if not in parts."""
+    if not items_per_part:
         return df.withColumn("chunk", F.lit(0))
-    return df.withColumn("chunk", ((F.col(ordinal_col) - 1) / F.lit(items_per_doc))
-                         .cast("int"))
+    return df.withColumn("chunk", F.floor((F.col(ordinal_col) - 1) / items_per_part).cast("int"))
 
 
 def ordered_text(df: DataFrame, by: Sequence[str], ordinal_col: str, text: Column | str,
                  sep: str = "\n", name: str = "text",
-                 items_per_doc: int | None = DEFAULT_ITEMS_PER_DOC) -> DataFrame:
+                 items_per_part: int | None = None) -> DataFrame:
     """A3: per ``by`` (+ ``chunk``), the texts joined in ordinal order.
 
-    ``collect_list`` of ``(ordinal, text)`` is partially aggregated map-side;
-    the sort happens on at most ``items_per_doc`` entries per document.
+    A later part starts with the separator, so parts join without one.
     """
     text = F.col(text) if isinstance(text, str) else text
-    keyed = add_chunk(df, ordinal_col, items_per_doc)
+    keyed = add_chunk(df, ordinal_col, items_per_part)
     parts = F.array_sort(F.collect_list(F.struct(F.col(ordinal_col).alias("o"), text.alias("t"))))
+    joined = F.array_join(F.transform(parts, lambda x: x["t"]), sep)
     return keyed.groupBy(*by, "chunk").agg(
-        F.array_join(F.transform(parts, lambda x: x["t"]), sep).alias(name),
+        F.concat(F.when(F.col("chunk") > 0, sep).otherwise(""), joined).alias(name),
         F.count(F.lit(1)).alias("n_items"),
         F.min(ordinal_col).alias("first_ordinal"))
 
 
 def build_prompts(items: DataFrame, terms: Sequence[str] | None, by: Sequence[str],
-                  ordinal_col: str = "ordinal", head: Sequence[str] = PROMPT_HEAD,
-                  items_per_doc: int | None = DEFAULT_ITEMS_PER_DOC) -> DataFrame:
-    """One prompt per report (chunk): template head, then numbered items.
+                  ordinal_col: str = "ordinal") -> DataFrame:
+    """One prompt per report, of any size: the head, then all numbered items.
 
     ``items`` must carry ``title, link, abstract`` and a per-report ordinal.
     """
     entry = numbered_entry(F.col(ordinal_col), F.col("title"), F.col("link"),
                            F.col("abstract"), title_label="Title: ", trailing_blank=False)
-    body = ordered_text(items, by, ordinal_col, entry, sep="\n", name="__body",
-                        items_per_doc=items_per_doc)
+    body = ordered_text(items, by, ordinal_col, entry, sep="\n", name="__body")
     return body.select(*by, "chunk", "n_items",
-                       F.concat(F.lit(prompt_head(terms, head) + "\n"), F.col("__body"))
-                       .alias("prompt"))
+                       F.concat(F.lit(prompt_head(terms) + "\n"), F.col("__body")).alias("prompt"))
 
 
 def render_item_list(items: DataFrame, by: Sequence[str], ordinal_col: str = "ordinal",
-                     heading: str = LIST_HEADING,
-                     items_per_doc: int | None = DEFAULT_ITEMS_PER_DOC) -> DataFrame:
+                     heading: str = LIST_HEADING, items_per_part: int | None = None) -> DataFrame:
     """K2: Markdown list of saved items (heading, numbered entries, blank lines)."""
     entry = numbered_entry(F.col(ordinal_col), F.col("title"), F.col("link"), F.col("abstract"))
     body = ordered_text(items, by, ordinal_col, entry, sep="", name="__body",
-                        items_per_doc=items_per_doc)
-    return body.select(*by, "chunk", "n_items",
-                       F.concat(F.lit(heading + "\n\n"), F.col("__body")).alias("markdown"))
+                        items_per_part=items_per_part)
+    first = F.when(F.col("chunk") == 0, heading + "\n\n").otherwise("")
+    return body.select(*by, "chunk", "n_items", F.concat(first, F.col("__body")).alias("markdown"))
 
 
 def report_metadata(items: DataFrame, terms: Sequence[str] | None, by: Sequence[str],
@@ -130,11 +114,16 @@ def render_report(meta: DataFrame, body: DataFrame, by: Sequence[str],
                   extra_keys: Sequence[str] = ("chunk",)) -> DataFrame:
     """K5 document: metadata block, escaped body text, footer (own minimal template).
 
-    One document per body row (per report chunk); ``extra_keys`` are the
-    body's key columns beyond ``by``.
+    One document per report; null and empty report keys are keys like any
+    other. ``extra_keys`` are the body's key columns beyond ``by``.
     """
-    joined = meta.join(body, list(by), "inner")
-    key_txt = F.concat_ws(" / ", *[F.col(b).cast("string") for b in by])
+    right = body.select(*[F.col(b).alias(f"__of_{b}") for b in by],
+                        *[c for c in body.columns if c not in by])
+    same = F.lit(True)
+    for b in by:
+        same = same & F.col(b).eqNullSafe(F.col(f"__of_{b}"))
+    joined = meta.join(right, same, "inner")
+    key_txt = F.concat_ws(" / ", *[F.coalesce(F.col(b).cast("string"), F.lit("")) for b in by])
     html = F.concat(
         F.lit("<!DOCTYPE html>\n<html lang=\"en\">\n<head><meta charset=\"UTF-8\"><title>"),
         F.lit(title + " - "), key_txt,
@@ -145,33 +134,30 @@ def render_report(meta: DataFrame, body: DataFrame, by: Sequence[str],
         F.lit("</dd><dt>Total items</dt><dd>"), F.col("total").cast("string"),
         F.lit("</dd></dl>\n<div class=\"md\">"), escape_html(body_col, amp=True),
         F.lit("</div>\n<footer><p>Generated on "), F.col("generated_on"),
-        F.lit("</p><p>Analysis of "), F.col("total").cast("string"),
-        F.lit(" items filtered by keywords: "), escape_html("footer_keywords", amp=True),
+        F.lit("</p><p>"), F.col("total").cast("string"),
+        F.lit(" items in this digest; terms: "), escape_html("footer_keywords", amp=True),
         F.lit("</p></footer>\n</body>\n</html>\n"))
     return joined.select(*by, *extra_keys, html.alias("html"))
 
 
 def item_panel_entry(title="title", link="link", abstract="abstract") -> Column:
     """K6 per-item fragment: title and abstract ``<``/``>``-escaped, link as is."""
-    t = escape_html(F.coalesce(F.col(title), F.lit("")))
-    a = escape_html(F.coalesce(F.col(abstract), F.lit("")))
-    lnk = F.coalesce(F.col(link), F.lit(""))
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    note = escape_html(text(abstract))
     return F.concat(
-        F.lit('<div class="list-item"><div class="title">'), t, F.lit("</div><div><a href=\""),
-        lnk, F.lit('" target="_blank" rel="noopener noreferrer">'), lnk, F.lit("</a></div>"),
-        F.when(a != "", F.concat(F.lit("<div class='abstract'>"), a, F.lit("</div>")))
-        .otherwise(F.lit("")),
-        F.lit("</div>"))
+        F.lit("<article><h4><a href=\""), text(link), F.lit("\">"), escape_html(text(title)),
+        F.lit("</a></h4>"),
+        F.when(note != "", F.concat(F.lit("<p>"), note, F.lit("</p>"))).otherwise(F.lit("")),
+        F.lit("</article>"))
 
 
 def items_panel(items: DataFrame, terms: Sequence[str] | None, by: Sequence[str],
-                ordinal_col: str = "ordinal",
-                items_per_doc: int | None = DEFAULT_ITEMS_PER_DOC) -> DataFrame:
-    """K6: escaped item fragments plus keyword badges, per report (chunk)."""
+                ordinal_col: str = "ordinal", items_per_part: int | None = None) -> DataFrame:
+    """K6: escaped item fragments plus keyword badges, per report."""
     terms = normalise_term_list(terms)
     arr = F.array(*[F.lit(t) for t in terms]) if terms else F.array().cast("array<string>")
     body = ordered_text(items, by, ordinal_col, item_panel_entry(), sep="\n", name="items_html",
-                        items_per_doc=items_per_doc)
+                        items_per_part=items_per_part)
     return body.select(*by, "chunk", "n_items", badge_list(arr).alias("badges"), "items_html")
 
 
@@ -194,23 +180,29 @@ def markdown_outline(df: DataFrame, key: Sequence[str], text_col: str = "markdow
 
     ``line_no`` (1-based), ``level`` (1-6), ``heading``, ``slug`` (made unique
     inside a document with ``_1``, ``_2`` ... suffixes) and ``section``, the
-    nearest level-2 heading at or above the line. Windows are keyed by the
-    document, whose size is bounded by one row.
+    nearest level-2 heading at or above the line. A document is one row, so
+    all of it is done on the row's own array, without a shuffle.
     """
-    key = list(key)
-    lines = df.select(*key, F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("p", "line"))
-    heads = lines.filter(F.col("line").rlike(_HEADING_RE)).select(
-        *key, (F.col("p") + 1).cast("int").alias("line_no"),
-        F.length(F.regexp_extract("line", _HEADING_RE, 1)).cast("int").alias("level"),
-        ustrip(F.regexp_extract("line", _HEADING_RE, 2)).alias("heading"))
-    heads = heads.withColumn("__base", heading_slug("heading"))
-    w_dup = Window.partitionBy(*key, "__base").orderBy("line_no")
-    w_doc = Window.partitionBy(*key).orderBy("line_no") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    dup = F.row_number().over(w_dup) - 1
-    return heads.select(
-        *key, "line_no", "level", "heading",
-        F.when(dup == 0, F.col("__base")).otherwise(
-            F.concat(F.col("__base"), F.lit("_"), dup.cast("string"))).alias("slug"),
-        F.last(F.when(F.col("level") == 2, F.col("heading")), ignorenulls=True)
-        .over(w_doc).alias("section"))
+    lines = F.transform(F.split(F.col(text_col), "\n", -1), lambda x, i: F.struct(
+        (i + 1).cast("int").alias("line_no"), x.alias("line")))
+    heads = F.transform(
+        F.filter(lines, lambda x: x["line"].rlike(_HEADING_RE)), lambda x: F.struct(
+            x["line_no"].alias("line_no"),
+            F.length(F.regexp_extract(x["line"], _HEADING_RE, 1)).cast("int").alias("level"),
+            ustrip(F.regexp_extract(x["line"], _HEADING_RE, 2)).alias("heading")))
+    based = F.transform("__heads", lambda h: F.struct(
+        h["line_no"].alias("line_no"), h["level"].alias("level"), h["heading"].alias("heading"),
+        heading_slug(h["heading"]).alias("base")))
+
+    def outlined(h: Column, i: Column) -> Column:
+        above = F.slice(F.col("__based"), F.lit(1), i + 1)
+        again = F.size(F.filter(above, lambda x: x["base"] == h["base"])) - 1
+        sections = F.filter(above, lambda x: x["level"] == 2)
+        return F.struct(
+            h["line_no"].alias("line_no"), h["level"].alias("level"), h["heading"].alias("heading"),
+            F.when(again == 0, h["base"]).otherwise(
+                F.concat(h["base"], F.lit("_"), again.cast("string"))).alias("slug"),
+            F.when(F.size(sections) > 0, F.element_at(sections, -1)["heading"]).alias("section"))
+
+    return (df.select(*key, heads.alias("__heads")).withColumn("__based", based)
+            .select(*key, F.inline(F.transform("__based", outlined))))

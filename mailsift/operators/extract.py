@@ -6,12 +6,11 @@ Two implementations of the anchor extractor:
   per-anchor structs, fully JVM-side. Exact on well-formed markup, which is
   what alert mails and the driver's pages are. Gives title and link, no
   context.
-* ``extract_items`` (parser): one ``mapInPandas`` job running the standard
-  library ``html.parser`` with an open-element stack (implied end tags for
-  ``p``, ``li``, ``td``, ``tr``; void elements; script/style text excluded).
-  Needed for the enclosing-block abstract (X3), the next-sibling fallback
-  (X5) and tag soup. It is a narrow map over message partitions: no shuffle,
-  one document at a time in memory.
+* ``extract_items`` (parser): ``anchor_contexts`` runs the standard library
+  ``html.parser`` with an open-element stack (implied end tags for ``p``, ``li``,
+  ``td``, ``tr``; void elements; script/style text excluded), which tag soup and
+  the enclosing-block text (X3) need; everything decided about an anchor is
+  a column expression on its rows.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from mailsift.functions._util import as_col
-from mailsift.functions.text import WS_CLASS, ustrip
+from mailsift.functions.text import WS_CLASS, remove_title, ustrip
 from mailsift.operators.order import first_per_key
 
 # The link predicate and block tags of the source tool.
@@ -248,52 +247,52 @@ def _text(node, sep):
     return sep.join(p for p in (s.strip() for s in _pieces(node)) if p)
 
 
-def _next_sibling_element(node):
-    sibs = node.parent.children
-    idx = next(i for i, c in enumerate(sibs) if c is node)
-    for c in sibs[idx + 1:]:
-        if not isinstance(c, str):
-            return c
-    return None
-
-
-def parse_items(html: str, block_tags=DEFAULT_BLOCK_TAGS, min_len=DEFAULT_MIN_TITLE_LEN,
-                contains=DEFAULT_LINK_CONTAINS, prefixes=DEFAULT_LINK_PREFIXES,
-                dedupe=True) -> list[tuple[int, str, str, str | None]]:
-    """One document -> ``[(pos, title, link, abstract)]`` (X1-X6 for a single body)."""
-    tb = _TreeBuilder()
-    tb.feed(html or "")
-    tb.close()
-    blocks = frozenset(block_tags)
-    seen = set()
-    out = []
-    for pos, a in enumerate(tb.anchors, 1):
-        title = _text(a, "")
-        link = a.attrs.get("href", "")
-        if not title or len(title) < min_len:
-            continue
-        if not (any(s in link for s in contains) or any(link.startswith(p) for p in prefixes)):
-            continue
-        abstract = None
-        parent = a.parent
-        while parent is not None and parent.tag not in blocks:
-            parent = parent.parent
-        if parent is not None:
-            abstract = _text(parent, " ").replace(title, "").strip() or None
-        if not abstract:
-            sib = _next_sibling_element(a)
-            if sib is not None:
-                abstract = _text(sib, " ")
-        if dedupe:
-            if (title, link) in seen:
-                continue
-            seen.add((title, link))
-        out.append((pos, title, link, abstract))
-    return out
+def _sibling_text(node: _Node) -> str | None:
+    """Text of the next element beside ``node``; null if there is none."""
+    beside = node.parent.children
+    after = beside[[c is node for c in beside].index(True) + 1:]
+    element = next((c for c in after if not isinstance(c, str)), None)
+    return None if element is None else _text(element, " ")
+
+
+def parse_anchors(html: str | None, block_tags=DEFAULT_BLOCK_TAGS) -> list[tuple]:
+    """X1, X3 of one document: ``(pos, title, link, block_text, sibling_text)`` per anchor with
+    an ``href``. Only parsing happens here; what is kept is decided on columns."""
+    builder, blocks = _TreeBuilder(), frozenset(block_tags)
+    builder.feed(html or "")
+    builder.close()
+    rows = []
+    for pos, anchor in enumerate(builder.anchors, 1):
+        block = anchor.parent
+        while block is not None and block.tag not in blocks:
+            block = block.parent
+        rows.append((pos, _text(anchor, ""), anchor.attrs["href"],
+                     None if block is None else _text(block, " "), _sibling_text(anchor)))
+    return rows
 
 
-ITEM_FIELDS = [StructField("pos", IntegerType()), StructField("title", StringType()),
-               StructField("link", StringType()), StructField("abstract", StringType())]
+ANCHOR_FIELDS = [StructField("pos", IntegerType()), StructField("title", StringType()),
+                 StructField("link", StringType()), StructField("block_text", StringType()),
+                 StructField("sibling_text", StringType())]
+
+
+def anchor_contexts(df: DataFrame, html_col: str = "html", keep: Sequence[str] = ("uid",),
+                    block_tags: Sequence[str] = DEFAULT_BLOCK_TAGS) -> DataFrame:
+    """X1, X3 (parser): every anchor with its context; narrow, rows leave message by message."""
+    keep = list(keep)
+    out = StructType([df.schema[k] for k in keep] + ANCHOR_FIELDS)
+    names, tags = [f.name for f in out], tuple(block_tags)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for lead in pdf.itertuples(index=False, name=None):
+                rows = [(*lead[:-1], *a) for a in parse_anchors(lead[-1], tags)]
+                if rows:
+                    yield pd.DataFrame(rows, columns=names)
+
+    src = df.filter(F.col(html_col).isNotNull() & (F.col(html_col) != "")) \
+        .select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)], F.col(html_col).alias("h"))
+    return src.mapInPandas(run, out)
 
 
 def extract_items(df: DataFrame, html_col: str = "html", keep: Sequence[str] = ("uid",),
@@ -302,31 +301,15 @@ def extract_items(df: DataFrame, html_col: str = "html", keep: Sequence[str] = (
                   contains: Sequence[str] = DEFAULT_LINK_CONTAINS,
                   prefixes: Sequence[str] = DEFAULT_LINK_PREFIXES,
                   dedupe: bool = True) -> DataFrame:
-    """X1-X6 (parser): items with the enclosing-block abstract, per message.
+    """Items with an abstract, per message.
 
-    Filter messages *before* calling this: Catalyst cannot push predicates
-    through ``mapInPandas``. Only ``keep`` columns and the html are shipped
-    to Python; the html does not come back.
+    The parser gives anchors and their context; the link predicate (X2), the
+    title taken out of the block text (X4), the fallback to the next element
+    (X5) and the dedupe inside a message (X6) are column expressions. Filter
+    messages *before* calling this: predicates do not pass through Python.
     """
     keep = list(keep)
-    fields = [df.schema[k] for k in keep] + ITEM_FIELDS
-    schema = StructType(fields)
-    params = dict(block_tags=tuple(block_tags), min_len=min_len, contains=tuple(contains),
-                  prefixes=tuple(prefixes), dedupe=dedupe)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            leads = zip(*[pdf[f"k{i}"] for i in range(len(keep))]) if keep \
-                else iter(lambda: (), None)
-            for lead, html in zip(leads, pdf["h"]):
-                if html is None or html == "":
-                    continue
-                for item in parse_items(html, **params):
-                    rows.append(tuple(lead) + item)
-            yield pd.DataFrame(rows, columns=[*keep, "pos", "title", "link", "abstract"])
-
-    src = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)],
-                    F.col(html_col).alias("h"))
-    out = src.mapInPandas(run, schema)
-    return out
+    kept = keep_links(anchor_contexts(df, html_col, keep, block_tags), min_len, contains, prefixes)
+    items = kept.select(*keep, "pos", "title", "link", F.coalesce(
+        remove_title("block_text", "title"), F.col("sibling_text")).alias("abstract"))
+    return dedupe_in_message(items, keep) if dedupe else items

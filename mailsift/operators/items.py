@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailsift.functions.params import normalise_term_list
+from mailsift.functions.text import ustrip
 from mailsift.operators.order import (
     OrderSpec, first_per_key, last_k_per_group, order_columns, ordinal, sort_exprs,
 )
+from mailsift.session import written
 
 # Newest message first, then document order: the run's item order.
 ITEM_ORDER: OrderSpec = [("uid", False), ("pos", True)]
@@ -34,24 +36,29 @@ def drop_tail(df: DataFrame, order: OrderSpec = ITEM_ORDER, k: int = 2,
     (``TakeOrderedAndProject`` without ``by``, map-side limited
     ``WindowGroupLimit`` with ``by``), the ``>= k`` guard is a count over
     those at most ``k`` rows per group, and the drop is a left-anti join on
-    the (unique) order key. AQE broadcasts the tiny tail side at run time.
+    the order key. Null group and order keys compare as equal, so a null group
+    is a group like any other. ``order`` must name a row within its group: with
+    several mailboxes it holds the mailbox columns too.
 
     ``df`` is read twice (to find the tail and to remove it); when it is
-    expensive to compute, materialise it first (``plans.digest.materialise``).
+    expensive to compute, write it first (``session.written``).
     """
     if k <= 0:
         return df
     by = list(by)
-    key = [*by, *order_columns(order)]
+    key = [*by, *[c for c in order_columns(order) if c not in by]]
     if by:
         tail = last_k_per_group(df.select(*key), by, order, k)
         w = Window.partitionBy(*by)
     else:
         tail = df.select(*key).orderBy(*sort_exprs(order, reverse=True)).limit(k)
         w = Window.partitionBy()
-    droppable = (tail.withColumn("__tn", F.count(F.lit(1)).over(w))
-                 .filter(F.col("__tn") >= k).drop("__tn"))
-    return df.join(droppable, key, "left_anti").select(*df.columns)
+    gone = (tail.withColumn("__tn", F.count(F.lit(1)).over(w)).filter(F.col("__tn") >= k)
+            .select(*[F.col(c).alias(f"__gone_{c}") for c in key]))
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"__gone_{c}"))
+    return df.join(gone, same, "left_anti")
 
 
 def keyword_blob(title_col: str = "title", abstract_col: str = "abstract"):
@@ -77,101 +84,42 @@ def keyword_filter(df: DataFrame, terms: Sequence[str] | str | None,
     return df.filter(cond)
 
 
-def _any_term_udf(terms: list[str]):
-    """Arrow-batched any-substring test for many terms (Aho-Corasick, one pass per text)."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
-    built = {}
-
-    def automaton():
-        if "a" not in built:  # once per task, reused by every Arrow batch
-            import ahocorasick
-
-            auto = ahocorasick.Automaton()
-            for t in terms:
-                auto.add_word(t, None)
-            auto.make_automaton()
-            built["a"] = auto
-        return built["a"]
-
-    def any_term(blobs):
-        auto = automaton()
-
-        def hit(b):
-            if b is None:
-                return False
-            for _ in auto.iter(b):
-                return True
-            return False
-        return blobs.map(hit).astype(bool)
-
-    # Real classes, not postponed strings: pandas_udf reads the hints.
-    any_term.__annotations__ = {"blobs": pd.Series, "return": pd.Series}
-    return pandas_udf("boolean")(any_term)
-
-
-def _have_ahocorasick() -> bool:
-    try:
-        import ahocorasick  # noqa: F401
-        return True
-    except ImportError:
-        return False
-
-
-def keyword_semi_join(df: DataFrame, terms_df: DataFrame, term_col: str = "term",
-                      title_col: str = "title", abstract_col: str = "abstract",
-                      max_broadcast_terms: int = 50_000, max_term_bytes: int = 64 << 20,
-                      max_jvm_terms: int = 64,
-                      row_key: Sequence[str] | None = None) -> DataFrame:
-    """I4: keyword any-match with the terms as a table.
-
-    The terms side is normalised (trim, lower, no blanks, distinct). Its
-    size is measured first (one count and byte sum - a tiny action on a
-    parameter table). The lower-cased text is computed once per row, before
-    any matching.
-
-    * no terms -> ``df`` unchanged (a semi join would return nothing);
-    * up to ``max_jvm_terms`` -> broadcast nested-loop left-semi join on
-      ``contains``, all JVM-side; a row stops at its first matching term;
-    * up to the broadcast bound (``max_broadcast_terms`` / ``max_term_bytes``)
-      -> the checked, bounded term list is shipped to the tasks and an
-      Arrow-batched Aho-Corasick UDF tests each text in one pass, however
-      many terms there are (only the text column crosses to Python);
-    * beyond the bound -> the terms are cut into broadcast-sized chunks by
-      hash, each chunk semi-joined, and the matching row keys unioned and
-      deduplicated; ``row_key`` must identify a row. Nothing is collected.
+GRAM = 4  # characters of a term's anchor
+
+
+def keyword_semi_join(df: DataFrame, terms_df: DataFrame, row_key: Sequence[str],
+                      term_col: str = "term", title_col: str = "title",
+                      abstract_col: str = "abstract") -> DataFrame:
+    """I4: keyword any-match with the terms as a table; one plan at every size.
+
+    Terms are normalised like a term list (S3). A text that contains a term
+    contains the term's anchor, its first ``GRAM`` characters (a shorter term
+    is its own anchor), so the distinct character grams of the texts are
+    equi-joined to the anchors; each text's candidate terms come back to it
+    by ``row_key``, which names a row, and are verified with ``contains``. Grams
+    that are no anchor leave at the first join, which the planner broadcasts
+    while the anchors are small. Nothing is collected. No terms: ``df`` as is.
     """
-    terms = (terms_df.select(F.lower(F.regexp_replace(F.col(term_col), r"^\s+|\s+$", ""))
-                             .alias("__term"))
-             .filter(F.col("__term") != "").distinct())
-    stats = terms.agg(F.count(F.lit(1)).alias("n"),
-                      F.coalesce(F.sum(F.length("__term")), F.lit(0)).alias("b")).first()
-    n, nbytes = int(stats["n"]), int(stats["b"])
-    if n == 0:
+    terms = written(terms_df.select(F.lower(ustrip(F.col(term_col))).alias("term"))
+                    .filter(F.col("term") != "").distinct()
+                    .select("term", F.substring("term", 1, GRAM).alias("anchor")), "terms")
+    widths = [r[0] for r in terms.select(F.length("anchor")).distinct().collect()]  # GRAM at most
+    if not widths:
         return df
-    with_blob = df.withColumn("__blob", keyword_blob(title_col, abstract_col))
-    if n <= max_jvm_terms or (n <= max_broadcast_terms and nbytes <= max_term_bytes
-                              and not _have_ahocorasick()):
-        return (with_blob.join(F.broadcast(terms), F.col("__blob").contains(F.col("__term")),
-                               "left_semi").drop("__blob"))
-    if n <= max_broadcast_terms and nbytes <= max_term_bytes:
-        bounded = [r["__term"] for r in terms.collect()]
-        return with_blob.filter(_any_term_udf(bounded)(F.col("__blob"))).drop("__blob")
-    if not row_key:
-        raise ValueError("keyword_semi_join: row_key is required for a terms table "
-                         f"beyond the broadcast bound ({n} terms, {nbytes} bytes)")
-    n_chunks = max((n + max_broadcast_terms - 1) // max_broadcast_terms,
-                   (nbytes + max_term_bytes - 1) // max_term_bytes)
-    ided = terms.withColumn("__chunk", F.pmod(F.xxhash64("__term"), F.lit(n_chunks)))
-    keys = with_blob.select(*row_key, "__blob")
-    hits = None
-    for c in range(n_chunks):
-        chunk = F.broadcast(ided.filter(F.col("__chunk") == c).select("__term"))
-        part = keys.join(chunk, F.col("__blob").contains(F.col("__term")), "left_semi") \
-            .select(*row_key)
-        hits = part if hits is None else hits.unionByName(part)
-    return df.join(hits.distinct(), list(row_key), "left_semi").select(*df.columns)
+    key = list(row_key)
+    blob = keyword_blob(title_col, abstract_col)
+    # A lookahead takes overlapping grams in one linear pass over the text.
+    grams = F.flatten(F.array(*[F.array_distinct(F.regexp_extract_all(
+        blob, F.lit(f"(?s)(?=(.{{{w}}}))"), 1)) for w in sorted(widths)]))
+    found = (df.select(*[F.col(k).alias(f"__of_{k}") for k in key], F.explode(grams).alias("anchor"))
+             .join(terms, "anchor").groupBy(*[f"__of_{k}" for k in key])
+             .agg(F.collect_set("term").alias("__terms")))
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
+    return (df.join(found, same)
+            .filter(F.exists("__terms", lambda t: F.contains(keyword_blob(title_col, abstract_col), t)))
+            .select(*df.columns))
 
 
 def number_items(df: DataFrame, order: OrderSpec = ITEM_ORDER, by: Sequence[str] = (),

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mailsift.session import written
+
 OrderSpec = Sequence["str | tuple[str, bool]"]
 
 
@@ -44,12 +46,6 @@ def order_columns(order: OrderSpec) -> list[str]:
     return [n for n, _ in _pairs(order)]
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return int(partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def ordinal(df: DataFrame, by: Sequence[str] | str | None, order: OrderSpec,
             name: str = "ordinal", skew_safe: bool = True,
             partitions: int | None = None) -> DataFrame:
@@ -58,19 +54,13 @@ def ordinal(df: DataFrame, by: Sequence[str] | str | None, order: OrderSpec,
     ``skew_safe=False`` is the plain ``row_number()`` window; a group is then
     sorted by one task, fine when groups are known to be small.
 
-    ``skew_safe=True`` (default) never puts a whole group into one task:
-
-    1. range-partition on ``by + order`` and sort within partitions: a hot
-       group is cut into consecutive slices that land in different
-       partitions, and a row's position inside its partition is known
-       (``monotonically_increasing_id`` after the sort);
-    2. per (partition, group) slice, count rows and take the first position
-       (a partial aggregate, at most one row per partition and group);
-    3. a running sum over the slice counts of each group (one row per
-       partition it spans, so tiny) gives each slice's starting offset;
-    4. join the slice table back on ``(partition id, by)``: ordinal =
-       offset + position - first position + 1. AQE broadcasts the slice
-       table when its measured size is small, so the rows are shuffled once.
+    ``skew_safe=True`` (default) never puts a whole group into one task. Rows
+    are range-partitioned on ``by + order``, so a hot group is cut into
+    consecutive slices, and **written once** with the number of their slice.
+    Slice sizes and row positions are then both read from that table: two
+    range exchanges would each sample their own bounds and not fit together.
+    The running sum of the sizes of a group's slices, joined back null-safely,
+    gives each slice its first position. The write runs when this is called.
 
     ``order`` must make rows unique within a group (ties would be numbered
     in an arbitrary order, exactly as with ``row_number``).
@@ -81,21 +71,22 @@ def ordinal(df: DataFrame, by: Sequence[str] | str | None, order: OrderSpec,
             else Window.orderBy(*sort_exprs(order))
         return df.withColumn(name, F.row_number().over(w))
 
-    n = _partitions(df, partitions)
-    pid, pos, first, off = "__ord_pid", "__ord_pos", "__ord_first", "__ord_off"
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = "__slice"
     keys = [*[F.col(b).asc_nulls_first() for b in by], *sort_exprs(order)]
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn(pid, F.spark_partition_id())
-              .withColumn(pos, F.monotonically_increasing_id()))
-    slices = ranged.groupBy(pid, *by).agg(F.count(F.lit(1)).alias("__ord_n"),
-                                          F.min(pos).alias(first))
-    w_prev = Window.partitionBy(*by).orderBy(pid) if by else Window.orderBy(pid)
-    w_prev = w_prev.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(pid, *by, first, F.coalesce(F.sum("__ord_n").over(w_prev), F.lit(0))
-                            .alias(off))
-    return (ranged.join(offsets, [pid, *by], "inner")
+    ranged = written(df.repartitionByRange(n, *keys)
+                     .withColumn(cut, F.spark_partition_id()), "ordinal")
+    before = Window.partitionBy(*by).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
+    first = (ranged.groupBy(*by, cut).agg(F.count(F.lit(1)).alias("__n"))
+             .select(F.col(cut).alias("__of"), *[F.col(b).alias(f"__of_{b}") for b in by],
+                     F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")))
+    same = F.col(cut) == F.col("__of")
+    for b in by:
+        same = same & F.col(b).eqNullSafe(F.col(f"__of_{b}"))
+    inside = Window.partitionBy(*by, cut).orderBy(*sort_exprs(order))
+    return (ranged.withColumn("__at", F.row_number().over(inside)).join(first, same)
             .select(*[F.col(f"`{c}`") for c in df.columns],
-                    (F.col(off) + F.col(pos) - F.col(first) + 1).cast("int").alias(name)))
+                    (F.col("__before") + F.col("__at")).cast("int").alias(name)))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: OrderSpec) -> DataFrame:

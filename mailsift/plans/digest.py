@@ -1,8 +1,9 @@
-"""The digest as one lazy plan: messages -> saved items -> selected, numbered items.
+"""The digest: messages -> saved items -> selected, numbered items.
 
 Stage order follows the source tool exactly (it is not commutable):
 latest N *then* sender/day filters; ordered dedupe; tail drop; the saved set
-is taken *before* the keyword filter; numbering last.
+is taken *before* the keyword filter; numbering last. Building a digest runs
+the jobs that write its deduplicated and its ordered items.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailsift.operators.extract import (
@@ -24,8 +25,8 @@ from mailsift.operators.headers import (
 from mailsift.operators.items import (
     ITEM_ORDER, dedupe_first, drop_tail, keyword_filter, number_items,
 )
-from mailsift.session import checkpoint_dir
-from mailsift.sources.messages import latest_n, spread_for_cpu
+from mailsift.session import written
+from mailsift.sources.messages import latest_n
 
 
 @dataclass
@@ -46,33 +47,43 @@ class DigestParams:
     terms: Sequence[str] | None = field(default_factory=list)  # I3
     materialise_unique: bool = True      # write deduplicated items once (see digest_stages)
 
+    @property
+    def message_keys(self) -> list[str]:
+        """Columns that name a message's place: report, mailbox, uid."""
+        return list(dict.fromkeys([*self.report_by, *self.mailbox_by, "uid"]))
 
-def filter_messages(scanned: DataFrame, p: DigestParams) -> DataFrame:
-    """Sender / run-day filters (H4, H5) and, for raw input, headers and body.
+    @property
+    def item_order(self) -> list:
+        """Newest message first, mailboxes one after the other, then document order."""
+        boxes = [m for m in self.mailbox_by if m not in self.report_by]
+        return [*[(m, True) for m in boxes], *ITEM_ORDER]
+
+
+def match_messages(scanned: DataFrame, p: DigestParams) -> DataFrame:
+    """Sender / run-day filters (H4, H5) on the headers alone.
 
     Raw RFC 822 input (a ``raw`` column) has its header block read first
-    (H1-H3, JVM-side); the body is decoded in Python (B1-B3) only for
-    messages that pass the filters. Stateless, so it also runs per
-    micro-batch in the streaming form.
+    (H1-H3, JVM-side). Stateless, so it also runs per micro-batch.
     """
-    report_by = list(p.report_by)
     matched = scanned
-    raw = "raw" in scanned.columns
-    if raw:
+    if "raw" in scanned.columns:
         matched = add_mail_date(add_sender(header_fields(matched)), "date", "dt")
     if p.senders is not None:
         matched = filter_senders(matched, p.senders)
     if p.today_only:
         matched = filter_run_day(matched, p.run_date, True, p.tz)
-    if raw:
-        matched = decode_bodies(matched, keep=[*report_by, "uid"])
     return matched
 
 
-def message_items(matched: DataFrame, p: DigestParams) -> DataFrame:
-    """Messages with ``html`` -> items ``report..., uid, pos, title, link, abstract``."""
-    keep = [*p.report_by, "uid"]
-    bodies = matched.filter(F.col("html").isNotNull() & (F.col("html") != ""))
+def message_bodies(matched: DataFrame, p: DigestParams) -> DataFrame:
+    """``html`` (and, for raw input, the decode ``error``) of the matched messages."""
+    return decode_bodies(matched, keep=p.message_keys) if "raw" in matched.columns else matched
+
+
+def message_items(bodies: DataFrame, p: DigestParams) -> DataFrame:
+    """Messages with ``html`` -> items ``keys..., pos, title, link, abstract``."""
+    keep = p.message_keys
+    bodies = bodies.filter(F.col("html").isNotNull() & (F.col("html") != ""))
     if p.extractor == "native":
         items = keep_links(extract_anchors(bodies, keep=keep), p.min_len, p.contains, p.prefixes)
         return items.withColumn("abstract", F.lit(None).cast("string"))
@@ -82,6 +93,20 @@ def message_items(matched: DataFrame, p: DigestParams) -> DataFrame:
     raise ValueError(f"unknown extractor {p.extractor!r}")
 
 
+def item_stages(items: DataFrame, p: DigestParams) -> dict[str, DataFrame]:
+    """Items -> ``unique``, ``saved``, ``selected`` and ``numbered``."""
+    by = list(p.report_by)
+    unique = dedupe_first(items, ("title", "link"), p.item_order, by=by)
+    if p.materialise_unique:
+        # The tail drop reads these rows twice, and its branches are pruned
+        # differently, so their shuffles would not be reused.
+        unique = written(unique, "unique")
+    saved = drop_tail(unique, p.item_order, p.tail_k, by=by)
+    selected = keyword_filter(saved, p.terms)
+    return {"unique": unique, "saved": saved, "selected": selected,
+            "numbered": number_items(selected, p.item_order, by=by)}
+
+
 def digest_stages(messages: DataFrame, p: DigestParams) -> dict[str, DataFrame]:
     """All intermediate tables of one digest (``scanned`` ... ``numbered``).
 
@@ -89,41 +114,19 @@ def digest_stages(messages: DataFrame, p: DigestParams) -> dict[str, DataFrame]:
     ``html`` (plus ``sender`` / parsed ``dt`` for the filters) or ``raw``
     RFC 822 bytes.
     """
-    report_by = list(p.report_by)
     scanned = latest_n(messages, p.recent, "uid", by=list(p.mailbox_by) or None)
-    # Spread before the first CPU-heavy stage, while the plan is still a
-    # plain scan (checking a plan with a broadcast join would run its build
-    # side early). A no-op for inputs that already have enough partitions.
-    matched = filter_messages(spread_for_cpu(scanned, key="uid"), p)
-    items = message_items(matched, p)
-    unique = dedupe_first(items, ("title", "link"), ITEM_ORDER, by=report_by)
-    if p.materialise_unique:
-        # The tail drop reads the deduplicated items twice (to find the tail
-        # and to remove it). Catalyst prunes the two branches differently, so
-        # their shuffles are not reused and extraction would run twice. The
-        # compact item table is written once (reliable checkpoint in
-        # spark.checkpoint.dir) and both branches read it; it also bounds
-        # what a lost executor has to recompute.
-        unique = materialise(unique)
-    saved = drop_tail(unique, ITEM_ORDER, p.tail_k, by=report_by)
-    selected = keyword_filter(saved, p.terms)
-    numbered = number_items(selected, ITEM_ORDER, by=report_by)
-    return {"scanned": scanned, "matched": matched, "items": items, "unique": unique,
-            "saved": saved, "selected": selected, "numbered": numbered}
+    matched = match_messages(scanned, p)
+    bodies = message_bodies(matched, p)
+    items = message_items(bodies, p)
+    return {"scanned": scanned, "matched": matched, "bodies": bodies, "items": items,
+            **item_stages(items, p)}
 
 
-def digest(messages: DataFrame, p: DigestParams) -> DataFrame:
-    """Selected items, numbered per report: ``report..., ordinal, uid, pos, title, link, abstract``."""
-    out = digest_stages(messages, p)["numbered"]
-    return out.select(*p.report_by, "ordinal", "uid", "pos", "title", "link", "abstract")
-
+def digest_columns(p: DigestParams) -> list[str]:
+    return [*p.report_by, "ordinal", *[c for c in p.message_keys if c not in p.report_by],
+            "pos", "title", "link", "abstract"]
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage in the shared checkpoint folder (``spark.checkpoint.dir``).
 
-    A reliable checkpoint survives executor loss, unlike a local one; used
-    before fan-out of expensive or non-repeatable results (model calls).
-    """
-    spark: SparkSession = df.sparkSession
-    checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+def digest(messages: DataFrame, p: DigestParams) -> DataFrame:
+    """Selected items, numbered per report: ``report..., ordinal, uid, pos, title, link, abstract``."""
+    return digest_stages(messages, p)["numbered"].select(*digest_columns(p))

@@ -7,11 +7,32 @@ driver tables (views ``pages``, ``events``, ``documents`` ...).
 
 from __future__ import annotations
 
-from mailsift.functions.mail import MONTHS_LONG, MONTHS_SHORT, ZONE_NAMES
-from mailsift.operators.bodies import PLAIN_PREFIX, PLAIN_SUFFIX
-from mailsift.operators.documents import LIST_HEADING, prompt_head
 from mailsift.plans import standins as S
 
+# Written out here on purpose: the checks must not take their expectations
+# from the code that they check.
+MONTHS_LONG = ("january february march april may june july august september october november "
+               "december").split()
+MONTHS_SHORT = [m[:3] for m in MONTHS_LONG]
+ZONE_NAMES = {"UT": 0, "UTC": 0, "GMT": 0, "Z": 0, "EST": -300, "EDT": -240, "CST": -360,
+              "CDT": -300, "MST": -420, "MDT": -360, "PST": -480, "PDT": -420, "AST": -240,
+              "ADT": -180}
+PLAIN_PREFIX, PLAIN_SUFFIX = "<html><body><pre>", "</pre></body></html>"
+LIST_HEADING = "# Alert items (saved)"
+PROMPT_HEAD = """Below is a numbered list of papers from today's alerts.
+Work only with those that bear on: {terms}. Leave the others out.
+Write Markdown in two parts and nothing else.
+
+# Digest
+One level-three section per paper, headed by its title: what was done and found (at most three \
+sentences), one limitation the authors would admit, and the link as given.
+
+# Next steps
+Five experiments that these papers make possible, one paragraph each: the question, why it is \
+open, what it needs, and what an answer would change.
+
+Papers:"""
+
 WS = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\p{Z}]"
 
 
@@ -186,7 +207,7 @@ numbered AS (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id)::INTEGER AS ordinal
   FROM doc_items {where}),
 chunked AS (
-  SELECT *, ((ordinal - 1) // 500)::INTEGER AS chunk FROM numbered)"""
+  SELECT *, 0::INTEGER AS chunk FROM numbered)"""
 
 
 def entry_sql(label: str, trailing_blank: bool) -> str:
@@ -288,7 +309,7 @@ WITH hdrs AS (SELECT event_id, ts AS ev_ts, {mail_header_sql('ts', 'event_id')}
 SELECT event_id, ev_ts AS ts, date_hdr FROM parsed
 WHERE (CASE WHEN zoned THEN ts::DATE ELSE wall_date END) = DATE '2024-01-07'"""
     out["messages_ranked"] = """
-SELECT ts::DATE AS day, event_id,
+SELECT ts::DATE AS day, event_id, event_type, props,
        row_number() OVER (PARTITION BY ts::DATE ORDER BY event_id DESC)::INTEGER AS msg_rank
 FROM events"""
     role_ct = ("CASE role WHEN 'assistant' THEN 'text/html' WHEN 'user' THEN 'text/plain' "
@@ -340,12 +361,24 @@ dedup AS (SELECT * FROM anchors
     out["keyword_selected"] = (f"WITH {doc_items_cte()}\nSELECT doc_id, source, title FROM doc_items "
                                f"WHERE {any_term(S.DOC_TERMS, blob())}")
     out["keyword_selected_table"] = f"""WITH {doc_items_cte()},
-terms AS (SELECT DISTINCT lower(regexp_replace(regexp_extract(text, '(\\p{{L}}{{6,}})', 1),
-                                 '^\\s+|\\s+$', '', 'g')) AS term FROM benchmark)
+terms AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '(\\p{{L}}{{6,}})', 1))) AS term
+          FROM benchmark)
 SELECT doc_id, source, title FROM doc_items d
 WHERE EXISTS (SELECT 1 FROM terms t WHERE t.term <> '' AND contains({blob('d.title', 'd.abstract')}, t.term))"""
+    out["items_null_keys"] = """
+WITH d AS (SELECT CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE source END AS report,
+                  doc_id % 4 AS box, doc_id // 4 AS uid, md5(text) AS text_md5 FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY report ORDER BY box DESC, uid ASC) AS rr,
+             count(*) OVER (PARTITION BY report) AS n FROM d)
+SELECT report, box, uid, text_md5,
+       row_number() OVER (PARTITION BY report ORDER BY box, uid DESC)::INTEGER AS ordinal
+FROM r WHERE NOT (n >= 2 AND rr <= 2)"""
+    line = "regexp_replace(string_split(text, chr(10))[1], '[<>&]', ' ', 'g')"
+    out["siblings_used"] = f"""
+SELECT doc_id AS uid, 1::INTEGER AS pos, 'item ' || doc_id AS title, '/' || doc_id AS link,
+       {strip(line)} AS abstract FROM documents"""
     out["items_numbered"] = """
-SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id)::INTEGER AS ordinal
+SELECT source, doc_id, md5(text) AS text_md5, row_number() OVER (PARTITION BY source ORDER BY doc_id)::INTEGER AS ordinal
 FROM documents"""
     sel_s = f"""
 saved AS {tail_drop('dedup', 'sender')},
@@ -358,7 +391,7 @@ UNION ALL SELECT sender, 2, 'items', count(*) FROM anchors GROUP BY sender
 UNION ALL SELECT sender, 3, 'unique', count(*) FROM dedup GROUP BY sender
 UNION ALL SELECT sender, 4, 'saved', count(*) FROM saved GROUP BY sender
 UNION ALL SELECT sender, 5, 'selected', count(*) FROM selected GROUP BY sender"""
-    head = prompt_head(S.REPORT_TERMS)
+    head = PROMPT_HEAD.format(terms="; ".join(S.REPORT_TERMS))
     out["prompt_text"] = f"""WITH {numbered_docs_cte()}
 SELECT lang, chunk, count(*) AS n_items,
        {q(head)} || chr(10) || string_agg({entry_sql('Title: ', False)}, chr(10) ORDER BY ordinal)
@@ -375,14 +408,12 @@ SELECT lang, count(*) AS total, {preview(terms, 5)} AS keywords_preview,
        {preview(terms, 3)} AS footer_keywords,
        strftime(TIMESTAMP '{S.GENERATED_AT}', '%B %d, %Y at %I:%M %p') AS generated_on
 FROM numbered GROUP BY lang"""
-    badges = q("".join(f'<span class="badge">{t}</span>' for t in terms))
+    badges = q("".join(f"<kbd>{t}</kbd>" for t in terms))
+    note = esc("coalesce(abstract, '')")
     entry_html = (
-        "'<div class=\"list-item\"><div class=\"title\">' || " + esc("coalesce(title, '')") +
-        " || '</div><div><a href=\"' || coalesce(link, '') || "
-        "'\" target=\"_blank\" rel=\"noopener noreferrer\">' || coalesce(link, '') || '</a></div>' || "
-        f"CASE WHEN {esc('coalesce(abstract, %s)' % q(''))} <> '' THEN "
-        f"'<div class=''abstract''>' || {esc('coalesce(abstract, %s)' % q(''))} || '</div>' "
-        "ELSE '' END || '</div>'")
+        "'<article><h4><a href=\"' || coalesce(link, '') || '\">' || " + esc("coalesce(title, '')")
+        + f" || '</a></h4>' || CASE WHEN {note} <> '' THEN '<p>' || {note} || '</p>' ELSE '' END "
+        "|| '</article>'")
     out["items_panel"] = f"""WITH {numbered_docs_cte(terms)}
 SELECT lang, chunk, count(*) AS n_items, {badges} AS badges,
        string_agg({entry_html}, chr(10) ORDER BY ordinal) AS items_html
@@ -417,8 +448,8 @@ meta AS (
         f"'</dd><dt>Keywords</dt><dd>' || {esc('keywords_preview', True)} || "
         "'</dd><dt>Total items</dt><dd>' || total || '</dd></dl>' || chr(10) || "
         f"'<div class=\"md\">' || {esc('summary', True)} || '</div>' || chr(10) || "
-        "'<footer><p>Generated on ' || generated_on || '</p><p>Analysis of ' || total || "
-        f"' items filtered by keywords: ' || {esc('footer_keywords', True)} || "
+        "'<footer><p>Generated on ' || generated_on || '</p><p>' || total || "
+        f"' items in this digest; terms: ' || {esc('footer_keywords', True)} || "
         "'</p></footer>' || chr(10) || '</body>' || chr(10) || '</html>' || chr(10)")
     out["report_html"] = f"""WITH {numbered_docs_cte(terms)},{prompts},{meta}
 SELECT lang, chunk, {html} AS html FROM meta JOIN summ USING (lang)"""
@@ -480,6 +511,7 @@ FROM selected"""
     out["digest_by_sender"] = digest_sql("sender")
     out["digest_parsed"] = digest_sql("report_date", parsed=True)
     out["digest_incremental"] = out["digest"]
+    out["digest_incremental_latest"] = out["digest_latest"]
     out["digest_raw"] = digest_sql("report_date", where="WHERE starts_with(sender, 'blog.')")
     return out
 

@@ -25,8 +25,9 @@ from mailsift.operators.bodies import decode_bodies, drop_empty_bodies
 from mailsift.operators.extract import dedupe_in_message
 from mailsift.operators.items import ITEM_ORDER
 from mailsift.plans import standins as S
-from mailsift.plans.digest import DigestParams, digest, digest_stages, materialise
-from mailsift.sources import latest_n, load_table, spread_for_cpu
+from mailsift.plans.digest import DigestParams, digest, digest_stages
+from mailsift.session import spread, written
+from mailsift.sources import latest_n, load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,7 +94,7 @@ def sender_normalised(spark, d):
 
 
 def _order_dates(spark, d):
-    o = spread_for_cpu(_t(spark, d, "orders"), key="o_orderkey")
+    o = spread(_t(spark, d, "orders"), key="o_orderkey")
     ts0 = F.timestamp_add("SECOND", F.pmod("o_orderkey", F.lit(86400)), F.col("o_orderdate"))
     return o.select("o_orderkey", S.mail_date_header(ts0, F.col("o_orderkey")).alias("date_hdr"))
 
@@ -105,7 +106,7 @@ def mail_date_parsed(spark, d):
 
 
 def _event_headers(spark, d):
-    ev = spread_for_cpu(_t(spark, d, "events"), key="event_id")
+    ev = spread(_t(spark, d, "events"), key="event_id")
     return ev.select("event_id", "ts", S.mail_date_header(F.col("ts"), F.col("event_id"))
                      .alias("date_hdr"))
 
@@ -116,8 +117,9 @@ def run_day_messages(spark, d):
 
 
 def messages_ranked(spark, d):
-    ev = _t(spark, d, "events").select("event_id", F.to_date("ts").alias("day"))
-    return rank_messages(ev, "event_id", by="day").select("day", "event_id", "msg_rank")
+    ev = _t(spark, d, "events").withColumn("day", F.to_date("ts"))
+    return rank_messages(ev, "event_id", by="day").select("day", "event_id", "event_type", "props",
+                                                          "msg_rank")
 
 
 # ---------------------------------------------------------------- B1-B4
@@ -148,7 +150,7 @@ def parts_exploded(spark, d):
 
 def message_bodies(spark, d):
     raw = S.conversation_raw(_t(spark, d, "conversations"))
-    return drop_empty_bodies(decode_bodies(raw))
+    return drop_empty_bodies(decode_bodies(raw)).select("uid", "html")
 
 
 # ---------------------------------------------------------------- X1-X7
@@ -177,6 +179,18 @@ def titles_removed(spark, d):
     return items.select("uid", "pos", "title", "link", "abstract")
 
 
+def siblings_used(spark, d):
+    """Pages made of the documents, whose anchors stand outside any block."""
+    text = lambda n: F.element_at(F.split("text", "\n"), n)
+    clean = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), "[<>&]", " ")
+    html = F.concat(F.lit("<body><a href=\"/"), F.col("doc_id").cast("string"), F.lit("\">item "),
+                    F.col("doc_id").cast("string"), F.lit("</a><em>"), clean(text(1)),
+                    F.lit("</em></body>"))
+    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("uid"), html.alias("html"))
+    return extract_items(docs, contains=(), prefixes=S.PAGE_PREFIXES).select(
+        "uid", "pos", "title", "link", "abstract")
+
+
 def items_deduped_per_message(spark, d):
     a = _page_anchors(spark, d, min_len=1)
     return dedupe_in_message(a).select("uid", "pos", "title", "link")
@@ -187,13 +201,13 @@ def items_deduped(spark, d):
 
 
 def items_tail_dropped(spark, d):
-    uniq = materialise(dedupe_first(_page_anchors(spark, d)))
+    uniq = written(dedupe_first(_page_anchors(spark, d)))
     return drop_tail(uniq, ITEM_ORDER, 2).select("uid", "pos", "title", "link")
 
 
 def items_tail_dropped_by_sender(spark, d):
     a = _page_anchors(spark, d, report_by=("sender",))
-    uniq = materialise(dedupe_first(a, by=("sender",)))
+    uniq = written(dedupe_first(a, by=("sender",)))
     return drop_tail(uniq, ITEM_ORDER, 2, by=("sender",)).select(
         "sender", "uid", "pos", "title", "link")
 
@@ -210,7 +224,7 @@ def keyword_selected(spark, d):
 
 def _benchmark_terms(spark, d):
     b = _t(spark, d, "benchmark")
-    return b.select(F.regexp_extract("text", r"(\p{L}{6,})", 1).alias("term"))
+    return b.select(F.explode(F.regexp_extract_all("text", F.lit(r"(\p{L}{6,})"), 1)).alias("term"))
 
 
 def keyword_selected_table(spark, d):
@@ -219,8 +233,22 @@ def keyword_selected_table(spark, d):
 
 
 def items_numbered(spark, d):
-    docs = _t(spark, d, "documents").select("doc_id", "source")
-    return number_items(docs, ["doc_id"], by=["source"]).select("source", "doc_id", "ordinal")
+    docs = _t(spark, d, "documents")
+    return number_items(docs, ["doc_id"], by=["source"]).select(
+        "source", "doc_id", F.md5("text").alias("text_md5"), "ordinal")
+
+
+def items_null_keys(spark, d):
+    """Tail drop and numbering where report keys are null and empty, and mailboxes share uids."""
+    docs = _t(spark, d, "documents")
+    kind = F.pmod("doc_id", F.lit(5))
+    docs = docs.select(
+        F.when(kind == 0, F.lit(None)).when(kind == 1, "").otherwise(F.col("source")).alias("report"),
+        F.pmod("doc_id", F.lit(4)).alias("box"), F.floor(F.col("doc_id") / 4).alias("uid"), "text")
+    order = ["box", ("uid", False)]
+    saved = drop_tail(docs, order, 2, by=("report",))
+    return number_items(saved, order, by=["report"]).select(
+        "report", "box", "uid", F.md5("text").alias("text_md5"), "ordinal")
 
 
 # ---------------------------------------------------------------- A1, A2
@@ -277,7 +305,7 @@ def summaries(spark, d):
 
 def report_html(spark, d):
     # metadata and prompts both read the numbered selection: number it once
-    sel = materialise(_numbered_docs(spark, d, S.REPORT_TERMS))
+    sel = written(_numbered_docs(spark, d, S.REPORT_TERMS))
     meta = report_metadata(sel, S.REPORT_TERMS, ["lang"], S.GENERATED_AT)
     prompts = build_prompts(sel, S.REPORT_TERMS, ["lang"])
     summ = infer(prompts, "echo", key=["lang", "chunk"])
@@ -329,6 +357,11 @@ def digest_incremental(spark, d):
     return incremental_digest_from_table(spark, d, _digest_params())
 
 
+def digest_incremental_latest(spark, d):
+    from mailsift.streaming.incremental import incremental_digest_from_table
+    return incremental_digest_from_table(spark, d, _digest_params(recent=100))
+
+
 QUERIES: dict[str, Query] = {
     "latest_messages": latest_messages,
     "latest_per_type": latest_per_type,
@@ -346,6 +379,7 @@ QUERIES: dict[str, Query] = {
     "anchors_extracted": anchors_extracted,
     "anchors_parsed": anchors_parsed,
     "titles_removed": titles_removed,
+    "siblings_used": siblings_used,
     "items_deduped_per_message": items_deduped_per_message,
     "items_deduped": items_deduped,
     "items_tail_dropped": items_tail_dropped,
@@ -353,6 +387,7 @@ QUERIES: dict[str, Query] = {
     "keyword_selected": keyword_selected,
     "keyword_selected_table": keyword_selected_table,
     "items_numbered": items_numbered,
+    "items_null_keys": items_null_keys,
     "report_totals": report_totals_q,
     "stage_funnel": stage_funnel,
     "prompt_text": prompt_text,
@@ -368,4 +403,5 @@ QUERIES: dict[str, Query] = {
     "digest_parsed": digest_parsed,
     "digest_raw": digest_raw,
     "digest_incremental": digest_incremental,
+    "digest_incremental_latest": digest_incremental_latest,
 }

@@ -4,14 +4,14 @@ Stages are written once and read back, so every consumer (lists, prompts,
 reports, counts) reuses them instead of recomputing extraction and dedupe,
 and a lost executor only repeats the stage it was in:
 
-    <out>/items       K1  saved items, JSON lines, per report_date
-    <out>/lists       K2  Markdown list of saved items
+    <out>/items       K1  saved items, JSON lines
+    <out>/lists       K2  Markdown list of saved items, one text file per report
     <out>/prompts     K3  prompts (selected items)
     <out>/summaries   K4  model output per report and backend
     <out>/reports     K5  report documents
     <out>/funnel      A2  stage counts
 
-All writers overwrite only the report partitions present in this run (K7).
+Each holds a folder per report; only the folders of this run's reports change (K7).
 """
 
 from __future__ import annotations
@@ -20,73 +20,59 @@ import os
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from mailsift.operators.documents import (
     build_prompts, render_item_list, render_report, report_metadata,
 )
 from mailsift.operators.inference import Factory, infer
-from mailsift.operators.items import ITEM_ORDER, keyword_filter, number_items
+from mailsift.operators.items import number_items
 from mailsift.operators.metrics import funnel_counts
 from mailsift.plans.digest import DigestParams, digest_stages
+from mailsift.session import written
 from mailsift.sinks import (
-    overwrite_partitions, write_items_jsonl, write_summaries, write_text_documents,
+    write_items_jsonl, write_reports, write_summaries, write_text_documents, write_text_files,
 )
 
 
-def _read(spark, path: str, like: DataFrame) -> DataFrame:
-    """Read a written stage back with the schema it was written with (works when empty)."""
-    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
-
-
-def _write_and_read(writer, df: DataFrame, path: str) -> DataFrame:
-    writer.parquet(path)
-    return _read(df.sparkSession, path, df)
-
-
 def run_digest(messages: DataFrame, p: DigestParams, out_dir: str, generated_at: str,
-               backend: str = "echo", backends: Mapping[str, Factory] | None = None
-               ) -> dict[str, str]:
+               backend: str = "echo", backends: Mapping[str, Factory] | None = None,
+               options: Mapping[str, object] | None = None) -> dict[str, str]:
     """Run the whole digest for every report in ``messages``; returns the output paths.
 
-    Empty reports produce no files (I6): outputs are grouped by report, and
-    a report without selected items simply has no prompt, summary or report.
+    Touches the folders of those reports alone: a report that has nothing left
+    loses its files (I6), and reports of other runs are neither read nor
+    written. Stages shared by several outputs are written once in the
+    session's shared folder.
     """
-    spark = messages.sparkSession
     by = list(p.report_by)
     paths = {k: os.path.join(out_dir, k)
-             for k in ("items", "lists", "prompts", "summaries", "reports", "funnel", "_saved",
-                       "_selected")}
+             for k in ("items", "lists", "prompts", "summaries", "reports", "funnel")}
     stages = digest_stages(messages, p)
+    touched = written(messages.select(*by).distinct(), "touched")
 
-    # Saved set (before the keyword filter), numbered per report, written once.
-    saved = number_items(stages["saved"], ITEM_ORDER, by=by)
-    saved = _write_and_read(overwrite_partitions(saved).partitionBy(*by), saved,
-                            paths["_saved"])
-
-    write_items_jsonl(saved, paths["items"], partition_by=by)
-    write_text_documents(render_item_list(saved, by), paths["lists"], "markdown", by)
+    # Saved set (before the keyword filter), numbered per report.
+    saved = written(number_items(stages["saved"], p.item_order, by=by), "saved")
+    write_items_jsonl(saved, paths["items"], partition_by=by, touched=touched)
+    write_text_files(render_item_list(saved, by), paths["lists"], "markdown", by, touched=touched)
 
-    # Selected items feed prompts, report metadata and the funnel: written once.
-    selected = number_items(keyword_filter(saved.drop("ordinal"), p.terms), ITEM_ORDER, by=by)
-    selected = _write_and_read(overwrite_partitions(selected).partitionBy(*by), selected,
-                               paths["_selected"])
-    prompts = build_prompts(selected, p.terms, by)
-    write_text_documents(prompts, paths["prompts"], "prompt", by)
-    prompts = _read(spark, paths["prompts"], prompts.select(*by, "chunk",
-                                                            prompts["prompt"].alias("text")))
-    prompts = prompts.withColumnRenamed("text", "prompt")
+    selected = written(stages["numbered"], "selected")
+    prompts = written(build_prompts(selected, p.terms, by), "prompts")
+    write_text_documents(prompts, paths["prompts"], "prompt", by, touched=touched)
 
     # Model calls run once; everything downstream reads the written table.
-    summaries = infer(prompts, backend, key=[*by, "chunk"], backends=backends,
-                      partitions=spark.sparkContext.defaultParallelism)
-    write_summaries(summaries, paths["summaries"], partition_by=[*by, "backend"])
-    summaries = _read(spark, paths["summaries"], summaries)
+    summaries = written(infer(prompts, backend, key=[*by, "chunk"], backends=backends,
+                              partitions=messages.sparkSession.sparkContext.defaultParallelism,
+                              options=options), "summaries")
+    write_summaries(summaries, paths["summaries"], partition_by=[*by, "backend"],
+                    touched=touched.withColumn("backend", F.lit(backend)))
 
     meta = report_metadata(selected, p.terms, by, generated_at)
-    reports = render_report(meta, summaries.filter(summaries.backend == backend), by)
-    write_text_documents(reports, paths["reports"], "html", by)
-
-    funnel = funnel_counts({"scanned": stages["scanned"], "matched": stages["matched"],
-                            "saved": saved, "selected": selected}, by)
-    overwrite_partitions(funnel).partitionBy(*by).parquet(paths["funnel"])
-    return {k: v for k, v in paths.items() if not k.startswith("_")}
+    reports = written(render_report(meta, summaries, by), "reports")
+    write_text_documents(reports, paths["reports"], "html", by, touched=touched)
+
+    # Scanned and matched are counted on header columns; no body is decoded for it.
+    funnel = written(funnel_counts({"scanned": stages["scanned"], "matched": stages["matched"],
+                                    "saved": saved, "selected": selected}, by), "funnel")
+    write_reports(funnel, paths["funnel"], by, touched)
+    return paths

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailsift.functions.text import html_host
-from mailsift.sources.messages import spread_for_cpu
+from mailsift.session import spread
 
 # Fixed parameters of the stand-in queries.
 RUN_DATE = "2025-11-19"
@@ -23,7 +23,7 @@ REPORT_TERMS = ("license", "nicht", "être", "the", "que", "ung")
 
 def page_messages(pages: DataFrame) -> DataFrame:
     """pages -> messages: ``uid`` = page_id, ``sender`` = host of the url."""
-    return spread_for_cpu(pages, key="page_id").select(
+    return spread(pages, key="page_id").select(
         F.col("page_id").alias("uid"), html_host("url").alias("sender"),
         F.to_date(F.lit(RUN_DATE)).alias("report_date"), "html")
 

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this package assumes. Session time zone UTC keeps
 # timestamp <-> string conversions independent of the executor host.
@@ -49,17 +50,44 @@ def get_spark(app: str = "mailsift", cpus: str | int = "*",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator to a shared file system and is
-    used as-is. Only when it is unset (local tests) a scratch folder is
-    created and registered, so lineage cuts always land in one known place.
+    On a cluster it must be set to a file system that the driver and all
+    executors share; an unset folder is an error there, since a folder of one
+    machine would lose what other machines wrote. A local master (tests) gets
+    a scratch folder of its own.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    d = sc.getConf().get("spark.checkpoint.dir", None) or \
-        spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="mailsift-ckpt-")
-    sc.setCheckpointDir(d)
-    return d
+    named = spark.conf.get("spark.checkpoint.dir", None) or \
+        sc.getConf().get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not sc.getCheckpointDir():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="mailsift-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
+
+
+def written(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and return it read back.
+
+    Used where several branches read one costly or order-bearing result: all
+    of them then see the same rows, a lost executor re-reads the table, and
+    the planner knows its size. The write runs when this is called.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+SPREAD_SETTING = "mailsift.spread.partitions"
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal rows over as many partitions as the session asks for, by a unique key.
+
+    The setting ``mailsift.spread.partitions`` is off unless someone sets it:
+    it helps where a CPU-heavy stage reads a table of one small file, and would
+    only add a shuffle on a large one.
+    """
+    n = df.sparkSession.conf.get(SPREAD_SETTING, None)
+    return df.repartition(int(n), key) if n and not df.isStreaming else df

@@ -1,8 +1,9 @@
 """Partitioned, rerun-safe writers for items, documents and summaries."""
 
 from mailsift.sinks.writers import (
-    overwrite_partitions, write_items_jsonl, write_summaries, write_text_documents,
+    overwrite_partitions, remove_emptied, write_items_jsonl, write_reports, write_summaries,
+    write_text_documents, write_text_files,
 )
 
-__all__ = ["overwrite_partitions", "write_items_jsonl", "write_summaries",
-           "write_text_documents"]
+__all__ = ["overwrite_partitions", "remove_emptied", "write_items_jsonl", "write_reports",
+           "write_summaries", "write_text_documents", "write_text_files"]

@@ -1,18 +1,27 @@
-"""Sinks (K1-K4, K7): dated, partitioned, rerun-safe outputs.
+"""Sinks (K1-K4, K7): dated outputs, one folder per report, safe to run again.
 
-Every writer partitions by the report key and overwrites only the report
-partitions present in the frame (dynamic partition overwrite), so a rerun of
-one day replaces that day and leaves every other day untouched (K7).
+A report's folder is named by an encoded key (``report=is-2025-11-19``; a null
+part is ``none``), and the key columns stay in the rows, so their types, null
+and the empty text survive. A run replaces the folders of the reports it has
+rows for, removes those of the reports it touched but has no rows for, and
+leaves every other folder alone.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def report_key(by: Sequence[str]) -> Column:
+    """Folder name of a report: one part per key column, null told from the empty text."""
+    return F.concat_ws("~", *[
+        F.coalesce(F.concat(F.lit("is-"), F.col(b).cast("string")), F.lit("none")) for b in by])
+
+
 def overwrite_partitions(df: DataFrame):
     """A writer that replaces only the partitions present in ``df`` (K7).
 
@@ -22,42 +31,77 @@ def overwrite_partitions(df: DataFrame):
     return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
 
 
-def _writer(df: DataFrame, partition_by: Sequence[str]):
-    w = overwrite_partitions(df)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    return w
+def _writer(df: DataFrame, by: Sequence[str]):
+    return overwrite_partitions(df.withColumn("report", report_key(by))).partitionBy("report")
+
+
+def remove_emptied(path: str, kept: DataFrame, touched: DataFrame, by: Sequence[str]) -> None:
+    """Delete the folders of the reports in ``touched`` that ``kept`` has no row for.
+
+    The names come to the driver one partition at a time; only folders that
+    exist are deleted.
+    """
+    spark = kept.sparkSession
+    names = touched.select(report_key(by).alias("report")).distinct()
+    gone = names.join(kept.select(report_key(by).alias("report")).distinct(), "report", "left_anti")
+    jvm = spark._jvm
+    escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for row in gone.toLocalIterator():
+        folder = jvm.org.apache.hadoop.fs.Path(os.path.join(path, f"report={escaped(row.report)}"))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def write_reports(df: DataFrame, path: str, by: Sequence[str],
+                  touched: DataFrame | None = None) -> None:
+    """Parquet rows under their report's folder; see the module's text for reruns."""
+    _writer(df, by).parquet(path)
+    if touched is not None:
+        remove_emptied(path, df, touched, by)
 
 
 def write_items_jsonl(items: DataFrame, path: str, partition_by: Sequence[str] = ("report_date",),
                       order: Sequence[str] = ("ordinal",),
-                      fields: Sequence[str] = ("title", "link", "abstract")) -> None:
+                      fields: Sequence[str] = ("title", "link", "abstract"),
+                      touched: DataFrame | None = None) -> None:
     """K1: one JSON object per item, non-ASCII kept, a null abstract written as ``null``.
 
     Rows are range-partitioned on the report key and order so each output
     file holds consecutive items, and sorted within the file; no single task
     ever holds a whole report.
     """
-    keys = [*partition_by, *order]
-    out = (items.repartitionByRange(*[F.col(k) for k in keys])
-           .sortWithinPartitions(*keys)
-           .select(*partition_by, *fields))
-    _writer(out, partition_by).option("ignoreNullFields", "false").json(path)
+    keys = [F.col(k).asc_nulls_first() for k in (*partition_by, *order)]
+    out = items.withColumn("report", report_key(partition_by)).repartitionByRange(*keys) \
+        .sortWithinPartitions("report", *order).select("report", *fields)
+    overwrite_partitions(out).partitionBy("report").option("ignoreNullFields", "false").json(path)
+    if touched is not None:
+        remove_emptied(path, items, touched, partition_by)
 
 
 def write_text_documents(docs: DataFrame, path: str, text_col: str,
                          partition_by: Sequence[str] = ("report_date",),
-                         order: Sequence[str] = ("chunk",)) -> None:
-    """K2/K3: one text document (Markdown list, prompt) per row, partitioned by report.
+                         order: Sequence[str] = ("chunk",),
+                         touched: DataFrame | None = None) -> None:
+    """K2/K3: one text document (Markdown list, prompt) per row, in its report's folder."""
+    write_reports(docs.select(*partition_by, *order, F.col(text_col).alias("text")), path,
+                  partition_by, touched)
+
+
+def write_text_files(docs: DataFrame, path: str, text_col: str,
+                     partition_by: Sequence[str] = ("report_date",),
+                     touched: DataFrame | None = None) -> None:
+    """K2/K3 as plain text: one file per document in its report's folder.
 
-    Written as Parquet rows ``(order..., text)`` rather than loose text files:
-    a document may contain newlines, and chunk order must survive.
+    The file is the text; a final line feed is added where the text has none.
     """
-    out = docs.select(*partition_by, *order, F.col(text_col).alias("text"))
-    _writer(out, partition_by).parquet(path)
+    body = F.regexp_replace(text_col, r"\n\z", "")  # the text source ends the row with one
+    out = docs.select(report_key(partition_by).alias("report"), body.alias("value"))
+    overwrite_partitions(out.repartition("report")).partitionBy("report").text(path)
+    if touched is not None:
+        remove_emptied(path, docs, touched, partition_by)
 
 
 def write_summaries(summaries: DataFrame, path: str,
-                    partition_by: Sequence[str] = ("report_date", "backend")) -> None:
-    """K4: summaries partitioned by report and backend (two backends, two outputs)."""
-    _writer(summaries, partition_by).parquet(path)
+                    partition_by: Sequence[str] = ("report_date", "backend"),
+                    touched: DataFrame | None = None) -> None:
+    """K4: summaries in a folder per report and backend (two backends, two outputs)."""
+    write_reports(summaries, path, partition_by, touched)

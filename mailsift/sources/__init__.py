@@ -1,6 +1,6 @@
 """Sources: message tables and files (S1), latest-N (S2), driver-table stand-ins."""
 
-from mailsift.sources.messages import latest_n, read_messages, spread_for_cpu
+from mailsift.sources.messages import latest_n, read_messages
 from mailsift.sources.tables import load_table
 
-__all__ = ["latest_n", "load_table", "read_messages", "spread_for_cpu"]
+__all__ = ["latest_n", "load_table", "read_messages"]

@@ -37,9 +37,6 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "auto") -> DataFram
     )
 
 
-MAX_BROADCAST_KEYS = 1_000_000
-
-
 def latest_n(df: DataFrame, n: int, order_col: str = "uid",
              by: Sequence[str] | str | None = None) -> DataFrame:
     """The last ``n`` messages in mailbox order (largest ``order_col``).
@@ -47,55 +44,23 @@ def latest_n(df: DataFrame, n: int, order_col: str = "uid",
     ``n == 0`` means *all* messages (the source's ``uids[-0:]``); negative
     ``n`` is rejected. ``order_col`` identifies a message within a mailbox.
 
-    The choice runs on the key columns only - a Parquet scan then reads just
-    those columns - and the chosen rows are fetched by a null-safe left-semi
-    join, so message bodies never travel to the merge step:
-
-    * without ``by``: a top-``n`` (``TakeOrderedAndProject``, each task keeps
-      its own ``n`` keys) gives at most ``n`` keys, broadcast to the join
-      (a bound proven by ``n`` itself, up to ``MAX_BROADCAST_KEYS``);
-    * with ``by`` (one mailbox per group): ``row_number() <= n`` plans as
-      ``WindowGroupLimit`` partial + final, so a mailbox holding a third of
-      all rows is cut to ``n`` keys per map task before the shuffle; the
-      join side then has ``n`` keys per mailbox and AQE sizes the join.
+    * without ``by``: the choice runs on the key column alone (a Parquet scan
+      then reads just that), a top-``n`` in which each task keeps its own ``n``
+      keys; the rows are fetched by a null-safe left-semi join with those at
+      most ``n`` keys, whose size the planner knows;
+    * with ``by`` (one mailbox per group): ``row_number() <= n`` over the rows
+      plans as ``WindowGroupLimit`` partial + final, so every task ships at
+      most ``n`` rows per mailbox, however large the mailbox.
     """
     if n < 0:
         raise ValueError(f"latest_n: n must be >= 0, got {n}")
     if n == 0:
         return df
     by = [by] if isinstance(by, str) else list(by or [])
-    keys = [*by, order_col]
+    newest = F.col(order_col).desc_nulls_last()
     if by:
-        w = Window.partitionBy(*by).orderBy(F.col(order_col).desc_nulls_last())
-        top = (df.select(*keys).withColumn("__rn", F.row_number().over(w))
-               .filter(F.col("__rn") <= n).drop("__rn"))
-    else:
-        top = df.select(order_col).orderBy(F.col(order_col).desc_nulls_last()).limit(n)
-        if n <= MAX_BROADCAST_KEYS:
-            top = F.broadcast(top)
-    top = top.select(*[F.col(k).alias(f"__top_{k}") for k in keys])
-    cond = [df[k].eqNullSafe(top[f"__top_{k}"]) for k in keys]
-    return df.join(top, cond, "left_semi")
-
-
-def spread_for_cpu(df: DataFrame, min_partitions: int | None = None,
-                   key: str | None = None) -> DataFrame:
-    """Give a CPU-heavy narrow stage (regex extraction, MIME / HTML parsing)
-    at least one partition per core.
-
-    Only when the input has *fewer* partitions than the cluster's default
-    parallelism - a small table in one or two files - is it spread by a
-    repartition (hash of ``key`` when given, else round-robin); that shuffle
-    moves little data and lets every
-    core work. A large input (many files, many splits) is returned as is, so
-    at scale this never adds a shuffle. Checking the partition count plans
-    the query but runs nothing.
-    """
-    if df.isStreaming:
-        return df  # micro-batches are sized by the stream's trigger options
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    # Hashing a unique key is deterministic on retry without the per-partition
-    # sort that a round-robin repartition needs.
-    return df.repartition(target, F.col(key)) if key else df.repartition(target)
+        w = Window.partitionBy(*by).orderBy(newest)
+        return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
+    top = df.select(F.col(order_col).alias("__top")).orderBy(F.col("__top").desc_nulls_last()) \
+        .limit(n)
+    return df.join(top, F.col(order_col).eqNullSafe(F.col("__top")), "left_semi")

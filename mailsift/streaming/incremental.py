@@ -1,22 +1,23 @@
 """Incremental digest (T1) with Structured Streaming.
 
-New message files land in a folder; each micro-batch
-
-1. runs the stateless stages (anchor extraction and the link predicate) on
-   the new messages only and writes their items into
-   ``<out>/items/report_date=.../batch=<id>`` - a replayed batch overwrites
-   its own folder, so retries never duplicate items;
-2. recomputes the order-sensitive stages (ordered dedupe, tail drop, keyword
-   filter, numbering) over *all* landed items of the report partitions the
-   batch touched, and overwrites exactly those partitions of
-   ``<out>/digest`` (dynamic partition overwrite).
-
-Order lives in the data (``uid``, ``pos``), so the result equals the batch
-pipeline on the same messages whatever the arrival order - unlike
-``dropDuplicatesWithinWatermark``, which keeps the first *arrival*.
-The stream's progress and the outputs live under a shared folder (the
-session's ``spark.checkpoint.dir`` by default), so a restarted driver or a
-lost executor resumes from the last committed batch.
+New messages land in a folder; each micro-batch
+
+1. writes the keys of all its messages, and the items of those that pass the
+   filters, under ``batch=<id>`` folders: a replayed batch overwrites its own
+   folder, so retries never duplicate;
+2. recomputes the order-sensitive stages (latest N, ordered dedupe, tail drop,
+   keyword filter, numbering) from all landed rows of the reports it touched,
+   replaces those reports' folders of ``<out>/digest`` and removes the folders of
+   those that came out empty.
+
+With a latest-N limit a new message can push an older one out of any report,
+so every report that has a folder or a landed message counts as touched; the
+items recomputed are then those of N messages per mailbox.
+
+Order lives in the data (uid, pos), so the result equals the batch pipeline on
+the same messages whatever the arrival order. Progress and outputs live under
+a shared folder (the session's ``spark.checkpoint.dir`` by default), so a
+restarted driver or a lost executor resumes from the last committed batch.
 """
 
 from __future__ import annotations
@@ -26,56 +27,76 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from mailsift.operators.items import ITEM_ORDER, dedupe_first, drop_tail, keyword_filter, number_items
-from mailsift.plans.digest import DigestParams, filter_messages, message_items
-from mailsift.session import checkpoint_dir
-from mailsift.sinks import overwrite_partitions
+from mailsift.plans.digest import (
+    DigestParams, digest_columns, item_stages, match_messages, message_bodies, message_items,
+)
+from mailsift.session import checkpoint_dir, written
+from mailsift.sinks import overwrite_partitions, write_reports
+from mailsift.sources.messages import latest_n
 
 
-def _batch_items(batch: DataFrame, p: DigestParams) -> DataFrame:
-    """The stateless stages for one micro-batch: filters, body decode, extraction."""
-    return message_items(filter_messages(batch, p), p)
+def _same(columns: list[str]):
+    """Null-safe equality of ``columns`` with their ``__of_`` copies."""
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"__of_{c}"))
+    return same
 
 
-def _recompute(spark: SparkSession, items_path: str, digest_path: str, touched: DataFrame,
-               p: DigestParams) -> None:
-    by = list(p.report_by)
-    landed = spark.read.parquet(items_path).drop("batch")
-    landed = landed.join(F.broadcast(touched), by, "left_semi")
-    unique = dedupe_first(landed, ("title", "link"), ITEM_ORDER, by=by)
-    saved = drop_tail(unique, ITEM_ORDER, p.tail_k, by=by)
-    numbered = number_items(keyword_filter(saved, p.terms), ITEM_ORDER, by=by)
-    out = numbered.select(*by, "ordinal", "uid", "pos", "title", "link", "abstract")
-    overwrite_partitions(out).partitionBy(*by).parquet(digest_path)
+def _keys(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"__of_{c}") for c in columns]).distinct()
+
+
+def _land(df: DataFrame, path: str, batch_id: int) -> None:
+    overwrite_partitions(df.withColumn("batch", F.lit(batch_id).cast("long"))) \
+        .partitionBy("batch").parquet(path)
+
+
+def _landed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All landed rows, with the schema they were written with."""
+    full = StructType([*schema.fields, StructField("batch", LongType())])
+    return spark.read.schema(full).parquet(path).drop("batch")
 
 
 def start_incremental_digest(stream: DataFrame, out_dir: str, p: DigestParams,
                              available_now: bool = True):
     """Start T1 over a streaming DataFrame of messages; returns the ``StreamingQuery``.
 
-    ``stream`` needs ``uid``, the ``report_by`` columns and ``html`` or
-    ``raw`` RFC 822 bytes (e.g. a ``binaryFile`` stream of ``.eml`` files). The
-    set of touched report keys per batch is bounded by the batch, and is
-    broadcast only after its size is checked (a handful of dates/mailboxes).
+    ``stream`` needs ``uid``, the report and mailbox columns and ``html`` or ``raw``
+    RFC 822 bytes (e.g. a ``binaryFile`` stream of ``.eml`` files). Equal uids of
+    one mailbox are one message.
     """
-    spark = stream.sparkSession
-    items_path = os.path.join(out_dir, "items")
-    digest_path = os.path.join(out_dir, "digest")
-    by = list(p.report_by)
+    items_path, seen_path, digest_path = (os.path.join(out_dir, k)
+                                          for k in ("items", "messages", "digest"))
+    by, message = list(p.report_by), p.message_keys
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        items = _batch_items(batch, p).withColumn("batch", F.lit(int(batch_id)))
-        overwrite_partitions(items).partitionBy(*by, "batch").parquet(items_path)
-        touched = batch.select(*by).distinct()
-        if touched.limit(10_001).count() > 10_000:
-            raise ValueError("incremental digest: more than 10000 report keys in one batch; "
-                             "lower maxFilesPerTrigger")
-        if touched.isEmpty():
-            return
-        _recompute(spark, items_path, digest_path, touched, p)
-
-    writer = (stream.writeStream.foreachBatch(run_batch)
+        spark = batch.sparkSession
+        seen = batch.select(*message)
+        items = message_items(message_bodies(match_messages(batch, p), p), p)
+        _land(seen, seen_path, batch_id)
+        _land(items, items_path, batch_id)
+        all_seen = _landed(spark, seen_path, seen.schema)
+        all_items = _landed(spark, items_path, items.schema)
+        if p.recent:
+            newest = latest_n(all_seen.distinct(), p.recent, "uid", by=list(p.mailbox_by) or None)
+            live = all_items.join(_keys(newest, message), _same(message), "left_semi")
+            touched = written(all_seen.select(*by).distinct(), "touched")
+        else:
+            own = spark.read.schema(seen.schema).parquet(os.path.join(seen_path,
+                                                                     f"batch={batch_id}"))
+            touched = written(own.select(*by).distinct(), "touched")
+            live = all_items.join(_keys(touched, by), _same(by), "left_semi")
+        out = written(item_stages(live, p)["numbered"].select(*digest_columns(p)), "digest")
+        write_reports(out, digest_path, by, touched)
+
+    def run_batch_if_any(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            run_batch(batch, batch_id)
+
+    writer = (stream.writeStream.foreachBatch(run_batch_if_any)
               .option("checkpointLocation", os.path.join(out_dir, "_progress")))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
@@ -92,5 +113,4 @@ def incremental_digest_from_table(spark: SparkSession, sf_dir: str, p: DigestPar
     out_dir = out_dir or os.path.join(checkpoint_dir(spark), f"incremental-{uuid.uuid4().hex}")
     q = start_incremental_digest(page_messages(stream), out_dir, p)
     q.awaitTermination()
-    return spark.read.parquet(os.path.join(out_dir, "digest")).select(
-        *p.report_by, "ordinal", "uid", "pos", "title", "link", "abstract")
+    return spark.read.parquet(os.path.join(out_dir, "digest")).select(*digest_columns(p))

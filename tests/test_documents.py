@@ -22,8 +22,8 @@ def items(spark):
 def test_prompt_without_keywords(items):
     rows = {r.rep: r for r in build_prompts(items, [], ["rep"]).collect()}
     p = rows["d1"].prompt
-    assert "Summarize the following papers." in p
-    assert p.endswith("Papers to consider:\n"
+    assert "Work with every one of them." in p
+    assert p.endswith("Papers:\n"
                       "1. Title: First <T>\n   Link: https://a/1\n\n"
                       "2. Title: Second\n   Link: https://a/2\n\n"
                       "3. Title: Third\n   Link: https://a/3\n   Abstract: Abs & <x>\n")
@@ -32,15 +32,26 @@ def test_prompt_without_keywords(items):
 
 def test_prompt_with_keywords(items):
     p = build_prompts(items, [" Lithium", "", "ion"], ["rep"]).filter("rep = 'd2'").first().prompt
-    assert "relevant to these keywords: lithium, ion." in p
+    assert "bear on: lithium; ion." in p
     assert p.endswith("1. Title: Only\n   Link: https://b/1\n   Abstract: B\n")
 
 
-def test_chunks_keep_every_item(items):
-    rows = build_prompts(items, [], ["rep"], items_per_doc=2).filter("rep = 'd1'").collect()
-    assert sorted((r.chunk, r.n_items) for r in rows) == [(0, 2), (1, 1)]
-    second = [r for r in rows if r.chunk == 1][0].prompt
-    assert second.endswith("3. Title: Third\n   Link: https://a/3\n   Abstract: Abs & <x>\n")
+@pytest.mark.parametrize("size", [1, 2, 3])
+def test_parts_join_to_the_one_document(items, size):
+    for make, col in ((render_item_list, "markdown"),
+                      (lambda *a, **k: items_panel(a[0], [], a[1], **k), "items_html")):
+        whole = {r.rep: r[col] for r in make(items, ["rep"]).collect()}
+        parts = sorted((r.rep, r.chunk, r[col])
+                       for r in make(items, ["rep"], items_per_part=size).collect())
+        for rep, text in whole.items():
+            assert "".join(t for r, _, t in parts if r == rep) == text
+
+
+def test_one_prompt_per_report_of_any_size(spark):
+    big = spark.range(1, 2001).selectExpr("'r' rep", "int(id) ordinal", "concat('T', id) title",
+                                          "'l' link", "string(null) abstract")
+    rows = build_prompts(big, [], ["rep"]).collect()
+    assert len(rows) == 1 and rows[0].n_items == 2000 and "2000. Title: T2000" in rows[0].prompt
 
 
 def test_item_list(items):
@@ -60,10 +71,10 @@ def test_metadata_and_panel(items):
     assert (r.total, r.keywords_preview, r.footer_keywords, r.generated_on) == (
         3, "a, b, c, d, e...", "a, b, c...", "November 19, 2025 at 09:05 AM")
     panel = items_panel(items, [], ["rep"]).filter("rep = 'd1'").first()
-    assert panel.badges == '<span class="badge">No keywords</span>'
+    assert panel.badges == '<kbd>all items</kbd>'
     assert "First &lt;T&gt;" in panel.items_html
-    assert "<div class='abstract'>Abs & &lt;x&gt;</div>" in panel.items_html
-    assert panel.items_html.count("<div class='abstract'>") == 1
+    assert "<p>Abs & &lt;x&gt;</p>" in panel.items_html
+    assert panel.items_html.count("<p>") == 1
 
 
 def test_markdown_outline(spark):

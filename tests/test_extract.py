@@ -3,9 +3,15 @@
 from pyspark.sql import functions as F
 
 from mailsift.operators.extract import (
-    dedupe_in_message, extract_anchors, extract_items, keep_links, parse_items,
+    dedupe_in_message, extract_anchors, extract_items, keep_links, parse_anchors,
 )
 
+
+def items_of(spark, html, **options):
+    df = spark.createDataFrame([(1, html)], "uid long, html string")
+    return sorted(tuple(r)[1:] for r in extract_items(df, **options).collect())
+
+
 ALERT = """<html><body>
 <table><tr><td>
 <h3><a href="https://example.org/paper1">Paper <b>One</b>: fast &amp; exact</a></h3>
@@ -47,22 +53,17 @@ SOUP_ITEMS = [
 ]
 
 
-def test_parse_items_alert_fixture():
-    assert parse_items(ALERT) == ALERT_ITEMS
-
-
-def test_parse_items_tag_soup():
-    assert parse_items(SOUP) == SOUP_ITEMS
+def test_items_of_tag_soup(spark):
+    assert items_of(spark, SOUP) == SOUP_ITEMS
 
 
-def test_parse_items_empty_and_dedupe_off():
-    assert parse_items("") == []
-    items = parse_items(ALERT, dedupe=False)
-    assert [i[0] for i in items] == [1, 3, 5, 6]
+def test_items_empty_and_dedupe_off(spark):
+    assert items_of(spark, "") == [] and parse_anchors(None) == []
+    assert [i[0] for i in items_of(spark, ALERT, dedupe=False)] == [1, 3, 5, 6]
 
 
-def test_parse_items_custom_predicate():
-    items = parse_items(ALERT, min_len=1, contains=(), prefixes=("/",))
+def test_items_custom_predicate(spark):
+    items = items_of(spark, ALERT, min_len=1, contains=(), prefixes=("/",))
     assert items == [(4, "Relative link title", "/relative/link", None)]
 
 
@@ -88,7 +89,7 @@ def test_native_extract_matches_parser_on_well_formed(spark):
     df = spark.createDataFrame([(1, WELL_FORMED)], "uid long, html string")
     native = keep_links(extract_anchors(df), min_len=4, contains=(), prefixes=("http",))
     got = sorted((r.pos, r.title, r.link) for r in native.collect())
-    parsed = [(p, t, li) for p, t, li, _ in parse_items(WELL_FORMED, dedupe=False)]
+    parsed = [i[:3] for i in items_of(spark, WELL_FORMED, dedupe=False)]
     assert got == sorted(parsed)
     assert got[0] == (1, "Firstitem", "https://a.org/1")
     assert (2, "Second & more", "https://a.org/2") in got
@@ -111,14 +112,14 @@ def test_native_numeric_references_match_html_unescape(spark):
     df = spark.createDataFrame([(1, page)], "uid long, html string")
     got = extract_anchors(df).first().title
     assert got == _html.unescape(title).strip()
-    assert got == parse_items(page)[0][1]
+    assert got == items_of(spark, page)[0][1]
 
 
-def test_title_length_boundary_and_nbsp():
+def test_title_length_boundary_and_nbsp(spark):
     page = ('<div><a href="https://e.org/3">abc</a></div>'
             '<div><a href="https://e.org/4"> abcd </a></div>'
             '<div><a href="https://e.org/4b"> ab&nbsp;</a></div>')
-    got = [(t, li) for _, t, li, _ in parse_items(page)]
+    got = [(t, li) for _, t, li, _ in items_of(spark, page)]
     assert got == [("abcd", "https://e.org/4")]
 
 

@@ -116,9 +116,9 @@ def test_previews_and_badges(spark, n_terms):
     assert r.p5 == ", ".join(terms[:5]) + ("..." if n_terms > 5 else "")
     assert r.p3 == ", ".join(terms[:3]) + ("..." if n_terms > 3 else "")
     if terms:
-        assert r.b == "".join(f'<span class="badge">{t}</span>' for t in terms)
+        assert r.b == "".join(f"<kbd>{t}</kbd>" for t in terms)
     else:
-        assert r.b == '<span class="badge">No keywords</span>'
+        assert r.b == "<kbd>all items</kbd>"
 
 
 def test_generated_on_format(spark):

@@ -120,25 +120,56 @@ def test_keyword_filter_equals_loop(items, terms):
     assert got == sorted(py_keyword(rows, norm))
 
 
-@pytest.mark.parametrize("path", ["jvm", "ahocorasick", "chunked"])
-def test_keyword_semi_join_equals_filter(spark, items, path):
+def test_keyword_semi_join_equals_filter(spark, items):
     rows, df = items
-    terms_df = spark.createDataFrame([(t,) for t in TERMS + ["Lithium", " "]], "term string")
-    kw = dict(row_key=("report", "uid", "pos"))
-    if path == "jvm":
-        kw["max_jvm_terms"] = 100
-    elif path == "ahocorasick":
-        kw["max_jvm_terms"] = 0
-    else:
-        kw.update(max_jvm_terms=0, max_broadcast_terms=2)
-    got = sorted(tuple(r) for r in keyword_semi_join(df, terms_df, **kw).collect())
-    assert got == sorted(tuple(r) for r in keyword_filter(df, TERMS).collect())
+    terms_df = spark.createDataFrame([(t,) for t in TERMS + ["Lithium", " ", "\u00a0cell\u00a0", "3"]],
+                                     "term string")
+    key = ("report", "uid", "pos")
+    got = sorted(tuple(r) for r in keyword_semi_join(df, terms_df, key).collect())
+    assert got == sorted(tuple(r) for r in keyword_filter(df, TERMS + ["cell", "3"]).collect())
+
+
+def test_keyword_semi_join_null_keys_and_many_terms(spark):
+    df = spark.createDataFrame([(None, "Alpha beta", None), (1, "gamma", "ALPHA"), (2, "x", "")],
+                               "k long, title string, abstract string")
+    terms = spark.range(3000).selectExpr("concat('zz', id) AS term").union(
+        spark.createDataFrame([("alpha",)], "term string"))
+    assert sorted(str(r.k) for r in keyword_semi_join(df, terms, ["k"]).collect()) == ["1", "None"]
 
 
 def test_keyword_semi_join_empty_terms_passes_all(spark, items):
     rows, df = items
     empty = spark.createDataFrame([("  ",)], "term string")
-    assert keyword_semi_join(df, empty).count() == len(rows)
+    assert keyword_semi_join(df, empty, ["uid", "pos"]).count() == len(rows)
+
+
+@pytest.mark.parametrize("partitions", [5, 16])
+def test_ordinal_at_size_with_payload_null_groups_and_a_hot_group(spark, partitions):
+    """Above the size where range bounds are sampled; every row carries a payload."""
+    from pyspark.sql import functions as F
+
+    n = 300_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 100 < 34, "hot").when(F.col("id") % 100 < 60, F.lit(None))
+        .when(F.col("id") % 100 < 70, "").otherwise(F.concat(F.lit("r"), F.col("id") % 5)).alias("g"),
+        F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("uid"), "id",
+        F.concat(F.lit("payload "), F.md5(F.col("id").cast("string"))).alias("title"))
+    order = [("uid", False), "id"]
+    got = ordinal(df, ["g"], order, partitions=partitions)
+    want = ordinal(df, ["g"], order, skew_safe=False)
+    assert got.count() == n
+    assert got.exceptAll(want).count() == 0
+
+
+def test_drop_tail_null_groups_keys_and_shared_uids(spark):
+    df = spark.createDataFrame([(None, i, 0) for i in range(4)] + [("", 1, 0), ("", None, 0), ("", 2, 0)],
+                               "g string, uid long, pos int")
+    got = sorted((str(r.g), str(r.uid)) for r in drop_tail(df, ITEM_ORDER, 2, by=("g",)).collect())
+    # of the null group the two oldest go; in "" the null uid is the oldest message
+    assert got == [("", "2"), ("None", "2"), ("None", "3")]
+    boxes = spark.createDataFrame([(b, u, 0) for b in range(4) for u in range(4)],
+                                  "box int, uid long, pos int")
+    assert drop_tail(boxes, ["box", ("uid", False), "pos"], 2).count() == 14
 
 
 def test_latest_n_limit_precedes_filter(spark):

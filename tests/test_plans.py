@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from mailsift.operators.items import ITEM_ORDER, dedupe_first, drop_tail
 from mailsift.operators.order import ordinal
+from mailsift.plans.queries import QUERIES
 from tests.conftest import SF_SMALL
 
 
@@ -17,12 +18,11 @@ def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"digest_incremental"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"digest_incremental",
+                                                           "digest_incremental_latest"}))
 def test_no_cartesian_products(spark, name):
     p = plan(E.queries()[name](spark, SF_SMALL))
-    assert "CartesianProduct" not in p
-    if name != "keyword_selected_table":
-        assert "BroadcastNestedLoopJoin" not in p
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
 def test_dedupe_is_limited_map_side(spark):
@@ -59,8 +59,6 @@ def test_hot_group_is_split_across_partitions(spark):
     assert spread >= 4
     got = ordinal(df, ["report"], ITEM_ORDER, partitions=8).filter("report = 'hot'")
     assert sorted(r.ordinal for r in got.select("ordinal").collect()) == list(range(1, 3001))
-    p = plan(ordinal(df, ["report"], ITEM_ORDER, partitions=8))
-    assert "rangepartitioning" in p
 
 
 def test_tail_drop_never_sorts_everything(spark):
@@ -72,13 +70,19 @@ def test_tail_drop_never_sorts_everything(spark):
     assert "TakeOrderedAndProject" in p
 
 
-def test_spread_only_when_partitions_are_short(spark, tmp_out):
-    from mailsift.sources import spread_for_cpu
+def test_spread_only_on_request(spark):
+    from mailsift.session import SPREAD_SETTING, spread
 
-    cores = spark.sparkContext.defaultParallelism
     small = spark.range(100).coalesce(1)
-    assert spread_for_cpu(small, key="id").rdd.getNumPartitions() == cores
-    wide = spark.range(100).repartition(cores * 2)
-    assert spread_for_cpu(wide, key="id") is wide  # enough splits: unchanged, no shuffle
-    stream = spark.readStream.format("rate").load()
-    assert spread_for_cpu(stream) is stream
+    assert spread(small, "id") is small
+    spark.conf.set(SPREAD_SETTING, "6")
+    try:
+        assert spread(small, "id").select(F.spark_partition_id()).distinct().count() > 1
+        stream = spark.readStream.format("rate").load()
+        assert spread(stream, "value") is stream
+    finally:
+        spark.conf.unset(SPREAD_SETTING)
+
+
+def test_outline_needs_no_shuffle(spark):
+    assert "Exchange" not in plan(E.queries()["markdown_outline"](spark, SF_SMALL))

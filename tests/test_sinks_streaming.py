@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from mailsift.operators.inference import infer
-from mailsift.plans.digest import materialise
 from mailsift.plans.queries import _digest_params, digest_q
 from mailsift.plans import standins as S
+from mailsift.session import written
 from mailsift.sinks import write_items_jsonl, write_summaries
 from mailsift.streaming.incremental import incremental_digest_from_table, start_incremental_digest
 from tests.conftest import SF_SMALL
@@ -69,8 +69,8 @@ def test_infer_backends_and_errors(spark):
         infer(prompts, "nope", ["k"])
 
 
-def test_materialise_cuts_lineage(spark):
-    df = materialise(spark.range(5).withColumn("x", F.col("id") * 2))
+def test_written_cuts_lineage(spark):
+    df = written(spark.range(5).withColumn("x", F.col("id") * 2))
     assert df.count() == 5
 
 
@@ -111,8 +111,9 @@ def test_run_digest_end_to_end(spark, tmp_out):
     saved_n = stages["saved"].count()
     selected = stages["selected"].groupBy("sender").count().collect()
     assert len(read_json_lines(paths["items"])) == saved_n
-    lists = spark.read.parquet(paths["lists"])
+    lists = spark.read.text(paths["lists"], wholetext=True)
     assert lists.count() == stages["saved"].select("sender").distinct().count()
+    assert all(r.value.startswith("# Alert items (saved)\n\n1. ") for r in lists.collect())
     prompts = spark.read.parquet(paths["prompts"])
     assert prompts.count() == len(selected)
     summ = spark.read.parquet(paths["summaries"]).collect()
@@ -158,3 +159,86 @@ def test_stream_of_eml_files_equals_batch(spark, tmp_out):
     got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "digest")).select(
         "report_date", "ordinal", "uid", "pos", "title", "link", "abstract").collect())
     assert got == batch
+
+
+ANCHORS = "".join(f'<a href="/{i}">Item number {i}</a>' for i in range(5))
+
+
+def _messages(spark, rows):
+    return spark.createDataFrame(rows, "report_date string, uid long, html string")
+
+
+def _params(**kw):
+    from mailsift.plans.digest import DigestParams
+
+    return DigestParams(contains=(), prefixes=("/",), terms=[], extractor="native", **kw)
+
+
+def test_each_day_calls_the_model_for_itself_alone(spark, tmp_out):
+    from mailsift.plans.run import run_digest
+
+    calls = os.path.join(tmp_out, "calls")
+    os.makedirs(calls)
+
+    def factory(temperature, max_output_tokens):
+        import uuid
+
+        assert (temperature, max_output_tokens) == (0.1, 50)
+
+        def fn(prompt):
+            open(os.path.join(calls, uuid.uuid4().hex), "w").close()
+            return "ok"
+        return fn
+
+    out, seen = os.path.join(tmp_out, "days"), {}
+    for day in (1, 2, 3):
+        run_digest(_messages(spark, [(f"2025-11-1{day}", day, ANCHORS)]), _params(), out,
+                   f"2025-11-1{day} 08:00:00", backend="stub", backends={"stub": factory},
+                   options={"temperature": 0.1, "max_output_tokens": 50})
+        assert len(os.listdir(calls)) == day
+        now = {r.report_date: r.text
+               for r in spark.read.parquet(os.path.join(out, "reports")).collect()}
+        assert len(now) == day and all(now[k] == v for k, v in seen.items())
+        seen = now
+    # a rerun that leaves nothing clears that day and no other
+    run_digest(_messages(spark, [("2025-11-12", 2, "<p>no links today</p>")]), _params(), out,
+               "2025-11-12 09:00:00", backend="stub", backends={"stub": factory},
+               options={"temperature": 0.1, "max_output_tokens": 50})
+    for kind in ("prompts", "reports", "summaries"):
+        got = {r.report_date for r in spark.read.parquet(os.path.join(out, kind)).collect()}
+        assert got == {"2025-11-11", "2025-11-13"}, kind
+    assert {d for d, _ in read_json_lines(os.path.join(out, "items"))} == {
+        "report=is-2025-11-11", "report=is-2025-11-13"}
+
+
+def test_null_and_empty_report_keys_get_reports(spark, tmp_out):
+    from mailsift.plans.run import run_digest
+
+    rows = [(None, 1, ANCHORS), ("", 2, ANCHORS), ("a@x", 3, ANCHORS)]
+    msgs = spark.createDataFrame(rows, "sender string, uid long, html string")
+    paths = run_digest(msgs, _params(report_by=("sender",)), os.path.join(tmp_out, "keys"),
+                       "2025-11-19 09:00:00")
+    reports = spark.read.parquet(paths["reports"]).collect()
+    assert sorted(str(r.sender) for r in reports) == ["", "None", "a@x"]
+    assert all("<dd>3</dd>" in r.text for r in reports)
+    assert len(read_json_lines(paths["items"])) == 9
+
+
+@pytest.mark.parametrize("recent", [0, 2, 100])
+def test_stream_equals_batch_with_latest_and_shrinking_reports(spark, tmp_out, recent):
+    from mailsift.plans.digest import digest
+
+    rows = [(f"r{u % 3}", u, f'<a href="/{u}">Item number {u}</a>'
+             + "".join(f'<a href="/{u}/{i}">Item of {u} at {i}</a>' for i in range(u % 4)))
+            for u in range(12)]
+    p = _params(recent=recent)
+    land = os.path.join(tmp_out, "land")
+    for i in range(3):
+        _messages(spark, rows[i::3]).coalesce(1).write.parquet(os.path.join(land, f"p{i}"))
+    stream = (spark.readStream.schema("report_date string, uid long, html string")
+              .option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(land))
+    out = os.path.join(tmp_out, "t1r")
+    start_incremental_digest(stream, out, p).awaitTermination()
+    want = digest(_messages(spark, rows), p)
+    got = spark.read.parquet(os.path.join(out, "digest")).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
