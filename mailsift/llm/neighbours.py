@@ -21,9 +21,11 @@ vectors, say) is worked by many tasks and no group grows with the data.
 Defined results: a vector that is null, zero, holds null or non-finite parts,
 or has not the most common length takes no part, nor does a row without id;
 of several rows with a query's id the smallest vector asks, and none of them
-is its candidate; rows with equal ids are candidates each; equal distances
-are ordered by id; with fewer than ``k`` other rows all reachable ones are
-returned; an empty table gives no rows. Extra columns are not read.
+is its candidate; rows with equal ids are one candidate, at the nearest of
+them; equal distances are ordered by id; with fewer than ``k`` other rows all
+are returned (the sample's own nearest are always among the found, so a query
+never gets fewer rows than it must); an empty table gives no rows. Extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -63,7 +65,7 @@ class Model:
         # Lengths beyond the square root of the largest double would overflow; measure scaled.
         self.scale = float(max(np.abs(sample).max(), 1e-300)) if len(sample) else 1.0
         self.rotation = np.linalg.qr(rng.standard_normal((size, size)))[0]
-        self.ids, self.sample = sample_ids, self.turned(sample)
+        self.ids, self.plain, self.sample = sample_ids, sample, self.turned(sample)
         lists = int(min(max(1, rows // LIST_ROWS), MOST_LISTS, len(sample)))
         self.centres = self.sample[rng.permutation(len(sample))[:lists]]
         for _ in range(ROUNDS):
@@ -85,7 +87,7 @@ class Model:
             self.probes = int(found[min(len(found) - 1, math.ceil(RECALL * len(found)) - 1)]) + 1
 
     def turned(self, vectors: np.ndarray) -> np.ndarray:
-        return (vectors / self.scale) @ self.rotation
+        return np.clip(vectors / self.scale, -1e150, 1e150) @ self.rotation
 
     @staticmethod
     def far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -96,15 +98,38 @@ class Model:
                for i in range(0, len(turned), 2048)]
         return np.concatenate(out) if out else np.zeros(0, np.int64)
 
-    def bounds(self, ids: np.ndarray, turned: np.ndarray) -> np.ndarray:
-        """Squared distance within which ``k`` other rows surely lie, from the sample."""
-        out = np.full(len(ids), np.inf)
+    def start(self, ids: np.ndarray, turned: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """For each query: a squared distance within which ``k`` other ids surely lie, and the
+        places of the sample's nearest rows."""
+        bounds, near = np.full(len(ids), np.inf), []
         for i in range(0, len(ids), 256):
             d = self.far(turned[i:i + 256], self.sample)
             d[ids[i:i + 256, None] == self.ids[None, :]] = np.inf
-            if d.shape[1] >= self.k:
-                out[i:i + 256] = np.partition(d, self.k - 1, axis=1)[:, self.k - 1]
-        return out * (1 + 1e-6) + 1e-12
+            for j, row in enumerate(d, i):
+                most = min(len(row), 2 * self.k)
+                some = np.argpartition(row, most - 1)[:most]
+                some = some[np.argsort(row[some], kind="stable")]
+                some = some[np.isfinite(row[some])]
+                some = some[np.sort(np.unique(self.ids[some], return_index=True)[1])][:self.k]
+                near.append(some)
+                if len(some) == self.k:
+                    bounds[j] = row[some[-1]]
+        return bounds * (1 + 1e-6) + 1e-12, near
+
+
+def _distance(rows: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Euclidean distances; lengths whose square a double cannot hold are scaled."""
+    diff = rows - one
+    big = np.abs(diff).max(axis=1, initial=0.0)
+    unit = np.where((big > 1e140) | ((big < 1e-140) & (big > 0)), big, 1.0)
+    return np.sqrt(((diff / unit[:, None]) ** 2).sum(1)) * unit
+
+
+def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` nearest ids, each at its nearest row, ties to the smaller id."""
+    order = np.lexsort((ids, scores))
+    order = order[np.sort(np.unique(ids[order], return_index=True)[1])][:k]
+    return ids[order], scores[order]
 
 
 def scan(query: np.ndarray, bound: float, columns: list[np.ndarray]) -> np.ndarray:
@@ -165,23 +190,30 @@ def nearest_rows(table: DataFrame, asks: Column, id_col: str = "vec_id",
         for batch in batches:
             m, plain = shared.value, vectors(batch.column(1))
             turned = m.turned(plain)
-            bounds = m.bounds(batch.column(0).to_numpy(), turned)
+            bounds, near = m.start(batch.column(0).to_numpy(), turned)
+            scores = [_distance(m.plain[n], p) for n, p in zip(near, plain)]
             for i in range(0, len(turned), 512):
                 some = turned[i:i + 512]
                 order = np.argsort(m.far(some, m.centres), axis=1)[:, :m.probes]
                 which = np.repeat(np.arange(i, i + len(some)), order.shape[1])
+                first = np.arange(len(which)) % order.shape[1] == 0  # once for each query
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(which)),
                      pa.array(order.ravel().astype(np.int32)), pa.array(bounds[which]),
                      pa.array([turned[j].tobytes() for j in which], pa.binary()),
-                     pa.array([plain[j].tobytes() for j in which], pa.binary())],
-                    names=["id", "list", "bound", "turned", "plain"])
+                     pa.array([plain[j].tobytes() for j in which], pa.binary()),
+                     pa.array([m.ids[near[j]] if f else None for j, f in zip(which, first)],
+                              pa.list_(pa.int64())),
+                     pa.array([scores[j] if f else None for j, f in zip(which, first)],
+                              pa.list_(pa.float64()))],
+                    names=["id", "list", "bound", "turned", "plain", "near", "scores"])
 
     lists = written(clean.select("id", "v").mapInArrow(
         listed, "id long, list int, turned binary, plain binary"), "lists")
     asked = clean.filter("asks").groupBy("id").agg(F.min("v").alias("v"))
     queries = written(asked.mapInArrow(
-        visits, "id long, list int, bound double, turned binary, plain binary"), "visits")
+        visits, "id long, list int, bound double, turned binary, plain binary, "
+                "near array<long>, scores array<double>"), "visits")
     sizes = lists.groupBy("list").count().collect()      # one row per list: MOST_LISTS at most
     visitors = {r["list"]: r["count"] for r in queries.groupBy("list").count().collect()}
     parts = spark.createDataFrame(
@@ -204,7 +236,7 @@ def nearest_rows(table: DataFrame, asks: Column, id_col: str = "vec_id",
             turned, plain = (_matrix(candidates.column(c), size) for c in ("turned", "plain"))
             columns = [np.ascontiguousarray(turned[:, i:i + COLUMNS])
                        for i in range(0, size, COLUMNS)]
-            far_squared = shared.value.scale ** 2
+            scale = shared.value.scale
             for asker, bound, q, p in zip(askers.column("id").to_pylist(),
                                           askers.column("bound").to_pylist(),
                                           _matrix(askers.column("turned"), size),
@@ -213,12 +245,10 @@ def nearest_rows(table: DataFrame, asks: Column, id_col: str = "vec_id",
                 for i in range(0, len(ids), 2048):
                     left = i + scan(q, bound, [c[i:i + 2048] for c in columns])
                     left = left[ids[left] != asker]
-                    score = np.sqrt(((plain[left] - p) ** 2).sum(1))
-                    best, best_ids = np.append(best, score), np.append(best_ids, ids[left])
-                    order = np.lexsort((best_ids, best))[:k]
-                    best, best_ids = best[order], best_ids[order]
+                    score = _distance(plain[left], p)
+                    best_ids, best = _best(np.append(best_ids, ids[left]), np.append(best, score), k)
                     if len(best) == k:
-                        bound = min(bound, best[-1] ** 2 / far_squared * (1 + 1e-6) + 1e-12)
+                        bound = min(bound, (best[-1] / scale) ** 2 * (1 + 1e-6) + 1e-12)
                 found += zip([asker] * len(best), best_ids.tolist(), best.tolist())
         columns_out = list(zip(*found)) or [[], [], []]
         return pa.table([pa.array(columns_out[0], pa.int64()), pa.array(columns_out[1], pa.int64()),
@@ -227,6 +257,10 @@ def nearest_rows(table: DataFrame, asks: Column, id_col: str = "vec_id",
 
     keys = ["list", "part", "query_part"]
     near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, out)
+    known = queries.filter("near is not null").select(
+        F.col("id").alias("query_id"), F.explode(F.arrays_zip("near", "scores")).alias("z")) \
+        .select("query_id", F.col("z.near").alias("vec_id"), F.col("z.scores").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
+    each = near.unionByName(known).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    return each.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")
