@@ -38,3 +38,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/mailsift-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python workers in batches of at most ``BATCH_BYTES`` (or one row).
+
+    The session's own bound stays where it is smaller. Texts differ in length
+    by orders of magnitude, so a bound in rows alone does not bound memory.
+    """
+    now = spark.conf.get(_BATCH_SETTING, "64m").lower().rstrip("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now[-1:], 1)
+    if not 0 < int(now.rstrip("kmg")) * scale <= BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)

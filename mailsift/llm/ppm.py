@@ -33,7 +33,6 @@ rows. Extra columns are not read.
 from __future__ import annotations
 
 import math
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -43,13 +42,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailsift.llm._store import written
+from mailsift.llm._store import small_batches, written
 
 ORDER = 5
 BITS, END, START, ALPHABET = 9, 256, 257, 257
-BYTES_AT_ONCE = 1 << 22
-HELD_BACK = 4_000_000          # distinct keys a counting task holds before it emits them
-KEYS_SENT = 2_000_000          # most used keys of each kind that are sent to the tasks
+BYTES_AT_ONCE = 1 << 20
+HELD_BACK = 1_000_000          # distinct keys a counting task holds before it emits them
+KEYS_SENT = 1_000_000          # most used keys of each kind that are sent to the tasks
 GRAM, WORD = 0, 1
 
 
@@ -125,7 +124,7 @@ def count_keys(texts: DataFrame, order: int) -> DataFrame:
                 if len(keys) > HELD_BACK:
                     yield _rows(GRAM, keys, counts)
                     keys, counts = none, none
-                if len(words) > HELD_BACK // 8:
+                if len(words) > HELD_BACK // 4:
                     yield _rows(WORD, _hashes(words), np.array(list(words.values()), np.int64))
                     words = Counter()
         yield _rows(GRAM, keys, counts)
@@ -214,7 +213,7 @@ class Table:
         return np.where(there, self.values[slot], 0.0), there
 
 
-def _most_used(table: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+def _most_used(table: DataFrame, most: int) -> Table:
     """Keys and values of the rows used at least so often that ``most`` rows at most remain."""
     steps = table.groupBy(F.floor(F.log2(F.col("n") + 1) * 8).alias("step")) \
         .agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("low")).collect()  # < 512 rows
@@ -224,12 +223,9 @@ def _most_used(table: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
             break
         held, least = held + step.rows, step.low
     if least is None:
-        return np.zeros(0, np.int64), np.zeros(0)
+        return Table(np.zeros(0, np.int64), np.zeros(0))
     got = table.filter(F.col("n") >= least).select("key", "value").toArrow()
-    return (got.column(0).to_numpy().astype(np.int64), got.column(1).to_numpy().astype(np.float64))
-
-
-_TABLES: dict = {}
+    return Table(got.column(0).to_numpy(), got.column(1).to_numpy())
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -241,6 +237,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the smoothed log10 probability of its words as a bag.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     crc = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        (crc % held_mod == 0).alias("held_out"))
@@ -256,15 +253,6 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     below = math.log10(tokens + 0.1 * (kinds + 1))
     end_value = math.log10(ends + 0.1)
     sent = [spark.sparkContext.broadcast(_most_used(t, keys_sent)) for t in (pairs, words)]
-    name = uuid.uuid4().hex
-
-    def table(kind: int) -> Table:
-        if (name, kind) not in _TABLES:
-            for old in [k for k in _TABLES if k[0] != name]:
-                del _TABLES[old]
-            _TABLES[name, kind] = Table(*sent[kind].value)
-        return _TABLES[name, kind]
-
     missing = pa.list_(pa.struct([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +260,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for at, part in _parts(batch.column(1).to_pylist()):
                 n = len(part)
                 grams, firsts = _codes(part, order)
-                value, there = table(GRAM).get(grams)
+                value, there = sent[GRAM].value.get(grams)
                 score = np.add.reduceat(value, firsts)
                 split = [t.split() for t in part]
                 sizes = np.fromiter(map(len, split), np.int64, n)
@@ -281,7 +269,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 which = np.fromiter(map(place.__getitem__, flat), np.int64, len(flat))
                 owner = np.repeat(np.arange(n), sizes)
                 hashed = _hashes(place)
-                word_value, known = table(WORD).get(hashed)
+                word_value, known = sent[WORD].value.get(hashed)
                 base = np.bincount(owner, word_value[which], n)
                 n_known = np.bincount(owner, known[which], n).astype(np.int64)
                 spread = np.repeat(np.arange(n), np.diff(np.append(firsts, len(grams))))
