@@ -40,6 +40,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mailsift.llm._store import small_batches
+
 TRAIN_PAGES = 200
 DISGUISES = 3
 TREES, DEPTH = 12, 4
@@ -428,6 +430,7 @@ def train(pages: DataFrame, html_col: str = "html",
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
               html_col: str = "html", forest: Forest | None = None) -> DataFrame:
     """``id, url, text, n_chars`` of every page; narrow, one page at a time."""
+    small_batches(pages.sparkSession)
     forest = forest or train(pages, html_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

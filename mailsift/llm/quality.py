@@ -20,12 +20,12 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from mailsift.llm._store import written
+from mailsift.llm._store import small_batches, written
 
 GAMMA = 1.02          # buckets a factor apart: quantiles within one per cent
 SPACES = " \t\n\x0b\x0c\r"
@@ -59,16 +59,22 @@ def text_counts(text: str | None) -> tuple[int, int, int, int, int, int]:
 
 
 def _counts(text: Column) -> Column:
-    @F.pandas_udf(StructType([StructField(n, LongType()) for n in COUNTS]))
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    kind = StructType([StructField(n, LongType()) for n in COUNTS])
+
+    @F.arrow_udf(kind)
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.DataFrame([text_counts(t) for t in texts], columns=list(COUNTS))
+            columns = zip(*[text_counts(t) for t in texts.to_pylist()]) if len(texts) else \
+                [[] for _ in COUNTS]
+            yield pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns],
+                                             list(COUNTS))
     return of(text)
 
 
 def with_counts(docs: DataFrame, keep: tuple[str, ...], text_col: str = "text",
                 groups: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """``row`` (struct of the columns to keep), ``q_group``, ``q_counts``, ``q_base_failed``."""
+    small_batches(docs.sparkSession)
     c = F.col("q_counts")
     failed = (c.n_words < 50) | (100 * c.n_repeat_words > 50 * c.n_words)
     return docs.select(F.struct(*[F.col(f"`{k}`") for k in keep]).alias("row"),

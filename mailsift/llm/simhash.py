@@ -29,12 +29,13 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from mailsift.llm._store import written
+from mailsift.llm._store import small_batches, written
 
 SHINGLE = 3
 DISTANCE = 2
@@ -66,10 +67,12 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """Add ``fp`` (long); narrow, whole texts."""
-    @F.pandas_udf("long")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    small_batches(docs.sparkSession)
+
+    @F.arrow_udf(LongType())
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+            yield pa.array([fingerprint(t, shingle) for t in texts.to_pylist()], pa.int64())
     return docs.withColumn("fp", of(F.col(text_col)))
 
 
