@@ -1,10 +1,10 @@
 """License scan: ordered signature rules over the words of a text, DataFrame functions only.
 
 Words are runs of letters, digits and non-ASCII characters, compared in
-lower case (A-Z). A rule is a regular expression over words, with a keyword
+lower case (A-Z). A rule is a regular expression over words, with keywords
 that every match of it contains, a priority and a confidence. A text goes
 through the rules only if it holds some keyword, and each rule is tried only
-where its own keyword stands. Matches are word intervals; one that lies inside
+where its own keywords stand. Matches are word intervals; one that lies inside
 another of at least its priority is suppressed (of equal intervals the higher
 priority, then the earlier rule stays). Base phrases are found beside the
 rules and always keep their labels.
@@ -26,46 +26,47 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 BASE_CONFIDENCE = 0.5
 
-# Family: (label, how its name is written in words, versions, a short name that stands alone)
+# Family: (label, words one of which every way of writing it holds, how its name is written,
+# versions, a short name that stands alone)
 FAMILIES = (
-    ("mit", "(?:the )?(?:mit|expat|x11)", (), None),
-    ("apache", "(?:the )?apache(?: software)?", ("2 0", "1 1", "1 0"), "apache"),
-    ("bsd", "(?:the )?(?:new |modified |simplified |original )?(?:bsd|berkeley software distribution)",
+    ("mit", "mit / expat / x11", "(?:the )?(?:mit|expat|x11)", (), None),
+    ("apache", "apache", "(?:the )?apache(?: software)?", ("2 0", "1 1", "1 0"), "apache"),
+    ("bsd", "bsd / berkeley", "(?:the )?(?:new |modified |simplified |original )?(?:bsd|berkeley software distribution)",
      ("3 clause", "2 clause", "4 clause", "0 clause"), "bsd"),
-    ("gpl", "(?:the )?(?:gnu )?(?:general public|gpl)", ("3 0", "2 0", "3", "2", "1"), "gpl"),
-    ("lgpl", "(?:the )?(?:gnu )?(?:lesser general public|library general public|lgpl)",
+    ("gpl", "general public / gpl", "(?:the )?(?:gnu )?(?:general public|gpl)", ("3 0", "2 0", "3", "2", "1"), "gpl"),
+    ("lgpl", "lesser general / library general / lgpl", "(?:the )?(?:gnu )?(?:lesser general public|library general public|lgpl)",
      ("3 0", "2 1", "2 0", "3", "2"), "lgpl"),
-    ("agpl", "(?:the )?(?:gnu )?(?:affero general public|agpl)", ("3 0", "3", "1 0"), "agpl"),
-    ("gfdl", "(?:the )?(?:gnu )?(?:free documentation|gfdl)", ("1 3", "1 2", "1 1"), "gfdl"),
-    ("mpl", "(?:the )?(?:mozilla public|mpl)", ("2 0", "1 1", "1 0"), "mpl"),
-    ("epl", "(?:the )?(?:eclipse public|epl)", ("2 0", "1 0"), "epl"),
-    ("cddl", "(?:the )?(?:common development and distribution|cddl)", ("1 1", "1 0"), "cddl"),
-    ("cpl", "(?:the )?(?:common public)", ("1 0",), None),
-    ("eupl", "(?:the )?(?:european union public|eupl)", ("1 2", "1 1"), "eupl"),
-    ("artistic", "(?:the )?artistic", ("2 0", "1 0"), None),
-    ("boost", "(?:the )?boost software", ("1 0",), None),
-    ("isc", "(?:the )?isc", (), None),
-    ("zlib", "(?:the )?zlib(?: libpng)?", (), "zlib"),
-    ("unlicense", "(?:the )?unlicense", (), "unlicense"),
-    ("wtfpl", "(?:the )?(?:do what the fuck you want to public|wtfpl)", ("2",), "wtfpl"),
-    ("python", "(?:the )?python(?: software foundation)?", ("2 0",), None),
-    ("ofl", "(?:the )?(?:sil )?(?:open font|ofl)", ("1 1", "1 0"), "ofl"),
-    ("osl", "(?:the )?(?:open software|osl)", ("3 0", "2 1"), None),
-    ("ms-pl", "(?:the )?(?:microsoft public|ms pl)", (), None),
-    ("odbl", "(?:the )?(?:open database|odbl)", ("1 0",), "odbl"),
-    ("postgresql", "(?:the )?postgresql", (), None),
-    ("cc0", "(?:the )?(?:creative commons zero|cc ?0|cc zero)", ("1 0",), "cc0"),
-    ("cc-by-nc-nd", "(?:the )?(?:creative commons |cc )(?:by nc nd|attribution non ?commercial no ?deriv\\w*)",
+    ("agpl", "affero / agpl", "(?:the )?(?:gnu )?(?:affero general public|agpl)", ("3 0", "3", "1 0"), "agpl"),
+    ("gfdl", "free documentation / gfdl", "(?:the )?(?:gnu )?(?:free documentation|gfdl)", ("1 3", "1 2", "1 1"), "gfdl"),
+    ("mpl", "mozilla / mpl", "(?:the )?(?:mozilla public|mpl)", ("2 0", "1 1", "1 0"), "mpl"),
+    ("epl", "eclipse / epl", "(?:the )?(?:eclipse public|epl)", ("2 0", "1 0"), "epl"),
+    ("cddl", "common development / cddl", "(?:the )?(?:common development and distribution|cddl)", ("1 1", "1 0"), "cddl"),
+    ("cpl", "common public", "(?:the )?(?:common public)", ("1 0",), None),
+    ("eupl", "european union / eupl", "(?:the )?(?:european union public|eupl)", ("1 2", "1 1"), "eupl"),
+    ("artistic", "artistic", "(?:the )?artistic", ("2 0", "1 0"), None),
+    ("boost", "boost software", "(?:the )?boost software", ("1 0",), None),
+    ("isc", "isc", "(?:the )?isc", (), None),
+    ("zlib", "zlib", "(?:the )?zlib(?: libpng)?", (), "zlib"),
+    ("unlicense", "unlicense", "(?:the )?unlicense", (), "unlicense"),
+    ("wtfpl", "you want to public / wtfpl", "(?:the )?(?:do what the fuck you want to public|wtfpl)", ("2",), "wtfpl"),
+    ("python", "python", "(?:the )?python(?: software foundation)?", ("2 0",), None),
+    ("ofl", "open font / ofl", "(?:the )?(?:sil )?(?:open font|ofl)", ("1 1", "1 0"), "ofl"),
+    ("osl", "open software / osl", "(?:the )?(?:open software|osl)", ("3 0", "2 1"), None),
+    ("ms-pl", "microsoft public / ms pl", "(?:the )?(?:microsoft public|ms pl)", (), None),
+    ("odbl", "open database / odbl", "(?:the )?(?:open database|odbl)", ("1 0",), "odbl"),
+    ("postgresql", "postgresql", "(?:the )?postgresql", (), None),
+    ("cc0", "commons zero / cc0 / cc 0 / cc zero", "(?:the )?(?:creative commons zero|cc ?0|cc zero)", ("1 0",), "cc0"),
+    ("cc-by-nc-nd", "creative commons / cc", "(?:the )?(?:creative commons |cc )(?:by nc nd|attribution non ?commercial no ?deriv\\w*)",
      ("4 0", "3 0", "2 5", "2 0"), "cc by nc nd"),
-    ("cc-by-nc-sa", "(?:the )?(?:creative commons |cc )(?:by nc sa|attribution non ?commercial share ?alike)",
+    ("cc-by-nc-sa", "creative commons / cc", "(?:the )?(?:creative commons |cc )(?:by nc sa|attribution non ?commercial share ?alike)",
      ("4 0", "3 0", "2 5", "2 0"), "cc by nc sa"),
-    ("cc-by-nc", "(?:the )?(?:creative commons |cc )(?:by nc|attribution non ?commercial)",
+    ("cc-by-nc", "creative commons / cc", "(?:the )?(?:creative commons |cc )(?:by nc|attribution non ?commercial)",
      ("4 0", "3 0", "2 5", "2 0"), "cc by nc"),
-    ("cc-by-nd", "(?:the )?(?:creative commons |cc )(?:by nd|attribution no ?deriv\\w*)",
+    ("cc-by-nd", "creative commons / cc", "(?:the )?(?:creative commons |cc )(?:by nd|attribution no ?deriv\\w*)",
      ("4 0", "3 0", "2 5", "2 0"), "cc by nd"),
-    ("cc-by-sa", "(?:the )?(?:creative commons |cc )(?:by sa|attribution share ?alike)",
+    ("cc-by-sa", "creative commons / cc", "(?:the )?(?:creative commons |cc )(?:by sa|attribution share ?alike)",
      ("4 0", "3 0", "2 5", "2 0"), "cc by sa"),
-    ("cc-by", "(?:the )?(?:creative commons |cc )(?:by|attribution)", ("4 0", "3 0", "2 5", "2 0"),
+    ("cc-by", "creative commons / cc", "(?:the )?(?:creative commons |cc )(?:by|attribution)", ("4 0", "3 0", "2 5", "2 0"),
      "cc by"),
 )
 # Phrases without a family: (label, words, keyword, priority, confidence)
@@ -91,26 +92,32 @@ LICENSE = "(?: public)?(?: licen[cs]e)?"
 
 
 def signature_rules() -> list[tuple]:
-    """``(order, label, words, keyword, priority, confidence)``, in rule order.
+    """``(order, label, words, needs, names, priority, confidence)``, in rule order.
 
+    Every match holds all of ``needs`` and one of ``names`` (if there are any).
     Four forms of every family and version: an SPDX tag, a grant, the license by
     name, and the short name with its version.
     """
     rules = []
-    for label, name, versions, short in FAMILIES:
-        spdx = f"spdx license identifier {label.replace('-', ' ')}"
+    for label, keys, name, versions, short in FAMILIES:
+        names, tag = tuple(keys.split(" / ")), label.replace("-", " ")
+        spdx = f"spdx license identifier {tag}"
         for version in versions:
             full = f"{label}-{version.replace(' clause', '-clause').replace(' ', '.')}"
-            rules.append((full, f"{spdx} {version}(?: only| or later)?", "spdx", 4, 1.0))
+            rules.append((full, f"{spdx} {version}(?: only| or later)?", ("spdx", tag, version),
+                          (), 4, 1.0))
             rules.append((full, f"{GRANT}{name}{LICENSE}(?: version)? v?{version}(?: or later)?",
-                          " under ", 3, 0.95))
-            rules.append((full, f"{name} licen[cs]e(?: version)? v?{version}", "licen", 3, 0.9))
+                          (" under ", version), names, 3, 0.95))
+            rules.append((full, f"{name} licen[cs]e(?: version)? v?{version}", ("licen", version),
+                          names, 3, 0.9))
             if short:
-                rules.append((full, f"{short}(?: version)? ?v?{version}", short, 2, 0.8))
-        rules.append((label, f"{spdx}(?: only| or later)?", "spdx", 4, 1.0))
-        rules.append((label, f"{GRANT}{name}{LICENSE}", " under ", 2, 0.85))
-        rules.append((label, f"{name} licen[cs]e", "licen", 1, 0.7))
-    rules += PHRASES
+                rules.append((full, f"{short}(?: version)? ?v?{version}", (short, version), (),
+                              2, 0.8))
+        rules.append((label, f"{spdx}(?: only| or later)?", ("spdx", tag), (), 4, 1.0))
+        rules.append((label, f"{GRANT}{name}{LICENSE}", (" under ",), names, 2, 0.85))
+        rules.append((label, f"{name} licen[cs]e", ("licen",), names, 1, 0.7))
+    rules += [(label, words, (key,), (), priority, confidence)
+              for label, words, key, priority, confidence in PHRASES]
     return [(i, *rule) for i, rule in enumerate(rules)]
 
 
@@ -123,8 +130,8 @@ def _keywords() -> str:
 
     Keywords stand at the start of a word in every match, which spares most places.
     """
-    words = {k for *_, k, _, _ in signature_rules() if k != " under "} | {p for p, _ in BASE}
-    words |= {k for k in ("apache", "mit", "isc", "zlib", "python")}
+    words = {needs[0] for _, _, _, needs, *_ in signature_rules()} - {" under "}
+    words |= {p for p, _ in BASE} | {k for k in ("apache", "mit", "isc", "zlib", "python")}
     spaced = sorted(w.strip().replace(" ", NON_WORD) for w in words if w not in ("mit", "isc"))
     granted = sorted({w for w in ("mit", "expat", "x11", "isc", "artistic", "boost", "postgresql",
                                   "creative", "cc", "gnu", "mozilla", "eclipse", "european",
@@ -148,18 +155,19 @@ def normalise(text: Column) -> Column:
 
 def _rule_spans(norm: Column, rule: Column) -> Column:
     """Word intervals of all matches of one rule, left to right."""
-    # \G starts each match where the last ended; group 1 is what lies between.
-    pattern = F.concat(F.lit(r"\G(.*?)( (?:"), rule["words"], F.lit(r")(?= ))"))
-    gaps, hits = F.regexp_extract_all(norm, pattern, 1), F.regexp_extract_all(norm, pattern, 2)
+    # \G starts each piece where the last ended: what lies between, then the match.
+    pieces = F.regexp_extract_all(norm, F.concat(
+        F.lit(r"\G.*?( (?:"), rule["words"], F.lit(r")(?= ))")), 0)
+    match = F.concat(F.lit(r"^.*?( (?:"), rule["words"], F.lit("))$"))
     walk = F.aggregate(
-        F.zip_with(gaps, hits, lambda g, h: F.struct(_spaces(g).alias("gap"),
-                                                     _spaces(h).alias("width"))),
+        F.transform(pieces, lambda p: F.struct(_spaces(p).alias("both"), _spaces(
+            F.call_function("regexp_extract", p, match, F.lit(1))).alias("width"))),
         F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out")),
         lambda acc, m: F.struct(
-            (acc["at"] + m["gap"] + m["width"]).alias("at"),
+            (acc["at"] + m["both"]).alias("at"),
             F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + m["gap"]).alias("start"),
-                (acc["at"] + m["gap"] + m["width"]).alias("stop"),
+                (acc["at"] + m["both"] - m["width"]).alias("start"),
+                (acc["at"] + m["both"]).alias("stop"),
                 rule["priority"].alias("priority"), rule["rule"].alias("rule"),
                 rule["label"].alias("label"), rule["confidence"].alias("confidence"))))
             .alias("out")))
@@ -188,10 +196,12 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Add ``lic_words`` (long), ``lic_spans`` (kept detections) and ``lic_base``
     (one struct per base phrase: label, places, first and last start)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    strings = lambda xs: F.array(*[F.lit(x) for x in xs]).cast("array<string>")
     rules = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(label).alias("label"),
-                               F.lit(words).alias("words"), F.lit(key).alias("keyword"),
-                               F.lit(priority).alias("priority"), F.lit(conf).alias("confidence"))
-                      for i, label, words, key, priority, conf in signature_rules()])
+                               F.lit(words).alias("words"), strings(needs).alias("needs"),
+                               strings(names).alias("names"), F.lit(priority).alias("priority"),
+                               F.lit(conf).alias("confidence"))
+                      for i, label, words, needs, names, priority, conf in signature_rules()])
     norm = F.col("lic_norm")
     n = F.col("lic_words")
 
@@ -205,8 +215,10 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
             F.when(there, _spaces(F.substring_index(norm, whole, 1))).alias("first"),
             F.when(there, n - width - _spaces(F.substring_index(norm, whole, -1))).alias("last"))
 
-    found = F.flatten(F.transform(F.filter(rules, lambda r: F.contains(norm, r["keyword"])),
-                                  lambda r: _rule_spans(norm, r)))
+    may = F.filter(rules, lambda r: F.forall(r["needs"], lambda k: F.contains(norm, k))
+                   & ((F.size(r["names"]) == 0)
+                      | F.exists(r["names"], lambda k: F.contains(norm, k))))
+    found = F.flatten(F.transform(may, lambda r: _rule_spans(norm, r)))
     none = F.array().cast(f"array<{_SPAN}>")
     return (docs.withColumn("lic_words", F.regexp_count(text, F.lit(WORD)).cast("long"))
             .withColumn("lic_norm", F.when(text.rlike(_keywords()), normalise(text)))

@@ -66,7 +66,7 @@ def _plain_scan(text):
         p = phrase.split()
         places += [(i, label) for i in range(len(words)) if words[i:i + len(p)] == p]
     norm, spans = " " + " ".join(words) + " ", []
-    for rule, label, pattern, _, priority, confidence in licenses.signature_rules():
+    for rule, label, pattern, _, _, priority, confidence in licenses.signature_rules():
         for m in re.finditer(f" (?:{pattern})(?= )", norm):
             start = norm[:m.start()].count(" ")
             spans.append((start, start + m.group().count(" "), priority, rule, label, confidence))
@@ -82,6 +82,10 @@ TEXTS = [None, "", "no license here at all", "This work is licensed under the GN
          "SPDX-License-Identifier: GPL-2.0-only", "cc by cc by cc-by CC_BY accby", "example simple mplx",
          "Permission is hereby granted, free of charge, to any person obtaining", "Copyright (c) 2020 X",
          "general public license general public license", "é cc by é", "Mit der Zeit",
+         "distributed under the terms of the GNU Lesser General Public License v2.1 or later",
+         "Creative Commons Attribution Non-Commercial Share Alike 3.0, CC0 1.0, CC 0",
+         "Available under the Mozilla Public Licence version 2.0 and the Boost Software License 1.0",
+         "released into the public domain; unlicense license; see the LICENSE file",
          "The Apache License is not the BSD 3-Clause license nor BSD-2-clause",
          "cc by " * 3000 + "licensed under the MIT license " * 300, "x " * 60_000 + "all rights reserved"]
 
@@ -106,5 +110,5 @@ def test_scan_equals_plain_loops(spark):
 def test_there_are_hundreds_of_rules():
     rules = licenses.signature_rules()
     assert 200 < len(rules) and len({r[0] for r in rules}) == len(rules)
-    for _, _, pattern, keyword, priority, confidence in rules:
+    for _, _, pattern, _, _, priority, confidence in rules:
         assert 1 <= priority <= licenses.LEVELS and 0 < confidence <= 1 and re.compile(pattern)
