@@ -82,18 +82,23 @@ def plan_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 rows_per_slice: int = ROWS_PER_SLICE, **mix) -> DataFrame:
     """``row`` (struct of the columns to keep, all by default) and ``mix_size, source_size,
     target, copies`` for each input row; copies are 0, 1 or 2 by default."""
-    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"),
-                        F.col(id_col).alias("mix_id"), F.col(source_col).alias("mix_of"),
-                        word_count(F.col(text_col)).alias("mix_size"))
+    carried = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
+    facts = [F.col(source_col).alias("mix_of"), F.col(id_col).alias("mix_id"),
+             word_count(F.col(text_col)).alias("mix_size")]
+    # Targets and counts come from a narrow table; texts are read again only to be carried.
+    slim = written(docs.select(*([carried] if keep else []), *facts), "mix")
+    sized = slim if keep else docs.select(carried, *facts)
     source_col, id_col = "mix_of", "mix_id"
-    targets = written(source_targets(sized, source_col, **mix), "targets")
+    targets = written(source_targets(slim, source_col, **mix), "targets")
     rows = targets.agg(F.sum("mix_docs").alias("n")).first().n or 0
     slices = max(1, math.ceil(rows / rows_per_slice))
-    keyed = (sized.withColumn("mix_hash", unit_hash(F.col(id_col), "mix:"))
-             .withColumn("mix_bucket", F.floor(F.log2(F.col("mix_size") + 1) * 4))
-             .withColumn("mix_slice", F.col("mix_hash") % slices))
+    grouped = lambda df: (
+        df.withColumn("mix_hash", unit_hash(F.col(id_col), "mix:"))
+        .withColumn("mix_bucket", F.floor(F.log2(F.col("mix_size") + 1) * 16))
+        .withColumn("mix_slice", F.col("mix_hash") % slices))
+    keyed = grouped(sized)
     group = [F.col(source_col), F.col("mix_bucket"), F.col("mix_slice")]
-    counts = keyed.groupBy(F.col(source_col).alias("mix_source"), "mix_bucket", "mix_slice") \
+    counts = grouped(slim).groupBy(F.col(source_col).alias("mix_source"), "mix_bucket", "mix_slice") \
         .agg(F.count(F.lit(1)).alias("n"))
     # First positions in two steps, so that no window holds all groups of a source.
     in_bucket = Window.partitionBy("mix_source", "mix_bucket").orderBy("mix_slice")

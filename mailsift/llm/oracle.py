@@ -30,7 +30,7 @@ hashed as (
   from sized),
 placed as (
   select *, row_number() over (partition by source
-    order by floor(log2(size + 1) * 4), h % slices, size, h, doc_id nulls first) p from hashed),
+    order by floor(log2(size + 1) * 16), h % slices, size, h, doc_id nulls first) p from hashed),
 rated as (
   select d.doc_id, d.size, t.source_size, t.target, d.p, t.u,
          case when t.source_size > 0 then t.target / t.source_size else 0.0 end r
