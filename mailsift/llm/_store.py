@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -54,3 +56,12 @@ def small_batches(spark: SparkSession) -> None:
     scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now[-1:], 1)
     if not 0 < int(now.rstrip("kmg")) * scale <= BATCH_BYTES:
         spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
+
+
+def give_back() -> None:
+    """Called where a Python task ends: a reused worker would else keep what the task freed."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU C library
+        pass

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailsift.llm._store import small_batches, written
+from mailsift.llm._store import give_back, small_batches, written
 
 ORDER = 5
 BITS, END, START, ALPHABET = 9, 256, 257, 257
@@ -130,6 +130,8 @@ def count_keys(texts: DataFrame, order: int) -> DataFrame:
         yield _rows(GRAM, keys, counts)
         if words:
             yield _rows(WORD, _hashes(words), np.array(list(words.values()), np.int64))
+        del keys, counts, words
+        give_back()
 
     return texts.select("text", "held_out").mapInArrow(run, "kind int, key long, n long") \
         .groupBy("kind", "key").agg(F.sum("n").alias("n"))
@@ -284,6 +286,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      pa.array(sizes + 1), pa.array(n_known), pa.array(base), pa.array(score),
                      pa.array(rest, missing)],
                     names=["id", "held_out", "n_tokens", "n_known", "base", "score", "rest"])
+        give_back()
 
     kind = rows.schema["id"].dataType.simpleString()
     first = rows.mapInArrow(run, f"id {kind}, held_out boolean, n_tokens long, n_known long, "

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from mailsift.llm._store import small_batches, written
+from mailsift.llm._store import give_back, small_batches, written
 
 GAMMA = 1.02          # buckets a factor apart: quantiles within one per cent
 SPACES = " \t\n\x0b\x0c\r"
@@ -68,6 +68,8 @@ def _counts(text: Column) -> Column:
                 [[] for _ in COUNTS]
             yield pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns],
                                              list(COUNTS))
+            del texts, columns
+        give_back()
     return of(text)
 
 
