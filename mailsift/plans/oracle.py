@@ -377,6 +377,12 @@ FROM r WHERE NOT (n >= 2 AND rr <= 2)"""
     out["siblings_used"] = f"""
 SELECT doc_id AS uid, 1::INTEGER AS pos, 'item ' || doc_id AS title, '/' || doc_id AS link,
        {strip(line)} AS abstract FROM documents"""
+    each = "regexp_replace(line, '[<>&]', ' ', 'g')"
+    out["siblings_of_lines"] = f"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, unnest(ls) AS line, unnest(generate_series(1, len(ls))) AS n FROM split)
+SELECT doc_id AS uid, n::INTEGER AS pos, 'item ' || doc_id || ' line ' || n AS title,
+       '/' || doc_id || '/' || n AS link, {strip(each)} AS abstract FROM lines"""
     out["items_numbered"] = """
 SELECT source, doc_id, md5(text) AS text_md5, row_number() OVER (PARTITION BY source ORDER BY doc_id)::INTEGER AS ordinal
 FROM documents"""

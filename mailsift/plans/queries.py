@@ -191,6 +191,23 @@ def siblings_used(spark, d):
         "uid", "pos", "title", "link", "abstract")
 
 
+def siblings_of_lines(spark, d):
+    """X5 over whole texts: an anchor and its sibling for every line, outside any block."""
+    number = F.col("doc_id").cast("string")
+
+    def item(line, i):
+        at = (i + 1).cast("string")
+        return F.concat(F.lit("<section><a href=\"/"), number, F.lit("/"), at, F.lit("\">item "),
+                        number, F.lit(" line "), at, F.lit("</a><em>"),
+                        F.regexp_replace(line, "[<>&]", " "), F.lit("</em></section>"))
+
+    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    html = F.concat(F.lit("<body>"), F.array_join(F.transform(lines, item), ""), F.lit("</body>"))
+    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("uid"), html.alias("html"))
+    return extract_items(docs, contains=(), prefixes=S.PAGE_PREFIXES).select(
+        "uid", "pos", "title", "link", "abstract")
+
+
 def items_deduped_per_message(spark, d):
     a = _page_anchors(spark, d, min_len=1)
     return dedupe_in_message(a).select("uid", "pos", "title", "link")
@@ -380,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "anchors_parsed": anchors_parsed,
     "titles_removed": titles_removed,
     "siblings_used": siblings_used,
+    "siblings_of_lines": siblings_of_lines,
     "items_deduped_per_message": items_deduped_per_message,
     "items_deduped": items_deduped,
     "items_tail_dropped": items_tail_dropped,
