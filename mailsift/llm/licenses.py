@@ -156,9 +156,10 @@ def normalise(text: Column) -> Column:
 def _rule_spans(norm: Column, rule: Column) -> Column:
     """Word intervals of all matches of one rule, left to right."""
     # \G starts each piece where the last ended: what lies between, then the match.
+    # (?s): words may hold U+0085, U+2028 and U+2029, which '.' alone would not cross.
     pieces = F.regexp_extract_all(norm, F.concat(
-        F.lit(r"\G.*?( (?:"), rule["words"], F.lit(r")(?= ))")), 0)
-    match = F.concat(F.lit(r"^.*?( (?:"), rule["words"], F.lit("))$"))
+        F.lit(r"(?s)\G.*?( (?:"), rule["words"], F.lit(r")(?= ))")), 0)
+    match = F.concat(F.lit(r"(?s)^.*?( (?:"), rule["words"], F.lit("))$"))
     walk = F.aggregate(
         F.transform(pieces, lambda p: F.struct(_spaces(p).alias("both"), _spaces(
             F.call_function("regexp_extract", p, match, F.lit(1))).alias("width"))),

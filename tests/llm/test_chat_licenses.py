@@ -112,3 +112,14 @@ def test_there_are_hundreds_of_rules():
     assert 200 < len(rules) and len({r[0] for r in rules}) == len(rules)
     for _, _, pattern, _, _, priority, confidence in rules:
         assert 1 <= priority <= licenses.LEVELS and 0 < confidence <= 1 and re.compile(pattern)
+
+
+def test_spans_behind_line_separators(spark):
+    texts = [t for mark in ("\u0085", "\u2028", "\u2029") for t in (
+        f"intro{mark} text licensed under the mit license", f"{mark}{mark} apache license 2.0 {mark} x",
+        f"released into the public domain {mark} by {mark} the isc license {mark} gpl v3 {mark}")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in licenses.summary(licenses.scan(df)).collect():
+        n, _, kept = _plain_scan(r.text)
+        assert kept and r.lic_words == n
+        assert sorted(tuple(s) for s in r.lic_spans) == kept, repr(r.text)
