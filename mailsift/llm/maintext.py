@@ -76,6 +76,8 @@ MAIN_TOKENS = frozenset("article articlebody body content entry main maincontent
 RELATION = frozenset("has with without no before after above below left right".split())
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 SENTENCE = re.compile(r"[.!?;:,]")
+# A reference too long for int(); eight digits tell its character, if there is one.
+LONG_NUMBER = re.compile(r"&#(?=[0-9]{1000})0*([0-9]{1,8})[0-9]*")
 
 FEATURES = ("depth", "chars", "link_share", "blocks_share", "mean_block", "page_share", "stops",
             "siblings", "like_siblings", "place", "page_place", "own_boiler", "own_main",
@@ -93,13 +95,16 @@ class Page(HTMLParser):
         self.links = [0]
         self.open, self.dropped, self.in_link = [("#page", 0)], 0, 0
         self.buffer, self.linked = [], 0
-        try:
-            self.feed(html)
-            self.close()
-        except (AssertionError, ValueError):  # malformed declarations: keep what was read
-            pass
+        self.feed(LONG_NUMBER.sub(r"&#\1", html))
+        self.close()
         self.flush()
 
+    def parse_marked_section(self, i, report=1) -> int:
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # unknown or missing keyword: a comment up to the next ">"
+            return self.parse_bogus_comment(i, report)
+
     def node(self, tag, tokens=(), mark=None, text="", links=0) -> int:
         self.tag.append(tag)
         self.parent.append(self.open[-1][1])

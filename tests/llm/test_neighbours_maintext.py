@@ -120,3 +120,15 @@ def test_very_long_and_deep_pages(spark, forest):
                                "page_id long, url string, html string")
     got = {r.page_id: r.text for r in maintext.main_text(df, forest=forest).collect()}
     assert got[2].count("\n\n") == 4999 and set(got) == {1, 2}
+
+
+@pytest.mark.parametrize("odd, said", [
+    ("<![foo bar]>", []), ("<![ if x]>", []), ("<![]>", []), ("<![1]]>", []), ("<![if !IE]>", []),
+    ("&#" + "9" * 5000 + ";", ["\ufffd"]), ("&#" + "0" * 5000 + "65;", ["A"])])
+def test_text_behind_malformed_markup_is_kept(spark, forest, odd, said):
+    page = maintext.Page(f"<p>one</p>{odd}<p>two</p>")
+    assert [t for t in page.text if t] == ["one", *said, "two"]
+    html = f"<article><p>Some words, here.</p>{odd}<p>And more words, behind it.</p></article>"
+    df = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    assert maintext.main_text(df, forest=forest).first().text == "\n\n".join(
+        ["Some words, here.", *said, "And more words, behind it."])
