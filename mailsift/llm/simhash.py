@@ -154,21 +154,16 @@ def components(edges: DataFrame) -> DataFrame:
     return pairs.unionByName(roots)
 
 
-def _checksum(text_col: str) -> Column:
-    crc = F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    return (crc - (1 << 31)).cast("int")
-
-
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      shingle: int = SHINGLE, distance: int = DISTANCE,
                      blocks: int = BLOCKS, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
     """``(id, text_key, fp, root, component_id)`` per row.
 
     ``root`` names the component by a fingerprint, ``component_id`` by its
-    smallest id; ``text_key`` is a checksum of the text, to tell rows of one id apart.
+    smallest id; ``text_key`` is a 64-bit hash of the text, to tell rows of one id apart.
     """
     marked = written(fingerprints(docs.select(id_col, text_col), text_col, shingle)
-                     .select(id_col, _checksum(text_col).alias("text_key"), "fp"), "fingerprints")
+                     .select(id_col, F.xxhash64(text_col).alias("text_key"), "fp"), "fingerprints")
     values = written(marked.groupBy("fp").agg(F.min(id_col).alias("low_id")), "values")
     found = written(components(links(values.select("fp"), distance, blocks, pairs_up_to)),
                     "components")
@@ -181,9 +176,9 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   **options) -> DataFrame:
-    """One row of each group, columns unchanged: the smallest id, null last, then checksum.
+    """One row of each group, columns unchanged: the smallest id, null last, then text hash.
 
-    Ids and checksums alone decide; the rows that go are anti-joined away.
+    Ids and text hashes alone decide; the rows that go are anti-joined away.
     Rows that repeat a kept id and text are reduced to one.
     """
     groups = written(duplicate_groups(docs, id_col, text_col, **options), "groups")
@@ -199,10 +194,10 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                          & (F.col("key_text") == F.col("k_text")), how)
 
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                         F.col(id_col).alias("key_id"), _checksum(text_col).alias("key_text"))
-    # Written by itself: the planner broadcasts it while its own size allows, else it joins.
+                         F.col(id_col).alias("key_id"), F.xxhash64(text_col).alias("key_text"))
+    # Keys are unique and hashed task by task, so no task sorts or buffers the rows with their texts.
     gone = written(judged.filter("not stays").select("k_id", "k_text"), "gone")
-    left = among(gone, "left_anti", packed)
+    left = among(gone.hint("shuffle_hash"), "left_anti", packed)
     often = judged.filter("stays and n > 1")
     once, again = among(often, "left_anti", left), among(often, "left_semi", left)
     return once.unionByName(again.dropDuplicates(["key_id", "key_text"])).select("row.*")

@@ -1,6 +1,7 @@
 """Quality rules and SimHash groups against plain loops."""
 
 import random
+import zlib
 
 import xxhash
 from pyspark.sql import functions as F
@@ -126,6 +127,18 @@ def test_groups_equal_all_pairs_and_one_stays(spark):
         str(names.get(r)) for r in {root(i) for i in range(len(rows))})
 
 
+def test_rows_of_one_id_with_equal_crc_are_told_apart(spark):
+    rnd, seen = random.Random(6), {}
+    while True:
+        a = f"{rnd.getrandbits(64):x} {rnd.getrandbits(64):x}"
+        b = seen.setdefault(zlib.crc32(a.encode()), a)
+        if a != b:
+            break
+    df = spark.createDataFrame([(0, a), (None, a), (None, b)], "doc_id long, text string")
+    kept = simhash.keep_one_each(df).collect()
+    assert {(r.doc_id, r.text) for r in kept} == {(0, a), (None, b)} and len(kept) == 2
+
+
 def test_fingerprint_is_spark_xxhash64_majority(spark):
     text = "Only three words"
     one = spark.range(1).select(F.xxhash64(F.lit("only three words"))).first()[0]
