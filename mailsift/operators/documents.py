@@ -1,17 +1,19 @@
 """Items to documents: ordered text (A3), prompts (P1), lists (K2), reports (K5, K6),
 Markdown outline (P3).
 
-A report is one document, whatever its size. Lists and panels can be asked for
-in parts of ``items_per_part`` items (off by default): the parts of a report,
-joined in ``chunk`` order, are the one document byte for byte, the heading
-standing in the first part alone.
+A report is one document, whatever its size. It can be asked for in parts (off
+by default) of ``items_per_part`` items (lists and panels) or of about
+``bytes_per_part`` bytes (prompts too): the parts of a report, joined in ``chunk``
+order, are the one document byte for byte, the heading standing in the first
+part alone. Parts by bytes are over their bound by less than one item, and
+their numbers skip some where an item is larger than the bound.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailsift.functions.params import normalise_term_list
@@ -37,6 +39,8 @@ ANSWER = (
     "Papers:",
 )
 LIST_HEADING = "# Alert items (saved)"
+PART_BYTES = 32 << 20
+ITEMS_PER_BLOCK = 1000
 
 
 def prompt_head(terms: Sequence[str] | None) -> str:
@@ -53,15 +57,42 @@ def add_chunk(df: DataFrame, ordinal_col: str = "ordinal",
     return df.withColumn("chunk", F.floor((F.col(ordinal_col) - 1) / items_per_part).cast("int"))
 
 
+def add_chunk_by_bytes(df: DataFrame, by: Sequence[str], ordinal_col: str, size: Column,
+                       bytes_per_part: int) -> DataFrame:
+    """``chunk`` = the bytes of a report before the item, over ``bytes_per_part``.
+
+    Summed inside blocks of ordinals, then over the blocks, so no task holds a report.
+    """
+    sized = df.withColumn("__size", size.cast("long")).withColumn(
+        "__block", F.floor((F.col(ordinal_col) - 1) / ITEMS_PER_BLOCK))
+    blocks = sized.groupBy(*by, "__block").agg(F.sum("__size").alias("__sum"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    of_report = before(Window.partitionBy(*by).orderBy("__block"))
+    heads = blocks.select(*[F.col(b).alias(f"__of_{b}") for b in by],
+                          F.col("__block").alias("__of_block"),
+                          F.coalesce(F.sum("__sum").over(of_report), F.lit(0)).alias("__head"))
+    in_block = before(Window.partitionBy(*by, "__block").orderBy(ordinal_col))
+    placed = sized.withColumn("__inside", F.coalesce(F.sum("__size").over(in_block), F.lit(0)))
+    same = F.col("__block") == F.col("__of_block")
+    for b in by:
+        same = same & F.col(b).eqNullSafe(F.col(f"__of_{b}"))
+    chunk = F.floor((F.col("__head") + F.col("__inside")) / bytes_per_part).cast("int")
+    return placed.join(heads, same).select(*df.columns, chunk.alias("chunk"))
+
+
 def ordered_text(df: DataFrame, by: Sequence[str], ordinal_col: str, text: Column | str,
-                 sep: str = "\n", name: str = "text",
-                 items_per_part: int | None = None) -> DataFrame:
+                 sep: str = "\n", name: str = "text", items_per_part: int | None = None,
+                 bytes_per_part: int | None = None) -> DataFrame:
     """A3: per ``by`` (+ ``chunk``), the texts joined in ordinal order.
 
     A later part starts with the separator, so parts join without one.
     """
     text = F.col(text) if isinstance(text, str) else text
-    keyed = add_chunk(df, ordinal_col, items_per_part)
+    if bytes_per_part:
+        size = F.coalesce(F.octet_length(text), F.lit(0)) + len(sep.encode())
+        keyed = add_chunk_by_bytes(df, by, ordinal_col, size, bytes_per_part)
+    else:
+        keyed = add_chunk(df, ordinal_col, items_per_part)
     parts = F.array_sort(F.collect_list(F.struct(F.col(ordinal_col).alias("o"), text.alias("t"))))
     joined = F.array_join(F.transform(parts, lambda x: x["t"]), sep)
     return keyed.groupBy(*by, "chunk").agg(
@@ -71,24 +102,26 @@ def ordered_text(df: DataFrame, by: Sequence[str], ordinal_col: str, text: Colum
 
 
 def build_prompts(items: DataFrame, terms: Sequence[str] | None, by: Sequence[str],
-                  ordinal_col: str = "ordinal") -> DataFrame:
+                  ordinal_col: str = "ordinal", bytes_per_part: int | None = None) -> DataFrame:
     """One prompt per report, of any size: the head, then all numbered items.
 
     ``items`` must carry ``title, link, abstract`` and a per-report ordinal.
     """
     entry = numbered_entry(F.col(ordinal_col), F.col("title"), F.col("link"),
                            F.col("abstract"), title_label="Title: ", trailing_blank=False)
-    body = ordered_text(items, by, ordinal_col, entry, sep="\n", name="__body")
-    return body.select(*by, "chunk", "n_items",
-                       F.concat(F.lit(prompt_head(terms) + "\n"), F.col("__body")).alias("prompt"))
+    body = ordered_text(items, by, ordinal_col, entry, sep="\n", name="__body",
+                        bytes_per_part=bytes_per_part)
+    head = F.when(F.col("chunk") == 0, prompt_head(terms) + "\n").otherwise("")
+    return body.select(*by, "chunk", "n_items", F.concat(head, F.col("__body")).alias("prompt"))
 
 
 def render_item_list(items: DataFrame, by: Sequence[str], ordinal_col: str = "ordinal",
-                     heading: str = LIST_HEADING, items_per_part: int | None = None) -> DataFrame:
+                     heading: str = LIST_HEADING, items_per_part: int | None = None,
+                     bytes_per_part: int | None = None) -> DataFrame:
     """K2: Markdown list of saved items (heading, numbered entries, blank lines)."""
     entry = numbered_entry(F.col(ordinal_col), F.col("title"), F.col("link"), F.col("abstract"))
     body = ordered_text(items, by, ordinal_col, entry, sep="", name="__body",
-                        items_per_part=items_per_part)
+                        items_per_part=items_per_part, bytes_per_part=bytes_per_part)
     first = F.when(F.col("chunk") == 0, heading + "\n\n").otherwise("")
     return body.select(*by, "chunk", "n_items", F.concat(first, F.col("__body")).alias("markdown"))
 
@@ -115,8 +148,16 @@ def render_report(meta: DataFrame, body: DataFrame, by: Sequence[str],
     """K5 document: metadata block, escaped body text, footer (own minimal template).
 
     One document per report; null and empty report keys are keys like any
-    other. ``extra_keys`` are the body's key columns beyond ``by``.
+    other. ``extra_keys`` are the body's key columns beyond ``by``. A body in
+    parts (``chunk``) gives a document in parts: what stands above the body
+    text in the first, the footer in the last, later texts on a new line.
     """
+    if "chunk" in extra_keys:
+        parts = Window.partitionBy(*by)
+        body = body.withColumn("__first", F.col("chunk") == F.min("chunk").over(parts)) \
+            .withColumn("__last", F.col("chunk") == F.max("chunk").over(parts))
+    else:
+        body = body.withColumn("__first", F.lit(True)).withColumn("__last", F.lit(True))
     right = body.select(*[F.col(b).alias(f"__of_{b}") for b in by],
                         *[c for c in body.columns if c not in by])
     same = F.lit(True)
@@ -124,7 +165,7 @@ def render_report(meta: DataFrame, body: DataFrame, by: Sequence[str],
         same = same & F.col(b).eqNullSafe(F.col(f"__of_{b}"))
     joined = meta.join(right, same, "inner")
     key_txt = F.concat_ws(" / ", *[F.coalesce(F.col(b).cast("string"), F.lit("")) for b in by])
-    html = F.concat(
+    head = F.concat(
         F.lit("<!DOCTYPE html>\n<html lang=\"en\">\n<head><meta charset=\"UTF-8\"><title>"),
         F.lit(title + " - "), key_txt,
         F.lit("</title><style>body{font-family:sans-serif;max-width:60em;margin:auto}"
@@ -132,11 +173,14 @@ def render_report(meta: DataFrame, body: DataFrame, by: Sequence[str],
         F.lit("</h1>\n<dl><dt>Report</dt><dd>"), key_txt,
         F.lit("</dd><dt>Keywords</dt><dd>"), escape_html("keywords_preview", amp=True),
         F.lit("</dd><dt>Total items</dt><dd>"), F.col("total").cast("string"),
-        F.lit("</dd></dl>\n<div class=\"md\">"), escape_html(body_col, amp=True),
+        F.lit("</dd></dl>\n<div class=\"md\">"))
+    foot = F.concat(
         F.lit("</div>\n<footer><p>Generated on "), F.col("generated_on"),
         F.lit("</p><p>"), F.col("total").cast("string"),
         F.lit(" items in this digest; terms: "), escape_html("footer_keywords", amp=True),
         F.lit("</p></footer>\n</body>\n</html>\n"))
+    html = F.concat(F.when(F.col("__first"), head).otherwise("\n"), escape_html(body_col, amp=True),
+                    F.when(F.col("__last"), foot).otherwise(""))
     return joined.select(*by, *extra_keys, html.alias("html"))
 
 
@@ -152,12 +196,13 @@ def item_panel_entry(title="title", link="link", abstract="abstract") -> Column:
 
 
 def items_panel(items: DataFrame, terms: Sequence[str] | None, by: Sequence[str],
-                ordinal_col: str = "ordinal", items_per_part: int | None = None) -> DataFrame:
+                ordinal_col: str = "ordinal", items_per_part: int | None = None,
+                bytes_per_part: int | None = None) -> DataFrame:
     """K6: escaped item fragments plus keyword badges, per report."""
     terms = normalise_term_list(terms)
     arr = F.array(*[F.lit(t) for t in terms]) if terms else F.array().cast("array<string>")
     body = ordered_text(items, by, ordinal_col, item_panel_entry(), sep="\n", name="items_html",
-                        items_per_part=items_per_part)
+                        items_per_part=items_per_part, bytes_per_part=bytes_per_part)
     return body.select(*by, "chunk", "n_items", badge_list(arr).alias("badges"), "items_html")
 
 

@@ -22,6 +22,7 @@ from mailsift.operators import (
     report_totals,
 )
 from mailsift.operators.bodies import decode_bodies, drop_empty_bodies
+from mailsift.operators.documents import PART_BYTES
 from mailsift.operators.extract import dedupe_in_message
 from mailsift.operators.items import ITEM_ORDER
 from mailsift.plans import standins as S
@@ -298,11 +299,12 @@ def _numbered_docs(spark, d, terms=None):
 
 
 def prompt_text(spark, d):
-    return build_prompts(_numbered_docs(spark, d), S.REPORT_TERMS, ["lang"])
+    return build_prompts(_numbered_docs(spark, d), S.REPORT_TERMS, ["lang"],
+                         bytes_per_part=PART_BYTES)
 
 
 def item_list_text(spark, d):
-    return render_item_list(_numbered_docs(spark, d), ["lang"])
+    return render_item_list(_numbered_docs(spark, d), ["lang"], bytes_per_part=PART_BYTES)
 
 
 def report_metadata_q(spark, d):
@@ -312,11 +314,12 @@ def report_metadata_q(spark, d):
 
 def items_panel_q(spark, d):
     sel = _numbered_docs(spark, d, S.REPORT_TERMS)
-    return items_panel(sel, S.REPORT_TERMS, ["lang"])
+    return items_panel(sel, S.REPORT_TERMS, ["lang"], bytes_per_part=PART_BYTES)
 
 
 def summaries(spark, d):
-    prompts = build_prompts(_numbered_docs(spark, d, S.REPORT_TERMS), S.REPORT_TERMS, ["lang"])
+    prompts = build_prompts(_numbered_docs(spark, d, S.REPORT_TERMS), S.REPORT_TERMS, ["lang"],
+                            bytes_per_part=PART_BYTES)
     return infer(prompts, "echo", key=["lang", "chunk"])
 
 
@@ -324,7 +327,7 @@ def report_html(spark, d):
     # metadata and prompts both read the numbered selection: number it once
     sel = written(_numbered_docs(spark, d, S.REPORT_TERMS))
     meta = report_metadata(sel, S.REPORT_TERMS, ["lang"], S.GENERATED_AT)
-    prompts = build_prompts(sel, S.REPORT_TERMS, ["lang"])
+    prompts = build_prompts(sel, S.REPORT_TERMS, ["lang"], bytes_per_part=PART_BYTES)
     summ = infer(prompts, "echo", key=["lang", "chunk"])
     return render_report(meta, summ, ["lang"])
 

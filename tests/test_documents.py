@@ -102,3 +102,29 @@ def test_report_escapes_body_and_terms(spark):
     assert "x &lt; y &amp; z &gt; w" in html
     assert "<dd>a&amp;b, &lt;c&gt;</dd>" in html
     assert "<dt>Total items</dt><dd>1</dd>" in html
+
+
+@pytest.mark.parametrize("bound", [1, 150, 5000])
+def test_parts_by_bytes_join_to_the_one_document(spark, bound):
+    from mailsift.operators.documents import render_report
+
+    items = spark.range(1, 2102).selectExpr(
+        "if(id > 2050, null, 'r') rep", "int(if(id > 2050, id - 2050, id)) ordinal",
+        "concat('T', repeat('\u00e9', int(id % 60))) title", "'l' link", "string(null) abstract")
+    for make, col in ((lambda **k: build_prompts(items, [], ["rep"], **k), "prompt"),
+                      (lambda **k: render_item_list(items, ["rep"], **k), "markdown"),
+                      (lambda **k: items_panel(items, [], ["rep"], **k), "items_html")):
+        whole = {r.rep: r[col] for r in make().collect()}
+        parts = sorted(make(bytes_per_part=bound).collect(), key=lambda r: r.chunk)
+        assert set(whole) == {"r", None} and sum(r.n_items for r in parts) == 2101
+        for rep, text in whole.items():
+            mine = [r[col] for r in parts if r.rep == rep]
+            assert "".join(mine) == text and len(mine) > 1 - (bound == 5000)
+            assert max(len(t.encode()) for t in mine[1:] or [""]) < bound + 250
+    meta = report_metadata(items, [], ["rep"], "2025-11-19 09:05:00")
+    body = spark.createDataFrame([("r", 0, "a"), ("r", 2, "b"), (None, 0, "a\nb")],
+                                 "rep string, chunk int, summary string")
+    got = sorted(render_report(meta, body, ["rep"]).collect(), key=lambda r: r.chunk)
+    joined = "".join(r.html for r in got if r.rep == "r")
+    assert joined.count("<!DOCTYPE") == joined.count("</html>") == 1
+    assert "<div class=\"md\">a\nb</div>" in joined and joined.endswith("</html>\n")
