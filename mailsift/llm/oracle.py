@@ -128,4 +128,51 @@ select conv_id, count(*) n_turns,
 from judged group by conv_id
 """
 
-ORACLE_SQL = {"op2_chat": _OP2, "op6_mixing": _OP6, "op7_quality": _OP7}
+
+def _op13_round(k: int) -> str:
+    """The codebooks ``b<k+1>`` after one round over the codebooks ``b<k>``."""
+    return f"""
+a{k} as materialized (
+  select x.id, x.p, min(struct_pack(d := x.norm + b.norm - 2 * list_inner_product(x.x, b.x),
+                                    e := b.e)) best
+  from cuts x join b{k} b using (p) group by x.id, x.p),
+m{k} as (
+  select p, best.e e, j, count(*) n, sum(cast(x[j + 1] as hugeint)) s
+  from a{k} join cuts using (id, p), range((select w from shape)) js(j) group by p, best.e, j),
+b{k + 1} as materialized (
+  select p, e, x, list_inner_product(x, x) norm from (
+    select b.p, b.e, list(coalesce(cast((s - ((s % n) + n) % n) // n as double), b.x[q.j + 1])
+                          order by q.j) x
+    from b{k} b cross join (select unnest(range((select w from shape))) j) q
+    left join m{k} m on m.p = b.p and m.e = b.e and m.j = q.j group by b.p, b.e))"""
+
+
+_OP13 = f"""
+with kept as materialized (
+  select vec_id, label, row_number() over (order by vec_id nulls last, embedding) id,
+         list_transform(embedding, lambda x: floor(256 * cast(x as double))) v
+  from embeddings where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+shape as (select max(len(v)) // 16 w from kept),
+cuts as materialized (
+  select *, list_inner_product(x, x) norm from (
+    select id, p, v[p * w + 1:(p + 1) * w] x from kept, shape, range(16) ps(p))),
+b0 as materialized (select p, id - 1 e, x, norm from cuts where id <= 64),
+{_op13_round(0)}, {_op13_round(1)},
+a2 as materialized (
+  select x.id, x.p, min(struct_pack(d := x.norm + b.norm - 2 * list_inner_product(x.x, b.x),
+                                    e := b.e)) best
+  from cuts x join b2 b using (p) group by x.id, x.p),
+coded as (
+  select id, string_agg(printf('%02x', best.e), '' order by p) code,
+         cast(sum(best.d) as bigint) error from a2 group by id),
+books as (
+  select sha256(string_agg(list_aggregate(list_transform(x, lambda c: cast(cast(c as bigint) as varchar)),
+                                          'string_agg', ','), ',' order by p, e)) digest from b2)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) label_error,
+       (select digest from books) codebooks_sha256
+from kept join coded using (id)
+"""
+
+ORACLE_SQL = {"op2_chat": _OP2, "op6_mixing": _OP6, "op7_quality": _OP7,
+              "op13_slices": _OP13}

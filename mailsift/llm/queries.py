@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailsift.llm import (chat, licenses, maintext, mixing, neighbours, pieces, ppm, quality,
-                          sharding, simhash)
+                          sharding, simhash, slices)
+from mailsift.llm._store import written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,5 +85,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op13_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = slices.compress(_table(spark, sf_dir, "embeddings"))
+    return slices.error_by_label(written(coded, "coded")).select(
+        "row.vec_id", "code", "error", "label_error",
+        F.lit(slices.books_digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_ppm, op2_chat, op3_neighbours, op4_simhash, op5_licenses, op6_mixing, op7_quality, op8_pieces,
-                                  op9_maintext, op10_sharding)}
+                                  op9_maintext, op10_sharding, op13_slices)}
