@@ -174,5 +174,87 @@ select vec_id, code, error, cast(sum(error) over (partition by label) as bigint)
 from kept join coded using (id)
 """
 
+
+def _edit(state: str, cost: str, initial: str, line: str) -> str:
+    return (f"struct_pack(c := {state}.c + {cost}, a := {state}.a || '{initial}', "
+            f"o := {state}.o || {line})")
+
+
+def _least(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+def _closed(s0: str, s1: str, s2: str, s3: str) -> str:
+    """The four states (columns) after inserting what is due."""
+    user, said = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    return f"""select conv_id, k, s0, s1, t2 s2, {_least('s3', _edit('t2', '2', 'I', said))} s3 from (
+      select *, {_least('s2', *[_edit(s, '2', 'I', user) for s in ('s0', 's1', 's3')])} t2
+      from (select conv_id, k, {s0} s0, {s1} s1, {s2} s2, {s3} s3 from #))"""
+
+
+_NEVER = "struct_pack(c := 1000000000, a := '', o := '')"
+_DROP = lambda s: _edit(s, "3", "D", "''")
+_KEEP = lambda s, initial: (
+    f"case when stays and initial = '{initial}' then "
+    + _edit(s, "extra", "K", "chr(10) || role || ':' || text") + f" else {_NEVER} end")
+_REROLE = lambda s, role: (
+    "case when stays then " + _edit(s, "(2 + extra)", "R", f"chr(10) || '{role}:' || text")
+    + f" else {_NEVER} end")
+_ROW = _closed(
+    _DROP("s0"), _least(_DROP("s1"), _KEEP("s0", "s")),
+    _least(_DROP("s2"), *[f(s, x) for s in ("s0", "s1", "s3") for f, x in ((_KEEP, "u"), (_REROLE, "user"))]),
+    _least(_DROP("s3"), _KEEP("s2", "a"), _REROLE("s2", "assistant")))
+_BEGIN = _closed("struct_pack(c := 0, a := '', o := '')", *[_NEVER] * 3)
+_CRC32 = ("xor(list_reduce(list_transform(string_split({0}, ''), lambda x: cast(ord(x) as bigint)), "
+          "lambda acc, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: "
+          "case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, xor(acc, b)), "
+          "4294967295), 4294967295)")
+_OP11 = f"""
+with recursive hit as materialized (
+  select *, {_CRC32.format("coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ')")} % 20 d
+  from conversations),
+damaged as (
+  select conv_id, turn, case when d = 4 then 'user' else coalesce(role, ' ') end as "role",
+         case d when 1 then '' when 2 then regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g')
+           else coalesce(text, ' ') end as "text", unnest(range(case d when 3 then 2 else 1 end)) copy
+  from hit where d <> 0),
+lined as (
+  select *, row_number() over (partition by conv_id
+              order by turn nulls first, "role", left("text", 64), md5("text"), copy) - 1 k,
+         case when left("role", 1) in ('s', 'u', 'a') then left("role", 1) else 'x' end initial,
+         rtrim("text", ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) bare
+  from damaged),
+judged as materialized (
+  select *, case when bare = '' then 'blank'
+      when row_number() over (partition by conv_id, "role", "text" order by k) > 1 then 'duplicate'
+      when right(bare, 1) not in ('.', '!', '?') then 'truncated' end fault,
+    coalesce(lag(initial) over (partition by conv_id order by k) || initial
+             not in ('su', 'ua', 'au'), false) illegal
+  from lined),
+coded as materialized (
+  select conv_id, k, "role", "text", initial, coalesce(fault, '') not in ('blank', 'duplicate') stays,
+         case when fault = 'truncated' then 1 else 0 end extra from judged),
+counts as (
+  select conv_id, cast(coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as bigint) gaps,
+         count(*) filter (fault = 'blank') blank, count(*) filter (fault = 'duplicate') duplicate,
+         count(*) filter (fault = 'truncated') truncated, count(*) filter (illegal) illegal,
+         count(*) n from judged group by conv_id),
+walk as (
+  ({_BEGIN.replace('#', '(select conv_id, cast(0 as bigint) k from counts)')})
+  union all
+  ({_ROW.replace('#', "(select w.conv_id, w.k + 1 k, s0, s1, s2, s3, role, text, initial, stays, extra"
+                      " from walk w join coded r on r.conv_id is not distinct from w.conv_id and r.k = w.k)")})),
+done as (
+  select w.conv_id, {_least('s0', 's3')} best from walk w join counts c
+    on c.conv_id is not distinct from w.conv_id and c.n = w.k)
+select i.conv_id, coalesce(gaps, 0) gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate,
+       coalesce(truncated, 0) truncated, coalesce(illegal, 0) illegal,
+       cast(coalesce(best.c, 0) as bigint) "cost", coalesce(best.a, '') audit,
+       sha256(coalesce(substr(best.o, 2), '')) repaired_sha256
+from (select distinct conv_id from conversations) i
+left join counts c on c.conv_id is not distinct from i.conv_id
+left join done d on d.conv_id is not distinct from i.conv_id
+"""
+
 ORACLE_SQL = {"op2_chat": _OP2, "op6_mixing": _OP6, "op7_quality": _OP7,
-              "op13_slices": _OP13}
+              "op11_repair": _OP11, "op13_slices": _OP13}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailsift.llm import (chat, licenses, maintext, mixing, neighbours, pieces, ppm, quality,
-                          sharding, simhash, slices)
+                          repair, sharding, simhash, slices)
 from mailsift.llm._store import written
 
 
@@ -85,6 +85,33 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversation rows damaged by the checksum of their place (nulls: one space)."""
+    word = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    hit = rows.select("conv_id", "turn", word("role").alias("role"), word("text").alias("text"),
+                      (F.crc32(F.concat(word("conv_id"), F.lit(":"), word("turn"))) % 20).alias("hit"))
+    text = F.when(F.col("hit") == 1, "").when(F.col("hit") == 2, F.regexp_replace("text", "[.!?]", "")) \
+        .otherwise(F.col("text"))
+    role = F.when(F.col("hit") == 4, "user").otherwise(F.col("role"))
+    times = F.when(F.col("hit") == 0, 0).when(F.col("hit") == 3, 2).otherwise(1)
+    copies = F.explode(F.array_repeat(F.struct(role.alias("role"), text.alias("text")), times))
+    return hit.select("conv_id", "turn", copies.alias("row")).select("conv_id", "turn", "row.*")
+
+
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    report, repaired = repair.repair(damaged(rows))
+    same = lambda c: F.col("conv_id").eqNullSafe(F.col(c))
+    report = written(report, "report").withColumnRenamed("conv_id", "of_report")
+    digests = repair.line_digests(repaired).withColumnRenamed("conv_id", "of_digest")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (rows.select("conv_id").distinct().join(report, same("of_report"), "left")
+            .join(digests, same("of_digest"), "left")
+            .select("conv_id", *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in numbers],
+                    F.coalesce("audit", F.lit("")).alias("audit"),
+                    F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
 def op13_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = slices.compress(_table(spark, sf_dir, "embeddings"))
     return slices.error_by_label(written(coded, "coded")).select(
@@ -93,4 +120,4 @@ def op13_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_ppm, op2_chat, op3_neighbours, op4_simhash, op5_licenses, op6_mixing, op7_quality, op8_pieces,
-                                  op9_maintext, op10_sharding, op13_slices)}
+                                  op9_maintext, op10_sharding, op11_repair, op13_slices)}
