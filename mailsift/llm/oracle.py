@@ -256,5 +256,35 @@ left join counts c on c.conv_id is not distinct from i.conv_id
 left join done d on d.conv_id is not distinct from i.conv_id
 """
 
+
+_OP12 = """
+with docs as materialized (
+  select row_number() over () rid, doc_id, coalesce(doc_id, 9223372036854775807) own,
+         hex(encode(coalesce(text, ''))) h from documents),
+windows as (
+  select rid, own, a, substr(h, 2 * a + 1, 100) s
+  from (select rid, own, h, unnest(range(greatest(0, len(h) // 2 - 49))) a from docs)),
+lows as (select s, min(own) low from windows group by s having min(own) < max(own)),
+hits as (select rid, a from windows join lows using (s) where low < own),
+lined as (
+  select rid, a, case when a <= lag(a) over (partition by rid order by a) + 50 then 0 else 1 end fresh
+  from hits),
+spans as materialized (
+  select rid, min(a) s, max(a) + 50 e
+  from (select rid, a, sum(fresh) over (partition by rid order by a) island from lined)
+  group by rid, island),
+pieces as (
+  select rid, coalesce(lag(e) over (partition by rid order by s), 0) f, s t from spans
+  union all select rid, max(e), 1000000000000 from spans group by rid),
+kept as (
+  select rid, string_agg(substr(h, 2 * f + 1, 2 * (t - f)), '' order by f) h
+  from pieces join docs using (rid) group by rid),
+counts as (select rid, sum(e - s) n_removed, count(*) n_spans from spans group by rid)
+select doc_id, cast(len(docs.h) // 2 as bigint) n_bytes, cast(coalesce(n_removed, 0) as bigint) n_removed,
+       coalesce(n_spans, 0) n_spans, sha256(unhex(coalesce(kept.h, docs.h))) kept_sha256
+from docs left join counts using (rid) left join kept using (rid)
+"""
+
 ORACLE_SQL = {"op2_chat": _OP2, "op6_mixing": _OP6, "op7_quality": _OP7,
-              "op11_repair": _OP11, "op13_slices": _OP13}
+              "op11_repair": _OP11, "op12_repeats": _OP12,
+              "op13_slices": _OP13}

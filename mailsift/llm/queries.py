@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailsift.llm import (chat, licenses, maintext, mixing, neighbours, pieces, ppm, quality,
-                          repair, sharding, simhash, slices)
+                          repair, repeats, sharding, simhash, slices)
 from mailsift.llm._store import written
 
 
@@ -112,6 +112,14 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
 
 
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return done.select("row.doc_id", "n_bytes", removed.alias("n_removed"),
+                       F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = slices.compress(_table(spark, sf_dir, "embeddings"))
     return slices.error_by_label(written(coded, "coded")).select(
@@ -119,5 +127,7 @@ def op13_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(slices.books_digest(books)).alias("codebooks_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ppm, op2_chat, op3_neighbours, op4_simhash, op5_licenses, op6_mixing, op7_quality, op8_pieces,
-                                  op9_maintext, op10_sharding, op11_repair, op13_slices)}
+QUERIES = {f.__name__: f for f in (op1_ppm, op2_chat, op3_neighbours, op4_simhash, op5_licenses, op6_mixing,
+                                  op7_quality, op8_pieces,
+                                  op9_maintext, op10_sharding, op11_repair, op12_repeats,
+                                  op13_slices)}
