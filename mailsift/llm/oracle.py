@@ -275,7 +275,7 @@ spans as materialized (
   group by rid, island),
 pieces as (
   select rid, coalesce(lag(e) over (partition by rid order by s), 0) f, s t from spans
-  union all select rid, max(e), 1000000000000 from spans group by rid),
+  union all select rid, max(e), 1000000000 from spans group by rid),
 kept as (
   select rid, string_agg(substr(h, 2 * f + 1, 2 * (t - f)), '' order by f) h
   from pieces join docs using (rid) group by rid),
