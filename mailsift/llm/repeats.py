@@ -7,8 +7,8 @@ of one minimiser form a fragment, fragments meet by minimiser, and nothing else
 has to. Three passes over blocks of documents, written once in buckets so that
 they are joined to replies without being shuffled again:
 
-1. Blocks send 32 bits for each distinct fragment. A minimiser seen once in
-   one document has no repeats.
+1. Blocks send 32 bits for each distinct minimiser. One that only one document
+   has marks no repeats.
 2. Fragments of the others go to merge groups of bounded size. Equal fragments
    collapse to one with the least id. Where a minimiser is left with several,
    the fragments are dealt into shards; each shard has its Burrows-Wheeler
@@ -21,8 +21,9 @@ they are joined to replies without being shuffled again:
    The bytes of every decided window are compared at the end.
 3. Blocks mark what the replies say, and the bytes that stay are joined.
 
-A minimiser with more than ``hot`` fragments does not enter a merge group: its
-windows meet as rows, counted before the shuffle, with the same result.
+The fragments of a minimiser that has more than ``hot`` of them are cut into
+single windows, which meet by their bytes, so no merge group grows with it; a
+group holds a few megabytes and at most one copy of a fragment for each block.
 
 Defined results: a null text is empty; a null id is larger than all others;
 rows of equal ids do not affect each other; texts shorter than ``length`` stay
@@ -36,10 +37,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BinaryType, ByteType, IntegerType, LongType, StructField,
-                               StructType)
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from mailsift.llm._store import give_back, shared_dir, small_batches, written
 
@@ -50,7 +51,7 @@ MOST = 64              # windows of a fragment: one bit each
 BLOCK = 2 << 20        # bytes of a block of documents
 GROUP = 4 << 20        # bytes of fragments in a merge group, about
 SHARD = 1 << 18        # bytes of a shard
-HOT = 20_000           # fragments of one minimiser beyond which they meet as rows
+HOT = 20_000           # fragments of one minimiser beyond which they are cut into windows
 SLICE = 1 << 20        # bytes hashed at a time
 LAST = 2 ** 63 - 1     # stands for a null id
 
@@ -82,20 +83,25 @@ def _minimisers(data: np.ndarray, length: int) -> np.ndarray:
 def fragments_of(data: np.ndarray, lengths: np.ndarray, length: int):
     """``start, windows, minimiser, document`` of all fragments of a block, in order."""
     ends = np.cumsum(lengths)
+    begins = ends - lengths
     parts = []
     for low in range(0, len(data) - length + 1, SLICE):
-        piece = data[low:low + SLICE + length - 1]
-        best = _minimisers(piece, length)
-        at = np.arange(low, low + len(best))
-        doc = np.searchsorted(ends, at, "right")
-        inside = at + length <= ends[doc]
-        at, best, doc = at[inside], best[inside], doc[inside]
-        if not len(at):
-            continue
-        new = np.concatenate(([True], (best[1:] != best[:-1]) | (np.diff(at) != 1)))
-        began = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
-        first = np.flatnonzero((np.arange(len(at)) - began) % MOST == 0)
-        parts.append((at[first], np.diff(first, append=len(at)), best[first], doc[first]))
+        best = _minimisers(data[low:low + SLICE + length - 1], length)
+        high = low + len(best)
+        # A fragment ends where the minimiser changes, and where no window of its document follows.
+        cuts = np.concatenate(([low], np.flatnonzero(best[1:] != best[:-1]) + low + 1,
+                               begins[(begins > low) & (begins < high)],
+                               (ends - length + 1)[(ends - length + 1 > low) & (ends - length + 1 < high)]))
+        start = np.unique(cuts)
+        windows = np.diff(start, append=high)
+        doc = np.searchsorted(ends, start, "right")
+        inside = start + length <= ends[doc]
+        start, windows, doc = start[inside], windows[inside], doc[inside]
+        pieces = -(-windows // MOST)
+        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        start = np.repeat(start, pieces) + nth * MOST
+        windows = np.minimum(np.repeat(windows, pieces) - nth * MOST, MOST)
+        parts.append((start, windows, best[start - low], np.repeat(doc, pieces)))
     if not parts:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(0, np.uint64), none
@@ -103,28 +109,65 @@ def fragments_of(data: np.ndarray, lengths: np.ndarray, length: int):
 
 
 class _Block:
-    """A block's fragments; equal ones are one entry with the least id."""
+    """A block's fragments and its distinct minimisers, in order of their values."""
 
     def __init__(self, data, lengths, ids, length: int):
-        self.raw = data
-        self.data = np.frombuffer(data, np.uint8)
+        self.length, self.raw, self.data = length, bytes(data), np.frombuffer(data, np.uint8)
         self.lengths, self.ids = np.frombuffer(lengths, np.int64), np.frombuffer(ids, np.int64)
-        self.start, self.windows, mini, doc = fragments_of(self.data, self.lengths, length)
+        self.start, self.windows, self.mini, doc = fragments_of(self.data, self.lengths, length)
         self.owner = self.ids[doc]
-        raw, known = bytes(data), {}
-        self.entry = np.fromiter((known.setdefault(raw[a:b], len(known)) for a, b in
-                                  zip(self.start.tolist(),
-                                      (self.start + self.windows + length - 1).tolist())),
+        self.minis, self.of = np.unique(self.mini, return_inverse=True)
+
+    def text(self, i: int) -> bytes:
+        return self.raw[self.start[i]:self.start[i] + self.windows[i] + self.length - 1]
+
+    def told(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per minimiser: whether documents of different ids have it, and how many kinds of
+        fragments, at most 65,535 (by their ends and sizes: near enough to choose a way)."""
+        n = len(self.minis)
+        least, most = np.full(n, LAST, np.int64), np.full(n, -2 ** 63, np.int64)
+        np.minimum.at(least, self.of, self.owner)
+        np.maximum.at(most, self.of, self.owner)
+        room = np.concatenate((self.data, np.zeros(8, np.uint8)))
+        word = _words(room, len(self.data), "<u8")
+        ends = word[self.start + self.windows + self.length - 9]
+        look = _mixed(word[self.start] * _M1 + ends * _M2 + self.mini + self.windows.astype(np.uint64))
+        _, one = np.unique(look, return_index=True)
+        return most > least, np.minimum(np.bincount(self.of[one], minlength=n), 65535).astype(np.uint16)
+
+
+class _Entries:
+    """The distinct fragments among those of a status, with their least ids.
+
+    Hot fragments are taken window by window, each a fragment of its own.
+    """
+
+    def __init__(self, block: _Block, status: np.ndarray):
+        merge, hot = (np.flatnonzero(status[block.of] == k) for k in (1, 2))
+        each = block.windows[hot]
+        nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        hot = np.repeat(hot, each)
+        self.start = np.concatenate((block.start[merge], block.start[hot] + nth))
+        self.windows = np.concatenate((block.windows[merge], np.ones(len(hot), np.int64)))
+        self.owner = block.owner[np.concatenate((merge, hot))]
+        raw, known = block.raw, {}
+        end = self.start + self.windows + block.length - 1
+        self.entry = np.fromiter((known.setdefault(raw[a:b], len(known))
+                                  for a, b in zip(self.start.tolist(), end.tolist())),
                                  np.int64, len(self.start))
-        n = len(known)
+        self.texts, n = list(known), len(known)
         first = np.zeros(n, np.int64)
         first[self.entry[::-1]] = np.arange(len(self.start))[::-1]
-        self.texts, self.mini, self.size = list(known), mini[first], self.windows[first]
+        self.size = self.windows[first]
         self.least = np.full(n, LAST, np.int64)
         np.minimum.at(self.least, self.entry, self.owner)
-        most = np.full(n, -2 ** 63, np.int64)
-        np.maximum.at(most, self.entry, self.owner)
-        self.several = most > self.least
+        # What has to meet: fragments of one minimiser; of hot ones only equal windows.
+        self.key = np.concatenate((block.mini[merge], np.zeros(len(hot), np.uint64)))[first]
+        for i in np.flatnonzero(first >= len(merge)).tolist():
+            self.key[i] = xxhash.xxh64_intdigest(self.texts[i])
+
+    def groups(self, merges: int) -> Iterator[tuple[int, np.ndarray]]:
+        return _by_number(_mixed(self.key) % np.uint64(merges))
 
 
 def _by_number(numbers: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -209,20 +252,21 @@ def merged_repeats(texts: list[bytes], least: np.ndarray, length: int = LENGTH,
     byte = lambda p: ring[(at[merged[p]])[:, None] + reach]
     same = np.concatenate([(byte(hit[i:i + 65536]) == byte(head[i:i + 65536])).all(1)
                            for i in range(0, len(hit), 65536)])
-    if not same.all():
-        return plain_repeats(texts, least, length)
-    np.bitwise_or.at(masks, owner[hit], np.uint64(1) << inside[merged[hit]].astype(np.uint64))
+    sure = hit[same]
+    if not same.all():  # windows whose codes collide: part their intervals by the bytes
+        mixed = np.flatnonzero(np.isin(interval, interval[hit[~same]]))
+        sure = np.concatenate((sure, mixed[_later(
+            [w.tobytes() for w in byte(mixed)], least[owner[mixed]])]))
+    np.bitwise_or.at(masks, owner[sure], np.uint64(1) << inside[merged[sure]].astype(np.uint64))
     return masks
 
 
-def plain_repeats(texts: list[bytes], least: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """What ``merged_repeats`` gives, by a table of windows; for colliding symbol codes."""
+def _later(windows: list[bytes], least: np.ndarray) -> np.ndarray:
+    """Which windows also stand with a smaller id."""
     low: dict[bytes, int] = {}
-    for t, i in zip(texts, least.tolist()):
-        for a in range(len(t) - length + 1):
-            low[t[a:a + length]] = min(i, low.get(t[a:a + length], LAST))
-    return np.array([sum(1 << a for a in range(len(t) - length + 1) if low[t[a:a + length]] < i)
-                     for t, i in zip(texts, least.tolist())], np.uint64)
+    for w, i in zip(windows, least.tolist()):
+        low[w] = min(i, low.get(w, LAST))
+    return np.array([low[w] < i for w, i in zip(windows, least.tolist())], bool)
 
 
 # ------------------------------------------------------------ the passes
@@ -298,13 +342,14 @@ def _binary(values) -> pa.Array:
 
 
 def _sent_minimisers(number: int, block: _Block, groups: int) -> list[pa.Array]:
-    group = (block.mini >> np.uint64(32)) % np.uint64(groups)
-    low = block.mini.astype(np.uint32)
-    parts = list(_by_number(group))
+    several, kinds = block.told()
+    low = block.minis.astype(np.uint32)
+    parts = list(_by_number((block.minis >> np.uint64(32)) % np.uint64(groups)))
     return [pa.array([g for g, _ in parts], pa.int64()),
             pa.array([number] * len(parts), pa.int64()),
             _binary(low[p].tobytes() for _, p in parts),
-            _binary(block.several[p].tobytes() for _, p in parts)]
+            _binary(several[p].tobytes() for _, p in parts),
+            _binary(kinds[p].tobytes() for _, p in parts)]
 
 
 _REPLY = StructType([StructField("block", LongType()), StructField("grp", LongType()),
@@ -312,40 +357,39 @@ _REPLY = StructType([StructField("block", LongType()), StructField("grp", LongTy
 
 
 def _counted(table: pa.Table, hot: int) -> pa.Table:
-    """Per block the status of its entries: 0 alone, 1 to merge, 2 hot."""
+    """Per block the status of its minimisers: 0 in one document, 1 to merge, 2 hot."""
     table = table.combine_chunks()
     low = [np.frombuffer(x.as_buffer(), np.uint32) for x in table["low"]]
     several = np.frombuffer(b"".join(table["several"].to_pylist()), np.bool_)
+    kinds = np.frombuffer(b"".join(table["kinds"].to_pylist()), np.uint16)
     _, back, count = np.unique(np.concatenate(low), return_inverse=True, return_counts=True)
-    count = count[back]
-    status = np.where(count > hot, 2, (count > 1) | several).astype(np.uint8)
-    cuts = np.split(status, np.cumsum([len(x) for x in low])[:-1])
-    return pa.table([table["block"], table["grp"], _binary(c.tobytes() for c in cuts),
-                     pa.array([int((c == 1).sum()) for c in cuts], pa.int64())], _REPLY.names)
+    shared = (count > 1) | (np.bincount(back, weights=several) > 0)
+    status = np.where(shared, np.where(np.bincount(back, weights=kinds) > hot, 2, 1), 0) \
+        .astype(np.uint8)[back]
+    cuts = np.cumsum([len(x) for x in low])[:-1]
+    size = np.where(status == 1, kinds.astype(np.int64), 0)
+    return pa.table([table["block"], table["grp"], _binary(c.tobytes() for c in np.split(status, cuts)),
+                     pa.array([int(c.sum()) for c in np.split(size, cuts)], pa.int64())], _REPLY.names)
 
 
 def _status(block: _Block, groups: int, replies) -> np.ndarray:
-    out = np.zeros(len(block.texts), np.uint8)
+    out = np.zeros(len(block.minis), np.uint8)
     if replies.as_py() is not None:
         told = {r["grp"]: r["status"] for r in replies.as_py()}
-        for g, places in _by_number((block.mini >> np.uint64(32)) % np.uint64(groups)):
+        for g, places in _by_number((block.minis >> np.uint64(32)) % np.uint64(groups)):
             out[places] = np.frombuffer(told[g], np.uint8)
     return out
 
 
-def _merge_groups(block: _Block, chosen: np.ndarray, groups: int) -> Iterator[tuple[int, np.ndarray]]:
-    for g, places in _by_number(_mixed(block.mini[chosen]) % np.uint64(groups)):
-        yield g, chosen[places]
-
-
 def _sent_fragments(number: int, block: _Block, replies, groups: int, merges: int) -> list[pa.Array]:
-    parts = list(_merge_groups(block, np.flatnonzero(_status(block, groups, replies) == 1), merges))
+    e = _Entries(block, _status(block, groups, replies))
+    parts = list(e.groups(merges))
     return [pa.array([g for g, _ in parts], pa.int64()),
             pa.array([number] * len(parts), pa.int64()),
-            _binary(b"".join([block.texts[i] for i in p]) for _, p in parts),
-            _binary(block.size[p].astype(np.uint8).tobytes() for _, p in parts),
-            _binary(block.mini[p].tobytes() for _, p in parts),
-            _binary(block.least[p].tobytes() for _, p in parts)]
+            _binary(b"".join([e.texts[i] for i in p.tolist()]) for _, p in parts),
+            _binary(e.size[p].astype(np.uint8).tobytes() for _, p in parts),
+            _binary(e.key[p].tobytes() for _, p in parts),
+            _binary(e.least[p].tobytes() for _, p in parts)]
 
 
 _DECIDED = StructType([StructField("block", LongType()), StructField("grp", LongType()),
@@ -362,7 +406,7 @@ def _decided(table: pa.Table, length: int) -> pa.Table:
         entry += [known.setdefault(row["texts"][a:b], len(known))
                   for a, b in zip((end - sizes).tolist(), end.tolist())]
         counts.append(len(sizes))
-        minis.append(np.frombuffer(row["mini"], np.uint64))
+        minis.append(np.frombuffer(row["key"], np.uint64))
         least.append(np.frombuffer(row["least"], np.int64))
     entry, mini, own = np.array(entry, np.int64), np.concatenate(minis), np.concatenate(least)
     texts = list(known)
@@ -383,37 +427,24 @@ def _decided(table: pa.Table, length: int) -> pa.Table:
                     _DECIDED.names)
 
 
-def _hot_windows(number: int, block: _Block, replies, groups: int, length: int) -> list[pa.Array]:
-    out = []
-    for i in np.flatnonzero(_status(block, groups, replies) == 2).tolist():
-        t, own = block.texts[i], int(block.least[i])
-        out += [(number, i, a, own, t[a:a + length]) for a in range(len(t) - length + 1)]
-    columns = list(zip(*out)) if out else [[]] * 5
-    return [pa.array(list(c), k) for c, k in
-            zip(columns, [pa.int64(), pa.int32(), pa.int8(), pa.int64(), pa.binary()])]
-
-
-def _marked(block: _Block, replies, decided, hot, groups: int, merges: int, length: int) -> np.ndarray:
+def _marked(block: _Block, replies, decided, groups: int, merges: int) -> np.ndarray:
     """Which bytes of the block go."""
-    status = _status(block, groups, replies)
-    older, mask = np.zeros(len(status), bool), np.zeros(len(status), np.uint64)
+    e = _Entries(block, _status(block, groups, replies))
+    older, mask = np.zeros(len(e.texts), bool), np.zeros(len(e.texts), np.uint64)
     told = {r["grp"]: r for r in decided.as_py() or ()}
-    for g, places in _merge_groups(block, np.flatnonzero(status == 1), merges):
+    for g, places in e.groups(merges):
         older[places] = np.frombuffer(told[g]["older"], bool)
         if told[g]["masks"]:
             mask[places] = np.frombuffer(told[g]["masks"], np.uint64)
-    for r in hot.as_py() or ():
-        mask[r["entry"]] |= np.uint64(1 << r["at"])
-    seen = status[block.entry] > 0
-    every = seen & (older[block.entry] | (block.owner > block.least[block.entry]))
+    every = older[e.entry] | (e.owner > e.least[e.entry])
     change = np.zeros(len(block.data) + 1, np.int32)
-    np.add.at(change, block.start[every], 1)
-    np.add.at(change, (block.start + block.windows + length - 1)[every], -1)
-    some = np.flatnonzero(seen & ~every & (mask[block.entry] != 0))
-    bits = (mask[block.entry[some], None] >> np.arange(MOST, dtype=np.uint64)) & np.uint64(1)
+    np.add.at(change, e.start[every], 1)
+    np.add.at(change, (e.start + e.windows + block.length - 1)[every], -1)
+    some = np.flatnonzero(~every & (mask[e.entry] != 0))
+    bits = (mask[e.entry[some], None] >> np.arange(MOST, dtype=np.uint64)) & np.uint64(1)
     row, at = np.nonzero(bits)
-    np.add.at(change, block.start[some[row]] + at, 1)
-    np.add.at(change, block.start[some[row]] + at + length, -1)
+    np.add.at(change, e.start[some[row]] + at, 1)
+    np.add.at(change, e.start[some[row]] + at + block.length, -1)
     return np.cumsum(change[:-1]) > 0
 
 
@@ -450,7 +481,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     size = blocks.agg(F.sum(F.length("data"))).first()[0] or 0
     groups = max(8, -(-size // (32 << 20)))
     kind = StructType([StructField("grp", LongType()), StructField("block", LongType()),
-                       StructField("low", BinaryType()), StructField("several", BinaryType())])
+                       *[StructField(c, BinaryType()) for c in ("low", "several", "kinds")]])
     sent = _over_blocks(blocks, [], kind, length, lambda n, b: _sent_minimisers(n, b, groups))
     status = written(sent.groupBy("grp").applyInArrow(lambda t: _counted(t, hot), _REPLY), "status")
     replies = status.groupBy("block").agg(F.collect_list(F.struct("grp", "status")).alias("replies"))
@@ -459,28 +490,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n = status.agg(F.sum("n")).first()[0] or 0
     merges = max(8, -(-n * (length + 20) // GROUP))
     kind = StructType([StructField("grp", LongType()), StructField("block", LongType()),
-                       *[StructField(c, BinaryType()) for c in ("texts", "size", "mini", "least")]])
+                       *[StructField(c, BinaryType()) for c in ("texts", "size", "key", "least")]])
     frags = _over_blocks(known, ["replies"], kind, length,
                          lambda n, b, r: _sent_fragments(n, b, r, groups, merges))
     decided = written(frags.groupBy("grp").applyInArrow(lambda t: _decided(t, length), _DECIDED),
                       "decided")
     decided = decided.groupBy("block").agg(F.collect_list(F.struct("grp", "older", "masks"))
                                            .alias("decided"))
-    kind = StructType([StructField("block", LongType()), StructField("entry", IntegerType()),
-                       StructField("at", ByteType()), StructField("own", LongType()),
-                       StructField("window", BinaryType())])
-    busy = known.filter(F.exists("replies", lambda r: F.hex(r["status"]).rlike("^(..)*02")))
-    rows = written(_over_blocks(busy, ["replies"], kind, length,
-                                lambda n, b, r: _hot_windows(n, b, r, groups, length)), "hot")
-    lows = rows.groupBy("window").agg(F.min("own").alias("low"), F.max("own").alias("high")) \
-        .filter("low < high").drop("high")
-    hits = (rows.join(lows, "window").filter("low < own").groupBy("block")
-            .agg(F.collect_list(F.struct("entry", "at")).alias("hot")))
-    whole = known.join(decided.hint("shuffle_hash"), "block", "left") \
-        .join(hits.hint("shuffle_hash"), "block", "left")
-    columns = ["replies", "decided", "hot", "rows"]
+    whole = known.join(decided.hint("shuffle_hash"), "block", "left")
     kind = StructType([StructField("row", blocks.schema["rows"].dataType.elementType),
                        StructField("n_bytes", LongType()), StructField("spans", ArrayType(_SPAN)),
                        StructField("kept", BinaryType())])
-    return _over_blocks(whole, columns, kind, length, lambda n, b, r, d, h, rows: _cut(
-        b, _marked(b, r, d, h, groups, merges, length), rows))
+    return _over_blocks(whole, ["replies", "decided", "rows"], kind, length, lambda n, b, r, d, rows:
+                        _cut(b, _marked(b, r, d, groups, merges), rows))

@@ -79,6 +79,15 @@ def test_small_blocks_long_text_and_empty_table(spark, monkeypatch):
     assert run(spark, rows) == plain(rows)
 
 
+def plain_masks(texts, least, length=50):
+    low = {}
+    for t, i in zip(texts, least.tolist()):
+        for a in range(len(t) - length + 1):
+            low[t[a:a + length]] = min(i, low.get(t[a:a + length], R.LAST))
+    return np.array([sum(1 << a for a in range(len(t) - length + 1) if low[t[a:a + length]] < i)
+                     for t, i in zip(texts, least.tolist())], np.uint64)
+
+
 @pytest.mark.parametrize("shard", [60, 400, 10 ** 6])
 def test_merged_transforms_find_all_repeats(shard):
     rng = random.Random(shard)
@@ -86,7 +95,7 @@ def test_merged_transforms_find_all_repeats(shard):
     texts = list({base[a:a + rng.randint(50, 110)] for a in (rng.randrange(180) for _ in range(60))}
                  | {bytes(50), bytes(60), b"a" * 113})
     low = np.array([rng.randrange(20) for _ in texts], np.int64)
-    want = R.plain_repeats(texts, low)
+    want = plain_masks(texts, low)
     assert (R.merged_repeats(texts, low, shard_bytes=shard) == want).all()
 
 
@@ -108,10 +117,14 @@ def test_interleave_orders_and_common_prefixes():
 
 
 def test_colliding_codes_are_caught(monkeypatch):
-    monkeypatch.setattr(R, "_mixed", lambda h: h & np.uint64(0))
-    texts = [b"a" * 50, b"b" * 50, b"xx" + b"a" * 50]
-    low = np.array([1, 0, 5], np.int64)
-    assert R.merged_repeats(texts, low).tolist() == [0, 0, 4]
+    rng = random.Random(6)
+    texts = [b"a" * 50, b"b" * 50, b"xx" + b"a" * 50] + \
+        [bytes(rng.choice(b"ab") for _ in range(7)) * 9 for _ in range(40)]
+    low = np.array([1, 0, 5, *[rng.randrange(9) for _ in range(40)]], np.int64)
+    want = plain_masks(texts, low)
+    for bits in (0, 1 << 48):
+        monkeypatch.setattr(R, "_mixed", lambda h: h & np.uint64(bits))
+        assert (R.merged_repeats(texts, low) == want).all()
 
 
 def test_columns_travel(spark):
