@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from mailsift.session import small_batches
+
 # The plain-text wrapper (text is not escaped).
 PLAIN_PREFIX = "<html><body><pre>"
 PLAIN_SUFFIX = "</pre></body></html>"
@@ -28,12 +30,20 @@ def decode_parts(raw: bytes) -> list[tuple]:
 
     ``(part_no, multipart, content_type, charset, text, error)``: transfer
     encoding decoded; charset (default utf-8) decoded dropping bad bytes;
-    ``text`` is null when the part has no payload. An unknown charset gives
-    null text and an ``error`` instead of aborting the job.
+    ``text`` is null when the part has no payload. A charset that cannot be
+    used, or a message that cannot be read, gives null text and an ``error``
+    instead of aborting the job.
     """
+    try:
+        return _parts(bytes(raw))
+    except Exception as e:  # one message must not end the job; its error is kept
+        return [(1, "N", "", "", None, f"unreadable message: {type(e).__name__}: {e}")]
+
+
+def _parts(raw: bytes) -> list[tuple]:
     import email
 
-    msg = email.message_from_bytes(bytes(raw))
+    msg = email.message_from_bytes(raw)
     multi = "Y" if msg.is_multipart() else "N"
     out = []
     parts = [p for p in msg.walk() if not p.is_multipart()] if msg.is_multipart() else [msg]
@@ -45,35 +55,36 @@ def decode_parts(raw: bytes) -> list[tuple]:
         if payload is not None:
             try:
                 text = payload.decode(charset, errors="ignore")
-            except LookupError as e:
+            except (LookupError, ValueError) as e:  # no such charset, or one for no text
                 err = f"unknown charset: {e}"
         out.append((i, multi, ctype, charset, text, err))
     return out
 
 
 def explode_parts(df: DataFrame, raw_col: str = "raw", keep: Sequence[str] = ("uid",)) -> DataFrame:
-    """B1: one row per leaf MIME part (``mapInPandas`` over message partitions).
+    """B1: one row per leaf MIME part (``mapInArrow`` over message partitions).
 
     Apply header filters before this: predicates do not pass through Python.
     """
+    small_batches(df.sparkSession)
     keep = list(keep)
     schema = StructType([df.schema[k] for k in keep] + PART_FIELDS)
-    names = [*keep, *[f.name for f in PART_FIELDS]]
+    kinds = [pa.int32(), *[pa.string()] * (len(PART_FIELDS) - 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(i, *part) for i, raw in enumerate(batch.column(len(keep)).to_pylist())
+                     if raw is not None for part in decode_parts(raw)]
+            at, *fields = zip(*found) if found else [()] * (len(PART_FIELDS) + 1)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).take(pa.array(at, pa.int32())) for c in range(len(keep))],
+                 *[pa.array(list(f), k) for f, k in zip(fields, kinds)]], schema.names)
+
+    return _raw(df, raw_col, keep).mapInArrow(run, schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            leads = zip(*[pdf[f"k{i}"] for i in range(len(keep))])
-            for lead, raw in zip(leads, pdf["r"]):
-                if raw is None:
-                    continue
-                for part in decode_parts(raw):
-                    rows.append(tuple(lead) + part)
-            yield pd.DataFrame(rows, columns=names)
 
-    src = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)],
-                    F.col(raw_col).alias("r"))
-    return src.mapInPandas(run, schema)
+def _raw(df: DataFrame, raw_col: str, keep: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)], F.col(raw_col).alias("r"))
 
 
 def pick_body(parts: list[tuple]) -> str:
@@ -104,25 +115,26 @@ def decode_bodies(df: DataFrame, raw_col: str = "raw", keep: Sequence[str] = ("u
     A message's parts never leave the task that decoded them, so choosing
     the body needs no shuffle and no sort (``choose_body`` is the grouped
     form for part tables that arrive separately). ``error`` is the first decode
-    error among the parts (an unknown charset), null if there is none; rows
-    leave one message at a time, so a batch of large bodies is never held twice.
+    error among the parts, null if there is none. Rows travel in Arrow batches
+    bounded by bytes.
     """
+    small_batches(df.sparkSession)
     keep = list(keep)
     schema = StructType([df.schema[k] for k in keep] + [StructField("html", StringType()),
                                                         StructField("error", StringType())])
-    names = [f.name for f in schema]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for *lead, raw in pdf.itertuples(index=False, name=None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            html, errors = [], []
+            for raw in batch.column(len(keep)).to_pylist():
                 parts = [] if raw is None else decode_parts(raw)
-                error = next((p[5] for p in parts if p[5]), None)
-                yield pd.DataFrame([(*lead, None if raw is None else pick_body(parts), error)],
-                                   columns=names)
+                html.append(None if raw is None else pick_body(parts))
+                errors.append(next((p[5] for p in parts if p[5]), None))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:len(keep)], pa.array(html, pa.string()),
+                 pa.array(errors, pa.string())], schema.names)
 
-    src = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)],
-                    F.col(raw_col).alias("r"))
-    return src.mapInPandas(run, schema)
+    return _raw(df, raw_col, keep).mapInArrow(run, schema)
 
 
 def wrap_plain(text_col="text"):

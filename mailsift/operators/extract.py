@@ -6,26 +6,30 @@ Two implementations of the anchor extractor:
   per-anchor structs, fully JVM-side. Exact on well-formed markup, which is
   what alert mails and the driver's pages are. Gives title and link, no
   context.
-* ``extract_items`` (parser): ``anchor_contexts`` runs the standard library
+* ``extract_items`` (parser): ``parsed_pages`` runs the standard library
   ``html.parser`` with an open-element stack (implied end tags for ``p``, ``li``,
-  ``td``, ``tr``; void elements; script/style text excluded), which tag soup and
-  the enclosing-block text (X3) need; everything decided about an anchor is
-  a column expression on its rows.
+  ``td``, ``tr``; void elements; script/style text excluded), which tag soup
+  needs. It returns the page's text pieces once and, for each anchor, spans of
+  piece numbers: its own text, its enclosing block (X3), the next element (X5).
+  Texts are put together and decided on by column expressions.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from mailsift.functions._util import as_col
 from mailsift.functions.text import WS_CLASS, remove_title, ustrip
 from mailsift.operators.order import first_per_key
+from mailsift.session import small_batches
 
 # The link predicate and block tags of the source tool.
 DEFAULT_MIN_TITLE_LEN = 4
@@ -152,7 +156,7 @@ def dedupe_in_message(df: DataFrame, msg_key: Sequence[str] = ("uid",),
 
 
 # --------------------------------------------------------------------------
-# Parser path (mapInPandas)
+# Parser path (mapInArrow)
 # --------------------------------------------------------------------------
 
 # HTML element classes used by the tree builder.
@@ -164,30 +168,63 @@ _CLOSES_P = frozenset(
 _P_SCOPE_STOP = frozenset("td th li div table body html blockquote button".split())
 
 
+# Fixed limit: the digits a decimal reference may have (the standard library's int() limit is beyond).
+_LONG_REF = re.compile(r"&#([0-9]{8,});?")
+
+
+def _short_refs(html: str) -> str:
+    """Decimal references of any length read as ``html.unescape`` reads short ones."""
+    def short(m):
+        digits = m[1].lstrip("0") or "0"
+        return f"&#{digits};" if len(digits) < 8 else "\ufffd"
+    return _LONG_REF.sub(short, html)
+
+
 class _Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    """An element: the span of its text pieces, its nearest block and its next element."""
+    __slots__ = ("tag", "first", "last", "block", "child", "after")
+
+    def __init__(self, tag, first, block):
+        self.tag, self.first, self.last, self.block = tag, first, None, block
+        self.child = self.after = None  # last element inside so far, next element beside
 
-    def __init__(self, tag, attrs, parent):
-        self.tag = tag
-        self.attrs = attrs
-        self.children = []
-        self.parent = parent
 
+class _IntervalBuilder(HTMLParser):
+    """Forgiving reader: implied end tags, void elements, stray end tags ignored.
 
-class _TreeBuilder(HTMLParser):
-    """Forgiving element tree: implied end tags, void elements, stray end tags ignored."""
+    No tree is kept. Text pieces are numbered in document order, so an element
+    is a span of numbers, and every span is known when its end is read.
+    """
 
-    def __init__(self):
+    def __init__(self, block_tags):
         super().__init__(convert_charrefs=True)
-        self.root = _Node("#root", {}, None)
-        self.stack = [self.root]
-        self.anchors = []
+        self.block_tags = block_tags
+        self.pieces, self.anchors = [], []
+        self.stack = [_Node("#root", 0, None)]
+        self.open = Counter()
+        self.quiet = 0  # open elements whose text does not count
+
+    def parse_marked_section(self, i, report=1):
+        """``<![...``: a section of an unknown kind is a comment, as browsers read it."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
+
+    def _pop(self):
+        node = self.stack.pop()
+        node.last = len(self.pieces)
+        self.open[node.tag] -= 1
+        self.quiet -= node.tag in _NO_TEXT
 
     def _close_to(self, tag, stop=()):
+        if not self.open[tag]:
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             t = self.stack[i].tag
             if t == tag:
-                del self.stack[i:]
+                while len(self.stack) > i:
+                    self._pop()
                 return
             if t in stop:
                 return
@@ -204,95 +241,116 @@ class _TreeBuilder(HTMLParser):
             self._close_to("tr", ("table", "tbody", "thead", "tfoot"))
         elif tag == "a":
             self._close_to("a")
-        a = {}
-        for k, v in attrs:
-            if k not in a:
-                a[k] = "" if v is None else v
-        node = _Node(tag, a, self.stack[-1])
-        self.stack[-1].children.append(node)
-        if tag == "a" and "href" in a:
-            self.anchors.append(node)
-        if tag not in _VOID:
+        parent = self.stack[-1]
+        node = _Node(tag, len(self.pieces), parent if parent.tag in self.block_tags else parent.block)
+        if parent.child is not None:
+            parent.child.after = node
+        parent.child = node
+        href = next((v for k, v in attrs if k == "href"), False) if tag == "a" else False
+        if href is not False:
+            self.anchors.append((node, href or ""))
+        if tag in _VOID:
+            node.last = node.first
+        else:
             self.stack.append(node)
+            self.open[tag] += 1
+            self.quiet += tag in _NO_TEXT
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in _VOID and self.stack[-1].tag == tag:
-            self.stack.pop()
+            self._pop()
 
     def handle_endtag(self, tag):
-        if any(n.tag == tag for n in self.stack[1:]):
-            self._close_to(tag)
+        self._close_to(tag)
 
     def handle_data(self, data):
-        cur = self.stack[-1]
-        if cur.tag in _NO_TEXT:
-            return
-        cur.children.append(data)
-
-
-def _pieces(node):
-    out = []
-    todo = [node]
-    while todo:
-        n = todo.pop()
-        if isinstance(n, str):
-            out.append(n)
-        elif n.tag not in _NO_TEXT:
-            todo.extend(reversed(n.children))
-    return out
+        text = data.strip()
+        if text and not self.quiet:
+            self.pieces.append(text)
 
+    def finish(self):
+        self.close()
+        while self.stack:
+            self._pop()
 
-def _text(node, sep):
-    return sep.join(p for p in (s.strip() for s in _pieces(node)) if p)
 
+def parse_page(html: str | None, block_tags=DEFAULT_BLOCK_TAGS) -> tuple:
+    """X1, X3, X5 of one document: ``(pieces, anchors, error)``.
 
-def _sibling_text(node: _Node) -> str | None:
-    """Text of the next element beside ``node``; null if there is none."""
-    beside = node.parent.children
-    after = beside[[c is node for c in beside].index(True) + 1:]
-    element = next((c for c in after if not isinstance(c, str)), None)
-    return None if element is None else _text(element, " ")
+    Pieces are the text, stripped, in document order. An anchor with an ``href`` is
+    ``(link, spans)`` with the piece numbers, from and below, of its own text, its
+    nearest block and the next element beside it (-1 where there is none). What is
+    returned is linear in the page; only parsing happens here.
+    """
+    builder = _IntervalBuilder(frozenset(block_tags))
+    try:
+        builder.feed(_short_refs(html or ""))
+        builder.finish()
+    except Exception as e:  # a page must not end the job; its error is counted
+        return [], [], f"{type(e).__name__}: {e}"
+    span = lambda n: (-1, -1) if n is None else (n.first, n.last)
+    return builder.pieces, [(link, *span(n), *span(n.block), *span(n.after))
+                            for n, link in builder.anchors], None
+
+
+_SPANS = ("own_from", "own_to", "block_from", "block_to", "next_from", "next_to")
+_ANCHOR = StructType([StructField("link", StringType())]
+                     + [StructField(n, IntegerType()) for n in _SPANS])
+
+
+def parsed_pages(df: DataFrame, html_col: str = "html", keep: Sequence[str] = ("uid",),
+                 block_tags: Sequence[str] = DEFAULT_BLOCK_TAGS) -> DataFrame:
+    """``keep..., pieces, anchors, error`` per page with a body; narrow, linear in the page."""
+    small_batches(df.sparkSession)
+    keep = list(keep)
+    out = StructType([df.schema[k] for k in keep] + [
+        StructField("pieces", ArrayType(StringType())), StructField("anchors", ArrayType(_ANCHOR)),
+        StructField("error", StringType())])
+    names, tags, n = [f.name for f in out], tuple(block_tags), len(keep)
+    kinds = [pa.list_(pa.string()), pa.list_(pa.struct(
+        [("link", pa.string()), *[(s, pa.int32()) for s in _SPANS]])), pa.string()]
+    fields = ("link", *_SPANS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pages = [parse_page(h, tags) for h in batch.column(n).to_pylist()]
+            columns = [[p[0] for p in pages], [[dict(zip(fields, a)) for a in p[1]] for p in pages],
+                       [p[2] for p in pages]]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:n], *[pa.array(c, k) for c, k in zip(columns, kinds)]], names)
 
+    src = df.filter(F.col(html_col).isNotNull() & (F.col(html_col) != "")) \
+        .select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)], F.col(html_col).alias("h"))
+    return src.mapInArrow(run, out)
 
-def parse_anchors(html: str | None, block_tags=DEFAULT_BLOCK_TAGS) -> list[tuple]:
-    """X1, X3 of one document: ``(pos, title, link, block_text, sibling_text)`` per anchor with
-    an ``href``. Only parsing happens here; what is kept is decided on columns."""
-    builder, blocks = _TreeBuilder(), frozenset(block_tags)
-    builder.feed(html or "")
-    builder.close()
-    rows = []
-    for pos, anchor in enumerate(builder.anchors, 1):
-        block = anchor.parent
-        while block is not None and block.tag not in blocks:
-            block = block.parent
-        rows.append((pos, _text(anchor, ""), anchor.attrs["href"],
-                     None if block is None else _text(block, " "), _sibling_text(anchor)))
-    return rows
 
+def _joined(low: Column, high: Column, sep: str) -> Column:
+    """Text of a span of pieces; null where there is no span."""
+    return F.when(low >= 0, F.array_join(F.slice("pieces", low + 1, high - low), sep))
 
-ANCHOR_FIELDS = [StructField("pos", IntegerType()), StructField("title", StringType()),
-                 StructField("link", StringType()), StructField("block_text", StringType()),
-                 StructField("sibling_text", StringType())]
 
+def page_items(pages: DataFrame, keep: Sequence[str] = ("uid",),
+               min_len: int = DEFAULT_MIN_TITLE_LEN,
+               contains: Sequence[str] = DEFAULT_LINK_CONTAINS,
+               prefixes: Sequence[str] = DEFAULT_LINK_PREFIXES) -> DataFrame:
+    """X2-X5, X7 over ``parsed_pages``: the kept anchors with title, link and abstract.
 
-def anchor_contexts(df: DataFrame, html_col: str = "html", keep: Sequence[str] = ("uid",),
-                    block_tags: Sequence[str] = DEFAULT_BLOCK_TAGS) -> DataFrame:
-    """X1, X3 (parser): every anchor with its context; narrow, rows leave message by message."""
-    keep = list(keep)
-    out = StructType([df.schema[k] for k in keep] + ANCHOR_FIELDS)
-    names, tags = [f.name for f in out], tuple(block_tags)
+    The predicate acts on titles and links before any context is put together, so a
+    block's text is made once for each item that has it and for no other anchor.
+    """
+    titled = F.transform("anchors", lambda a, i: F.struct(
+        (i + 1).cast("int").alias("pos"), _joined(a["own_from"], a["own_to"], "").alias("title"),
+        a["link"].alias("link"), a.alias("at")))
+    kept = F.filter(titled, lambda t: link_predicate(t["title"], t["link"], min_len, contains, prefixes))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for lead in pdf.itertuples(index=False, name=None):
-                rows = [(*lead[:-1], *a) for a in parse_anchors(lead[-1], tags)]
-                if rows:
-                    yield pd.DataFrame(rows, columns=names)
+    def item(t: Column) -> Column:
+        block = _joined(t["at"]["block_from"], t["at"]["block_to"], " ")
+        beside = _joined(t["at"]["next_from"], t["at"]["next_to"], " ")
+        return F.struct(t["pos"].alias("pos"), t["title"].alias("title"), t["link"].alias("link"),
+                        F.coalesce(remove_title(block, t["title"]), beside).alias("abstract"))
 
-    src = df.filter(F.col(html_col).isNotNull() & (F.col(html_col) != "")) \
-        .select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)], F.col(html_col).alias("h"))
-    return src.mapInPandas(run, out)
+    return pages.select(*keep, F.inline(F.transform(kept, item)))
 
 
 def extract_items(df: DataFrame, html_col: str = "html", keep: Sequence[str] = ("uid",),
@@ -303,13 +361,11 @@ def extract_items(df: DataFrame, html_col: str = "html", keep: Sequence[str] = (
                   dedupe: bool = True) -> DataFrame:
     """Items with an abstract, per message.
 
-    The parser gives anchors and their context; the link predicate (X2), the
-    title taken out of the block text (X4), the fallback to the next element
-    (X5) and the dedupe inside a message (X6) are column expressions. Filter
-    messages *before* calling this: predicates do not pass through Python.
+    The parser gives text pieces and spans (``parsed_pages``); the link predicate
+    (X2), the title taken out of the block text (X4), the fallback to the next
+    element (X5) and the dedupe inside a message (X6) are column expressions.
+    Filter messages *before* calling this: predicates do not pass through Python.
     """
     keep = list(keep)
-    kept = keep_links(anchor_contexts(df, html_col, keep, block_tags), min_len, contains, prefixes)
-    items = kept.select(*keep, "pos", "title", "link", F.coalesce(
-        remove_title("block_text", "title"), F.col("sibling_text")).alias("abstract"))
+    items = page_items(parsed_pages(df, html_col, keep, block_tags), keep, min_len, contains, prefixes)
     return dedupe_in_message(items, keep) if dedupe else items

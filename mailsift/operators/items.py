@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailsift.functions.params import normalise_term_list
@@ -84,7 +84,80 @@ def keyword_filter(df: DataFrame, terms: Sequence[str] | str | None,
     return df.filter(cond)
 
 
-GRAM = 4  # characters of a term's anchor
+GRAM = 6          # characters of a gram (a shorter term is its own)
+SET_WORDS = 4096  # 64-bit words of a gram set: 32 KB, whatever the number of grams
+
+
+def _grams(text: Column, widths: Sequence[int]) -> Column:
+    """All character grams of the widths; a lookahead takes overlapping ones in one linear pass."""
+    found = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{w}}}))"), 1) for w in widths]
+    return found[0] if len(found) == 1 else F.flatten(F.array(*found))
+
+
+def _gram_set(grams: DataFrame) -> tuple[list[int], Callable[[Column], Column]]:
+    """The widths of ``grams``, and a test that each of them passes (and few others).
+
+    The test is one bit for each hash. At most ``SET_WORDS`` rows come to the driver;
+    beyond some hundred thousand grams it lets more through and the join that
+    follows does its work.
+    """
+    rows = (grams.select(F.expr(f"shiftrightunsigned(xxhash64(gram), 6) & {SET_WORDS - 1}").alias("word"),
+                         F.expr("shiftleft(1L, cast(xxhash64(gram) & 63 as int))").alias("bit"),
+                         F.length("gram").alias("width"))
+            .groupBy("word").agg(F.bit_or("bit").alias("bits"), F.collect_set("width").alias("widths"))
+            .collect())
+    bits = {r["word"]: r["bits"] for r in rows}
+    words = F.split(F.lit(",".join(str(bits.get(i, 0)) for i in range(SET_WORDS))), ",") \
+        .cast("array<bigint>")
+
+    def test(gram: Column) -> Column:
+        h = F.xxhash64(gram)
+        word = words[F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(SET_WORDS - 1)).cast("int")]
+        return F.getbit(word, h.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    return sorted({w for r in rows for w in r["widths"]}), test
+
+
+def term_anchors(texts: DataFrame, terms: DataFrame, text: Column) -> DataFrame | None:
+    """``term, gram, n``: for each term the gram of it that is rarest in the texts, and how rare.
+
+    The frequencies of all grams of all terms are counted over all texts, added up
+    before the shuffle. A term with a gram that no text has matches nothing and
+    goes. None if there are no terms.
+    """
+    steps = F.sequence(F.lit(1), F.greatest(F.length("term") - GRAM + 1, F.lit(1)))
+    parts = written(terms.select("term", F.explode(F.array_distinct(F.transform(
+        steps, lambda i: F.substring(F.col("term"), i, F.lit(GRAM))))).alias("gram")), "term-grams")
+    widths, test = _gram_set(parts)
+    if not widths:
+        return None
+    counts = (texts.select(F.explode(_grams(text, widths)).alias("gram")).filter(test(F.col("gram")))
+              .groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
+    return written(parts.join(counts, "gram", "left").groupBy("term")
+                   .agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"),
+                        F.min(F.coalesce("n", F.lit(0))).alias("n"))
+                   .filter("n > 0"), "anchors")
+
+
+def keyword_candidates(df: DataFrame, terms_df: DataFrame, row_key: Sequence[str],
+                       term_col: str = "term", title_col: str = "title",
+                       abstract_col: str = "abstract") -> DataFrame | None:
+    """``__of_<key>..., term``: the pairs of a row and a term whose anchor the row holds.
+
+    A text that contains a term contains the term's rarest gram, its anchor. Grams
+    that are no anchor leave with the scan (a bit test, no join); the others are
+    equi-joined to the anchors. None if there are no terms.
+    """
+    terms = terms_df.select(F.lower(ustrip(F.col(term_col))).alias("term")) \
+        .filter(F.col("term") != "").distinct()
+    blob = keyword_blob(title_col, abstract_col)
+    anchors = term_anchors(df, terms, blob)
+    if anchors is None:
+        return None
+    widths, test = _gram_set(anchors)
+    return (df.select(*[F.col(k).alias(f"__of_{k}") for k in row_key],
+                      F.explode(_grams(blob, widths or [GRAM])).alias("gram"))
+            .filter(test(F.col("gram"))).join(anchors.drop("n"), "gram").drop("gram"))
 
 
 def keyword_semi_join(df: DataFrame, terms_df: DataFrame, row_key: Sequence[str],
@@ -92,30 +165,16 @@ def keyword_semi_join(df: DataFrame, terms_df: DataFrame, row_key: Sequence[str]
                       abstract_col: str = "abstract") -> DataFrame:
     """I4: keyword any-match with the terms as a table; one plan at every size.
 
-    Terms are normalised like a term list (S3). A text that contains a term
-    contains the term's anchor, its first ``GRAM`` characters (a shorter term
-    is its own anchor), so the distinct character grams of the texts are
-    equi-joined to the anchors; each text's candidate terms come back to it
-    by ``row_key``, which names a row, and are verified with ``contains``. Grams
-    that are no anchor leave at the first join, which the planner broadcasts
-    while the anchors are small. Nothing is collected. No terms: ``df`` as is.
+    Terms are normalised like a term list (S3). Each row's candidate terms
+    (``keyword_candidates``) come back to it by ``row_key``, which names a row, and
+    are verified with ``contains``. Nothing is collected. No terms: ``df`` as is.
     """
-    terms = written(terms_df.select(F.lower(ustrip(F.col(term_col))).alias("term"))
-                    .filter(F.col("term") != "").distinct()
-                    .select("term", F.substring("term", 1, GRAM).alias("anchor")), "terms")
-    widths = [r[0] for r in terms.select(F.length("anchor")).distinct().collect()]  # GRAM at most
-    if not widths:
+    found = keyword_candidates(df, terms_df, row_key, term_col, title_col, abstract_col)
+    if found is None:
         return df
-    key = list(row_key)
-    blob = keyword_blob(title_col, abstract_col)
-    # A lookahead takes overlapping grams in one linear pass over the text.
-    grams = F.flatten(F.array(*[F.array_distinct(F.regexp_extract_all(
-        blob, F.lit(f"(?s)(?=(.{{{w}}}))"), 1)) for w in sorted(widths)]))
-    found = (df.select(*[F.col(k).alias(f"__of_{k}") for k in key], F.explode(grams).alias("anchor"))
-             .join(terms, "anchor").groupBy(*[f"__of_{k}" for k in key])
-             .agg(F.collect_set("term").alias("__terms")))
+    found = found.groupBy(*[f"__of_{k}" for k in row_key]).agg(F.collect_set("term").alias("__terms"))
     same = F.lit(True)
-    for k in key:
+    for k in row_key:
         same = same & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
     return (df.join(found, same)
             .filter(F.exists("__terms", lambda t: F.contains(keyword_blob(title_col, abstract_col), t)))

@@ -31,7 +31,7 @@ def page_messages(pages: DataFrame) -> DataFrame:
 def doc_items(documents: DataFrame) -> DataFrame:
     """documents -> items: title = first line, abstract = the rest (null if none)."""
     nl = F.instr(F.col("text"), "\n")
-    return documents.select(
+    return spread(documents, key="doc_id").select(
         "doc_id", "lang", "source",
         F.substring_index(F.col("text"), "\n", 1).alias("title"),
         F.concat(F.lit("doc://"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"))

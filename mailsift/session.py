@@ -79,6 +79,22 @@ def written(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send bodies to Python workers in batches of at most ``BATCH_BYTES`` (or one row).
+
+    Bodies differ in size by orders of magnitude, so a bound in rows alone does not
+    bound memory. A smaller bound of the session's own stays.
+    """
+    now = spark.conf.get(_BATCH_SETTING, "64m").lower().rstrip("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now[-1:], 1)
+    if not 0 < int(now.rstrip("kmg")) * scale <= BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
+
+
 SPREAD_SETTING = "mailsift.spread.partitions"
 
 

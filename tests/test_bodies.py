@@ -70,6 +70,17 @@ def test_bad_bytes_dropped_and_unknown_charset_recorded():
     assert p[4] is None and "unknown charset" in p[5]
 
 
+@pytest.mark.parametrize("charset", ["idna", "undefined", "utf-8\0x", "base64", "x-no-such"])
+def test_no_charset_ends_the_job(spark, charset):
+    raw = (H + f'Content-Type: text/html; charset="{charset}"\r\n\r\n<p>hi</p>').encode()
+    df = spark.createDataFrame([(1, raw), (2, FIXTURES[4][0].encode()), (3, None)],
+                               "uid long, raw binary")
+    got = {r.uid: (r.html, r.error is not None) for r in decode_bodies(df).collect()}
+    assert got[2] == ("<b>single</b>", False) and got[3] == (None, False)
+    assert got[1] in [("", True), ("<p>hi</p>", False)]
+    assert {r.uid for r in explode_parts(df).collect()} == {1, 2}
+
+
 @pytest.fixture(scope="module")
 def raw_df(spark):
     rows = [(uid, as_bytes(raw)) for uid, (raw, _) in FIXTURES.items()]

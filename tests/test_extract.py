@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from mailsift.operators.extract import (
-    dedupe_in_message, extract_anchors, extract_items, keep_links, parse_anchors,
+    dedupe_in_message, extract_anchors, extract_items, keep_links, page_items, parse_page,
+    parsed_pages,
 )
 
 
@@ -58,7 +59,7 @@ def test_items_of_tag_soup(spark):
 
 
 def test_items_empty_and_dedupe_off(spark):
-    assert items_of(spark, "") == [] and parse_anchors(None) == []
+    assert items_of(spark, "") == [] and parse_page(None) == ([], [], None)
     assert [i[0] for i in items_of(spark, ALERT, dedupe=False)] == [1, 3, 5, 6]
 
 
@@ -131,3 +132,53 @@ def test_keyword_phrase_spans_title_and_abstract(spark):
                                "uid long, title string, abstract string")
     got = sorted(r.uid for r in keyword_filter(df, ["solid electrolyte"]).collect())
     assert got == [1]
+
+
+ODD = ["<![ if !mso]>", "<![foo bar]>", "<![]>", "<![endif]-->", "&#" + "9" * 5000 + ";",
+       "&#" + "0" * 5000 + "65;", "<!x>", "</>", "<?php a > b ?>", "&#;", "&#x110000;"]
+
+
+def test_odd_markup_keeps_its_items_and_the_job(spark):
+    """Markup that the standard library's parser gives up on costs neither items nor the job."""
+    page = '<div><a href="https://e.org/1">Before it</a></div>{}<p><a href="https://e.org/2">After it</a></p>'
+    df = spark.createDataFrame([(i, page.format(x)) for i, x in enumerate(ODD)], "uid long, html string")
+    got = {}
+    for r in extract_items(df).collect():
+        got.setdefault(r.uid, []).append(r.title)
+    assert {i: sorted(t) for i, t in got.items()} == {
+        i: ["After it", "Before it"] for i in range(len(ODD))}
+    assert parsed_pages(df).filter("error is not null").count() == 0
+    assert parse_page("x &#" + "0" * 5000 + "65; &#" + "9" * 5000 + ";")[0] == ["x A \ufffd"]
+
+
+def test_parsed_page_is_linear_in_the_page():
+    """4,000 links in one block: spans of the same pieces, not 4,000 copies of the block."""
+    import time
+
+    page = "<div>" + "".join(f'<a href="https://e.org/{i}">Link number {i}</a> note {i} '
+                             for i in range(4000)) + "</div>"
+    t0 = time.perf_counter()
+    pieces, anchors, error = parse_page(page)
+    assert time.perf_counter() - t0 < 1.0 and error is None
+    assert len(anchors) == 4000 and sum(map(len, pieces)) < len(page)
+    assert anchors[7][1:] == (14, 15, 0, 8000, 16, 17) and pieces[14:16] == ["Link number 7", "note 7"]
+    deep = "<p>" + "<span>" * 20000 + '<a href="https://e.org/x">Deep</a>' + "<div></div></span>" * 20000
+    t0 = time.perf_counter()
+    assert parse_page(deep)[1][0][1:3] == (0, 1) and time.perf_counter() - t0 < 2.0
+
+
+def test_only_kept_anchors_get_context(spark):
+    """The predicate acts before texts are put together."""
+    page = "<div>" + "".join(f'<a href="/r/{i}">Relative {i}</a>' for i in range(3000)) + \
+        '<a href="https://e.org/1">Kept link</a> with a note</div>'
+    df = spark.createDataFrame([(1, page)], "uid long, html string")
+    rows = page_items(parsed_pages(df)).collect()
+    assert [(r.pos, r.title) for r in rows] == [(3001, "Kept link")]
+    assert rows[0].abstract.startswith("Relative 0 Relative 1 ") and \
+        rows[0].abstract.endswith("Relative 2999  with a note")
+
+
+def test_text_of_quiet_elements_belongs_to_no_item(spark):
+    page = ('<div><a href="https://e.org/1">Open <style>x{}</style>item</a><template>hidden '
+            '<a href="https://e.org/2">Hidden item</a></template> shown</div>')
+    assert items_of(spark, page) == [(1, "Openitem", "https://e.org/1", "Open item shown")]

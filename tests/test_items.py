@@ -7,6 +7,7 @@ are exercised.
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from mailsift.operators.headers import filter_senders
 from mailsift.operators.items import (
@@ -14,6 +15,7 @@ from mailsift.operators.items import (
 )
 from mailsift.operators.order import ordinal
 from mailsift.sources.messages import latest_n
+from tests.conftest import SF_CHECK
 
 SCHEMA = "report string, uid long, pos int, title string, link string, abstract string"
 
@@ -137,6 +139,33 @@ def test_keyword_semi_join_null_keys_and_many_terms(spark):
     assert sorted(str(r.k) for r in keyword_semi_join(df, terms, ["k"]).collect()) == ["1", "None"]
 
 
+def test_keyword_candidates_are_few(spark):
+    """Terms meet rows by their rarest gram: few pairs beyond the true ones, no pair lost."""
+    from mailsift.operators.items import keyword_blob, keyword_candidates
+    from mailsift.plans.queries import _benchmark_terms, _docs
+
+    docs = _docs(spark, SF_CHECK)
+    found = keyword_candidates(docs, _benchmark_terms(spark, SF_CHECK), ["doc_id"]).distinct()
+    texts = docs.select("doc_id", keyword_blob().alias("blob"))
+    true = found.join(texts, F.col("doc_id") == F.col("__of_doc_id")) \
+        .filter(F.contains("blob", "term")).count()
+    terms = {t.term.lower() for t in _benchmark_terms(spark, SF_CHECK).collect()}
+    blobs = [r.blob for r in texts.collect()]
+    assert true == sum(t in b for t in terms for b in blobs)
+    assert found.count() <= 2 * true
+
+
+def test_gram_set_lets_all_its_grams_through(spark):
+    from mailsift.operators.items import _gram_set
+
+    grams = spark.range(50_000).select(F.substring(F.md5(F.col("id").cast("string")), 1, 6).alias("gram"))
+    widths, test = _gram_set(grams.filter("substr(gram, 1, 1) = 'a'"))
+    through = grams.filter(test(F.col("gram")))
+    assert widths == [6] and through.filter("substr(gram, 1, 1) = 'a'").count() == \
+        grams.filter("substr(gram, 1, 1) = 'a'").count()
+    assert through.count() < 10_000
+
+
 def test_keyword_semi_join_empty_terms_passes_all(spark, items):
     rows, df = items
     empty = spark.createDataFrame([("  ",)], "term string")
