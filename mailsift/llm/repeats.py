@@ -493,6 +493,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                        *[StructField(c, BinaryType()) for c in ("texts", "size", "key", "least")]])
     frags = _over_blocks(known, ["replies"], kind, length,
                          lambda n, b, r: _sent_fragments(n, b, r, groups, merges))
+    # One task a group, about: groups are of one size, but hashing deals them unevenly to few tasks.
+    frags = frags.repartition(merges, "grp")
     decided = written(frags.groupBy("grp").applyInArrow(lambda t: _decided(t, length), _DECIDED),
                       "decided")
     decided = decided.groupBy("block").agg(F.collect_list(F.struct("grp", "older", "masks"))
