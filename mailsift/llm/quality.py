@@ -4,8 +4,13 @@ Each document gets a few ratios (symbols, repeated lines, repeated word
 windows, word length). Per language and source their distribution is kept as
 a log-bucket quantile sketch: a table of bucket counts, so sketches of two
 parts merge by adding counts, in any order and with the same result. A
-threshold is the median plus a multiple of the upper (or lower) quartile
-distance, with a least margin, in place of one fixed cutoff for all; the
+threshold is a quantile plus a multiple of the distance between two quantiles of
+the sketch, in place of one fixed cutoff for all: eight quartile distances
+around the median for word length, and the 0.95 quantile plus four times its
+distance from the upper quartile for the ratios that most documents have at
+zero. A noise floor bounds the distance from below, so that a group of almost
+equal documents does not reject one for a trifle; in groups of fewer than
+``FEW`` documents, too small to tell quantiles, a wider one holds. The
 thresholds are joined to the documents and the verdict is read off.
 
 Defined results: a null or empty text has no words and fails; null languages
@@ -17,9 +22,9 @@ a struct and come out unchanged.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,10 +35,15 @@ from mailsift.llm._store import give_back, small_batches, written
 GAMMA = 1.02          # buckets a factor apart: quantiles within one per cent
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-# Rule: (ratio, side, quartile distances beyond the median, least margin)
-RULES = (("symbols", "high", 6.0, 0.05), ("dup_lines", "high", 6.0, 0.35),
-         ("repeats", "high", 6.0, 0.35), ("word_len", "high", 6.0, 3.0),
-         ("word_len", "low", 6.0, 2.0))
+FEW = 20              # documents below which a group's quantiles say too little
+PROBS = (0.25, 0.5, 0.75, 0.95)
+# Rule: (ratio, side, quantile to start from, quantile to measure the distance from, times,
+# least distance, least distance in groups of fewer than FEW documents)
+RULES = (("symbols", "high", 0.5, 0.75, 6.0, 0.05, 0.05),
+         ("dup_lines", "high", 0.95, 0.75, 4.0, 0.25, 0.35),
+         ("repeats", "high", 0.95, 0.75, 4.0, 0.2, 0.35),
+         ("word_len", "high", 0.5, 0.75, 8.0, 0.4, 3.0),
+         ("word_len", "low", 0.5, 0.25, 8.0, 0.4, 2.0))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
@@ -47,14 +57,17 @@ def text_counts(text: str | None) -> tuple[int, int, int, int, int, int]:
     chars = len(text) - sum(text.count(c) for c in SPACES)
     symbols = sum(text.count(c) for c in SYMBOLS)
     n, repeated = len(words), 0
-    windows = list(zip(words, words[1:], words[2:]))
-    seen = Counter(windows)
-    if len(seen) < len(windows):
-        covered = bytearray(n)
-        for i, window in enumerate(windows):
-            if seen[window] > 1:
-                covered[i:i + 3] = b"\1\1\1"
-        repeated = sum(covered)
+    if n > 2:
+        place: dict[bytes, int] = {}
+        which = np.fromiter((place.setdefault(w, len(place)) for w in words), np.int64, n)
+        pairs = np.unique(which[:-1] * len(place) + which[1:], return_inverse=True)[1]
+        _, window, count = np.unique(pairs[:-1] * len(place) + which[2:], return_inverse=True,
+                                     return_counts=True)
+        again = np.flatnonzero(count[window] > 1)
+        covered = np.zeros(n, bool)
+        for k in range(3):
+            covered[again + k] = True
+        repeated = int(covered.sum())
     return (n, chars, symbols, len(lines) - len(set(lines)), repeated, len(lines))
 
 
@@ -115,7 +128,7 @@ def merge(*sketches: DataFrame) -> DataFrame:
 
 
 def quantiles(table: DataFrame, probs: tuple[float, ...]) -> DataFrame:
-    """One row per group and ratio with columns ``q0, q1, ...``: upper bucket ends."""
+    """One row per group and ratio with columns ``n, q0, q1, ...``: upper bucket ends."""
     of = Window.partitionBy("q_group", "ratio")
     order = of.orderBy(F.col("bucket").asc_nulls_first())
     value = F.when(F.col("bucket").isNull(), 0.0).otherwise(F.pow(F.lit(GAMMA), F.col("bucket")))
@@ -123,19 +136,18 @@ def quantiles(table: DataFrame, probs: tuple[float, ...]) -> DataFrame:
                order.rowsBetween(Window.unboundedPreceding, 0)))
            .withColumn("all", F.sum("n").over(of)).withColumn("value", value))
     return run.groupBy("q_group", "ratio").agg(
-        *[F.min(F.when(F.col("upto") >= F.ceil(F.col("all") * p), F.col("value"))).alias(f"q{i}")
+        F.max("all").alias("n"), *[F.min(F.when(F.col("upto") >= F.ceil(F.col("all") * p), F.col("value"))).alias(f"q{i}")
           for i, p in enumerate(probs)])
 
 
 def thresholds(table: DataFrame) -> DataFrame:
     """One row per group: ``q_<ratio>_<side>`` for every rule."""
-    q = quantiles(table, (0.25, 0.5, 0.75))
-    picked = []
-    for ratio, side, times, margin in RULES:
-        if side == "high":
-            cut = F.col("q1") + F.greatest(times * (F.col("q2") - F.col("q1")), F.lit(margin))
-        else:
-            cut = F.col("q1") - F.greatest(times * (F.col("q1") - F.col("q0")), F.lit(margin))
+    q, picked = quantiles(table, PROBS), []
+    at = {p: F.col(f"q{i}") for i, p in enumerate(PROBS)}
+    for ratio, side, start, other, times, least, least_few in RULES:
+        margin = F.when(F.col("n") < FEW, least_few).otherwise(least)
+        reach = F.greatest(times * F.abs(at[start] - at[other]), margin)
+        cut = at[start] + (reach if side == "high" else -reach)
         picked.append(F.max(F.when(F.col("ratio") == ratio, cut)).alias(f"q_{ratio}_{side}"))
     return q.groupBy("q_group").agg(*picked)
 
@@ -151,7 +163,7 @@ def judge(counted: DataFrame, limits: DataFrame) -> DataFrame:
     for field in limits.schema["q_group"].dataType.names:
         same = same & F.col(f"q_group.{field}").eqNullSafe(F.col(f"q_of.{field}"))
     broken, value = F.lit(False), ratios()
-    for ratio, side, _, _ in RULES:
+    for ratio, side, *_ in RULES:
         cut = F.col(f"q_{ratio}_{side}")
         over = value[ratio] > cut if side == "high" else value[ratio] < cut
         broken = broken | F.coalesce(over, F.lit(False))
