@@ -12,7 +12,8 @@ exactly on the original vectors, in double precision.
 The bound starts as the distance to the tenth nearest row of a sample and
 falls as better candidates are found. Centres, rotation, start bounds and the
 number of lists to visit (the least that finds ``RECALL`` of the sample's own
-neighbours) come from one sample of at most ``SAMPLE`` rows; every row is listed.
+neighbours) come from one sample of at most ``SAMPLE`` rows and an eighth of the
+table; every row is listed, and the answers come from the scan of the lists.
 
 A list is cut into parts of about ``PART`` rows, its queries into parts of about
 ``PART_QUERIES``, and each pair of parts is one group, so a crowded list (equal
@@ -23,8 +24,8 @@ or has not the most common length takes no part, nor does a row without id;
 of several rows with a query's id the smallest vector asks, and none of them
 is its candidate; rows with equal ids are one candidate, at the nearest of
 them; equal distances are ordered by id; with fewer than ``k`` other rows all
-are returned (the sample's own nearest are always among the found, so a query
-never gets fewer rows than it must); an empty table gives no rows. Extra
+are returned (a query that is left with fewer rows than it must have gets the
+sample's own nearest too); an empty table gives no rows. Extra
 columns are not read.
 """
 
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from mailsift.llm._store import written
 
 K = 10
-SAMPLE = 20_000
+SAMPLE, SAMPLED_OF = 20_000, 8   # rows of the sample: at most so many, at most an eighth of all
 LIST_ROWS, MOST_LISTS = 1_000, 4_096
 PART, PART_QUERIES = 20_000, 2_000
 COLUMNS = 16          # dimensions in a column block
@@ -86,6 +87,13 @@ class Model:
             found = np.sort(np.take_along_axis(ranks, own[near], axis=1).ravel())
             self.probes = int(found[min(len(found) - 1, math.ceil(RECALL * len(found)) - 1)]) + 1
 
+    @classmethod
+    def of(cls, state: dict) -> Model:
+        """The model from its plain arrays and numbers (what is broadcast)."""
+        model = object.__new__(cls)
+        model.__dict__.update(state)
+        return model
+
     def turned(self, vectors: np.ndarray) -> np.ndarray:
         return np.clip(vectors / self.scale, -1e150, 1e150) @ self.rotation
 
@@ -152,7 +160,7 @@ def _matrix(cells, size: int) -> np.ndarray:
 
 
 def nearest_rows(table: DataFrame, asks: Column, id_col: str = "vec_id",
-                 vector_col: str = "embedding", k: int = K) -> DataFrame:
+                 vector_col: str = "embedding", k: int = K, sample: int = SAMPLE) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` of the rows for which ``asks`` holds; score is the distance."""
     spark = table.sparkSession
     given = table.filter(F.col(id_col).isNotNull()).select(
@@ -168,10 +176,12 @@ def nearest_rows(table: DataFrame, asks: Column, id_col: str = "vec_id",
         return spark.createDataFrame([], out).withColumn("rank", F.lit(0)) \
             .select("query_id", "rank", "vec_id", "score")
     # The limit is the documented bound of the sample that the index is fitted on.
-    taken = clean.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow()
+    taken = clean.select("id", "v").orderBy(F.xxhash64("id"), "id") \
+        .limit(max(min(sample, rows // SAMPLED_OF), 1)).toArrow()
     model = Model(taken.column(0).to_numpy(),
                   np.array(taken.column(1).to_pylist(), np.float64).reshape(-1, size), rows, k)
-    shared = spark.sparkContext.broadcast(model)  # at most SAMPLE + MOST_LISTS vectors
+    # Plain arrays, so that executors need no copy of this package; at most SAMPLE + MOST_LISTS vectors.
+    shared = spark.sparkContext.broadcast(dict(model.__dict__))
 
     def vectors(column) -> np.ndarray:
         return column.flatten().to_numpy().reshape(-1, size)
@@ -179,16 +189,17 @@ def nearest_rows(table: DataFrame, asks: Column, id_col: str = "vec_id",
     def listed(batches):
         for batch in batches:
             plain = vectors(batch.column(1))
-            turned = shared.value.turned(plain)
+            m = Model.of(shared.value)
+            turned = m.turned(plain)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(shared.value.nearest(turned).astype(np.int32)),
+                [batch.column(0), pa.array(m.nearest(turned).astype(np.int32)),
                  pa.array([x.tobytes() for x in turned], pa.binary()),
                  pa.array([x.tobytes() for x in plain], pa.binary())],
                 names=["id", "list", "turned", "plain"])
 
     def visits(batches):
         for batch in batches:
-            m, plain = shared.value, vectors(batch.column(1))
+            m, plain = Model.of(shared.value), vectors(batch.column(1))
             turned = m.turned(plain)
             bounds, near = m.start(batch.column(0).to_numpy(), turned)
             scores = [_distance(m.plain[n], p) for n, p in zip(near, plain)]
@@ -236,7 +247,7 @@ def nearest_rows(table: DataFrame, asks: Column, id_col: str = "vec_id",
             turned, plain = (_matrix(candidates.column(c), size) for c in ("turned", "plain"))
             columns = [np.ascontiguousarray(turned[:, i:i + COLUMNS])
                        for i in range(0, size, COLUMNS)]
-            scale = shared.value.scale
+            scale = shared.value["scale"]
             for asker, bound, q, p in zip(askers.column("id").to_pylist(),
                                           askers.column("bound").to_pylist(),
                                           _matrix(askers.column("turned"), size),
@@ -260,7 +271,11 @@ def nearest_rows(table: DataFrame, asks: Column, id_col: str = "vec_id",
     known = queries.filter("near is not null").select(
         F.col("id").alias("query_id"), F.explode(F.arrays_zip("near", "scores")).alias("z")) \
         .select("query_id", F.col("z.near").alias("vec_id"), F.col("z.scores").alias("score"))
+    # The sample's rows answer only for queries to which the scan leaves too few.
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    each = near.unionByName(known).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    scanned = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    served = scanned.groupBy("query_id").count().filter(F.col("count") >= k).select("query_id")
+    known = known.join(served, "query_id", "left_anti")
+    each = scanned.unionByName(known).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     return each.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")

@@ -197,6 +197,13 @@ class Table:
             rest = rest[~done[rest]]
             slot[rest] = (slot[rest] + 1) & self.mask
 
+    @classmethod
+    def of(cls, state: dict) -> Table:
+        """The table from its plain arrays (what is broadcast)."""
+        table = object.__new__(cls)
+        table.__dict__.update(state)
+        return table
+
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return (mixed >> self.shift).astype(np.int64)
@@ -254,15 +261,18 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kinds = sums.v + (ends > 0)
     below = math.log10(tokens + 0.1 * (kinds + 1))
     end_value = math.log10(ends + 0.1)
-    sent = [spark.sparkContext.broadcast(_most_used(t, keys_sent)) for t in (pairs, words)]
+    # Plain arrays, so that executors need no copy of this package.
+    sent = [spark.sparkContext.broadcast(dict(_most_used(t, keys_sent).__dict__))
+            for t in (pairs, words)]
     missing = pa.list_(pa.struct([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = {kind: Table.of(sent[kind].value) for kind in (GRAM, WORD)}
         for batch in batches:
             for at, part in _parts(batch.column(1).to_pylist()):
                 n = len(part)
                 grams, firsts = _codes(part, order)
-                value, there = sent[GRAM].value.get(grams)
+                value, there = tables[GRAM].get(grams)
                 score = np.add.reduceat(value, firsts)
                 split = [t.split() for t in part]
                 sizes = np.fromiter(map(len, split), np.int64, n)
@@ -271,7 +281,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 which = np.fromiter(map(place.__getitem__, flat), np.int64, len(flat))
                 owner = np.repeat(np.arange(n), sizes)
                 hashed = _hashes(place)
-                word_value, known = sent[WORD].value.get(hashed)
+                word_value, known = tables[WORD].get(hashed)
                 base = np.bincount(owner, word_value[which], n)
                 n_known = np.bincount(owner, known[which], n).astype(np.int64)
                 spread = np.repeat(np.arange(n), np.diff(np.append(firsts, len(grams))))
