@@ -30,6 +30,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -226,6 +227,7 @@ def features(page: Page) -> np.ndarray:
     rows = [None] * n
     depth, up_boiler, up_main, tag_boiler, tag_main, item, header = ([0] * n for _ in range(7))
     before, run = [0] * n, 0
+    kinds: list[Counter | None] = [None] * n  # a parent's children by tag, counted once
     for i in range(n):
         before[i] = run
         run += len(text[i])
@@ -243,7 +245,9 @@ def features(page: Page) -> np.ndarray:
             item[i] = item[p] or tag[p] in ("li", "td", "dd", "dt")
             header[i] = header[p] or tag[p] == "header"
             row = children[p]
-            same = sum(tag[j] == tag[i] for j in row)
+            if kinds[p] is None:
+                kinds[p] = Counter(tag[j] for j in row)
+            same = kinds[p][tag[i]]
             place = row.index(i) / len(row) if len(row) < 64 else (before[i] - before[p]) / (
                 chars[p] + 1)
             mates = chars[p] - chars[i]
