@@ -84,7 +84,8 @@ def plan_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     target, copies`` for each input row; copies are 0, 1 or 2 by default."""
     carried = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
     facts = [F.col(source_col).alias("mix_of"), F.col(id_col).alias("mix_id"),
-             word_count(F.col(text_col)).alias("mix_size")]
+             word_count(F.col(text_col)).alias("mix_size"),
+             unit_hash(F.col(text_col), "").alias("mix_text")]
     # Targets and counts come from a narrow table; texts are read again only to be carried.
     slim = written(docs.select(*([carried] if keep else []), *facts), "mix")
     sized = slim if keep else docs.select(carried, *facts)
@@ -95,7 +96,7 @@ def plan_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     grouped = lambda df: (
         df.withColumn("mix_hash", unit_hash(F.col(id_col), "mix:"))
         .withColumn("mix_bucket", F.floor(F.log2(F.col("mix_size") + 1) * 16))
-        .withColumn("mix_slice", F.col("mix_hash") % slices))
+        .withColumn("mix_slice", (F.col("mix_hash") + F.col("mix_text")) % slices))
     keyed = grouped(sized)
     group = [F.col(source_col), F.col("mix_bucket"), F.col("mix_slice")]
     counts = grouped(slim).groupBy(F.col(source_col).alias("mix_source"), "mix_bucket", "mix_slice") \
@@ -118,7 +119,7 @@ def plan_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      "source_size", "target", "mix_offset"))
     heads = written(heads, "heads")
     inside = Window.partitionBy(*group).orderBy("mix_size", "mix_hash",
-                                                F.col(id_col).asc_nulls_first())
+                                                F.col(id_col).asc_nulls_first(), "mix_text")
     placed = keyed.withColumn("mix_nth", F.row_number().over(inside)).join(
         heads, F.col(source_col).eqNullSafe(F.col("h_source"))
         & (F.col("mix_bucket") == F.col("h_bucket")) & (F.col("mix_slice") == F.col("h_slice")))

@@ -4,7 +4,8 @@ _WORD = r"[^ \t\n\x0b\f\r]+"
 
 _OP6 = f"""
 with sized as (
-  select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) as bigint) size
+  select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) as bigint) size,
+         cast(('0x' || substr(md5(coalesce(text, '')), 1, 8)) as bigint) th
   from documents),
 named as (
   select source, sum(size) source_size,
@@ -30,7 +31,8 @@ hashed as (
   from sized),
 placed as (
   select *, row_number() over (partition by source
-    order by floor(log2(size + 1) * 16), h % slices, size, h, doc_id nulls first) p from hashed),
+    order by floor(log2(size + 1) * 16), (h + th) % slices, size, h, doc_id nulls first, th) p
+  from hashed),
 rated as (
   select d.doc_id, d.size, t.source_size, t.target, d.p, t.u,
          case when t.source_size > 0 then t.target / t.source_size else 0.0 end r
@@ -83,16 +85,20 @@ run as (
          sum(n) over (partition by lang, source, ratio) total,
          case when b is null then 0.0 else pow(1.02::double, b) end v from sketch),
 q as (
-  select lang, source, ratio, min(v) filter (upto >= ceil(total * 0.25)) q0,
-         min(v) filter (upto >= ceil(total * 0.5)) q1,
-         min(v) filter (upto >= ceil(total * 0.75)) q2 from run group by all),
+  select lang, source, ratio, max(total) n, min(v) filter (upto >= ceil(total * 0.25)) q25,
+         min(v) filter (upto >= ceil(total * 0.5)) q50, min(v) filter (upto >= ceil(total * 0.75)) q75,
+         min(v) filter (upto >= ceil(total * 0.95)) q95 from run group by all),
 cuts as (
   select lang, source,
-    max(q1 + greatest(6 * (q2 - q1), 0.05)) filter (ratio = 'symbols') c1,
-    max(q1 + greatest(6 * (q2 - q1), 0.35)) filter (ratio = 'dup_lines') c2,
-    max(q1 + greatest(6 * (q2 - q1), 0.35)) filter (ratio = 'repeats') c3,
-    max(q1 + greatest(6 * (q2 - q1), 3.0)) filter (ratio = 'word_len') c4,
-    max(q1 - greatest(6 * (q1 - q0), 2.0)) filter (ratio = 'word_len') c5
+    max(q50 + greatest(6 * abs(q50 - q75), 0.05)) filter (ratio = 'symbols') c1,
+    max(q95 + greatest(4 * abs(q95 - q75), case when n < 20 then 0.35 else 0.25 end))
+      filter (ratio = 'dup_lines') c2,
+    max(q95 + greatest(4 * abs(q95 - q75), case when n < 20 then 0.35 else 0.2 end))
+      filter (ratio = 'repeats') c3,
+    max(q50 + greatest(8 * abs(q50 - q75), case when n < 20 then 3.0 else 0.4 end))
+      filter (ratio = 'word_len') c4,
+    max(q50 - greatest(8 * abs(q50 - q25), case when n < 20 then 2.0 else 0.4 end))
+      filter (ratio = 'word_len') c5
   from q group by all)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and not coalesce(symbols > c1, false) and not coalesce(dup_lines > c2, false)

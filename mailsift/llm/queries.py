@@ -71,7 +71,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.sample_segmentations(_table(spark, sf_dir, "documents"), with_ids=False)
+    return pieces.sample_segmentations(_table(spark, sf_dir, "documents"))
 
 
 def op9_maintext(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Chat formatting and license scan against plain Python."""
 
+import random
 import re
 
 from hypothesis import given, settings
@@ -123,3 +124,48 @@ def test_spans_behind_line_separators(spark):
         n, _, kept = _plain_scan(r.text)
         assert kept and r.lic_words == n
         assert sorted(tuple(s) for s in r.lic_spans) == kept, repr(r.text)
+
+
+def _sampled(pattern: str, rnd) -> str:
+    """A random match of a rule's expression."""
+    import re._constants as C
+    import re._parser as P
+
+    def of(items):
+        return "".join(one(op, arg) for op, arg in items)
+
+    def one(op, arg):
+        if op is C.LITERAL:
+            return chr(arg)
+        if op is C.SUBPATTERN:
+            return of(arg[3])
+        if op is C.BRANCH:
+            return of(rnd.choice(arg[1]))
+        if op in (C.MAX_REPEAT, C.MIN_REPEAT):
+            low, high, inner = arg
+            return "".join(of(inner) for _ in range(rnd.randint(low, min(high, low + 4))))
+        if op is C.IN:
+            kind, value = rnd.choice(arg)
+            if kind is C.RANGE:
+                return chr(rnd.randint(*value))
+            return chr(value) if kind is C.LITERAL else rnd.choice("abz")
+        raise AssertionError(op)
+
+    return of(P.parse(pattern))
+
+
+def test_every_rule_finds_its_own_matches(spark):
+    """No match of any of the rules is lost to the keyword prefilters."""
+    rnd = random.Random(12)
+    rows = []
+    for rule, _, words, *_ in licenses.signature_rules():
+        for k in range(12):
+            match = _sampled(words, rnd)
+            text = f"Before, it {match.upper() if k % 3 == 0 else match.replace(' ', ', ' if k % 3 else ' ')} and after."
+            rows.append((rule * 100 + k, text))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.lic_spans for r in licenses.scan(df).collect()}
+    assert len(got) == len(rows)
+    for i, text in rows:
+        _, _, kept = _plain_scan(text)
+        assert kept and sorted(tuple(s) for s in got[i]) == kept, text

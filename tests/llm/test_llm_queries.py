@@ -44,3 +44,28 @@ def test_pipeline_stages(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert out.filter("not round_trip").count() == 0
     assert {r.doc_id for r in out.select("doc_id").distinct().collect()} == set(ids[3])
+
+
+def test_queries_run_where_the_package_is_not_installed(tmp_path):
+    """From another folder, without PYTHONPATH: workers get all code with their tasks."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    names = [n for n in QUERIES if n not in ("op2_chat", "op5_licenses", "op6_mixing", "op10_sharding")]
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).parents[2])!r})
+from pyspark.sql import SparkSession
+from mailsift.llm.queries import QUERIES
+spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "4").getOrCreate())
+for name in {names!r}:
+    print(name, QUERIES[name](spark, {SF_SMALL!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, text=True,
+                          capture_output=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert [x.split()[0] for x in done.stdout.split("\n") if x] == names

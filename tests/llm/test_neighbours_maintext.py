@@ -42,6 +42,24 @@ def test_recall_and_exact_scores_over_lists(spark, monkeypatch):
     assert hits / total >= 0.9
 
 
+@pytest.mark.parametrize("kind", ["gaussian", "clustered"])
+def test_recall_of_the_scan_with_a_small_sample(spark, kind):
+    """The sample is a twentieth of the table and gives no answers; the lists must."""
+    rng = np.random.default_rng(1)
+    vectors = rng.standard_normal((20_000, 64))
+    if kind == "clustered":
+        vectors = rng.standard_normal((50, 64))[rng.integers(50, size=20_000)] * 3 + vectors * 0.5
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)],
+                               "vec_id long, embedding array<double>").repartition(8)
+    got = neighbours.nearest_rows(df, F.col("vec_id") % 200 == 0, sample=1_000).collect()
+    hits = 0
+    for q in range(0, 20_000, 200):
+        d = ((vectors - vectors[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len(set(np.argsort(d)[:10].tolist()) & {r.vec_id for r in got if r.query_id == q})
+    assert len(got) == 1000 and hits / 1000 >= 0.95
+
+
 def test_vectors_that_take_no_part(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [None, 1.0]),
             (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (7, [1.0]), (None, [1.0, 1.0]),
@@ -97,6 +115,49 @@ def test_labelling_has_no_contradictions(forest):
         assert [b for b in blocks if b in kept] == kept
 
 
+def test_labelling_is_the_best_of_all_consistent_ones():
+    """On small trees, against every labelling without contradictions."""
+    import itertools
+
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        page = maintext.Page("<div>" * 2 + "".join(
+            f"<{t}>w{i}</{t}>" + ("</div><div>" if rng.random() < 0.4 else "")
+            for i, t in enumerate(["p", "li", "h2", "p", "section"][:rng.integers(1, 6)])))
+        odds = rng.normal(0, 3, len(page.tag))
+        yes, no = -np.log1p(np.exp(-odds)), -np.log1p(np.exp(odds))
+        below = [[j for j, p in enumerate(page.parent) if p == i] for i in range(len(page.tag))]
+
+        def under(i):
+            return [i] + [k for j in below[i] for k in under(j)]
+
+        def options(i):
+            leaves = frozenset(k for k in under(i) if page.tag[k] == "#text")
+            out = [(yes[under(i)].sum(), leaves), (no[under(i)].sum(), frozenset())]
+            if page.tag[i] != "#text":
+                for some in itertools.product(*map(options, below[i])):
+                    out.append((sum(s for s, _ in some) - maintext.MIXED_PRICE,
+                                frozenset().union(*[k for _, k in some])))
+            return out
+
+        every = options(0)
+        best = max(s for s, _ in every)
+        texts = {"\n\n".join(page.text[k] for k in sorted(kept)) for s, kept in every if s > best - 1e-9}
+        assert maintext.decode(page, odds) in texts
+
+
+def test_a_hundred_thousand_paragraphs_take_linear_time():
+    import time
+
+    took = []
+    for n in (20_000, 100_000):
+        page = maintext.Page("<article>" + "<p>some words, in a row.</p>" * n + "</article>")
+        t0 = time.perf_counter()
+        assert len(maintext.features(page)) == 2 * n + 2
+        took.append(time.perf_counter() - t0)
+    assert took[1] < 12 * took[0]
+
+
 def test_held_out_pages_and_nothing(spark, forest):
     """The trees, fitted on a sample, give the marked main text of every other page."""
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")

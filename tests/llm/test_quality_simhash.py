@@ -40,6 +40,40 @@ def test_counts_of_odd_texts():
         assert quality.text_counts(t)[:5] == _plain_counts(t), t
 
 
+def test_groups_of_different_distributions_judge_one_text_differently(spark):
+    """The sketch decides: the same text is an outlier in one group and common in the other."""
+    rnd = random.Random(5)
+    word = lambda a, b: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(a, b)))
+    short = [" ".join(word(3, 5) for _ in range(90)) for _ in range(200)]
+    long = [" ".join(word(4, 12) for _ in range(90)) for _ in range(200)]
+    rows = [(i, t, "en", "short") for i, t in enumerate(short)]
+    rows += [(1000 + i, t, "en", "long") for i, t in enumerate(long)]
+    rows += [(5000, long[3], "en", "short"), (5001, short[3], "en", "long"), (5002, long[3], "en", "long"),
+             (5003, long[3], "en", "few"), (5004, long[3], "en", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r["row"].doc_id: r.q_kept for r in quality.quality_verdicts(df).collect()}
+    assert not kept[5000] and not kept[5001] and kept[5002] and kept[5003] and kept[5004]
+    assert sum(kept[i] for i in range(200)) >= 198 and sum(kept[1000 + i] for i in range(200)) >= 198
+    cuts = {r.q_group.source: r for r in quality.thresholds(quality.sketch(quality.with_counts(
+        df, ("doc_id",)))).collect()}
+    assert cuts["short"].q_word_len_high < 5 < cuts["long"].q_word_len_low + 2
+    q = {(r.q_group.source, r.ratio): r for r in quality.quantiles(quality.sketch(quality.with_counts(
+        df, ("doc_id",))), quality.PROBS).collect()}
+    for source in ("short", "long"):  # from quantiles, not from a margin
+        r = q[source, "word_len"]
+        assert 8 * (r.q2 - r.q1) >= 0.4
+        assert abs(cuts[source].q_word_len_high - (r.q1 + 8 * (r.q2 - r.q1))) < 1e-9
+
+
+def test_counts_of_a_very_long_text():
+    import time
+
+    words = [f"w{i % 70_000}" for i in range(1_000_000)]
+    t0 = time.perf_counter()
+    n, _, _, _, repeated, _ = quality.text_counts(" ".join(words))
+    assert (n, repeated) == (1_000_000, 1_000_000) and time.perf_counter() - t0 < 10
+
+
 def test_verdicts_keep_clean_and_drop_outliers(spark):
     rnd = random.Random(2)
     rows = [(i, _good(rnd), rnd.choice(["en", None]), "hot", "mine", 5, 6) for i in range(300)]

@@ -99,3 +99,32 @@ def test_mix_of_nothing_and_of_no_words(spark):
     df = spark.createDataFrame([(1, None, "a", 0, "", 0), (2, "", None, 0, "", 0)], DOCS)
     got = mixing.plan_copies(df).collect()
     assert [(r.target, r.copies) for r in got] == [(0.0, 0)] * 2
+
+
+def test_every_row_lies_where_a_plain_loop_puts_it(spark):
+    rnd = random.Random(8)
+    rows = [(rnd.choice([None, *range(60)]), "x" * rnd.randrange(40) + rnd.choice(["", "é"]) , "mine")
+            for _ in range(300)] + [(7, None, "mine"), (9, "y" * 3000, "mine")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard string").repartition(5)
+    got = sharding.shard_by_bytes(sharding.text_sizes(df), 8, rows_per_slice=40).collect()
+    plain = sorted(((r[0] is not None, r[0] or 0, zlib.crc32((r[1] or "").encode()),
+                     len((r[1] or "").encode()) + 1) for r in rows))
+    total, at, slots, want = sum(r[3] for r in plain), 0, {}, []
+    for known, i, crc, size in plain:
+        shard = min(7, (2 * at + size) * 8 // (2 * total))
+        want.append((i if known else None, size, crc, shard, slots.setdefault(shard, 0)))
+        slots[shard] += 1
+        at += size
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_a_hot_id_is_spread_over_slices(spark):
+    """Rows of one id (null) lie in many slices, and the result is the same row for row."""
+    rows = [(None, f"{'w ' * 20}{i}", "hot") for i in range(900)] + [(i, "w " * 21, "s") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.plan_copies(df, keep=("doc_id", "text"), rows_per_slice=50)
+    again = mixing.plan_copies(df.repartition(7), keep=("doc_id", "text"), rows_per_slice=50)
+    key = lambda d: sorted(str((r["row"].text, r.copies)) for r in d.collect())
+    assert key(plan) == key(again)
+    taken = plan.filter("row.doc_id is null").selectExpr("sum(copies * mix_size) t", "max(target) g").first()
+    assert abs(taken.t - taken.g) <= 2 * 21
