@@ -208,7 +208,12 @@ def items_panel(items: DataFrame, terms: Sequence[str] | None, by: Sequence[str]
 
 # ---------------------------------------------------------------- outline
 
+# The line forms of Markdown that bear on headings.
 _HEADING_RE = r"^(#{1,6})[ \t]+(.*?)[ \t]*#*[ \t]*$"
+_FENCE_RE = r"^ {0,3}(`{3,}|~{3,})(.*)$"
+_UNDERLINE_RE = r"^ {0,3}(=+|-+)[ \t]*$"
+_NO_TEXT_RE = r"^(?:[ \t]*$|\t| {4}| {0,3}(?:>|[-+*][ \t]|[0-9]{1,9}[.)][ \t]|\|))"
+LINES_PER_BLOCK = 256
 
 
 def heading_slug(text) -> Column:
@@ -220,34 +225,84 @@ def heading_slug(text) -> Column:
     return t
 
 
+def _fence_step(state: Column, line: Column) -> Column:
+    """The fence after a line: '' outside code, else the mark that opened it.
+
+    A fence is closed by its own character, at least as often, with nothing behind.
+    """
+    mark, rest = F.regexp_extract(line, _FENCE_RE, 1), F.regexp_extract(line, _FENCE_RE, 2)
+    opens = (mark != "") & ~(mark.startswith("`") & rest.contains("`"))
+    closes = (mark != "") & (F.substring(mark, 1, 1) == F.substring(state, 1, 1)) \
+        & (F.length(mark) >= F.length(state)) & (F.trim(rest) == "")
+    return F.when(state == "", F.when(opens, mark).otherwise("")).when(closes, "").otherwise(state)
+
+
 def markdown_outline(df: DataFrame, key: Sequence[str], text_col: str = "markdown") -> DataFrame:
     """Heading lines of each Markdown document as rows.
 
     ``line_no`` (1-based), ``level`` (1-6), ``heading``, ``slug`` (made unique
     inside a document with ``_1``, ``_2`` ... suffixes) and ``section``, the
-    nearest level-2 heading at or above the line. A document is one row, so
-    all of it is done on the row's own array, without a shuffle.
+    nearest level-2 heading at or above the line.
+
+    A line-state machine: fenced code has no headings, and a line of text above a
+    row of ``=`` or ``-`` is one (of level 1 or 2). Lines without a fence mark do not
+    move the machine, so it walks the fence lines alone; which fence holds at a
+    block of lines is found by composing them, and each block is judged by
+    itself. Repeats of a slug are counted over (document, slug) rows in line order,
+    sections by a running last value over the document's headings. Time is linear
+    in lines, but for sorting headings.
     """
-    lines = F.transform(F.split(F.col(text_col), "\n", -1), lambda x, i: F.struct(
-        (i + 1).cast("int").alias("line_no"), x.alias("line")))
-    heads = F.transform(
-        F.filter(lines, lambda x: x["line"].rlike(_HEADING_RE)), lambda x: F.struct(
-            x["line_no"].alias("line_no"),
-            F.length(F.regexp_extract(x["line"], _HEADING_RE, 1)).cast("int").alias("level"),
-            ustrip(F.regexp_extract(x["line"], _HEADING_RE, 2)).alias("heading")))
-    based = F.transform("__heads", lambda h: F.struct(
-        h["line_no"].alias("line_no"), h["level"].alias("level"), h["heading"].alias("heading"),
-        heading_slug(h["heading"]).alias("base")))
-
-    def outlined(h: Column, i: Column) -> Column:
-        above = F.slice(F.col("__based"), F.lit(1), i + 1)
-        again = F.size(F.filter(above, lambda x: x["base"] == h["base"])) - 1
-        sections = F.filter(above, lambda x: x["level"] == 2)
-        return F.struct(
-            h["line_no"].alias("line_no"), h["level"].alias("level"), h["heading"].alias("heading"),
-            F.when(again == 0, h["base"]).otherwise(
-                F.concat(h["base"], F.lit("_"), again.cast("string"))).alias("slug"),
-            F.when(F.size(sections) > 0, F.element_at(sections, -1)["heading"]).alias("section"))
-
-    return (df.select(*key, heads.alias("__heads")).withColumn("__based", based)
-            .select(*key, F.inline(F.transform("__based", outlined))))
+    key = list(key)
+    line_no = lambda i: (i + 1).cast("int")
+    lines = df.select(*key, F.transform(F.split(F.col(text_col), "\n", -1), lambda x, i: F.struct(
+        line_no(i).alias("line_no"), x.alias("line"))).alias("__lines"))
+    # The lines at which code begins and ends: [from, to] spans, the last one open.
+    marks = F.filter("__lines", lambda x: x["line"].rlike(_FENCE_RE))
+    walked = F.aggregate(
+        marks, F.struct(F.lit("").alias("fence"), F.array().cast("array<int>").alias("turns")),
+        lambda acc, x: F.struct(
+            _fence_step(acc["fence"], x["line"]).alias("fence"),
+            F.when((_fence_step(acc["fence"], x["line"]) == "") == (acc["fence"] == ""), acc["turns"])
+            .otherwise(F.concat(acc["turns"], F.array(x["line_no"]))).alias("turns")))
+    turned = lines.withColumn("__turns", walked["turns"])
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("__lines") - 1) / LINES_PER_BLOCK)),
+                         lambda b: F.struct(b.alias("b"), F.slice(
+                             "__lines", (b * LINES_PER_BLOCK + 1).cast("int"),
+                             F.lit(LINES_PER_BLOCK + 1)).alias("part")))
+    block = turned.select(*key, "__turns", F.explode(blocks).alias("__block")) \
+        .select(*key, "__turns", F.col("__block.b").alias("__b"), F.col("__block.part").alias("__part"))
+    first = (F.col("__b") * LINES_PER_BLOCK + 1).cast("int")
+    inside = F.size(F.filter("__turns", lambda t: t < first)) % 2 == 1
+    here = F.filter("__turns", lambda t: (t >= first) & (t <= first + LINES_PER_BLOCK))
+    judged = block.select(*key, "__part", inside.alias("__in"), here.alias("__here"))
+
+    def coded(x: Column) -> Column:
+        """Whether a line is code or one of the marks around it."""
+        upto = F.size(F.filter("__here", lambda t: t <= x["line_no"]))
+        odd = (upto + F.when(F.col("__in"), 1).otherwise(0)) % 2 == 1
+        return odd | F.array_contains("__here", x["line_no"])
+
+    def heading(x: Column, i: Column) -> Column:
+        below = F.get("__part", i + 1)
+        under = F.regexp_extract(F.coalesce(below["line"], F.lit("")), _UNDERLINE_RE, 1)
+        hashes = F.length(F.regexp_extract(x["line"], _HEADING_RE, 1))
+        text = (under != "") & ~x["line"].rlike(_NO_TEXT_RE) & ~x["line"].rlike(_UNDERLINE_RE) \
+            & ~coded(below)
+        level = F.when(coded(x), 0).when(hashes > 0, hashes) \
+            .when(text, F.when(under.startswith("="), 1).otherwise(2)).otherwise(0)
+        return F.struct(x["line_no"].alias("line_no"), level.cast("int").alias("level"), ustrip(
+            F.when(hashes > 0, F.regexp_extract(x["line"], _HEADING_RE, 2)).otherwise(x["line"]))
+            .alias("heading"))
+
+    # The line after a block is only looked at, not judged.
+    own = F.slice(F.transform("__part", heading), 1, LINES_PER_BLOCK)
+    heads = judged.select(*key, F.inline(F.filter(own, lambda h: h["level"] > 0))) \
+        .withColumn("__base", heading_slug("heading"))
+    nth = F.row_number().over(Window.partitionBy(*key, "__base").orderBy("line_no")) - 1
+    at = Window.partitionBy(*key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    section = F.last(F.when(F.col("level") == 2, F.col("heading")), ignorenulls=True).over(at)
+    return heads.withColumn("__nth", nth).select(
+        *key, "line_no", "level", "heading",
+        F.when(F.col("__nth") == 0, F.col("__base")).otherwise(
+            F.concat("__base", F.lit("_"), F.col("__nth").cast("string"))).alias("slug"),
+        section.alias("section"))

@@ -200,14 +200,20 @@ def any_term(terms, b: str) -> str:
     return "(" + " OR ".join(f"contains({b}, {q(t)})" for t in terms) + ")"
 
 
-def numbered_docs_cte(terms=None) -> str:
+PART_BYTES = 33554432  # a report's text is cut before the item that begins at a multiple of it
+
+
+def numbered_docs_cte(terms=None, entry: str = "''", sep: int = 0, part: int = PART_BYTES) -> str:
+    """Numbered items and the part of their report's text that each stands in (``chunked``)."""
     where = f"WHERE {any_term(terms, blob())}" if terms else ""
     return doc_items_cte() + f""",
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id)::INTEGER AS ordinal
   FROM doc_items {where}),
 chunked AS (
-  SELECT *, 0::INTEGER AS chunk FROM numbered)"""
+  SELECT *, (coalesce(sum(strlen({entry}) + {sep}) OVER (
+               PARTITION BY lang ORDER BY ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+             // {part})::INTEGER AS chunk FROM numbered)"""
 
 
 def entry_sql(label: str, trailing_blank: bool) -> str:
@@ -250,7 +256,7 @@ anchors_ctx AS (
   FROM anchors a JOIN blocks b USING (uid))"""
 
 
-def _sql() -> dict[str, str]:
+def _sql(part: int = PART_BYTES) -> dict[str, str]:
     out: dict[str, str] = {}
     out["latest_messages"] = (
         "SELECT event_id, ts, event_type FROM events ORDER BY event_id DESC LIMIT 100")
@@ -373,10 +379,6 @@ r AS (SELECT *, row_number() OVER (PARTITION BY report ORDER BY box DESC, uid AS
 SELECT report, box, uid, text_md5,
        row_number() OVER (PARTITION BY report ORDER BY box, uid DESC)::INTEGER AS ordinal
 FROM r WHERE NOT (n >= 2 AND rr <= 2)"""
-    line = "regexp_replace(string_split(text, chr(10))[1], '[<>&]', ' ', 'g')"
-    out["siblings_used"] = f"""
-SELECT doc_id AS uid, 1::INTEGER AS pos, 'item ' || doc_id AS title, '/' || doc_id AS link,
-       {strip(line)} AS abstract FROM documents"""
     each = "regexp_replace(line, '[<>&]', ' ', 'g')"
     out["siblings_of_lines"] = f"""
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
@@ -398,15 +400,17 @@ UNION ALL SELECT sender, 3, 'unique', count(*) FROM dedup GROUP BY sender
 UNION ALL SELECT sender, 4, 'saved', count(*) FROM saved GROUP BY sender
 UNION ALL SELECT sender, 5, 'selected', count(*) FROM selected GROUP BY sender"""
     head = PROMPT_HEAD.format(terms="; ".join(S.REPORT_TERMS))
-    out["prompt_text"] = f"""WITH {numbered_docs_cte()}
-SELECT lang, chunk, count(*) AS n_items,
-       {q(head)} || chr(10) || string_agg({entry_sql('Title: ', False)}, chr(10) ORDER BY ordinal)
-         AS prompt
+    in_prompt = entry_sql("Title: ", False)
+    prompt = (f"CASE WHEN chunk = 0 THEN {q(head)} ELSE '' END || chr(10) || "
+              f"string_agg({in_prompt}, chr(10) ORDER BY ordinal)")
+    out["prompt_text"] = f"""WITH {numbered_docs_cte(None, in_prompt, 1, part)}
+SELECT lang, chunk, count(*) AS n_items, {prompt} AS prompt
 FROM chunked GROUP BY lang, chunk"""
-    out["item_list_text"] = f"""WITH {numbered_docs_cte()}
+    in_list = entry_sql("", True)
+    out["item_list_text"] = f"""WITH {numbered_docs_cte(None, in_list, 0, part)}
 SELECT lang, chunk, count(*) AS n_items,
-       {q(LIST_HEADING)} || chr(10) || chr(10) ||
-       string_agg({entry_sql('', True)}, '' ORDER BY ordinal) AS markdown
+       CASE WHEN chunk = 0 THEN {q(LIST_HEADING)} || chr(10) || chr(10) ELSE '' END ||
+       string_agg({in_list}, '' ORDER BY ordinal) AS markdown
 FROM chunked GROUP BY lang, chunk"""
     terms = list(S.REPORT_TERMS)
     out["report_metadata"] = f"""WITH {numbered_docs_cte(terms)}
@@ -420,23 +424,21 @@ FROM numbered GROUP BY lang"""
         "'<article><h4><a href=\"' || coalesce(link, '') || '\">' || " + esc("coalesce(title, '')")
         + f" || '</a></h4>' || CASE WHEN {note} <> '' THEN '<p>' || {note} || '</p>' ELSE '' END "
         "|| '</article>'")
-    out["items_panel"] = f"""WITH {numbered_docs_cte(terms)}
+    out["items_panel"] = f"""WITH {numbered_docs_cte(terms, entry_html, 1, part)}
 SELECT lang, chunk, count(*) AS n_items, {badges} AS badges,
+       CASE WHEN chunk > 0 THEN chr(10) ELSE '' END ||
        string_agg({entry_html}, chr(10) ORDER BY ordinal) AS items_html
 FROM chunked GROUP BY lang, chunk"""
     prompts = f"""
 prompts AS (
-  SELECT lang, chunk,
-         {q(head)} || chr(10) || string_agg({entry_sql('Title: ', False)}, chr(10) ORDER BY ordinal)
-           AS prompt
-  FROM chunked GROUP BY lang, chunk),
+  SELECT lang, chunk, {prompt} AS prompt FROM chunked GROUP BY lang, chunk),
 summ AS (
   SELECT lang, chunk, 'echo' AS backend,
          'summary of ' || (length(prompt) - length(replace(prompt, chr(10), '')) + 1)
          || ' lines, ' || length(prompt) || ' characters' AS summary,
          NULL::VARCHAR AS error
   FROM prompts)"""
-    out["summaries"] = f"""WITH {numbered_docs_cte(terms)},{prompts}
+    out["summaries"] = f"""WITH {numbered_docs_cte(terms, in_prompt, 1, part)},{prompts}
 SELECT lang, chunk, backend, summary, error FROM summ"""
     meta = f"""
 meta AS (
@@ -445,20 +447,23 @@ meta AS (
          strftime(TIMESTAMP '{S.GENERATED_AT}', '%B %d, %Y at %I:%M %p') AS generated_on
   FROM numbered GROUP BY lang)"""
     title = "Research digest"
-    html = (
+    above = (
         "'<!DOCTYPE html>' || chr(10) || '<html lang=\"en\">' || chr(10) || "
         f"'<head><meta charset=\"UTF-8\"><title>' || {q(title + ' - ')} || lang || "
         "'</title><style>body{font-family:sans-serif;max-width:60em;margin:auto}"
         ".md{white-space:pre-wrap}</style></head>' || chr(10) || '<body>' || chr(10) || "
         f"'<h1>' || {q(title)} || '</h1>' || chr(10) || '<dl><dt>Report</dt><dd>' || lang || "
         f"'</dd><dt>Keywords</dt><dd>' || {esc('keywords_preview', True)} || "
-        "'</dd><dt>Total items</dt><dd>' || total || '</dd></dl>' || chr(10) || "
-        f"'<div class=\"md\">' || {esc('summary', True)} || '</div>' || chr(10) || "
-        "'<footer><p>Generated on ' || generated_on || '</p><p>' || total || "
+        "'</dd><dt>Total items</dt><dd>' || total || '</dd></dl>' || chr(10) || '<div class=\"md\">'")
+    below = (
+        "'</div>' || chr(10) || '<footer><p>Generated on ' || generated_on || '</p><p>' || total || "
         f"' items in this digest; terms: ' || {esc('footer_keywords', True)} || "
         "'</p></footer>' || chr(10) || '</body>' || chr(10) || '</html>' || chr(10)")
-    out["report_html"] = f"""WITH {numbered_docs_cte(terms)},{prompts},{meta}
-SELECT lang, chunk, {html} AS html FROM meta JOIN summ USING (lang)"""
+    out["report_html"] = f"""WITH {numbered_docs_cte(terms, in_prompt, 1, part)},{prompts},{meta}
+SELECT lang, chunk, CASE WHEN chunk = min(chunk) OVER (PARTITION BY lang) THEN {above} ELSE chr(10) END
+       || {esc('summary', True)}
+       || CASE WHEN chunk = max(chunk) OVER (PARTITION BY lang) THEN {below} ELSE '' END AS html
+FROM meta JOIN summ USING (lang)"""
     head_re = r"^(#{1,6})[ \t]+(.*?)[ \t]*#*[ \t]*$"
     out["markdown_outline"] = f"""
 WITH md AS (

@@ -180,18 +180,6 @@ def titles_removed(spark, d):
     return items.select("uid", "pos", "title", "link", "abstract")
 
 
-def siblings_used(spark, d):
-    """Pages made of the documents, whose anchors stand outside any block."""
-    text = lambda n: F.element_at(F.split("text", "\n"), n)
-    clean = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), "[<>&]", " ")
-    html = F.concat(F.lit("<body><a href=\"/"), F.col("doc_id").cast("string"), F.lit("\">item "),
-                    F.col("doc_id").cast("string"), F.lit("</a><em>"), clean(text(1)),
-                    F.lit("</em></body>"))
-    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("uid"), html.alias("html"))
-    return extract_items(docs, contains=(), prefixes=S.PAGE_PREFIXES).select(
-        "uid", "pos", "title", "link", "abstract")
-
-
 def siblings_of_lines(spark, d):
     """X5 over whole texts: an anchor and its sibling for every line, outside any block."""
     number = F.col("doc_id").cast("string")
@@ -399,7 +387,6 @@ QUERIES: dict[str, Query] = {
     "anchors_extracted": anchors_extracted,
     "anchors_parsed": anchors_parsed,
     "titles_removed": titles_removed,
-    "siblings_used": siblings_used,
     "siblings_of_lines": siblings_of_lines,
     "items_deduped_per_message": items_deduped_per_message,
     "items_deduped": items_deduped,

@@ -128,3 +128,71 @@ def test_parts_by_bytes_join_to_the_one_document(spark, bound):
     joined = "".join(r.html for r in got if r.rep == "r")
     assert joined.count("<!DOCTYPE") == joined.count("</html>") == 1
     assert "<div class=\"md\">a\nb</div>" in joined and joined.endswith("</html>\n")
+
+
+MARKDOWN = """# Top
+```
+# not a heading
+~~~
+## nor this
+```
+Under
+=====
+text
+-----
+## A
+~~~~ python
+# code
+~~~
+# still code
+~~~~
+## A ##
+``` `inline` ``` is no fence
+### B
+    Indented
+---
+> quoted
+---
+- item
+===
+Last
+---
+```
+# open to the end
+"""
+
+OUTLINE = [(1, 1, "Top", "top", None), (7, 1, "Under", "under", None), (9, 2, "text", "text", "text"),
+           (11, 2, "A", "a", "A"), (17, 2, "A", "a_1", "A"), (19, 3, "B", "b", "A"),
+           (26, 2, "Last", "last", "Last")]
+
+
+def _outline(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, markdown string")
+    rows = markdown_outline(df, ["k"]).collect()
+    return sorted((r.k, r.line_no, r.level, r.heading, r.slug, r.section) for r in rows)
+
+
+@pytest.mark.parametrize("above", [0, 1, 240, 250, 255, 256, 257, 511, 700])
+def test_outline_of_fences_and_underlines(spark, above):
+    """Code has no headings, underlined lines are some, wherever blocks of lines begin."""
+    text = "plain\n\n" * (above // 2) + "\n" * (above % 2) + MARKDOWN
+    assert _outline(spark, [text, None, ""]) == [
+        (0, n + above, *rest) for n, *rest in OUTLINE]
+
+
+def test_fences_over_many_blocks(spark):
+    code = "```\n" + "# no\n" * 900 + "```\n# yes\n"
+    assert [r[1:4] for r in _outline(spark, [code * 3])] == [
+        (903 * (i + 1), 1, "yes") for i in range(3)]
+
+
+def test_twenty_thousand_headings_take_linear_time(spark):
+    import time
+
+    took = []
+    for n in (5_000, 20_000):
+        t0 = time.perf_counter()
+        rows = _outline(spark, ["# Same heading\n" * n])
+        took.append(time.perf_counter() - t0)
+        assert len(rows) == n and rows[-1][4] == f"same-heading_{n - 1}"
+    assert took[1] < 8 * took[0] + 2

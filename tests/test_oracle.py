@@ -26,6 +26,18 @@ def test_query_matches_oracle(spark, con, name):
     assert info["ok"], info
 
 
+@pytest.mark.parametrize("name", ["prompt_text", "item_list_text", "items_panel", "summaries",
+                                  "report_html"])
+def test_reports_in_several_parts_match_the_sql(spark, con, name, monkeypatch):
+    """The same law beyond the size of one part: bytes of the report before an item."""
+    from mailsift.plans import queries
+    from mailsift.plans.oracle import _sql
+
+    monkeypatch.setattr(queries, "PART_BYTES", 5000)
+    info = compare(spark, con, name, QUERIES[name], _sql(5000)[name], SF_SMALL)
+    assert info["ok"] and info["rows"] > 12, info
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["report_date", "ordinal", "uid", "pos", "title", "link", "abstract"]
