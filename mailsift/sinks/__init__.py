@@ -1,9 +1,10 @@
 """Partitioned, rerun-safe writers for items, documents and summaries."""
 
 from mailsift.sinks.writers import (
-    overwrite_partitions, remove_emptied, write_items_jsonl, write_reports, write_summaries,
-    write_text_documents, write_text_files,
+    commit, existing_folders, overwrite_partitions, recover, remove_emptied, report_key,
+    write_items_jsonl, write_reports, write_summaries, write_text_documents, write_text_files,
 )
 
-__all__ = ["overwrite_partitions", "remove_emptied", "write_items_jsonl", "write_reports",
+__all__ = ["commit", "existing_folders", "overwrite_partitions", "recover", "remove_emptied",
+           "report_key", "write_items_jsonl", "write_reports",
            "write_summaries", "write_text_documents", "write_text_files"]

@@ -5,14 +5,22 @@ part is ``none``), and the key columns stay in the rows, so their types, null
 and the empty text survive. A run replaces the folders of the reports it has
 rows for, removes those of the reports it touched but has no rows for, and
 leaves every other folder alone.
+
+A run commits by a manifest. Its folders are first written beside the old ones,
+under a name that readers skip; then one manifest file that names the run and
+the folders to remove is put in place by a rename: that is the commit. Only then
+are the folders moved, and the manifest goes last. A run that is killed before
+its commit leaves the old reports whole; one killed after it is finished by the
+next run (or ``recover``), whose steps can be repeated.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,32 +39,102 @@ def overwrite_partitions(df: DataFrame):
     return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
 
 
-def _writer(df: DataFrame, by: Sequence[str]):
-    return overwrite_partitions(df.withColumn("report", report_key(by))).partitionBy("report")
+def _fs(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def sub_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, at = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(at(path))] if fs.exists(at(path)) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, at = _fs(spark, path)
+    fs.delete(at(path), True)
+
+
+def _folder_names(spark: SparkSession, reports: DataFrame) -> Iterator[str]:
+    """Folder names of the ``report`` keys, fetched one partition at a time."""
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for row in reports.toLocalIterator():
+        yield f"report={escaped(row.report)}"
+
+
+def existing_folders(spark: SparkSession, path: str, reports: DataFrame, by: Sequence[str]) -> list[str]:
+    """The folders under ``path`` of the reports in ``reports``, without listing the others."""
+    fs, at = _fs(spark, path)
+    names = _folder_names(spark, reports.select(report_key(by).alias("report")).distinct())
+    return [f for f in (os.path.join(path, n) for n in names) if fs.exists(at(f))]
+
+
+def _emptied(kept: DataFrame, touched: DataFrame, by: Sequence[str]) -> DataFrame:
+    names = touched.select(report_key(by).alias("report")).distinct()
+    return names.join(kept.select(report_key(by).alias("report")).distinct(), "report", "left_anti")
 
 
 def remove_emptied(path: str, kept: DataFrame, touched: DataFrame, by: Sequence[str]) -> None:
-    """Delete the folders of the reports in ``touched`` that ``kept`` has no row for.
+    """Delete the folders of the reports in ``touched`` that ``kept`` has no row for."""
+    spark = kept.sparkSession
+    for name in _folder_names(spark, _emptied(kept, touched, by)):
+        delete_folder(spark, os.path.join(path, name))
+
 
-    The names come to the driver one partition at a time; only folders that
-    exist are deleted.
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish the runs whose manifest is in place, and clear what uncommitted runs left.
+
+    One run writes to ``path`` at a time. Every step can be repeated: a folder that
+    is still under the run's name has not been moved yet.
     """
-    spark = kept.sparkSession
-    names = touched.select(report_key(by).alias("report")).distinct()
-    gone = names.join(kept.select(report_key(by).alias("report")).distinct(), "report", "left_anti")
-    jvm = spark._jvm
-    escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for row in gone.toLocalIterator():
-        folder = jvm.org.apache.hadoop.fs.Path(os.path.join(path, f"report={escaped(row.report)}"))
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    fs, at = _fs(spark, path)
+    names = sub_folders(spark, path)
+    committed = {n.removeprefix("_manifest-") for n in names if n.startswith("_manifest-")}
+    for run in sorted(committed):
+        manifest, staged = os.path.join(path, f"_manifest-{run}"), os.path.join(path, f"_run-{run}")
+        for row in spark.read.text(manifest).toLocalIterator():
+            fs.delete(at(os.path.join(path, row.value)), True)
+        for name in sub_folders(spark, staged):
+            if name.startswith("report="):
+                target = os.path.join(path, name)
+                fs.delete(at(target), True)
+                if not fs.rename(at(os.path.join(staged, name)), at(target)):
+                    raise OSError(f"could not move {name} to {path}")
+        fs.delete(at(staged), True)
+        fs.delete(at(manifest), True)
+    for name in names:
+        if name.startswith(("_run-", "_draft-")) and name.split("-", 1)[1] not in committed:
+            fs.delete(at(os.path.join(path, name)), True)
+
+
+def commit(spark: SparkSession, path: str, write: Callable[[str], None],
+           gone: DataFrame | None = None) -> None:
+    """Replace the reports that ``write(folder)`` writes, and remove those in ``gone``, as one step."""
+    recover(spark, path)
+    run = uuid.uuid4().hex
+    write(os.path.join(path, f"_run-{run}"))
+    draft = os.path.join(path, f"_draft-{run}")
+    escaped = list(_folder_names(spark, gone)) if gone is not None else []
+    names = spark.createDataFrame([(n,) for n in escaped], "value string")
+    names.coalesce(1).write.text(draft)
+    fs, at = _fs(spark, path)
+    if not fs.rename(at(draft), at(os.path.join(path, f"_manifest-{run}"))):  # the commit
+        raise OSError(f"could not commit to {path}")
+    recover(spark, path)
+
+
+def _commit_reports(df: DataFrame, path: str, by: Sequence[str], touched: DataFrame | None,
+                    write: Callable[[str], None]) -> None:
+    gone = None if touched is None else _emptied(df, touched, by)
+    commit(df.sparkSession, path, write, gone)
 
 
 def write_reports(df: DataFrame, path: str, by: Sequence[str],
                   touched: DataFrame | None = None) -> None:
     """Parquet rows under their report's folder; see the module's text for reruns."""
-    _writer(df, by).parquet(path)
-    if touched is not None:
-        remove_emptied(path, df, touched, by)
+    keyed = df.withColumn("report", report_key(by))
+    _commit_reports(df, path, by, touched, lambda to: keyed.write.partitionBy("report").parquet(to))
 
 
 def write_items_jsonl(items: DataFrame, path: str, partition_by: Sequence[str] = ("report_date",),
@@ -72,9 +150,8 @@ def write_items_jsonl(items: DataFrame, path: str, partition_by: Sequence[str] =
     keys = [F.col(k).asc_nulls_first() for k in (*partition_by, *order)]
     out = items.withColumn("report", report_key(partition_by)).repartitionByRange(*keys) \
         .sortWithinPartitions("report", *order).select("report", *fields)
-    overwrite_partitions(out).partitionBy("report").option("ignoreNullFields", "false").json(path)
-    if touched is not None:
-        remove_emptied(path, items, touched, partition_by)
+    _commit_reports(items, path, partition_by, touched, lambda to: out.write.partitionBy("report")
+                    .option("ignoreNullFields", "false").json(to))
 
 
 def write_text_documents(docs: DataFrame, path: str, text_col: str,
@@ -95,9 +172,8 @@ def write_text_files(docs: DataFrame, path: str, text_col: str,
     """
     body = F.regexp_replace(text_col, r"\n\z", "")  # the text source ends the row with one
     out = docs.select(report_key(partition_by).alias("report"), body.alias("value"))
-    overwrite_partitions(out.repartition("report")).partitionBy("report").text(path)
-    if touched is not None:
-        remove_emptied(path, docs, touched, partition_by)
+    _commit_reports(docs, path, partition_by, touched,
+                    lambda to: out.repartition("report").write.partitionBy("report").text(to))
 
 
 def write_summaries(summaries: DataFrame, path: str,

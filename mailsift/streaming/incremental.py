@@ -2,17 +2,21 @@
 
 New messages land in a folder; each micro-batch
 
-1. writes the keys of all its messages, and the items of those that pass the
-   filters, under ``batch=<id>`` folders: a replayed batch overwrites its own
-   folder, so retries never duplicate;
-2. recomputes the order-sensitive stages (latest N, ordered dedupe, tail drop,
-   keyword filter, numbering) from all landed rows of the reports it touched,
-   replaces those reports' folders of ``<out>/digest`` and removes the folders of
+1. writes the items of its messages that pass the filters under
+   ``items/report=<key>/batch=<id>``: a replayed batch overwrites its own folders,
+   so retries never duplicate;
+2. with a latest-N limit, brings the state up to date: the keys of the N newest
+   messages of each mailbox, made from the state before it and its own keys
+   alone, under ``newest/batch=<id>``;
+3. recomputes the order-sensitive stages (ordered dedupe, tail drop, keyword
+   filter, numbering) of the reports it touched, from those reports' item folders
+   alone, replaces their folders of ``<out>/digest`` and removes the folders of
    those that came out empty.
 
-With a latest-N limit a new message can push an older one out of any report,
-so every report that has a folder or a landed message counts as touched; the
-items recomputed are then those of N messages per mailbox.
+A report is touched by a message of its own, or by one of its messages that a
+newer message pushed out of the N newest. So a batch reads its own messages, N
+keys a mailbox and the items of the reports it touches; what landed before for
+other reports is neither read nor listed.
 
 Order lives in the data (uid, pos), so the result equals the batch pipeline on
 the same messages whatever the arrival order. Progress and outputs live under
@@ -27,13 +31,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from mailsift.plans.digest import (
     DigestParams, digest_columns, item_stages, match_messages, message_bodies, message_items,
 )
 from mailsift.session import checkpoint_dir, written
-from mailsift.sinks import overwrite_partitions, write_reports
+from mailsift.sinks import existing_folders, overwrite_partitions, report_key, write_reports
+from mailsift.sinks.writers import delete_folder, sub_folders
 from mailsift.sources.messages import latest_n
 
 
@@ -49,15 +54,37 @@ def _keys(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(f"__of_{c}") for c in columns]).distinct()
 
 
-def _land(df: DataFrame, path: str, batch_id: int) -> None:
-    overwrite_partitions(df.withColumn("batch", F.lit(batch_id).cast("long"))) \
-        .partitionBy("batch").parquet(path)
+def _land_items(items: DataFrame, path: str, by: list[str], batch_id: int) -> None:
+    # Rebalanced by report: few files a folder, and a hot report is still written by many tasks.
+    rows = items.withColumn("report", report_key(by)).withColumn("batch", F.lit(batch_id).cast("long"))
+    overwrite_partitions(rows.hint("rebalance", "report")).partitionBy("report", "batch").parquet(path)
 
 
-def _landed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All landed rows, with the schema they were written with."""
-    full = StructType([*schema.fields, StructField("batch", LongType())])
-    return spark.read.schema(full).parquet(path).drop("batch")
+def _landed(spark: SparkSession, path: str, schema: StructType, touched: DataFrame,
+            by: list[str]) -> DataFrame:
+    """The landed items of the touched reports; no other folder is opened."""
+    folders = existing_folders(spark, path, touched, by)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    full = StructType([*schema.fields, StructField("report", StringType()),
+                       StructField("batch", LongType())])
+    return spark.read.schema(full).option("basePath", path).parquet(*folders).drop("report", "batch")
+
+
+def _newest(seen: DataFrame, path: str, batch_id: int, p: DigestParams) -> tuple[DataFrame, DataFrame]:
+    """``(newest, gone)``: the N newest keys of each mailbox after the batch, and those it pushed out."""
+    spark, message = seen.sparkSession, p.message_keys
+    earlier = sorted(int(n.removeprefix("batch=")) for n in sub_folders(spark, path)
+                     if n.startswith("batch=") and int(n.removeprefix("batch=")) < batch_id)
+    before = spark.read.schema(seen.schema).parquet(os.path.join(path, f"batch={earlier[-1]}")) \
+        if earlier else spark.createDataFrame([], seen.schema)
+    keys = written(before.unionByName(seen).distinct(), "keys")
+    own = os.path.join(path, f"batch={batch_id}")
+    latest_n(keys, p.recent, "uid", by=list(p.mailbox_by) or None).write.mode("overwrite").parquet(own)
+    for old in earlier[:-1]:  # no batch that may be replayed needs them
+        delete_folder(spark, os.path.join(path, f"batch={old}"))
+    newest = spark.read.schema(seen.schema).parquet(own)
+    return newest, before.join(_keys(newest, message), _same(message), "left_anti")
 
 
 def start_incremental_digest(stream: DataFrame, out_dir: str, p: DigestParams,
@@ -68,27 +95,23 @@ def start_incremental_digest(stream: DataFrame, out_dir: str, p: DigestParams,
     RFC 822 bytes (e.g. a ``binaryFile`` stream of ``.eml`` files). Equal uids of
     one mailbox are one message.
     """
-    items_path, seen_path, digest_path = (os.path.join(out_dir, k)
-                                          for k in ("items", "messages", "digest"))
+    items_path, newest_path, digest_path = (os.path.join(out_dir, k)
+                                            for k in ("items", "newest", "digest"))
     by, message = list(p.report_by), p.message_keys
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        seen = batch.select(*message)
         items = message_items(message_bodies(match_messages(batch, p), p), p)
-        _land(seen, seen_path, batch_id)
-        _land(items, items_path, batch_id)
-        all_seen = _landed(spark, seen_path, seen.schema)
-        all_items = _landed(spark, items_path, items.schema)
+        _land_items(items, items_path, by, batch_id)
+        seen = written(batch.select(*message).distinct(), "seen")
+        touched = seen.select(*by)
+        if p.recent:
+            newest, gone = _newest(seen, newest_path, batch_id, p)
+            touched = touched.unionByName(gone.select(*by))
+        touched = written(touched.distinct(), "touched")
+        live = _landed(spark, items_path, items.schema, touched, by)
         if p.recent:
-            newest = latest_n(all_seen.distinct(), p.recent, "uid", by=list(p.mailbox_by) or None)
-            live = all_items.join(_keys(newest, message), _same(message), "left_semi")
-            touched = written(all_seen.select(*by).distinct(), "touched")
-        else:
-            own = spark.read.schema(seen.schema).parquet(os.path.join(seen_path,
-                                                                     f"batch={batch_id}"))
-            touched = written(own.select(*by).distinct(), "touched")
-            live = all_items.join(_keys(touched, by), _same(by), "left_semi")
+            live = live.join(_keys(newest, message), _same(message), "left_semi")
         out = written(item_stages(live, p)["numbered"].select(*digest_columns(p)), "digest")
         write_reports(out, digest_path, by, touched)
 

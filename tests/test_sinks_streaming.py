@@ -242,3 +242,83 @@ def test_stream_equals_batch_with_latest_and_shrinking_reports(spark, tmp_out, r
     want = digest(_messages(spark, rows), p)
     got = spark.read.parquet(os.path.join(out, "digest")).select(*want.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("recent", [0, 2])
+def test_a_batch_reads_its_own_reports_alone(spark, tmp_out, recent, monkeypatch):
+    """What a batch reads does not grow with the batches before it."""
+    from mailsift.plans.digest import digest
+    from mailsift.streaming import incremental
+
+    read, folders, landed, newest = [], [], incremental._landed, incremental._newest
+
+    def counting(spark, path, schema, touched, by):
+        df = landed(spark, path, schema, touched, by)
+        read.append(df.count())
+        folders.append({f.split("report=")[1].split("/")[0] for f in df.inputFiles()})
+        return df
+
+    def keyed(seen, path, batch_id, p):
+        out = newest(seen, path, batch_id, p)
+        assert out[0].count() <= p.recent and len(incremental.sub_folders(spark, path)) <= 3
+        return out
+
+    monkeypatch.setattr(incremental, "_landed", counting)
+    monkeypatch.setattr(incremental, "_newest", keyed)
+    land, rows = os.path.join(tmp_out, "land"), []
+    for day in range(8):
+        own = [(f"2025-11-{10 + day}", 10 * day + i, "".join(
+            f'<a href="/{day}/{i}/{k}">Item {k} of {i}</a>' for k in range(5))) for i in range(2)]
+        rows += own
+        _messages(spark, own).coalesce(1).write.parquet(os.path.join(land, f"p{day}"))
+    stream = (spark.readStream.schema("report_date string, uid long, html string")
+              .option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(land))
+    out, p = os.path.join(tmp_out, "t1c"), _params(recent=recent)
+    start_incremental_digest(stream, out, p).awaitTermination()
+    assert len(read) == 8
+    # its own report; with a limit also the one whose messages it pushes out
+    assert max(read) <= (10 if not recent else 30)
+    assert all(len(f) <= (1 if not recent else 3) for f in folders)
+    want = digest(_messages(spark, rows), p)
+    got = spark.read.parquet(os.path.join(out, "digest")).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_run_killed_before_its_commit_leaves_the_old_reports(spark, tmp_out, monkeypatch):
+    from mailsift.sinks import writers
+
+    path = os.path.join(tmp_out, "k7")
+    first = spark.createDataFrame([("a", 1), ("b", 1), (None, 1)], "rep string, v int")
+    writers.write_reports(first, path, ["rep"])
+    new = spark.createDataFrame([("a", 2), ("c", 2)], "rep string, v int")
+    touched = spark.createDataFrame([("a",), ("b",), ("c",)], "rep string")
+
+    def killed(*a):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:  # killed when its rows are written, before the manifest
+        m.setattr(writers, "_folder_names", killed)
+        with pytest.raises(KeyboardInterrupt):
+            writers.write_reports(new, path, ["rep"], touched)
+    old = [(None, 1), ("a", 1), ("b", 1)]
+    key = lambda r: (r[0] is not None, r)
+    rows = lambda: sorted(((r.rep, r.v) for r in spark.read.parquet(path).collect()), key=key)
+    assert rows() == old
+    calls, recover = [], writers.recover
+
+    def once(*a):
+        calls.append(a)
+        if len(calls) == 2:  # killed right after the manifest is in place
+            raise KeyboardInterrupt
+        recover(*a)
+
+    with monkeypatch.context() as m:
+        m.setattr(writers, "recover", once)
+        with pytest.raises(KeyboardInterrupt):
+            writers.write_reports(new, path, ["rep"], touched)
+    assert rows() == old and any(n.startswith("_manifest-") for n in os.listdir(path))
+    writers.recover(spark, path)
+    assert rows() == [(None, 1), ("a", 2), ("c", 2)]
+    assert all(n.startswith("report=") for n in os.listdir(path) if not n.startswith("."))
+    writers.recover(spark, path)  # and again, to no effect
+    assert rows() == [(None, 1), ("a", 2), ("c", 2)]
