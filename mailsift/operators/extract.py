@@ -16,6 +16,7 @@ Two implementations of the anchor extractor:
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -46,7 +47,33 @@ _COMMENT_RE = r"(?s)<!--.*?-->"
 _HAS_HREF_RE = r"(?is)^<a\b[^>]*?\shref\s*="
 
 
-_NUMERIC_REF_RE = r"&#([0-9]+|[xX][0-9A-Fa-f]+);"
+# A reference as HTML reads it, the text between references, or an ampersand by itself.
+_PIECE_RE = r"(?s)&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)|[^&]+|&"
+
+
+def _names(ended: bool) -> Column:
+    """Name -> characters, one map; the names are the standard library's table, with or without
+    their semicolon. Only names of the old list may stand without one."""
+    from html.entities import html5
+
+    some = {k: v for k, v in html5.items() if k.endswith(";") == ended}
+    return F.from_json(F.lit(json.dumps(some)), "map<string,string>")
+
+
+_SHORT_NAMES = range(6, 1, -1)  # lengths of the names that need no semicolon, longest first
+
+
+def _decode_ref(piece: Column) -> Column:
+    """One reference -> its characters, as ``html.unescape`` reads it; other pieces unchanged."""
+    name = F.substring(piece, F.lit(2), F.length(piece))
+    whole = F.when(F.endswith(piece, F.lit(";")), F.element_at(_names(True), name))
+    # Not a name: the longest name it begins with, then the rest as it stands.
+    begun = F.coalesce(*[F.concat(F.element_at(_names(False), F.substring(piece, 2, n)),
+                                  F.substring(piece, F.lit(n + 2), F.length(piece)))
+                         for n in _SHORT_NAMES])
+    return F.when((F.substring(piece, 1, 1) != "&") | (F.length(piece) < 2), piece) \
+        .when(F.startswith(piece, F.lit("&#")), _decode_numeric_ref(piece)) \
+        .otherwise(F.coalesce(whole, begun, piece))
 
 
 def _low_codepoint_table() -> Column:
@@ -61,8 +88,8 @@ def _low_codepoint_table() -> Column:
 
 
 def _decode_numeric_ref(ref: Column) -> Column:
-    """``&#NNN;`` / ``&#xHH;`` -> its character, as ``html.unescape`` decodes it."""
-    body = F.regexp_extract(ref, r"&#[xX]?([0-9A-Fa-f]+);", 1)
+    """``&#NNN;`` / ``&#xHH;`` (or without the semicolon) -> its character, as ``html.unescape``."""
+    body = F.regexp_extract(ref, r"&#[xX]?([0-9A-Fa-f]+);?", 1)
     is_hex = F.lower(F.substring(ref, 3, 1)) == "x"
     cp = F.when(is_hex, F.conv(body, 16, 10)).otherwise(body).try_cast("long")
     char = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
@@ -76,30 +103,22 @@ def _decode_numeric_ref(ref: Column) -> Column:
             .otherwise(char))
 
 
-def decode_basic_entities(c) -> Column:
-    """The named entities common in mail markup and every numeric reference.
+def decode_references(c) -> Column:
+    """Every named and numeric character reference, as ``html.unescape`` decodes them.
 
-    Numeric references are replaced one distinct reference at a time
-    (``aggregate`` over the references found in the text), then ``&amp;``
-    last so escaped references stay literal. Native extraction only; the
-    parser path decodes every named entity as well.
+    The text is cut into references and what lies between, in one pass, so nothing
+    is decoded twice; texts without an ampersand are left alone.
     """
     c = as_col(c)
-    for ent, ch in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-                    ("&apos;", "'")):
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(_NUMERIC_REF_RE), 0))
-    decoded = F.aggregate(refs, c, lambda acc, r: F.replace(acc, r, _decode_numeric_ref(r)))
-    c = F.when(c.contains("&#"), decoded).otherwise(c)  # most texts have no reference
-    return F.replace(c, F.lit("&amp;"), F.lit("&"))
+    pieces = F.regexp_extract_all(c, F.lit(_PIECE_RE), 0)
+    return F.when(c.contains("&"), F.array_join(F.transform(pieces, _decode_ref), "")).otherwise(c)
 
 
 def anchor_title(tag) -> Column:
     """Text of an anchor: text pieces each stripped, joined with no separator."""
     inner = F.regexp_extract(as_col(tag), _INNER_RE, 1)
     inner = F.regexp_replace(inner, _COMMENT_RE, "")
-    inner = F.replace(inner, F.lit("&nbsp;"), F.lit("\u00a0"))
-    return ustrip(decode_basic_entities(F.regexp_replace(inner, _TAG_RE, "")))
+    return ustrip(decode_references(F.regexp_replace(inner, _TAG_RE, "")))
 
 
 def anchor_href(tag) -> Column:
@@ -107,7 +126,7 @@ def anchor_href(tag) -> Column:
     open_tag = F.regexp_extract(as_col(tag), _OPEN_TAG_RE, 1)
     raw = F.regexp_extract(open_tag, _HREF_RE, 1)
     unq = F.regexp_replace(raw, r"""^"(.*)"$|^'(.*)'$""", "$1$2")
-    return F.when(open_tag.rlike(_HAS_HREF_RE), decode_basic_entities(unq))
+    return F.when(open_tag.rlike(_HAS_HREF_RE), decode_references(unq))
 
 
 def extract_anchors(df: DataFrame, html_col: str = "html",

@@ -11,12 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from mailsift.operators.extract import (
     DEFAULT_BLOCK_TAGS, DEFAULT_LINK_CONTAINS, DEFAULT_LINK_PREFIXES, DEFAULT_MIN_TITLE_LEN,
-    extract_anchors, extract_items, keep_links,
+    extract_anchors, keep_links, page_items, parsed_pages,
 )
 from mailsift.operators.bodies import decode_bodies
 from mailsift.operators.headers import (
@@ -46,6 +46,7 @@ class DigestParams:
     tail_k: int = 2                      # I2
     terms: Sequence[str] | None = field(default_factory=list)  # I3
     materialise_unique: bool = True      # write deduplicated items once (see digest_stages)
+    materialise_items: bool = False      # write extracted items once, where they are counted too
 
     @property
     def message_keys(self) -> list[str]:
@@ -80,16 +81,40 @@ def message_bodies(matched: DataFrame, p: DigestParams) -> DataFrame:
     return decode_bodies(matched, keep=p.message_keys) if "raw" in matched.columns else matched
 
 
-def message_items(bodies: DataFrame, p: DigestParams) -> DataFrame:
+def observed(df: DataFrame, health: Observation | None, **counts) -> DataFrame:
+    """``df``, counted by whatever job next reads it; no job of its own."""
+    return df if health is None else df.observe(health, *[c.alias(n) for n, c in counts.items()])
+
+
+@dataclass
+class Health:
+    """A2: what the extraction's own job counts on its way (read after it has run)."""
+    bodies: Observation = field(default_factory=lambda: Observation("bodies"))
+    pages: Observation = field(default_factory=lambda: Observation("pages"))
+    raw: bool = False
+    parsed: bool = False
+
+    def counts(self) -> dict[str, int]:
+        """Messages decoded, decode errors, pages read and pages that could not be read."""
+        return {**(self.bodies.get if self.raw else {}), **(self.pages.get if self.parsed else {})}
+
+
+def message_items(bodies: DataFrame, p: DigestParams, health: Health | None = None) -> DataFrame:
     """Messages with ``html`` -> items ``keys..., pos, title, link, abstract``."""
     keep = p.message_keys
+    if health is not None and "error" in bodies.columns:
+        health.raw = True
+        bodies = observed(bodies, health.bodies, decoded=F.count(F.lit(1)), decode_errors=F.count("error"))
     bodies = bodies.filter(F.col("html").isNotNull() & (F.col("html") != ""))
     if p.extractor == "native":
         items = keep_links(extract_anchors(bodies, keep=keep), p.min_len, p.contains, p.prefixes)
         return items.withColumn("abstract", F.lit(None).cast("string"))
     if p.extractor == "parser":
-        return extract_items(bodies, keep=keep, block_tags=p.block_tags, min_len=p.min_len,
-                             contains=p.contains, prefixes=p.prefixes, dedupe=False)
+        pages = parsed_pages(bodies, keep=keep, block_tags=p.block_tags)
+        if health is not None:
+            health.parsed = True
+            pages = observed(pages, health.pages, read=F.count(F.lit(1)), read_errors=F.count("error"))
+        return page_items(pages, keep, p.min_len, p.contains, p.prefixes)
     raise ValueError(f"unknown extractor {p.extractor!r}")
 
 
@@ -107,17 +132,20 @@ def item_stages(items: DataFrame, p: DigestParams) -> dict[str, DataFrame]:
             "numbered": number_items(selected, p.item_order, by=by)}
 
 
-def digest_stages(messages: DataFrame, p: DigestParams) -> dict[str, DataFrame]:
+def digest_stages(messages: DataFrame, p: DigestParams,
+                  health: Health | None = None) -> dict[str, DataFrame]:
     """All intermediate tables of one digest (``scanned`` ... ``numbered``).
 
     ``messages`` needs ``uid``, the ``report_by`` columns and either
     ``html`` (plus ``sender`` / parsed ``dt`` for the filters) or ``raw``
-    RFC 822 bytes.
+    RFC 822 bytes. ``health`` takes the counts of the job that extracts the items.
     """
     scanned = latest_n(messages, p.recent, "uid", by=list(p.mailbox_by) or None)
     matched = match_messages(scanned, p)
     bodies = message_bodies(matched, p)
-    items = message_items(bodies, p)
+    items = message_items(bodies, p, health)
+    if p.materialise_items:
+        items = written(items, "items")
     return {"scanned": scanned, "matched": matched, "bodies": bodies, "items": items,
             **item_stages(items, p)}
 

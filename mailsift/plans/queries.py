@@ -9,6 +9,7 @@ are identical on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -272,7 +273,7 @@ def report_totals_q(spark, d):
 
 def stage_funnel(spark, d):
     msgs = S.page_messages(_t(spark, d, "pages"))
-    st = digest_stages(msgs, _sender_digest_params())
+    st = digest_stages(msgs, replace(_sender_digest_params(), materialise_items=True))
     return funnel_counts({k: st[k] for k in ("scanned", "items", "unique", "saved", "selected")},
                          ["sender"])
 

@@ -10,6 +10,7 @@ and a lost executor only repeats the stage it was in:
     <out>/summaries   K4  model output per report and backend
     <out>/reports     K5  report documents
     <out>/funnel      A2  stage counts
+    <out>/health      A2  messages decoded, pages read, and those that could not be (of the last run)
 
 Each holds a folder per report; only the folders of this run's reports change (K7).
 """
@@ -28,7 +29,7 @@ from mailsift.operators.documents import (
 from mailsift.operators.inference import Factory, infer
 from mailsift.operators.items import number_items
 from mailsift.operators.metrics import funnel_counts
-from mailsift.plans.digest import DigestParams, digest_stages
+from mailsift.plans.digest import DigestParams, Health, digest_stages
 from mailsift.session import written
 from mailsift.sinks import (
     write_items_jsonl, write_reports, write_summaries, write_text_documents, write_text_files,
@@ -47,8 +48,9 @@ def run_digest(messages: DataFrame, p: DigestParams, out_dir: str, generated_at:
     """
     by = list(p.report_by)
     paths = {k: os.path.join(out_dir, k)
-             for k in ("items", "lists", "prompts", "summaries", "reports", "funnel")}
-    stages = digest_stages(messages, p)
+             for k in ("items", "lists", "prompts", "summaries", "reports", "funnel", "health")}
+    health = Health()
+    stages = digest_stages(messages, p, health)
     touched = written(messages.select(*by).distinct(), "touched")
 
     # Saved set (before the keyword filter), numbered per report.
@@ -75,4 +77,8 @@ def run_digest(messages: DataFrame, p: DigestParams, out_dir: str, generated_at:
     funnel = written(funnel_counts({"scanned": stages["scanned"], "matched": stages["matched"],
                                     "saved": saved, "selected": selected}, by), "funnel")
     write_reports(funnel, paths["funnel"], by, touched)
+    # Errors were counted by the job that extracted the items; messages of no report have no folder.
+    spark = messages.sparkSession
+    spark.createDataFrame(sorted(health.counts().items()), "what string, n long").coalesce(1) \
+        .write.mode("overwrite").json(paths["health"])
     return paths

@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegralType, StringType
 
+_BOUNDS = (IntegralType, StringType, DateType)  # key types that a scan can be bounded by
 
 RAW_SCHEMA = "uid LONG, raw BINARY"
 
@@ -44,10 +46,12 @@ def latest_n(df: DataFrame, n: int, order_col: str = "uid",
     ``n == 0`` means *all* messages (the source's ``uids[-0:]``); negative
     ``n`` is rejected. ``order_col`` identifies a message within a mailbox.
 
-    * without ``by``: the choice runs on the key column alone (a Parquet scan
-      then reads just that), a top-``n`` in which each task keeps its own ``n``
-      keys; the rows are fetched by a null-safe left-semi join with those at
-      most ``n`` keys, whose size the planner knows;
+    * without ``by``: two steps. The ``n``-th newest key is found on the key column
+      alone (a Parquet scan then reads just that; each task keeps its own ``n``
+      keys, and one number comes to the driver, when this is called); the rows are
+      then read with that key as a literal bound, which reaches the scan, so
+      files and row groups of older messages are skipped. Keys of a type without
+      such literals (times, doubles) are joined with the ``n`` keys instead;
     * with ``by`` (one mailbox per group): ``row_number() <= n`` over the rows
       plans as ``WindowGroupLimit`` partial + final, so every task ships at
       most ``n`` rows per mailbox, however large the mailbox.
@@ -63,4 +67,8 @@ def latest_n(df: DataFrame, n: int, order_col: str = "uid",
         return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
     top = df.select(F.col(order_col).alias("__top")).orderBy(F.col("__top").desc_nulls_last()) \
         .limit(n)
+    if isinstance(df.schema[order_col].dataType, _BOUNDS) and not df.isStreaming:
+        # Fewer than n keys, or a null among the newest n: nothing is older than the n-th.
+        found = top.agg(F.min("__top").alias("bound"), F.count("__top").alias("n")).first()
+        return df.filter(F.col(order_col) >= F.lit(found["bound"])) if found["n"] == n else df
     return df.join(top, F.col(order_col).eqNullSafe(F.col("__top")), "left_semi")

@@ -182,3 +182,20 @@ def test_text_of_quiet_elements_belongs_to_no_item(spark):
     page = ('<div><a href="https://e.org/1">Open <style>x{}</style>item</a><template>hidden '
             '<a href="https://e.org/2">Hidden item</a></template> shown</div>')
     assert items_of(spark, page) == [(1, "Openitem", "https://e.org/1", "Open item shown")]
+
+
+def test_references_equal_html_unescape(spark):
+    """All names with and without their semicolon, in and before other text; odd numbers."""
+    import html
+    from html.entities import html5
+
+    from mailsift.operators.extract import decode_references
+
+    texts = [f"&{n}" for n in html5] + [f"x&{n.rstrip(';')}yz" for n in html5] \
+        + [f"&{n.rstrip(';')}; &amp;{n}" for n in html5] \
+        + [f"&#{i};" for i in (0, 13, 65, 128, 150, 159, 0xD800, 0xFDD0, 0xFFFE, 0x10FFFF, 0x110000)] \
+        + ["&", "&&", "a & b", "&;", "&#;", "&#x;", "&#65", "&#x41z", "&#65a", "?a=1&b=2&copy=3&lt=4",
+           "&notit;", "&amp;lt;", "&ampamp;", "&" + "x" * 40, "no reference", "", "&unknown; &amp"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    got = {r.k: r.d for r in df.select("k", decode_references("t").alias("d")).collect()}
+    assert [got[i] for i in range(len(texts))] == [html.unescape(t) for t in texts]

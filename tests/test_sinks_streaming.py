@@ -322,3 +322,27 @@ def test_a_run_killed_before_its_commit_leaves_the_old_reports(spark, tmp_out, m
     assert all(n.startswith("report=") for n in os.listdir(path) if not n.startswith("."))
     writers.recover(spark, path)  # and again, to no effect
     assert rows() == [(None, 1), ("a", 2), ("c", 2)]
+
+
+def test_run_counts_what_could_not_be_read(spark, tmp_out):
+    from mailsift.plans.run import run_digest
+
+    def mail(charset):
+        return (f"From: a@x.org\r\nContent-Type: text/html; charset={charset}\r\n\r\n"
+                + ANCHORS).encode()
+    rows = [("d", 1, mail("utf-8")), ("d", 2, mail("x-none")), ("d", 3, mail("undefined"))]
+    msgs = spark.createDataFrame(rows, "report_date string, uid long, raw binary")
+    from mailsift.plans.digest import DigestParams
+
+    p = DigestParams(contains=(), prefixes=("/",), terms=[])
+    paths = run_digest(msgs, p, os.path.join(tmp_out, "sick"), "2025-11-19 09:00:00")
+    health = {r.what: r.n for r in spark.read.json(paths["health"]).collect()}
+    assert health == {"decoded": 3, "decode_errors": 2, "read": 1, "read_errors": 0}
+
+
+def test_funnel_extracts_once(spark):
+    """The funnel counts written stages: no extraction in its plan."""
+    from mailsift.plans.queries import QUERIES
+
+    text = QUERIES["stage_funnel"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in text and "MapInArrow" not in text and "regexp_extract_all" not in text
