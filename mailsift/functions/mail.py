@@ -1,13 +1,23 @@
 """Mail header scalars: date parse (H2), address normalise (H3).
 
-Both are pure column expressions (regex + arithmetic), so header work over
-billions of messages stays in generated JVM code.
+The forms that mail programs write are read by column expressions (regex +
+arithmetic), so header work over billions of messages stays in generated JVM
+code. What is none of these forms (old date orders, routes, groups, nested
+comments, quoted local parts, broken headers) goes to the standard library in
+Arrow batches, so results equal the library's on every header; the other rows
+send it a null.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BooleanType, DateType, IntegerType, StringType, StructField,
+                               StructType, TimestampNTZType)
 
 from mailsift.functions._util import as_col
 
@@ -37,8 +47,8 @@ def _group(s: Column, i: int) -> Column:
 
 
 def normalise_date_text(c) -> Column:
-    """Comments removed, whitespace runs collapsed, ends trimmed."""
-    s = F.regexp_replace(as_col(c), r"\([^()]*\)", " ")
+    """A comment at the end removed, whitespace runs collapsed, ends trimmed."""
+    s = F.regexp_replace(as_col(c), r"\s\([^()]*\)\s*$", " ")
     return F.regexp_replace(F.trim(F.regexp_replace(s, r"\s+", " ")), r"^\s+|\s+$", "")
 
 
@@ -85,8 +95,7 @@ def date_from_fields(g) -> Column:
     month = F.when(short > 0, short).when(long_ > 0, long_).cast("int")
     y_raw = g["yy"]
     y = y_raw.try_cast("int")
-    year = (F.when(F.length(y_raw) > 2, y)
-            .when(y > 68, y + 1900).otherwise(y + 2000))
+    year = F.when(y > 99, y).when(y > 68, y + 1900).otherwise(y + 2000)
     hour = g["hh"].try_cast("int")
     minute = g["mi"].try_cast("int")
     second = F.when(g["ss"] == "", F.lit(0)).otherwise(g["ss"].try_cast("int"))
@@ -102,7 +111,7 @@ def date_from_fields(g) -> Column:
     wall = F.try_make_timestamp_ntz(year, month, day, hour, minute, second.cast("decimal(16,6)"))
     ts = F.when(offset.isNull(), wall).otherwise(
         F.timestamp_add("MINUTE", -offset, wall))
-    valid = g["ok"] & wall.isNotNull() & (second < 60)
+    valid = g["ok"] & wall.isNotNull() & (second < 60) & (F.coalesce(F.abs(offset), F.lit(0)) < 24 * 60)
     return F.when(valid, F.struct(
         ts.alias("ts"),
         offset.isNotNull().alias("zoned"),
@@ -111,6 +120,38 @@ def date_from_fields(g) -> Column:
     ))
 
 
+_PARSED = StructType([StructField("ts", TimestampNTZType()), StructField("zoned", BooleanType()),
+                      StructField("offset_min", IntegerType()), StructField("wall_date", DateType())])
+
+
+def _library_date(text: str | None) -> dict | None:
+    from email.utils import parsedate_to_datetime
+
+    if not text:
+        return None
+    try:
+        at = parsedate_to_datetime(text)
+        offset = at.utcoffset()
+        wall = at.replace(tzinfo=None)
+        return {"ts": wall if offset is None else wall - offset, "zoned": offset is not None,
+                "offset_min": None if offset is None else offset // dt.timedelta(minutes=1),
+                "wall_date": wall.date()}
+    except Exception:  # whatever a header holds, it is a date or it is none
+        return None
+
+
+def library_date(c: Column) -> Column:
+    """The library's reading of a date, as the struct of ``parse_mail_date``."""
+    kind = pa.struct([("ts", pa.timestamp("us")), ("zoned", pa.bool_()), ("offset_min", pa.int32()),
+                      ("wall_date", pa.date32())])
+
+    @F.arrow_udf(_PARSED)
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([_library_date(t) for t in batch.to_pylist()], kind)
+    return of(c)
+
+
 def parse_mail_date(c) -> Column:
     """H2: RFC 2822 date string -> ``struct<ts, zoned, offset_min, wall_date>``.
 
@@ -124,7 +165,10 @@ def parse_mail_date(c) -> Column:
     prefer ``operators.headers.add_mail_date``, which stages the work in
     three projections so every regex is evaluated once per row.
     """
-    return date_from_fields(date_fields(normalise_date_text(c)))
+    text = normalise_date_text(c)
+    usual = F.coalesce(text.rlike(_DATE_RE), F.lit(False))
+    return F.when(usual, date_from_fields(date_fields(text))) \
+        .otherwise(library_date(F.when(~usual, as_col(c))))
 
 
 def local_date(parsed, tz: str) -> Column:
@@ -140,26 +184,39 @@ def local_date(parsed, tz: str) -> Column:
     return F.when(p["zoned"], F.to_date(local)).otherwise(p["wall_date"])
 
 
+# The characters of an atom and of a plain domain; a display name of words,
+# dots and quoted strings without escapes.
+_ATOM = r"[A-Za-z0-9!#$%&'*+/=?^_`{|}~-]+"
+_SPEC = rf"({_ATOM}(?:\.{_ATOM})*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*)"
+_NAME = r"""(?:[^()<>@,;:\\"\[\]\r\n]|"[^"\\()\r\n]*")*"""
+_USUAL_ADDRESS = rf"^(?:[ \t]*{_SPEC}[ \t]*|{_NAME}<{_SPEC}>[ \t]*)$"
+
+
+def _library_address(header: str | None) -> str | None:
+    from email.utils import parseaddr
+
+    if header is None:
+        return None
+    try:
+        return parseaddr(header)[1].lower()
+    except Exception:  # as the source tool: the header itself
+        return header.lower().strip()
+
+
 def normalise_address(c) -> Column:
     """H3: the single address of a From header, lower-cased; ``''`` otherwise.
 
-    Quoted display names and ``(comments)`` are dropped first. One
-    ``<addr>`` -> its content. No angle brackets -> the bare text (first word
-    when it has spaces and no ``@``). Two addresses, a top-level comma, an
-    empty ``<>`` or a dangling ``x@`` -> ``''``.
+    ``name <local@domain>`` and ``local@domain`` with plain names, local parts and
+    domains are read here; every other header by the standard library.
     """
     raw = F.coalesce(as_col(c), F.lit(""))
-    s = F.regexp_replace(raw, r'"(?:[^"\\]|\\.)*"', "")
-    s = F.regexp_replace(s, r"\([^()]*\)", "")
-    s = F.regexp_replace(s, r"^\s+|\s+$", "")
-    angles = F.regexp_extract_all(s, F.lit(r"<([^<>]*)>"), 1)
-    n_angle = F.size(angles)
-    inner = F.regexp_replace(F.element_at(angles, 1), r"^\s+|\s+$", "")
-    first_word = F.regexp_extract(s, r"^(\S+)", 1)
-    bare = F.when(s.contains("@") | ~s.rlike(r"\s"), s).otherwise(first_word)
-    picked = (F.when(s.contains(","), F.lit(""))
-              .when(n_angle > 1, F.lit(""))
-              .when(n_angle == 1, inner)
-              .when(s.contains("<") | s.contains(">"), F.lit(""))
-              .otherwise(bare))
-    return F.when(picked.rlike(r"@$"), F.lit("")).otherwise(F.lower(picked))
+    usual = raw.rlike(_USUAL_ADDRESS)
+    address = F.concat(F.regexp_extract(raw, _USUAL_ADDRESS, 1), F.regexp_extract(raw, _USUAL_ADDRESS, 2))
+
+    @F.arrow_udf(StringType())
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([_library_address(h) for h in batch.to_pylist()], pa.string())
+
+    return F.when(raw == "", "").when(usual, F.lower(address)) \
+        .otherwise(of(F.when(~usual & (raw != ""), raw)))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from mailsift.functions.mail import (
-    DATE_FIELDS, DATE_RE, date_from_fields, date_group_list, local_date, normalise_address,
+    DATE_FIELDS, DATE_RE, date_from_fields, date_group_list, library_date, local_date,
+    normalise_address,
     normalise_date_text,
 )
 from mailsift.operators.order import ordinal
@@ -104,8 +105,11 @@ def add_mail_date(df: DataFrame, date_col: str = "date", name: str = "dt") -> Da
     cols = [F.col(f"`{c}`") for c in df.columns]
     normalised = df.select(*cols, normalise_date_text(F.col(f"`{date_col}`")).alias("__date_s"))
     # One regex pass for the match flag, one for all groups (split once).
-    staged = normalised.select(*cols, F.col("__date_s").rlike(DATE_RE).alias("__date_ok"),
-                               date_group_list("__date_s").alias("__date_parts"))
+    staged = normalised.select(*cols, F.coalesce(F.col("__date_s").rlike(DATE_RE), F.lit(False))
+                               .alias("__date_ok"), date_group_list("__date_s").alias("__date_parts"))
+    # Other forms are the library's; the usual ones send it a null.
+    odd = F.when(~F.col("__date_ok"), F.col(f"`{date_col}`"))
+    staged = staged.select(*cols, "__date_ok", "__date_parts", library_date(odd).alias("__date_lib"))
     refs = {"ok": F.col("__date_ok")}
     refs.update({n: F.try_element_at("__date_parts", F.lit(i))
                  for i, n in enumerate(DATE_FIELDS, 1)})
@@ -115,7 +119,8 @@ def add_mail_date(df: DataFrame, date_col: str = "date", name: str = "dt") -> Da
     # (the run-day predicate) cannot be pushed below the generator and so
     # does not re-inline the parse either.
     return staged.select(*cols, F.inline(F.array(F.struct(
-        date_from_fields(refs).alias(name)))))
+        F.when(F.col("__date_ok"), date_from_fields(refs)).otherwise(F.col("__date_lib"))
+        .alias(name)))))
 
 
 def filter_senders(df: DataFrame, senders: Iterable[str] | DataFrame,

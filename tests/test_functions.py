@@ -145,3 +145,62 @@ def test_local_date_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert (got.d, got.t) == (dt.date(2025, 1, 2), dt.date(2025, 1, 2))
+
+
+PROBES = ["a@b.org (x (nested) y)", "Name <a@b.org>,", "<a@b.org", "Friends: a@b.org;", "<@x.org:a@b.org>",
+          '"a b"@c.org', "a @ b.org", "a@[1.2.3.4]", "a@b@c.org", "x (unbalanced <a@b.org>", "a@b.org, ",
+          "A.B <c@d.e>", '"q\\"uote" <a@b.org>', "Über Name <a@b.org>", "=?utf-8?q?x?= <a@b.org>",
+          "Name\r\n <a@b.org>", "<a@b.org> trailing", "a@b.org\tx", "İ@b.org", "a..b@c.org", ".a@b.org"]
+
+
+def _headers(rng, n):
+    """Headers put together from the parts that the grammar knows."""
+    parts = ["a", "Bob", "b.c", "@", "@", "x.org", "<", ">", ",", ";", ":", ".", " ", "  ", "\t", "(", ")",
+             "(c)", '"', '"q r"', "\\", "[1.2]", "é", "\r\n "]
+    shapes = ["{0}@{1}", "{2} <{0}@{1}>", '"{2}" <{0}@{1}>', "{0}@{1} ({2})", "{2}: {0}@{1};", "{0} @ {1}",
+              "<@{1},@y.org:{0}@{1}>", "{2} <{0}@{1}", "{0}@{1}, {2}"]
+    for _ in range(n):
+        if rng.random() < 0.5:
+            yield "".join(rng.choice(parts) for _ in range(rng.randint(1, 9)))
+        else:
+            yield rng.choice(shapes).format(rng.choice(["Ab", "x.y", '"a b"', "é"]), rng.choice(
+                ["B.org", "x", "a_b.c", "[1.2.3.4]"]), rng.choice(["N M", "n.", "(c) n", "Ü", '"q"']))
+
+
+def test_addresses_equal_the_library_on_generated_headers(spark):
+    import random
+
+    cases = PROBES + list(_headers(random.Random(7), 4000))
+    got = one_col(spark, cases, normalise_address)
+    for v, g in zip(cases, got):
+        assert g == parseaddr(v)[1].lower(), repr(v)
+
+
+def _dates(rng, n):
+    days, months = ["Mon", "Wed,", "Friday,", "wed", ""], ["Jan", "feb", "March", "Sept", "Dec", "Foo"]
+    zones = ["+0000", "-0000", "+01:00", "-0530", "GMT", "EST", "Z", "XYZ", "", "+1", "(UTC)"]
+    for _ in range(n):
+        d, m, y = str(rng.randint(0, 33)), rng.choice(months), rng.choice(["2026", "26", "99", "1950", "026"])
+        t = rng.choice(["10:00:00", "1:2", "10.00.00", "23:59:60", "24:00:00", "7", "10:0:0"])
+        z, sep = rng.choice(zones), rng.choice([" ", "  ", " "])
+        yield sep.join(x for x in rng.choice([
+            [rng.choice(days), d, m, y, t, z], [rng.choice(days), m, d, t, y, z], [rng.choice(days), m, d, t, z, y],
+            [rng.choice(days), f"{d}-{m}-{y}", t, z], [d, m, y, t + z], [m, d + ",", y, t, z],
+            [y, m, d, t], [rng.choice(days), d, m, y, t, z, "(x y)"]]) if x)
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_dates_equal_the_library_on_generated_headers(spark, staged):
+    import random
+
+    vals = ["5-Jan-2026 10:00:00 +0000", "Jan 5 10:00:00 2026", "5 Jan 2026 10.00.00 +0000",
+            "Mon, 5 Jan 2026 10:00:00 +01:00", "Mon, 5 Jan 2026 10:00:00 +9900"] + list(_dates(random.Random(3), 3000))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v string")
+    out = add_mail_date(df, "v", "p") if staged else df.withColumn("p", parse_mail_date("v"))
+    for r in out.collect():
+        p = None if r.p is None else (r.p.ts, r.p.zoned, r.p.wall_date)
+        try:
+            want = python_date(r.v)
+        except OverflowError:
+            want = None
+        assert p == want, repr(r.v)
