@@ -343,6 +343,14 @@ SELECT conv_id * 100 + turn AS uid,
        CASE role WHEN 'assistant' THEN text ELSE {q(PLAIN_PREFIX)} || text || {q(PLAIN_SUFFIX)} END
          AS html
 FROM conversations WHERE role IN ('assistant', 'user') AND text <> ''"""
+    mails = f"""
+SELECT page_id AS uid, 'Site alerts <alerts@' || upper({host('url')}) || '>' AS "from",
+       'page ' || page_id AS subject,
+       strftime(TIMESTAMP '2025-11-19 00:00:00' + to_minutes(page_id), '%a, %-d %b %Y %H:%M:%S')
+         || ' +0000' AS "date", md5(html) AS html_md5
+FROM pages"""
+    out["archive_scanned"] = mails
+    out["archive_streamed"] = mails
     out["anchors_extracted"] = f"WITH {anchors_cte()}\nSELECT uid, pos, title, link FROM anchors"
     out["anchors_parsed"] = (f"WITH {anchors_cte()}\n"
                              "SELECT uid, pos, title, link, NULL::VARCHAR AS abstract FROM anchors")

@@ -8,6 +8,8 @@ are identical on both sides.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -28,8 +30,9 @@ from mailsift.operators.extract import dedupe_in_message
 from mailsift.operators.items import ITEM_ORDER
 from mailsift.plans import standins as S
 from mailsift.plans.digest import DigestParams, digest, digest_stages
-from mailsift.session import spread, written
-from mailsift.sources import latest_n, load_table
+from mailsift.operators.headers import header_fields
+from mailsift.session import checkpoint_dir, spread, written
+from mailsift.sources import latest_n, load_table, read_archive, stream_archive, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -155,6 +158,31 @@ def message_bodies(spark, d):
     return drop_empty_bodies(decode_bodies(raw)).select("uid", "html")
 
 
+def _archive(spark, d):
+    """The pages as alert messages in archives of the shared folder."""
+    path = os.path.join(checkpoint_dir(spark), f"archive-{uuid.uuid4().hex}")
+    write_archive(S.page_raw_messages(_t(spark, d, "pages")), path)
+    return path
+
+
+def _mail_facts(messages):
+    bodies = decode_bodies(header_fields(messages), keep=("uid", "from", "subject", "date"))
+    return bodies.select("uid", "from", "subject", "date", F.md5("html").alias("html_md5"))
+
+
+def archive_scanned(spark, d):
+    """Archives written, then read as a batch."""
+    return _mail_facts(read_archive(spark, _archive(spark, d)))
+
+
+def archive_streamed(spark, d):
+    """The same archives as a stream, file by file."""
+    path, out = _archive(spark, d), os.path.join(checkpoint_dir(spark), f"streamed-{uuid.uuid4().hex}")
+    (stream_archive(spark, path, 1).writeStream.format("parquet").trigger(availableNow=True)
+     .option("checkpointLocation", out + "-progress").start(out).awaitTermination())
+    return _mail_facts(spark.read.schema("uid LONG, raw BINARY").parquet(out))
+
+
 # ---------------------------------------------------------------- X1-X7
 
 def _page_anchors(spark, d, min_len=4, report_by=()):
@@ -385,6 +413,8 @@ QUERIES: dict[str, Query] = {
     "body_chosen": body_chosen,
     "parts_exploded": parts_exploded,
     "message_bodies": message_bodies,
+    "archive_scanned": archive_scanned,
+    "archive_streamed": archive_streamed,
     "anchors_extracted": anchors_extracted,
     "anchors_parsed": anchors_parsed,
     "titles_removed": titles_removed,
