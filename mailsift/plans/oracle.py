@@ -256,6 +256,13 @@ anchors_ctx AS (
   FROM anchors a JOIN blocks b USING (uid))"""
 
 
+def _whole_lists() -> str:
+    return f"""WITH {numbered_docs_cte()}
+SELECT lang, {q(LIST_HEADING)} || chr(10) || chr(10) ||
+       string_agg({entry_sql('', True)}, '' ORDER BY ordinal) AS markdown
+FROM numbered GROUP BY lang"""
+
+
 def _sql(part: int = PART_BYTES) -> dict[str, str]:
     out: dict[str, str] = {}
     out["latest_messages"] = (
@@ -472,6 +479,18 @@ SELECT lang, chunk, CASE WHEN chunk = min(chunk) OVER (PARTITION BY lang) THEN {
        || {esc('summary', True)}
        || CASE WHEN chunk = max(chunk) OVER (PARTITION BY lang) THEN {below} ELSE '' END AS html
 FROM meta JOIN summ USING (lang)"""
+    saved = f"WITH {anchors_cte()},{dedup_s},\nsaved AS {tail_drop('dedup', 'sender')}\n"
+    out["items_filed"] = (saved + "SELECT 'is-' || sender AS report, title, link, "
+                          "NULL::VARCHAR AS abstract FROM saved")
+    out["lists_filed"] = (f"SELECT 'is-' || lang AS report, md5(CASE WHEN markdown LIKE '%' || chr(10) "
+                          f"THEN markdown ELSE markdown || chr(10) END) AS text_md5 "
+                          f"FROM ({_whole_lists()})")
+    out["prompts_filed"] = f"SELECT lang, chunk, prompt AS text FROM ({out['prompt_text']})"
+    out["summaries_filed"] = ("SELECT 'is-' || lang || '~is-echo' AS report, lang, chunk, backend, "
+                              f"summary, error FROM ({out['summaries']})")
+    rerun = any_term(S.RERUN_TERMS, "lower(title || ' ')")
+    out["reports_rerun"] = saved + ("SELECT 'is-' || sender AS report, sender, uid, pos, title "
+                                    f"FROM saved WHERE {rerun}")
     head_re = r"^(#{1,6})[ \t]+(.*?)[ \t]*#*[ \t]*$"
     out["markdown_outline"] = f"""
 WITH md AS (

@@ -32,6 +32,9 @@ from mailsift.plans import standins as S
 from mailsift.plans.digest import DigestParams, digest, digest_stages
 from mailsift.operators.headers import header_fields
 from mailsift.session import checkpoint_dir, spread, written
+from mailsift.sinks import (
+    write_items_jsonl, write_reports, write_summaries, write_text_documents, write_text_files,
+)
 from mailsift.sources import latest_n, load_table, read_archive, stream_archive, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -349,6 +352,57 @@ def report_html(spark, d):
     return render_report(meta, summ, ["lang"])
 
 
+# ---------------------------------------------------------------- K1-K4, K7, I6: written, read back
+
+def _folder(spark, name):
+    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def _sender_stages(spark, d, terms=()):
+    p = replace(_sender_digest_params(), terms=list(terms))
+    return digest_stages(S.page_messages(_t(spark, d, "pages")), p), p
+
+
+def items_filed(spark, d):
+    """K1: saved items as JSON lines in a folder for each sender."""
+    stages, p = _sender_stages(spark, d)
+    path = _folder(spark, "items")
+    write_items_jsonl(number_items(stages["saved"], p.item_order, by=["sender"]), path, ["sender"])
+    kind = "title string, link string, abstract string, report string"
+    return spark.read.schema(kind).json(path).select("report", "title", "link", "abstract")
+
+
+def lists_filed(spark, d):
+    """K2: the list of saved documents as one text file for each language."""
+    path = _folder(spark, "lists")
+    write_text_files(render_item_list(_numbered_docs(spark, d), ["lang"]), path, "markdown", ["lang"])
+    return spark.read.text(path, wholetext=True).select("report", F.md5("value").alias("text_md5"))
+
+
+def prompts_filed(spark, d):
+    """K3: prompts in a folder for each language."""
+    path = _folder(spark, "prompts")
+    write_text_documents(prompt_text(spark, d), path, "prompt", ["lang"])
+    return spark.read.parquet(path).select("lang", "chunk", "text")
+
+
+def summaries_filed(spark, d):
+    """K4: summaries in a folder for each language and backend."""
+    path = _folder(spark, "summaries")
+    write_summaries(summaries(spark, d), path, ["lang", "backend"])
+    return spark.read.parquet(path).select("report", "lang", "chunk", "backend", "summary", "error")
+
+
+def reports_rerun(spark, d):
+    """All senders' reports, then a rerun with keywords that leaves some of them empty."""
+    path, stages = _folder(spark, "reports"), _sender_stages(spark, d)[0]
+    touched = written(stages["scanned"].select("sender").distinct(), "touched")
+    write_reports(stages["saved"].select("sender", "uid", "pos", "title"), path, ["sender"], touched)
+    stages = _sender_stages(spark, d, S.RERUN_TERMS)[0]
+    write_reports(stages["selected"].select("sender", "uid", "pos", "title"), path, ["sender"], touched)
+    return spark.read.parquet(path).select("report", "sender", "uid", "pos", "title")
+
+
 def markdown_outline_q(spark, d):
     md = S.conversation_markdown(_t(spark, d, "conversations"))
     return markdown_outline(md, ["conv_id", "turn"])
@@ -435,6 +489,11 @@ QUERIES: dict[str, Query] = {
     "items_panel": items_panel_q,
     "summaries": summaries,
     "report_html": report_html,
+    "items_filed": items_filed,
+    "lists_filed": lists_filed,
+    "prompts_filed": prompts_filed,
+    "summaries_filed": summaries_filed,
+    "reports_rerun": reports_rerun,
     "markdown_outline": markdown_outline_q,
     "digest": digest_q,
     "digest_latest": digest_latest,

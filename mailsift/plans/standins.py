@@ -17,6 +17,7 @@ RUN_DATE = "2025-11-19"
 GENERATED_AT = "2025-11-19 09:05:00"
 PAGE_PREFIXES = ("/",)
 PAGE_TERMS = ("tion", "ch", "the")
+RERUN_TERMS = ("tzä", "nicht", "the,")
 DOC_TERMS = ("license", "nicht", "être")
 REPORT_TERMS = ("license", "nicht", "être", "the", "que", "ung")
 
