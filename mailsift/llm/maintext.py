@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 from mailsift.llm._store import small_batches
 
 TRAIN_PAGES = 200
+TRAIN_CHARS = 500_000   # longer pages are read like all others, but not trained on
 DISGUISES = 3
 TREES, DEPTH = 12, 4
 MIXED_PRICE = 1.0       # log odds that a mixed node costs
@@ -403,9 +404,11 @@ def labels(page: Page) -> list:
 
 def train(pages: DataFrame, html_col: str = "html",
           train_pages: int = TRAIN_PAGES) -> Forest:
-    """Fit the trees on marked nodes of at most ``train_pages`` pages and their disguises."""
+    """Fit the trees on marked nodes of at most ``train_pages`` pages, of at most ``TRAIN_CHARS``
+    each, and their disguises."""
     spark = pages.sparkSession
-    sample = (pages.filter(F.col(html_col).rlike("(?i)<(article|main)[ >]"))
+    sample = (pages.filter(F.col(html_col).rlike("(?i)<(article|main)[ >]")
+                           & (F.length(html_col) <= TRAIN_CHARS))
               .select(F.col(html_col).alias("html"), F.xxhash64(html_col).alias("h"))
               .orderBy("h").limit(train_pages).toArrow().column(0).to_pylist())
 

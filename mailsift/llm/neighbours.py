@@ -43,7 +43,7 @@ from mailsift.llm._store import written
 K = 10
 SAMPLE, SAMPLED_OF = 20_000, 8   # rows of the sample: at most so many, at most an eighth of all
 LIST_ROWS, MOST_LISTS = 1_000, 4_096
-PART, PART_QUERIES = 20_000, 2_000
+PART, PART_QUERIES = 20_000, 20_000   # alike: both sides are then repeated least
 COLUMNS = 16          # dimensions in a column block
 EPSILON = 2.1         # width of the test: larger abandons later and errs less
 RECALL = 0.985        # share of the sample's neighbours that the visited lists must hold
@@ -188,14 +188,10 @@ def nearest_rows(table: DataFrame, asks: Column, id_col: str = "vec_id",
 
     def listed(batches):
         for batch in batches:
-            plain = vectors(batch.column(1))
-            m = Model.of(shared.value)
-            turned = m.turned(plain)
+            m, plain = Model.of(shared.value), vectors(batch.column(1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(m.nearest(turned).astype(np.int32)),
-                 pa.array([x.tobytes() for x in turned], pa.binary()),
-                 pa.array([x.tobytes() for x in plain], pa.binary())],
-                names=["id", "list", "turned", "plain"])
+                [batch.column(0), pa.array(m.nearest(m.turned(plain)).astype(np.int32)),
+                 pa.array([x.tobytes() for x in plain], pa.binary())], names=["id", "list", "plain"])
 
     def visits(batches):
         for batch in batches:
@@ -203,55 +199,50 @@ def nearest_rows(table: DataFrame, asks: Column, id_col: str = "vec_id",
             turned = m.turned(plain)
             bounds, near = m.start(batch.column(0).to_numpy(), turned)
             scores = [_distance(m.plain[n], p) for n, p in zip(near, plain)]
-            for i in range(0, len(turned), 512):
-                some = turned[i:i + 512]
-                order = np.argsort(m.far(some, m.centres), axis=1)[:, :m.probes]
-                which = np.repeat(np.arange(i, i + len(some)), order.shape[1])
-                first = np.arange(len(which)) % order.shape[1] == 0  # once for each query
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(which)),
-                     pa.array(order.ravel().astype(np.int32)), pa.array(bounds[which]),
-                     pa.array([turned[j].tobytes() for j in which], pa.binary()),
-                     pa.array([plain[j].tobytes() for j in which], pa.binary()),
-                     pa.array([m.ids[near[j]] if f else None for j, f in zip(which, first)],
-                              pa.list_(pa.int64())),
-                     pa.array([scores[j] if f else None for j, f in zip(which, first)],
-                              pa.list_(pa.float64()))],
-                    names=["id", "list", "bound", "turned", "plain", "near", "scores"])
-
-    lists = written(clean.select("id", "v").mapInArrow(
-        listed, "id long, list int, turned binary, plain binary"), "lists")
+            lists = [x for i in range(0, len(turned), 512) for x in np.argsort(
+                m.far(turned[i:i + 512], m.centres), axis=1)[:, :m.probes].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(bounds), pa.array([x.tobytes() for x in plain], pa.binary()),
+                 pa.array(lists, pa.list_(pa.int32())),
+                 pa.array([m.ids[n] for n in near], pa.list_(pa.int64())),
+                 pa.array(scores, pa.list_(pa.float64()))],
+                names=["id", "bound", "plain", "lists", "near", "scores"])
+
+    lists = written(clean.select("id", "v").mapInArrow(listed, "id long, list int, plain binary"),
+                    "lists")
     asked = clean.filter("asks").groupBy("id").agg(F.min("v").alias("v"))
+    # One row a query: its vector meets each of its lists in the shuffle alone.
     queries = written(asked.mapInArrow(
-        visits, "id long, list int, bound double, turned binary, plain binary, "
-                "near array<long>, scores array<double>"), "visits")
+        visits, "id long, bound double, plain binary, lists array<int>, near array<long>, "
+                "scores array<double>"), "queries")
     sizes = lists.groupBy("list").count().collect()      # one row per list: MOST_LISTS at most
-    visitors = {r["list"]: r["count"] for r in queries.groupBy("list").count().collect()}
+    visitors = {r["list"]: r["count"] for r in queries.select(F.explode("lists").alias("list"))
+                .groupBy("list").count().collect()}
     parts = spark.createDataFrame(
         [(r["list"], -(-r["count"] // PART), -(-visitors[r["list"]] // PART_QUERIES))
          for r in sizes if r["list"] in visitors], "list int, parts int, query_parts int")
     parts = F.broadcast(parts)
     left = lists.join(parts, "list").select(
         "list", F.pmod(F.xxhash64("id", "plain"), "parts").cast("int").alias("part"),
-        F.explode(F.sequence(F.lit(0), F.col("query_parts") - 1)).alias("query_part"),
-        "id", "turned", "plain")
-    right = queries.join(parts, "list").select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.pmod(F.xxhash64("id", F.lit(1)), "query_parts").cast("int").alias("query_part"),
-        "id", "bound", "turned", "plain")
+        F.explode(F.sequence(F.lit(0), F.col("query_parts") - 1)).alias("query_part"), "id", "plain")
+    right = queries.select("id", "bound", "plain", F.explode("lists").alias("list")) \
+        .join(parts, "list").select(
+            "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+            F.pmod(F.xxhash64("id", F.lit(1)), "query_parts").cast("int").alias("query_part"),
+            "id", "bound", "plain")
 
     def search(candidates: pa.Table, askers: pa.Table) -> pa.Table:
         ids = candidates.column("id").to_numpy()
         found = []
         if len(ids) and askers.num_rows:
-            turned, plain = (_matrix(candidates.column(c), size) for c in ("turned", "plain"))
+            m = Model.of(shared.value)
+            plain, questions = (_matrix(t.column("plain"), size) for t in (candidates, askers))
+            turned = m.turned(plain)
             columns = [np.ascontiguousarray(turned[:, i:i + COLUMNS])
                        for i in range(0, size, COLUMNS)]
-            scale = shared.value["scale"]
             for asker, bound, q, p in zip(askers.column("id").to_pylist(),
                                           askers.column("bound").to_pylist(),
-                                          _matrix(askers.column("turned"), size),
-                                          _matrix(askers.column("plain"), size)):
+                                          m.turned(questions), questions):
                 best_ids, best = np.zeros(0, np.int64), np.zeros(0)
                 for i in range(0, len(ids), 2048):
                     left = i + scan(q, bound, [c[i:i + 2048] for c in columns])
@@ -259,7 +250,7 @@ def nearest_rows(table: DataFrame, asks: Column, id_col: str = "vec_id",
                     score = _distance(plain[left], p)
                     best_ids, best = _best(np.append(best_ids, ids[left]), np.append(best, score), k)
                     if len(best) == k:
-                        bound = min(bound, (best[-1] / scale) ** 2 * (1 + 1e-6) + 1e-12)
+                        bound = min(bound, (best[-1] / m.scale) ** 2 * (1 + 1e-6) + 1e-12)
                 found += zip([asker] * len(best), best_ids.tolist(), best.tolist())
         columns_out = list(zip(*found)) or [[], [], []]
         return pa.table([pa.array(columns_out[0], pa.int64()), pa.array(columns_out[1], pa.int64()),
@@ -268,7 +259,7 @@ def nearest_rows(table: DataFrame, asks: Column, id_col: str = "vec_id",
 
     keys = ["list", "part", "query_part"]
     near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, out)
-    known = queries.filter("near is not null").select(
+    known = queries.select(
         F.col("id").alias("query_id"), F.explode(F.arrays_zip("near", "scores")).alias("z")) \
         .select("query_id", F.col("z.near").alias("vec_id"), F.col("z.scores").alias("score"))
     # The sample's rows answer only for queries to which the scan leaves too few.

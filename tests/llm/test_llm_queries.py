@@ -1,6 +1,7 @@
 """The registered queries: SQL where there is some, whole tables, and the pipeline."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
@@ -46,6 +47,27 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in out.select("doc_id").distinct().collect()} == set(ids[3])
 
 
+def test_pipeline_takes_nulls_empty_tables_and_repeated_rows(spark, tmp_path):
+    """Through ``run`` itself: odd rows cost no stage, and an empty table gives no rows."""
+    import random
+
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(3, 8)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    rows = [(i, prose(90), rnd.choice(["en", None]), rnd.choice(["a", None, ""]), None) for i in range(60)]
+    rows += [(None, prose(80), None, None, 1), (None, prose(80), None, None, 1), (70, None, "en", "a", 0),
+             (71, "", "en", "a", 0), (72, prose(30_000), "en", "b", None)] + [rows[5]] * 3
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, some in (("odd", rows), ("none", [])):
+        folder = tmp_path / name
+        spark.createDataFrame(some, kind).withColumn("fp", F.lit("mine")).withColumn("mix_size", F.lit(-1)) \
+            .write.parquet(str(folder / "documents.parquet"))
+        out = corpus_pipeline.run(spark, str(folder)).collect()
+        assert all(r.round_trip for r in out) and bool(out) == bool(some)
+        ids = {r.doc_id for r in out}
+        assert not ids & {70, 71} and (not some or len(ids) > 20)
+
+
 def test_queries_run_where_the_package_is_not_installed(tmp_path):
     """From another folder, without PYTHONPATH: workers get all code with their tasks."""
     import os
