@@ -30,7 +30,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -67,21 +66,35 @@ def _options(code: str, state: int) -> list[tuple[str, str, int, int]]:
     return out
 
 
-@lru_cache(maxsize=1 << 16)
+# What the two steps below gave before: few (code, state, vector) triples occur.
+_SEEN: dict = {}
+SEEN_MOST = 1 << 16
+
+
+def _kept(key: tuple, value):
+    if len(_SEEN) >= SEEN_MOST:
+        _SEEN.clear()
+    _SEEN[key] = value
+    return value
+
+
 def _back(code: str, after: tuple) -> tuple[tuple, int]:
     """Costs to go before a row from those after it: less their minimum, and the minimum."""
+    if (code, after) in _SEEN:
+        return _SEEN[code, after]
     here = [min(cost + after[to] for _, _, cost, to in _options(code, q)) for q in range(4)]
     for _ in range(2):
         here = [min(here[q], INSERT + here[DUE[q]]) for q in range(4)]
     low = min(here)
-    return tuple(x - low for x in here), low
+    return _kept((code, after), (tuple(x - low for x in here), low))
 
 
-@lru_cache(maxsize=1 << 16)
 def _step(code: str, state: int, after: tuple) -> tuple[str, int]:
     """The least moves of cheapest cost through a row, and the state after it."""
+    if (code, state, after) in _SEEN:
+        return _SEEN[code, state, after]
     here, low = _back(code, after)
-    moves = ""
+    begun, moves = state, ""
     while True:
         want = here[state] + low
         edits = {i: (move, to) for i, move, cost, to in _options(code, state)
@@ -91,7 +104,7 @@ def _step(code: str, state: int, after: tuple) -> tuple[str, int]:
             moves += "u" if state == 2 else "a"
             continue
         move, to = edits[min(edits)]
-        return moves + move, to
+        return _kept((code, begun, after), (moves + move, to))
 
 
 def _normal(costs) -> tuple[tuple, int]:
