@@ -82,19 +82,27 @@ def remove_emptied(path: str, kept: DataFrame, touched: DataFrame, by: Sequence[
         delete_folder(spark, os.path.join(path, name))
 
 
+RUNS = "_runs"  # what runs have under way; readers skip names that begin so
+
+
 def recover(spark: SparkSession, path: str) -> None:
     """Finish the runs whose manifest is in place, and clear what uncommitted runs left.
 
     One run writes to ``path`` at a time. Every step can be repeated: a folder that
-    is still under the run's name has not been moved yet.
+    is still under the run's name has not been moved yet. The reports themselves
+    are not listed.
     """
     fs, at = _fs(spark, path)
-    names = sub_folders(spark, path)
-    committed = {n.removeprefix("_manifest-") for n in names if n.startswith("_manifest-")}
+    runs = os.path.join(path, RUNS)
+    names = sub_folders(spark, runs)
+    committed = {n.removeprefix("manifest-") for n in names if n.startswith("manifest-")}
     for run in sorted(committed):
-        manifest, staged = os.path.join(path, f"_manifest-{run}"), os.path.join(path, f"_run-{run}")
-        for row in spark.read.text(manifest).toLocalIterator():
-            fs.delete(at(os.path.join(path, row.value)), True)
+        manifest, staged = os.path.join(runs, f"manifest-{run}"), os.path.join(runs, f"run-{run}")
+        stream = fs.open(at(manifest))
+        gone = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        for name in filter(None, gone.split("\n")):
+            fs.delete(at(os.path.join(path, name)), True)
         for name in sub_folders(spark, staged):
             if name.startswith("report="):
                 target = os.path.join(path, name)
@@ -104,22 +112,23 @@ def recover(spark: SparkSession, path: str) -> None:
         fs.delete(at(staged), True)
         fs.delete(at(manifest), True)
     for name in names:
-        if name.startswith(("_run-", "_draft-")) and name.split("-", 1)[1] not in committed:
-            fs.delete(at(os.path.join(path, name)), True)
+        if name.split("-", 1)[1] not in committed:
+            fs.delete(at(os.path.join(runs, name)), True)
 
 
 def commit(spark: SparkSession, path: str, write: Callable[[str], None],
            gone: DataFrame | None = None) -> None:
     """Replace the reports that ``write(folder)`` writes, and remove those in ``gone``, as one step."""
     recover(spark, path)
-    run = uuid.uuid4().hex
-    write(os.path.join(path, f"_run-{run}"))
-    draft = os.path.join(path, f"_draft-{run}")
-    escaped = list(_folder_names(spark, gone)) if gone is not None else []
-    names = spark.createDataFrame([(n,) for n in escaped], "value string")
-    names.coalesce(1).write.text(draft)
+    run, runs = uuid.uuid4().hex, os.path.join(path, RUNS)
+    write(os.path.join(runs, f"run-{run}"))
+    draft = os.path.join(runs, f"draft-{run}")
+    names = [] if gone is None else list(_folder_names(spark, gone))
     fs, at = _fs(spark, path)
-    if not fs.rename(at(draft), at(os.path.join(path, f"_manifest-{run}"))):  # the commit
+    stream = fs.create(at(draft))
+    stream.write(bytearray("\n".join(names).encode()))
+    stream.close()
+    if not fs.rename(at(draft), at(os.path.join(runs, f"manifest-{run}"))):  # the commit
         raise OSError(f"could not commit to {path}")
     recover(spark, path)
 

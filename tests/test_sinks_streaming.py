@@ -316,10 +316,11 @@ def test_a_run_killed_before_its_commit_leaves_the_old_reports(spark, tmp_out, m
         m.setattr(writers, "recover", once)
         with pytest.raises(KeyboardInterrupt):
             writers.write_reports(new, path, ["rep"], touched)
-    assert rows() == old and any(n.startswith("_manifest-") for n in os.listdir(path))
+    assert rows() == old and any(n.startswith("manifest-") for n in os.listdir(os.path.join(path, "_runs")))
     writers.recover(spark, path)
     assert rows() == [(None, 1), ("a", 2), ("c", 2)]
-    assert all(n.startswith("report=") for n in os.listdir(path) if not n.startswith("."))
+    assert all(n.startswith("report=") for n in os.listdir(path) if n[0] not in "._")
+    assert not [n for n in os.listdir(os.path.join(path, "_runs")) if n[0] != "."]
     writers.recover(spark, path)  # and again, to no effect
     assert rows() == [(None, 1), ("a", 2), ("c", 2)]
 
