@@ -96,6 +96,10 @@ class Vocabulary:
             ends[nodes[piece]] = i
         self.keys = np.array(sorted(goto), np.int64)
         self.next = np.array([goto[k] for k in self.keys.tolist()], np.int64)
+        # From the root by the character itself: every place of every word starts there.
+        self.root = np.full(max((k for k in goto if k < 1 << 21), default=0) + 2, -1, np.int64)
+        for k in (k for k in goto if k < 1 << 21):
+            self.root[k] = goto[k]
         self.piece_at = np.full(len(nodes), -1, np.int64)
         for node, i in ends.items():
             self.piece_at[node] = i
@@ -125,9 +129,14 @@ class Lattices:
     probability, and cumulative conditional probability inside the node.
     """
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, room: Lattices | None = None):
+        """``room``: lattices that are not needed any more, whose arrays are used again."""
         self.v, self.words = vocabulary, {}
         self.n_nodes = self.n_edges = 0
+        if room is not None:
+            self.first, self.to, self.piece, self.logp, self.cum = (
+                room.first, room.to, room.piece, room.logp, room.cum)
+            return
         self.first = np.zeros(1 << 12, np.int32)
         self.to, self.piece = np.zeros(1 << 13, np.int32), np.zeros(1 << 13, np.int32)
         self.logp, self.cum = np.zeros(1 << 13), np.zeros(1 << 13, np.float32)
@@ -155,10 +164,15 @@ class Lattices:
         # Walk the trie from every place at once; places drop out as they leave it.
         state, live, depth, found = np.zeros(n, np.int64), np.arange(n), 0, []
         while len(live):
-            want = state << 21 | chars[live + depth]
-            hit = np.minimum(np.searchsorted(v.keys, want), len(v.keys) - 1)
-            ok = v.keys[hit] == want
-            live, state = live[ok], v.next[hit[ok]]
+            if depth == 0:
+                state = v.root[np.minimum(chars, len(v.root) - 1)]
+                live = np.flatnonzero(state >= 0)
+                state = state[live]
+            else:
+                want = state << 21 | chars[live + depth]
+                hit = np.minimum(np.searchsorted(v.keys, want), len(v.keys) - 1)
+                ok = v.keys[hit] == want
+                live, state = live[ok], v.next[hit[ok]]
             piece = v.piece_at[state]
             here = piece >= 0
             at, ids = live[here], piece[here]
@@ -460,8 +474,8 @@ def _lattices(proto: bytes, alpha: float) -> Lattices:
     """The worker's lattices, kept from batch to batch."""
     key = (xxhash.xxh64_intdigest(proto), alpha)
     if key not in _LATTICES or len(_LATTICES[key].words) > WORDS_KEPT:
-        vocabulary = _LATTICES[key].v if key in _LATTICES else Vocabulary(proto, alpha)
-        _LATTICES[key] = Lattices(vocabulary)
+        old = _LATTICES.get(key)
+        _LATTICES[key] = Lattices(old.v, old) if old else Lattices(Vocabulary(proto, alpha))
     return _LATTICES[key]
 
 
