@@ -526,9 +526,14 @@ def sample_segmentations(docs: DataFrame, id_col: str = "doc_id", text_col: str
                     rows.append(a + i)
                     cells.append((*row, small) if with_ids else row)
                 columns = [keys.take(pa.array(rows, pa.int64()))]
-                columns += [pa.array(list(c), f.type) for c, f in zip(zip(*cells), list(schema)[1:])]
+                values = list(zip(*cells))
+                columns += [pa.array(list(c), f.type) for c, f in zip(values[:7], list(schema)[1:])]
+                if with_ids:  # one array of all ids and where each list begins
+                    ends = np.cumsum([0, *map(len, values[7])]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(
+                        pa.array(ends), pa.array(np.concatenate(values[7])), type=schema[-1].type))
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
-        batch = texts = lat = rows = cells = columns = keys = None
+        batch = texts = lat = rows = cells = columns = keys = values = None
         for key, lat in _LATTICES.items():  # an idle worker keeps the vocabulary alone
             _LATTICES[key] = Lattices(lat.v)
         give_back()
