@@ -42,6 +42,9 @@ from mailsift.sinks.writers import delete_folder, sub_folders
 from mailsift.sources.messages import latest_n
 
 
+TABLE_BATCHES = 4  # in which a table that is read as a stream arrives, if it has the files
+
+
 def _same(columns: list[str]):
     """Null-safe equality of ``columns`` with their ``__of_`` copies."""
     same = F.lit(True)
@@ -127,13 +130,25 @@ def start_incremental_digest(stream: DataFrame, out_dir: str, p: DigestParams,
 
 def incremental_digest_from_table(spark: SparkSession, sf_dir: str, p: DigestParams,
                                   out_dir: str | None = None) -> DataFrame:
-    """Run T1 to completion over the ``pages`` table as a file stream; read the digest back."""
+    """Run T1 to completion over the ``pages`` table as a file stream; read the digest back.
+
+    The table is one file or a folder of files, which arrive in at most
+    ``TABLE_BATCHES`` batches: each batch recomputes the reports it touches whole, so
+    a batch a file would take time in the square of the files.
+    """
     from mailsift.plans.standins import page_messages
 
-    schema = spark.read.parquet(os.path.join(sf_dir, "pages.parquet")).schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("pathGlobFilter", "pages.parquet").parquet(sf_dir))
+    pages = spark.read.parquet(os.path.join(sf_dir, "pages.parquet"))
+    at_once = max(1, -(-len(pages.inputFiles()) // TABLE_BATCHES))
+    # A pattern, as a file stream takes the path of a single file in no other form.
+    stream = (spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", at_once)
+              .parquet(os.path.join(sf_dir, "[p]ages.parquet")))
     out_dir = out_dir or os.path.join(checkpoint_dir(spark), f"incremental-{uuid.uuid4().hex}")
     q = start_incremental_digest(page_messages(stream), out_dir, p)
     q.awaitTermination()
-    return spark.read.parquet(os.path.join(out_dir, "digest")).select(*digest_columns(p))
+    digest_path = os.path.join(out_dir, "digest")
+    if not any(n.startswith("report=") for n in sub_folders(spark, digest_path)):
+        items = message_items(message_bodies(match_messages(page_messages(pages), p), p), p)
+        return spark.createDataFrame([], items.schema).withColumn("ordinal", F.lit(0)) \
+            .select(*digest_columns(p))
+    return spark.read.parquet(digest_path).select(*digest_columns(p))

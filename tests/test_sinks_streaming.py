@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mailsift.operators.inference import infer
+from mailsift.plans.digest import digest
 from mailsift.plans.queries import _digest_params, digest_q
 from mailsift.plans import standins as S
 from mailsift.session import written
@@ -244,6 +245,44 @@ def test_stream_equals_batch_with_latest_and_shrinking_reports(spark, tmp_out, r
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def _page_rows(n):
+    return [(u, f"https://site{u % 3}.example/p", f'<a href="/{u}">Nation of number {u}</a>' + "".join(
+        f'<a href="/{u % 4}/{i}">Item of the station {i}</a>' for i in range(u % 5))) for u in range(n)]
+
+
+PAGES = "page_id long, url string, html string"
+
+
+@pytest.mark.parametrize("recent", [0])
+def test_table_in_a_folder_of_files_is_streamed_whole(spark, tmp_out, recent):
+    """A table is one file or a folder of files; both give the batch digest."""
+    want = None
+    for files in (1, 6):
+        d = os.path.join(tmp_out, f"of{files}")
+        path = os.path.join(d, "pages.parquet")
+        spark.createDataFrame(_page_rows(40), PAGES).repartition(files).write.parquet(path)
+        if files == 1:  # the file itself, as a table of that name
+            part = next(n for n in os.listdir(path) if n.startswith("part-"))
+            d = os.path.join(tmp_out, "file")
+            os.makedirs(d)
+            os.link(os.path.join(path, part), os.path.join(d, "pages.parquet"))
+        out = os.path.join(tmp_out, f"out{files}")
+        got = incremental_digest_from_table(spark, d, _digest_params(recent=recent), out)
+        want = want or sorted(map(tuple, digest(S.page_messages(
+            spark.read.parquet(path)), _digest_params(recent=recent)).select(*got.columns).collect()))
+        assert sorted(map(tuple, got.collect())) == want and len(want) > 5
+        commits = [n for n in os.listdir(os.path.join(out, "_progress", "commits")) if n.isdigit()]
+        assert len(commits) == (1 if files == 1 else 3)  # bounded, whatever the number of files
+
+
+def test_table_without_items_streams_to_an_empty_digest(spark, tmp_out):
+    for name, rows in (("none", []), ("plain", [(1, "https://a.example/p", "<p>no links</p>")])):
+        d = os.path.join(tmp_out, name)
+        spark.createDataFrame(rows, PAGES).write.parquet(os.path.join(d, "pages.parquet"))
+        got = incremental_digest_from_table(spark, d, _digest_params(), os.path.join(tmp_out, f"o-{name}"))
+        assert got.schema["ordinal"].dataType.simpleString() == "int" and got.count() == 0
+
+
 @pytest.mark.parametrize("recent", [0, 2])
 def test_a_batch_reads_its_own_reports_alone(spark, tmp_out, recent, monkeypatch):
     """What a batch reads does not grow with the batches before it."""
