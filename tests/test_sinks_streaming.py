@@ -253,7 +253,7 @@ def _page_rows(n):
 PAGES = "page_id long, url string, html string"
 
 
-@pytest.mark.parametrize("recent", [0])
+@pytest.mark.parametrize("recent", [0, 7])
 def test_table_in_a_folder_of_files_is_streamed_whole(spark, tmp_out, recent):
     """A table is one file or a folder of files; both give the batch digest."""
     want = None
