@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,8 @@ from mailsift.llm._store import give_back, small_batches, written
 
 ORDER = 5
 BITS, END, START, ALPHABET = 9, 256, 257, 257
-BYTES_AT_ONCE = 1 << 20
+BYTES_AT_ONCE = 1 << 20         # of text that a counting task takes in one step
+SCORED_AT_ONCE = 1 << 18        # and a scoring task, which holds the tables sent to it too
 HELD_BACK = 1_000_000          # distinct keys a counting task holds before it emits them
 KEYS_SENT = 1_000_000          # most used keys of each kind that are sent to the tasks
 GRAM, WORD = 0, 1
@@ -68,12 +69,18 @@ def _codes(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     return grams[codes[order:] != START], np.cumsum(sizes) - sizes
 
 
-def _parts(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
-    """Lower-cased bytes of consecutive texts, some megabytes at a time, with the first's place."""
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a column one by one, so that a batch is never held as Python strings."""
+    return (text.as_py() for text in column)
+
+
+def _parts(texts: Iterable[str | None],
+           at_once: int = BYTES_AT_ONCE) -> Iterator[tuple[int, list[bytes]]]:
+    """Lower-cased bytes of consecutive texts, about ``at_once`` at a time, with the first's place."""
     at, size, out = 0, 0, []
     for i, text in enumerate(texts):
         raw = (text or "").encode().lower()
-        if size and size + len(raw) > BYTES_AT_ONCE:
+        if size and size + len(raw) > at_once:
             yield at, out
             at, size, out = i, 0, []
         out.append(raw)
@@ -101,6 +108,23 @@ def _rows(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         names=["kind", "key", "n"])
 
 
+def _missing(n: int, *found: tuple[int, np.ndarray, np.ndarray]) -> pa.ListArray:
+    """Per row the distinct ``(kind, key)`` and how often, of some ``(kind, rows, keys)``."""
+    kind = np.concatenate([np.full(len(keys), k, np.int32) for k, _, keys in found])
+    who = np.concatenate([rows for _, rows, _ in found])
+    key = np.concatenate([keys for _, _, keys in found])
+    order = np.lexsort((key, kind, who))
+    kind, who, key = kind[order], who[order], key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (kind[1:] != kind[:-1]) | (who[1:] != who[:-1])
+    heads = np.flatnonzero(new)
+    pairs = pa.StructArray.from_arrays(
+        [pa.array(kind[heads]), pa.array(key[heads]), pa.array(np.diff(np.append(heads, len(key))))],
+        names=["kind", "key", "n"])
+    starts = np.searchsorted(who[heads], np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(starts), pairs)
+
+
 def count_keys(texts: DataFrame, order: int) -> DataFrame:
     """``(kind, key, n)`` of ``texts (text, held_out)``: training counts; pairs that only
     held-out texts hold are listed with 0."""
@@ -109,7 +133,7 @@ def count_keys(texts: DataFrame, order: int) -> DataFrame:
         keys, counts, words = none, none, Counter()
         for batch in batches:
             held = batch.column(1).to_pylist()
-            for at, part in _parts(batch.column(0).to_pylist()):
+            for at, part in _parts(_texts(batch.column(0))):
                 for out in (False, True):
                     mine = [t for i, t in enumerate(part) if held[at + i] is out]
                     if not mine:
@@ -264,12 +288,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Plain arrays, so that executors need no copy of this package.
     sent = [spark.sparkContext.broadcast(dict(_most_used(t, keys_sent).__dict__))
             for t in (pairs, words)]
-    missing = pa.list_(pa.struct([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = {kind: Table.of(sent[kind].value) for kind in (GRAM, WORD)}
         for batch in batches:
-            for at, part in _parts(batch.column(1).to_pylist()):
+            for at, part in _parts(_texts(batch.column(1)), SCORED_AT_ONCE):
                 n = len(part)
                 grams, firsts = _codes(part, order)
                 value, there = tables[GRAM].get(grams)
@@ -285,16 +308,13 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 base = np.bincount(owner, word_value[which], n)
                 n_known = np.bincount(owner, known[which], n).astype(np.int64)
                 spread = np.repeat(np.arange(n), np.diff(np.append(firsts, len(grams))))
-                rest: list[list] = [[] for _ in range(n)]
-                for kind, who, keys in ((GRAM, spread[~there], grams[~there]),
-                                        (WORD, owner[~known[which]],
-                                         hashed[which[~known[which]]])):
-                    for (row, key), times in Counter(zip(who.tolist(), keys.tolist())).items():
-                        rest[row].append({"kind": kind, "key": key, "n": times})
+                new = ~known[which]
+                rest = _missing(n, (GRAM, spread[~there], grams[~there]),
+                                (WORD, owner[new], hashed[which[new]]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, n), batch.column(2).slice(at, n),
                      pa.array(sizes + 1), pa.array(n_known), pa.array(base), pa.array(score),
-                     pa.array(rest, missing)],
+                     rest],
                     names=["id", "held_out", "n_tokens", "n_known", "base", "score", "rest"])
         give_back()
 
@@ -303,6 +323,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                  "base double, score double, "
                                  "rest array<struct<kind:int,key:bigint,n:bigint>>")
     first = written(first.withColumn("row", F.monotonically_increasing_id()), "first")
+    for table in sent:  # written: no task needs them any more
+        table.destroy()
     model = pairs.select(F.lit(GRAM).alias("kind"), "key", "value", F.lit(0).cast("long").alias("c")) \
         .unionByName(words.select(F.lit(WORD).alias("kind"), "key", "value",
                                   F.col("n").alias("c")))

@@ -5,6 +5,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from mailsift.llm import pieces, ppm
@@ -76,6 +77,30 @@ def test_scores_without_training_text_and_of_nothing(spark):
     assert ppm.score_texts(df.limit(0)).count() == 0
 
 
+def test_a_scoring_task_takes_little_text_at_a_time():
+    """Texts are read one by one, and a step ends before the next text would pass the bound."""
+    taken = []
+    texts = (taken.append(i) or "ab " * 10 for i in range(50))
+    at, part = next(ppm._parts(texts, 100))
+    assert at == 0 and len(part) == 3 and len(taken) == 4
+    column = pa.array([t or "" for t in TEXTS] * 5)
+    parts = list(ppm._parts(ppm._texts(column), 64))
+    assert [i for i, _ in parts] == [0, *np.cumsum([len(p) for _, p in parts])[:-1]]
+    assert sum((p for _, p in parts), []) == [t.encode().lower() for t in column.to_pylist()]
+    assert ppm.SCORED_AT_ONCE < ppm.BYTES_AT_ONCE
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 300])
+def test_missing_keys_are_counted_by_row(n):
+    rng = np.random.default_rng(n)
+    found = [(kind, rng.integers(0, 9, n), rng.integers(-3, 3, n)) for kind in (ppm.GRAM, ppm.WORD)]
+    got = ppm._missing(11, *found).to_pylist()
+    want = collections.Counter((int(r), kind, int(k)) for kind, rows, keys in found
+                               for r, k in zip(rows, keys))
+    assert {(r, x["kind"], x["key"]): x["n"] for r, xs in enumerate(got) for x in xs} == want
+    assert len(got) == 11 and sum(map(len, got)) == len(want)
+
+
 SMALL = {"▁": 5, "▁a": 6, "a": 7, "b": 8, "ab": 9, "ba": 10, "▁ab": 11, "aba": 12}
 
 
