@@ -33,11 +33,13 @@ from mailsift.plans.digest import DigestParams, digest, digest_stages
 from mailsift.operators.headers import header_fields
 from mailsift.session import checkpoint_dir, spread, written
 from mailsift.sinks import (
-    write_items_jsonl, write_reports, write_summaries, write_text_documents, write_text_files,
+    text_file_digests, write_items_jsonl, write_reports, write_summaries, write_text_documents,
+    write_text_files,
 )
 from mailsift.sources import latest_n, load_table, read_archive, stream_archive, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
+FILE_PART_ITEMS = 100  # documents of a list that a task holds at once; its file is one all the same
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -375,8 +377,9 @@ def items_filed(spark, d):
 def lists_filed(spark, d):
     """K2: the list of saved documents as one text file for each language."""
     path = _folder(spark, "lists")
-    write_text_files(render_item_list(_numbered_docs(spark, d), ["lang"]), path, "markdown", ["lang"])
-    return spark.read.text(path, wholetext=True).select("report", F.md5("value").alias("text_md5"))
+    parts = render_item_list(_numbered_docs(spark, d), ["lang"], items_per_part=FILE_PART_ITEMS)
+    write_text_files(parts, path, "markdown", ["lang"], order=["chunk"])
+    return text_file_digests(spark, path)
 
 
 def prompts_filed(spark, d):

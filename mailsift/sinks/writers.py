@@ -16,13 +16,19 @@ next run (or ``recover``), whose steps can be repeated.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from itertools import groupby
+from operator import itemgetter
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailsift.session import small_batches
+
 
 def report_key(by: Sequence[str]) -> Column:
     """Folder name of a report: one part per key column, null told from the empty text."""
@@ -174,15 +180,51 @@ def write_text_documents(docs: DataFrame, path: str, text_col: str,
 
 def write_text_files(docs: DataFrame, path: str, text_col: str,
                      partition_by: Sequence[str] = ("report_date",),
+                     order: Sequence[str] = (),
                      touched: DataFrame | None = None) -> None:
     """K2/K3 as plain text: one file per document in its report's folder.
 
-    The file is the text; a final line feed is added where the text has none.
+    The file is the text; a final line feed is added where the text has none. A
+    large document can come in parts of whole lines, numbered by ``order``: they are
+    written to its file one after the other, and no value holds them all.
     """
     body = F.regexp_replace(text_col, r"\n\z", "")  # the text source ends the row with one
-    out = docs.select(report_key(partition_by).alias("report"), body.alias("value"))
+    out = docs.select(report_key(partition_by).alias("report"), body.alias("value"), *order) \
+        .repartition("report").sortWithinPartitions("report", *order).select("report", "value")
     _commit_reports(docs, path, partition_by, touched,
-                    lambda to: out.repartition("report").write.partitionBy("report").text(to))
+                    lambda to: out.write.partitionBy("report").text(to))
+
+
+def text_file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """``report, text_md5`` of the files that ``write_text_files`` wrote under ``path``.
+
+    A digest has to see a file in order: its lines are read by many tasks and
+    stream through one, in place, and are never gathered.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, digest = None, None
+        for batch in batches:
+            done = []
+            for report, lines in groupby(zip(*[c.to_pylist() for c in batch.columns]), itemgetter(0)):
+                if report != at:
+                    if digest:
+                        done.append((at, digest.hexdigest()))
+                    at, digest = report, hashlib.md5()
+                digest.update(b"".join(line for _, line in lines))
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*done)],
+                                                 ["report", "text_md5"])
+        if digest:
+            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([digest.hexdigest()])],
+                                             ["report", "text_md5"])
+
+    small_batches(spark)
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "report", F.concat("value", F.lit("\n")).cast("binary").alias("line"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"))
+    return lines.repartition("report").sortWithinPartitions("report", "block", "place") \
+        .select("report", "line").mapInArrow(run, "report string, text_md5 string")
 
 
 def write_summaries(summaries: DataFrame, path: str,

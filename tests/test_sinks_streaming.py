@@ -1,17 +1,19 @@
 """Sinks (K1, K4, K7), batch inference (P2) and the incremental digest."""
 
+import hashlib
 import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from mailsift.operators import render_item_list
 from mailsift.operators.inference import infer
 from mailsift.plans.digest import digest
 from mailsift.plans.queries import _digest_params, digest_q
 from mailsift.plans import standins as S
 from mailsift.session import written
-from mailsift.sinks import write_items_jsonl, write_summaries
+from mailsift.sinks import text_file_digests, write_items_jsonl, write_summaries, write_text_files
 from mailsift.streaming.incremental import incremental_digest_from_table, start_incremental_digest
 from tests.conftest import SF_SMALL
 
@@ -245,6 +247,47 @@ def test_stream_equals_batch_with_latest_and_shrinking_reports(spark, tmp_out, r
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_a_list_file_is_written_and_digested_in_parts(spark, tmp_out):
+    """One file a report, from many rows of a few items each; read back by many tasks."""
+    rows = [(rep, i + 1, f"Title {i}\rof {rep}", f"https://a/{i}", "é x\n" * (i % 5) or None)
+            for rep, n in (("big", 500), ("small", 1), (None, 30)) for i in range(n)]
+    items = spark.createDataFrame(rows, "rep string, ordinal int, title string, link string, abstract string")
+    path, whole = os.path.join(tmp_out, "lists"), render_item_list(items, ["rep"]).collect()
+    parts = render_item_list(items, ["rep"], items_per_part=7)
+    assert parts.count() == 72 + 1 + 5
+    write_text_files(parts, path, "markdown", ["rep"], order=["chunk"])
+    want = {}
+    for r in whole:
+        folder = os.path.join(path, "report=none" if r.rep is None else f"report=is-{r.rep}")
+        [name] = [n for n in os.listdir(folder) if n.endswith(".txt")]
+        with open(os.path.join(folder, name), "rb") as f:
+            data = f.read()
+        assert data == r.markdown.encode()
+        want[os.path.basename(folder).removeprefix("report=")] = hashlib.md5(data).hexdigest()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = text_file_digests(spark, path)
+        assert spark.read.text(path).rdd.getNumPartitions() > 5
+        assert {r.report: r.text_md5 for r in got.collect()} == want and got.count() == len(want)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_lists_filed_holds_no_whole_list(spark, monkeypatch):
+    """The query writes its lists from parts and reads no file as one value."""
+    from mailsift.plans import queries
+
+    seen, write = [], queries.write_text_files
+
+    def counting(docs, *a, **k):
+        seen.append(docs.agg(F.max("n_items"), F.sum("n_items"), F.countDistinct("lang")).first())
+        write(docs, *a, **k)
+
+    monkeypatch.setattr(queries, "write_text_files", counting)
+    got = queries.QUERIES["lists_filed"](spark, SF_SMALL)
+    assert seen[0][0] <= queries.FILE_PART_ITEMS < seen[0][1] and got.count() == seen[0][2]
+
+
 def _page_rows(n):
     return [(u, f"https://site{u % 3}.example/p", f'<a href="/{u}">Nation of number {u}</a>' + "".join(
         f'<a href="/{u % 4}/{i}">Item of the station {i}</a>' for i in range(u % 5))) for u in range(n)]
