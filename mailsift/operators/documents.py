@@ -93,10 +93,15 @@ def ordered_text(df: DataFrame, by: Sequence[str], ordinal_col: str, text: Colum
         keyed = add_chunk_by_bytes(df, by, ordinal_col, size, bytes_per_part)
     else:
         keyed = add_chunk(df, ordinal_col, items_per_part)
+    lead = F.when(F.col("chunk") > 0, sep).otherwise("")
+    if items_per_part == 1 and not bytes_per_part:  # nothing to gather, so no shuffle
+        return keyed.select(*by, "chunk", F.concat(lead, F.coalesce(text, F.lit(""))).alias(name),
+                            F.lit(1).cast("long").alias("n_items"),
+                            F.col(ordinal_col).alias("first_ordinal"))
     parts = F.array_sort(F.collect_list(F.struct(F.col(ordinal_col).alias("o"), text.alias("t"))))
     joined = F.array_join(F.transform(parts, lambda x: x["t"]), sep)
     return keyed.groupBy(*by, "chunk").agg(
-        F.concat(F.when(F.col("chunk") > 0, sep).otherwise(""), joined).alias(name),
+        F.concat(lead, joined).alias(name),
         F.count(F.lit(1)).alias("n_items"),
         F.min(ordinal_col).alias("first_ordinal"))
 

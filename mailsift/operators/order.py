@@ -72,21 +72,23 @@ def ordinal(df: DataFrame, by: Sequence[str] | str | None, order: OrderSpec,
         return df.withColumn(name, F.row_number().over(w))
 
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = "__slice"
+    cut, place = "__slice", "__place"
     keys = [*[F.col(b).asc_nulls_first() for b in by], *sort_exprs(order)]
-    ranged = written(df.repartitionByRange(n, *keys)
-                     .withColumn(cut, F.spark_partition_id()), "ordinal")
+    # A group's rows of a slice stand together; the low 33 bits number a task's rows.
+    ranged = written(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).select(
+        "*", F.spark_partition_id().alias(cut),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias(place)), "ordinal", "zstd")
     before = Window.partitionBy(*by).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
-    first = (ranged.groupBy(*by, cut).agg(F.count(F.lit(1)).alias("__n"))
+    first = (ranged.groupBy(*by, cut).agg(F.count(F.lit(1)).alias("__n"), F.min(place).alias("__low"))
              .select(F.col(cut).alias("__of"), *[F.col(b).alias(f"__of_{b}") for b in by],
-                     F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")))
+                     (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__low"))
+                     .alias("__before")))
     same = F.col(cut) == F.col("__of")
     for b in by:
         same = same & F.col(b).eqNullSafe(F.col(f"__of_{b}"))
-    inside = Window.partitionBy(*by, cut).orderBy(*sort_exprs(order))
-    return (ranged.withColumn("__at", F.row_number().over(inside)).join(first, same)
+    return (ranged.join(first, same)
             .select(*[F.col(f"`{c}`") for c in df.columns],
-                    (F.col("__before") + F.col("__at")).cast("int").alias(name)))
+                    (F.col("__before") + F.col(place) + 1).cast("int").alias(name)))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: OrderSpec) -> DataFrame:

@@ -31,7 +31,7 @@ from mailsift.operators.items import ITEM_ORDER
 from mailsift.plans import standins as S
 from mailsift.plans.digest import DigestParams, digest, digest_stages
 from mailsift.operators.headers import header_fields
-from mailsift.session import checkpoint_dir, spread, written
+from mailsift.session import checkpoint_dir, shuffles_freed, spread, written
 from mailsift.sinks import (
     text_file_digests, write_items_jsonl, write_reports, write_summaries, write_text_documents,
     write_text_files,
@@ -39,7 +39,6 @@ from mailsift.sinks import (
 from mailsift.sources import latest_n, load_table, read_archive, stream_archive, write_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
-FILE_PART_ITEMS = 100  # documents of a list that a task holds at once; its file is one all the same
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -377,8 +376,9 @@ def items_filed(spark, d):
 def lists_filed(spark, d):
     """K2: the list of saved documents as one text file for each language."""
     path = _folder(spark, "lists")
-    parts = render_item_list(_numbered_docs(spark, d), ["lang"], items_per_part=FILE_PART_ITEMS)
-    write_text_files(parts, path, "markdown", ["lang"], order=["chunk"])
+    with shuffles_freed(spark):
+        parts = render_item_list(_numbered_docs(spark, d), ["lang"], items_per_part=1)
+        write_text_files(parts, path, "markdown", ["lang"], order=["chunk"])
     return text_file_digests(spark, path)
 
 
