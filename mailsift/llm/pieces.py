@@ -31,7 +31,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -50,11 +50,20 @@ ALPHA = 1.0
 SAMPLES = 2
 SEED = 20
 SPACE, LITERAL = "▁", "\ud800"   # word start; stand-in for a literal word-start sign
-WORDS = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
+WORDS = re.compile(f"{SPACE}++[^{SPACE}\n]*+|\n|[^{SPACE}\n]++")
 CHARS_AT_ONCE = 1 << 19
-WORDS_KEPT = 120_000                  # word lattices kept by a worker before it starts anew
+WORDS_KEPT = 150_000                  # word lattices kept by a worker before the less used half goes
 FAR = 36.8                            # -log(2**-53): no Gumbel draw is larger
-FIRST_STEPS = 256
+FIRST_STEPS = 512
+_TRIE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    ends = np.cumsum(length, dtype=length.dtype)
+    out = np.repeat(begin - ends + length, length)
+    out += np.arange(len(out), dtype=out.dtype)
+    return out
 
 
 class Vocabulary:
@@ -94,8 +103,14 @@ class Vocabulary:
                     nodes[head] = len(nodes)
                     goto[nodes[head[:-1]] << 21 | ord(head[-1])] = nodes[head]
             ends[nodes[piece]] = i
-        self.keys = np.array(sorted(goto), np.int64)
-        self.next = np.array([goto[k] for k in self.keys.tolist()], np.int64)
+        # Children by a hash of node and character, the next free slot if it is taken.
+        bits = (4 * len(goto) + 16).bit_length()
+        self.shift = np.uint64(64 - bits)
+        self.keys, self.next = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+        for key, slot in zip(goto, self._slots(np.array([*goto], np.int64)).tolist()):
+            while self.keys[slot] >= 0:
+                slot = (slot + 1) % len(self.keys)
+            self.keys[slot], self.next[slot] = key, goto[key]
         # From the root by the character itself: every place of every word starts there.
         self.root = np.full(max((k for k in goto if k < 1 << 21), default=0) + 2, -1, np.int64)
         for k in (k for k in goto if k < 1 << 21):
@@ -109,16 +124,39 @@ class Vocabulary:
         for byte, i in byte_ids.items():
             spelt[i] = bytes([byte])
         self.blob = np.frombuffer(b"".join(spelt), np.uint8)
-        self.width = np.array([len(x) for x in spelt], np.int64)
-        self.begin = np.concatenate(([0], np.cumsum(self.width)[:-1]))
+        self.width = np.array([len(x) for x in spelt], np.int32)
+        self.begin = np.cumsum(self.width, dtype=np.int32) - self.width
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _TRIE) >> self.shift).view(np.int64)
+
+    def child(self, keys: np.ndarray) -> np.ndarray:
+        """Nodes reached by ``node << 21 | character``; -1 where there is none."""
+        slot = self._slots(keys)
+        found = self.keys[slot]
+        other = np.flatnonzero((found != keys) & (found >= 0))
+        while len(other):
+            at = (slot[other] + 1) & (len(self.keys) - 1)
+            slot[other], found[other] = at, self.keys[at]
+            other = other[(found[other] != keys[other]) & (found[other] >= 0)]
+        return np.where(found == keys, self.next[slot], -1)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 of the text that the ids spell, without the leading dummy space."""
-        width = self.width[ids]
-        ends = np.cumsum(width)
-        at = np.repeat(self.begin[ids] - ends + width, width)
-        at += np.arange(len(at))
-        return self.blob[at].tobytes()[1:]
+        return self.blob[_ranges(self.begin[ids], self.width[ids])].tobytes()[1:]
+
+
+class _Numbers(dict):
+    """Words numbered as they come; ``new`` holds those without a lattice yet."""
+
+    def __init__(self, words: Iterable[tuple[str, int]] = ()):
+        super().__init__(words)
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = at = len(self)
+        self.new.append(word)
+        return at
 
 
 class Lattices:
@@ -126,17 +164,14 @@ class Lattices:
 
     Node arrays: first edge and log mass below; edge arrays: next node (-1 at the
     word's end), piece id (or -2 - character for byte spelling), log conditional
-    probability, and cumulative conditional probability inside the node.
+    probability, and cumulative conditional probability inside the node. Word
+    arrays, by the words' numbers: first node and how often the word came.
     """
 
-    def __init__(self, vocabulary: Vocabulary, room: Lattices | None = None):
-        """``room``: lattices that are not needed any more, whose arrays are used again."""
-        self.v, self.words = vocabulary, {}
+    def __init__(self, vocabulary: Vocabulary):
+        self.v, self.words = vocabulary, _Numbers()
         self.n_nodes = self.n_edges = 0
-        if room is not None:
-            self.first, self.to, self.piece, self.logp, self.cum = (
-                room.first, room.to, room.piece, room.logp, room.cum)
-            return
+        self.begin, self.uses = np.zeros(1 << 10, np.int32), np.zeros(1 << 10, np.int64)
         self.first = np.zeros(1 << 12, np.int32)
         self.to, self.piece = np.zeros(1 << 13, np.int32), np.zeros(1 << 13, np.int32)
         self.logp, self.cum = np.zeros(1 << 13), np.zeros(1 << 13, np.float32)
@@ -152,11 +187,39 @@ class Lattices:
     def starts(self, words: list[str]) -> np.ndarray:
         """First node of each word, building the lattices of new words together."""
         known = self.words
-        found = list(map(known.get, words))
-        if None in found:
-            self._add(list(dict.fromkeys(w for w, at in zip(words, found) if at is None)))
-            found = [known[w] if at is None else at for w, at in zip(words, found)]
-        return np.array(found, np.int64)
+        numbers = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        if known.new:
+            self._add(known.new)
+            known.new = []
+        self.uses = self._room(self.uses, len(known))
+        self.uses[:len(known)] += np.bincount(numbers, minlength=len(known))
+        return self.begin[numbers].astype(np.int64)
+
+    def forget(self, keep: int) -> None:
+        """Keep the lattices of the ``keep`` most used words alone, in the same arrays.
+
+        The counts of those kept are halved, so that words that come no more go in the end.
+        """
+        n = len(self.words)
+        kept = np.sort(np.argsort(-self.uses[:n], kind="stable")[:keep])
+        cuts = np.append(self.begin[:n], self.n_nodes).astype(np.int64)
+        node, n_nodes = cuts[kept], cuts[kept + 1] - cuts[kept]
+        edge = self.first[node].astype(np.int64)
+        n_edges = self.first[node + n_nodes] - edge
+        begin, back = np.cumsum(n_nodes) - n_nodes, edge - (np.cumsum(n_edges) - n_edges)
+        which = _ranges(edge, n_edges)
+        to = self.to[which]
+        self.to[:len(which)] = np.where(to < 0, -1, to - np.repeat(node - begin, n_edges))
+        for array in (self.piece, self.logp, self.cum):
+            array[:len(which)] = array[which]
+        self.n_edges, which = len(which), _ranges(node, n_nodes)
+        self.first[:len(which)] = self.first[which] - np.repeat(back, n_nodes)
+        self.n_nodes = len(which)
+        self.first[self.n_nodes] = self.n_edges
+        words = list(self.words)
+        self.words = _Numbers((words[k], i) for i, k in enumerate(kept.tolist()))
+        self.begin[:len(kept)], self.uses[:len(kept)] = begin, self.uses[kept] // 2
+        self.uses[len(kept):] = 0
 
     def _edges(self, chars: np.ndarray, word_end: np.ndarray) -> tuple[np.ndarray, ...]:
         """All edges ``(from, to, piece, weight)``, by from and to."""
@@ -169,10 +232,9 @@ class Lattices:
                 live = np.flatnonzero(state >= 0)
                 state = state[live]
             else:
-                want = state << 21 | chars[live + depth]
-                hit = np.minimum(np.searchsorted(v.keys, want), len(v.keys) - 1)
-                ok = v.keys[hit] == want
-                live, state = live[ok], v.next[hit[ok]]
+                state = v.child(state << 21 | chars[live + depth])
+                ok = np.flatnonzero(state >= 0)
+                live, state = live[ok], state[ok]
             piece = v.piece_at[state]
             here = piece >= 0
             at, ids = live[here], piece[here]
@@ -244,29 +306,48 @@ class Lattices:
             array[edges:edges + len(frm)] = values
             setattr(self, name, array)
         self.n_nodes, self.n_edges = nodes + n, edges + len(frm)
-        begins = (np.cumsum(lengths) - lengths + nodes).tolist()
-        self.words.update(zip(new, begins))
+        a, b = len(self.words) - len(new), len(self.words)
+        self.begin = self._room(self.begin, b)
+        self.begin[a:b] = np.cumsum(lengths) - lengths + nodes
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """Uniforms in (0, 1) from 64-bit counters."""
     x = x + np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return ((x >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0 ** -52
-
-
+    part = x >> np.uint64(30)
+    x ^= part
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= np.right_shift(x, np.uint64(27), out=part)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= np.right_shift(x, np.uint64(31), out=part)
+    x >>= np.uint64(12)
+    u = x.astype(np.float64)
+    u += 0.5
+    u *= 2.0 ** -52
+    return u
+
+
+_ALL = 2 ** 64 - 1
 _PLACE, _STEP, _STREAM = (np.uint64(k) for k in (0xD1342543DE82EF95, 0xAF251AF3B0F025B5,
                                                  0x2545F4914F6CDD1D))
 
 
 def _draw(seed, place, step, stream) -> np.ndarray:
     """``seed`` per row key; ``place``, ``step`` and ``stream`` say which draw it is."""
-    which = (step * int(_STEP) + stream * int(_STREAM)) & (2 ** 64 - 1)
+    which = (step * int(_STEP) + stream * int(_STREAM)) & _ALL
     return _mix(np.atleast_1d(seed) + place.astype(np.uint64) * _PLACE + np.uint64(which))
 
 
+def _draw_one(seed: int, place: int, step: int, stream: int) -> float:
+    """One draw of ``_draw``, in Python's integers."""
+    x = seed + place * int(_PLACE) + step * int(_STEP) + stream * int(_STREAM) + 0x9E3779B97F4A7C15
+    x &= _ALL
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _ALL
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _ALL
+    x ^= x >> 31
+    return ((x >> 12) + 0.5) * 2.0 ** -52
+
+
 def _walk(lat: Lattices, start: np.ndarray, seed: np.ndarray, place: np.ndarray,
           stream: int) -> tuple[np.ndarray, np.ndarray]:
     """Sample each word from its start node; edges in word order, and how many each has."""
@@ -340,12 +421,12 @@ class _Search:
         rest = [e for e in range(int(lat.first[node]), int(lat.first[node + 1]))
                 if e not in taken]
         prob = np.exp(lat.logp[rest])
-        place = np.array([step + (path << 32)])
-        u = float(_draw(self.seed, place, 7, 2000 + len(taken))[0])
+        place, seed = step + (path << 32), int(self.seed)
+        u = _draw_one(seed, place, 7, 2000 + len(taken))
         edge = rest[min(int(np.searchsorted(np.cumsum(prob) / prob.sum(), u)), len(rest) - 1)]
         others = float(prob.sum() - np.exp(lat.logp[edge]))
         if len(rest) > 1 and others > 0:
-            noise = np.log(-np.log(float(_draw(self.seed, place, 7, 3000 + len(taken))[0])))
+            noise = np.log(-np.log(_draw_one(seed, place, 7, 3000 + len(taken))))
             self.push(float(-np.logaddexp(-best, noise - prefix - np.log(others))),
                       path, step, (*taken, edge), prefix)
         return path, step, edge, best
@@ -409,7 +490,7 @@ def sample_batch(lat: Lattices, texts: list[str | None], seeds: list[int],
     """Yield ``(row, nth, ids, log probability, perturbed, inclusion)`` for each text."""
     split = [WORDS.findall(_normalised(t)) for t in texts]
     if len(lat.words) > WORDS_KEPT:
-        lat = Lattices(lat.v)
+        lat.forget(WORDS_KEPT // 2)
     starts = lat.starts([w for words in split for w in words])
     bounds = np.cumsum([0] + [len(w) for w in split])
     searches = [_Search(lat, starts[a:b], s, samples)
@@ -417,7 +498,7 @@ def sample_batch(lat: Lattices, texts: list[str | None], seeds: list[int],
     # What is to be walked next in each search: (branch or None, first whole word)
     todo = []
     for i, s in enumerate(searches):
-        u = float(_draw(np.uint64(s.seed), np.zeros(1), 3, 99)[0])
+        u = _draw_one(int(s.seed), 0, 3, 99)
         todo.append((i, None, 0, -np.log(-np.log(u))))
     for nth in range(samples):
         starts_now, seeds_now, places, spans = [], [], [], []
@@ -434,9 +515,9 @@ def sample_batch(lat: Lattices, texts: list[str | None], seeds: list[int],
             spans.append(len(tail))
         if not todo:
             break
-        edges, counts = _walk(lat, np.concatenate(starts_now), np.concatenate(seeds_now),
-                              np.concatenate(places), nth)
-        owner = np.repeat(np.concatenate(places), counts)
+        place = np.concatenate(places)
+        edges, counts = _walk(lat, np.concatenate(starts_now), np.concatenate(seeds_now), place, nth)
+        owner = np.repeat(place, counts)
         word_cuts = np.cumsum([0] + spans)
         edge_cuts = np.concatenate(([0], np.cumsum(counts)))[word_cuts].tolist()
         ended, fresh, logps = [], [], []
@@ -473,9 +554,8 @@ _LATTICES: dict = {}
 def _lattices(proto: bytes, alpha: float) -> Lattices:
     """The worker's lattices, kept from batch to batch."""
     key = (xxhash.xxh64_intdigest(proto), alpha)
-    if key not in _LATTICES or len(_LATTICES[key].words) > WORDS_KEPT:
-        old = _LATTICES.get(key)
-        _LATTICES[key] = Lattices(old.v, old) if old else Lattices(Vocabulary(proto, alpha))
+    if key not in _LATTICES:
+        _LATTICES[key] = Lattices(Vocabulary(proto, alpha))
     return _LATTICES[key]
 
 

@@ -155,6 +155,28 @@ def test_batching_does_not_change_samples():
     assert whole == alone
 
 
+def test_used_words_keep_their_lattices(monkeypatch):
+    """Only the less used words are built again, and samples do not change by that."""
+    texts = [t + " ab aba" for t in ("aab bab", "abab baa", "bba abb", "bbab aabb", "baab bbb")]
+    want = [list(pieces.sample_batch(_small(), [t], [i], 3)) for i, t in enumerate(texts * 3)]
+    built, add = [], pieces.Lattices._add
+    monkeypatch.setattr(pieces, "WORDS_KEPT", 5)
+    monkeypatch.setattr(pieces.Lattices, "_add", lambda self, new: (built.extend(new), add(self, new)))
+    lat = _small()
+    for i, t in enumerate(texts * 3):
+        got = list(pieces.sample_batch(lat, [t], [i], 3))
+        assert len(lat.words) <= 5 + 4
+        for a, b in zip(got, want[i], strict=True):
+            assert a[:2] == b[:2] and a[2].tolist() == b[2].tolist() and a[3:] == pytest.approx(b[3:])
+    assert built.count("▁ab") == built.count("▁aba") == 1 and built.count("▁bab") == 3
+
+
+def test_drawing_one_by_one_is_the_same():
+    for seed, place, step, stream in ((5, 0, 3, 99), (2 ** 63 - 7, 12 + (2 << 32), 7, 2001)):
+        many = pieces._draw(np.uint64(seed), np.array([place]), step, stream)
+        assert pieces._draw_one(seed, place, step, stream) == float(many[0])
+
+
 def test_round_trip_of_odd_texts(spark):
     texts = [None, "", " ", "  two  spaces ", "tab\tline\n\nfeed", "▁ literal ▁▁", "𝒳 𐍈 emoji 😀", "é́",
              "<s> </s> <0x0A>", "long " * 40_000, "x" * 5000, "​ "]
