@@ -29,9 +29,10 @@ texts get equal samples; an empty table gives no rows.
 from __future__ import annotations
 
 import heapq
-import re
+import math
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import repeat
 from pathlib import Path
 
 import numpy as np
@@ -50,9 +51,11 @@ ALPHA = 1.0
 SAMPLES = 2
 SEED = 20
 SPACE, LITERAL = "▁", "\ud800"   # word start; stand-in for a literal word-start sign
-WORDS = re.compile(f"{SPACE}++[^{SPACE}\n]*+|\n|[^{SPACE}\n]++")
-CHARS_AT_ONCE = 1 << 19
-WORDS_KEPT = 150_000                  # word lattices kept by a worker before the less used half goes
+CHARS_NUMBERED = 1 << 20              # texts whose words are looked up together
+EDGES_MOVED = 1 << 16                 # edges that move together when words are forgotten
+WORDS_ADDED = 1 << 13                 # new words whose lattices are built together
+CHARS_AT_ONCE = 1 << 18               # texts that are sampled together
+WORDS_KEPT = 100_000                  # word lattices kept by a worker before the less used half goes
 FAR = 36.8                            # -log(2**-53): no Gumbel draw is larger
 FIRST_STEPS = 512
 _TRIE = np.uint64(0x9E3779B97F4A7C15)
@@ -123,58 +126,84 @@ class Vocabulary:
             spelt[i] = piece.replace(SPACE, " ").encode()
         for byte, i in byte_ids.items():
             spelt[i] = bytes([byte])
-        self.blob = np.frombuffer(b"".join(spelt), np.uint8)
-        self.width = np.array([len(x) for x in spelt], np.int32)
-        self.begin = np.cumsum(self.width, dtype=np.int32) - self.width
+        self.spelt = pa.array(spelt, pa.large_binary())
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * _TRIE) >> self.shift).view(np.int64)
 
-    def child(self, keys: np.ndarray) -> np.ndarray:
-        """Nodes reached by ``node << 21 | character``; -1 where there is none."""
+    def child(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``node << 21 | character`` lead on, and to which nodes."""
         slot = self._slots(keys)
         found = self.keys[slot]
-        other = np.flatnonzero((found != keys) & (found >= 0))
+        other = np.flatnonzero(found != keys)
+        other = other[found[other] >= 0]
         while len(other):
             at = (slot[other] + 1) & (len(self.keys) - 1)
             slot[other], found[other] = at, self.keys[at]
             other = other[(found[other] != keys[other]) & (found[other] >= 0)]
-        return np.where(found == keys, self.next[slot], -1)
+        on = np.flatnonzero(found == keys)
+        return on, self.next[slot[on]]
+
+    def spell(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """UTF-8 of the pieces one after the other, and where each begins (and the last ends)."""
+        _, ends, text = self.spelt.take(pa.array(ids)).buffers()
+        ends = np.frombuffer(ends, np.int64, len(ids) + 1)
+        return text.slice(0, int(ends[-1])).to_pybytes() if text else b"", ends
 
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 of the text that the ids spell, without the leading dummy space."""
-        return self.blob[_ranges(self.begin[ids], self.width[ids])].tobytes()[1:]
+        return self.spell(ids)[0][1:]
+
 
+def _words(texts: list[str | None]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of all texts, numbered by kind, and where each text's words begin and end.
 
-class _Numbers(dict):
-    """Words numbered as they come; ``new`` holds those without a lattice yet."""
+    Words are as in ``_normalised``, spelt as in the text: a dummy space comes first, and a
+    word begins with a run of spaces, at a line feed (a word of its own) and behind it.
+    """
+    raw = [b" " + t.encode() if t else b"" for t in texts]
+    cuts = np.cumsum([0, *map(len, raw)])
+    blob = b"".join(raw)
+    chars = np.frombuffer(blob, np.uint8)
+    space, line, first = chars == 32, chars == 10, np.ones(len(chars), bool)
+    first[1:] = (space[1:] > space[:-1]) | line[1:] | line[:-1]
+    first[cuts[:-1][cuts[:-1] < cuts[1:]]] = True
+    at = np.flatnonzero(first)
+    words = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(chars))),
+                                             pa.py_buffer(blob))
+    return words.dictionary_encode(), np.searchsorted(at, cuts)
 
-    def __init__(self, words: Iterable[tuple[str, int]] = ()):
-        super().__init__(words)
-        self.new: list[str] = []
 
-    def __missing__(self, word: str) -> int:
-        self[word] = at = len(self)
-        self.new.append(word)
-        return at
+def _halves(link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Views of the links' cumulative probabilities and next edges."""
+    return link.view(np.float32)[::2], link.view(np.int32)[1::2]
 
 
 class Lattices:
     """Edges of word lattices, words appended as they come.
 
-    Node arrays: first edge and log mass below; edge arrays: next node (-1 at the
-    word's end), piece id (or -2 - character for byte spelling), log conditional
-    probability, and cumulative conditional probability inside the node. Word
-    arrays, by the words' numbers: first node and how often the word came.
+    Edge arrays: link, piece id (or -2 - character for byte spelling), log conditional
+    probability, and the word's number. A link holds two halves, read in one step: the
+    cumulative conditional probability inside the node (2 at its last edge), and the
+    first edge of the next node (-1 at the word's end). Word arrays, by the words'
+    numbers: first edge and how often the word came. Nodes of words that came together
+    lie by their distance from the word's end.
     """
 
     def __init__(self, vocabulary: Vocabulary):
-        self.v, self.words = vocabulary, _Numbers()
-        self.n_nodes = self.n_edges = 0
+        self.v, self.words = vocabulary, {}
+        self.n_words = self.n_edges = 0
         self.begin, self.uses = np.zeros(1 << 10, np.int32), np.zeros(1 << 10, np.int64)
-        self.first = np.zeros(1 << 12, np.int32)
-        self.to, self.piece = np.zeros(1 << 13, np.int32), np.zeros(1 << 13, np.int32)
-        self.logp, self.cum = np.zeros(1 << 13), np.zeros(1 << 13, np.float32)
+        self.link, self.logp = np.zeros(1 << 13, np.int64), np.zeros(1 << 13)
+        self.piece, self.owner = np.zeros(1 << 13, np.int32), np.zeros(1 << 13, np.int32)
+
+    @property
+    def to(self) -> np.ndarray:
+        return _halves(self.link)[1]
+
+    @property
+    def cum(self) -> np.ndarray:
+        return _halves(self.link)[0]
 
     @staticmethod
     def _room(array: np.ndarray, size: int) -> np.ndarray:
@@ -184,131 +213,137 @@ class Lattices:
         wider[:len(array)] = array
         return wider
 
-    def starts(self, words: list[str]) -> np.ndarray:
-        """First node of each word, building the lattices of new words together."""
-        known = self.words
-        numbers = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        if known.new:
-            self._add(known.new)
-            known.new = []
+    def starts(self, words: pa.DictionaryArray) -> np.ndarray:
+        """First edge of each word, building the lattices of new words together."""
+        known, kinds = self.words, words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(known.get, kinds, repeat(-1)), np.int64, len(kinds))
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            new = [kinds[i] for i in missing.tolist()]
+            numbers[missing] = np.arange(len(known), len(known) + len(new))
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            if SPACE in "".join(new):
+                new = [w.replace(SPACE, LITERAL) for w in new]
+            for i in range(0, len(new), WORDS_ADDED):
+                self._add([w.replace(" ", SPACE) for w in new[i:i + WORDS_ADDED]])
+        which = words.indices.to_numpy()
         self.uses = self._room(self.uses, len(known))
-        self.uses[:len(known)] += np.bincount(numbers, minlength=len(known))
-        return self.begin[numbers].astype(np.int64)
+        self.uses[numbers] += np.bincount(which, minlength=len(kinds))
+        return self.begin[numbers][which]
 
     def forget(self, keep: int) -> None:
         """Keep the lattices of the ``keep`` most used words alone, in the same arrays.
 
         The counts of those kept are halved, so that words that come no more go in the end.
         """
-        n = len(self.words)
+        n, m = len(self.words), self.n_edges
         kept = np.sort(np.argsort(-self.uses[:n], kind="stable")[:keep])
-        cuts = np.append(self.begin[:n], self.n_nodes).astype(np.int64)
-        node, n_nodes = cuts[kept], cuts[kept + 1] - cuts[kept]
-        edge = self.first[node].astype(np.int64)
-        n_edges = self.first[node + n_nodes] - edge
-        begin, back = np.cumsum(n_nodes) - n_nodes, edge - (np.cumsum(n_edges) - n_edges)
-        which = _ranges(edge, n_edges)
-        to = self.to[which]
-        self.to[:len(which)] = np.where(to < 0, -1, to - np.repeat(node - begin, n_edges))
-        for array in (self.piece, self.logp, self.cum):
-            array[:len(which)] = array[which]
-        self.n_edges, which = len(which), _ranges(node, n_nodes)
-        self.first[:len(which)] = self.first[which] - np.repeat(back, n_nodes)
-        self.n_nodes = len(which)
-        self.first[self.n_nodes] = self.n_edges
+        number = np.full(n, -1, np.int32)
+        number[kept] = np.arange(len(kept))
+        place = np.cumsum((number >= 0)[self.owner[:m]], dtype=np.int32)
+        place -= 1
+        end = 0
+        for a in range(0, m, EDGES_MOVED):  # downwards, so none is overwritten before it moves
+            owner = number[self.owner[a:min(a + EDGES_MOVED, m)]]
+            edge = np.flatnonzero(owner >= 0)
+            begin, end = end, end + len(edge)
+            self.owner[begin:end] = owner[edge]
+            edge += a
+            for array in (self.link, self.piece, self.logp):
+                array[begin:end] = array[edge]
+            to = self.to[begin:end]
+            to[:] = np.where(to < 0, np.int32(-1), place[to])
+        self.n_words, self.n_edges = len(kept), end
         words = list(self.words)
-        self.words = _Numbers((words[k], i) for i, k in enumerate(kept.tolist()))
-        self.begin[:len(kept)], self.uses[:len(kept)] = begin, self.uses[kept] // 2
+        self.words = {words[k]: i for i, k in enumerate(kept.tolist())}
+        self.begin[:len(kept)], self.uses[:len(kept)] = place[self.begin[kept]], self.uses[kept] // 2
         self.uses[len(kept):] = 0
 
-    def _edges(self, chars: np.ndarray, word_end: np.ndarray) -> tuple[np.ndarray, ...]:
-        """All edges ``(from, to, piece, weight)``, by from and to."""
+    def _edges(self, chars: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, ...]:
+        """All edges ``(to, piece, weight)`` by place and length, and how many each place has.
+
+        ``after`` is the next place of the word, the number of places at its end.
+        """
         v, n = self.v, len(chars)
         # Walk the trie from every place at once; places drop out as they leave it.
-        state, live, depth, found = np.zeros(n, np.int64), np.arange(n), 0, []
+        state = v.root[np.minimum(chars, len(v.root) - 1)]
+        live = np.flatnonzero(state >= 0)
+        state, to, found = state[live], after[live], []
         while len(live):
-            if depth == 0:
-                state = v.root[np.minimum(chars, len(v.root) - 1)]
-                live = np.flatnonzero(state >= 0)
-                state = state[live]
-            else:
-                state = v.child(state << 21 | chars[live + depth])
-                ok = np.flatnonzero(state >= 0)
-                live, state = live[ok], state[ok]
             piece = v.piece_at[state]
-            here = piece >= 0
-            at, ids = live[here], piece[here]
-            weight = v.log_weight[ids]
-            if depth == 0:  # a character without a piece is spelt in bytes
-                spelt = np.ones(n, bool)
-                spelt[at] = False
-                spelt = np.flatnonzero(spelt)
-                code = chars[spelt]
-                one_byte = v.byte_id_of[np.minimum(code, 0x80)]
-                n_bytes = np.select([code < 0x80, code < 0x800, code < 0x10000], [1, 2, 3], 4)
-                at = np.concatenate((at, spelt))
-                ids = np.concatenate((ids, np.where(one_byte >= 0, one_byte, -2 - code)))
-                weight = np.concatenate((weight, v.byte_weight * n_bytes))
-            depth += 1
-            found.append((at, ids, weight, depth))
-            more = live + depth < word_end[live]
-            live, state = live[more], state[more]
+            here = np.flatnonzero(piece >= 0)
+            found.append((live[here], to[here], piece[here]))
+            more = np.flatnonzero(to < n)
+            live, to = live[more], to[more]
+            on, state = v.child(state[more] << 21 | chars[to])
+            live, to = live[on], after[to[on]]
+        alone = np.ones(n, bool)  # a character without a piece is spelt in bytes
+        if found:
+            alone[found[0][0]] = False
+        alone = np.flatnonzero(alone)
+        one_byte = v.byte_id_of[np.minimum(chars[alone], 0x80)]
+        found.insert(0, (alone, after[alone], np.where(one_byte >= 0, one_byte, -2 - chars[alone])))
         per = np.zeros(n, np.int64)
         for at, *_ in found:
             per[at] += 1
         put = np.cumsum(per) - per
         size = int(per.sum())
-        frm, to = np.empty(size, np.int64), np.empty(size, np.int64)
-        pid, weight = np.empty(size, np.int64), np.empty(size)
-        for at, ids, w, depth in found:  # one edge for each place and depth, shortest first
+        to, pid = np.empty(size, np.int64), np.empty(size, np.int64)
+        for at, ends, ids in found:  # one edge for each place and depth, shortest first
             k = put[at]
-            frm[k], to[k], pid[k], weight[k] = at, at + depth, ids, w
+            to[k], pid[k] = ends, ids
             put[at] += 1
-        return frm, to, pid, weight, per
+        weight = v.log_weight.take(pid, mode="clip")
+        spelt = np.flatnonzero(pid < 0)
+        code = -2 - pid[spelt]
+        weight[spelt] = v.byte_weight * np.select([code < 0x80, code < 0x800, code < 0x10000],
+                                                  [1, 2, 3], 4)
+        return to, pid, weight, per
 
     def _add(self, new: list[str]) -> None:
         lengths = np.fromiter(map(len, new), np.int64, len(new))
-        chars = np.frombuffer("".join(new).encode("utf-32-le", "surrogatepass"), np.uint32) \
-            .astype(np.int64)
+        chars = np.frombuffer("".join(new).encode("utf-32-le", "surrogatepass"), np.uint32)
+        # Places equally far from their word's end lie together, the longest words first.
+        order = np.argsort(-lengths, kind="stable")
+        far = np.arange(1, int(lengths.max()) + 1)
+        wide = np.searchsorted(-lengths[order], -far, side="right")
+        cuts = np.concatenate(([0], np.cumsum(wide)))
+        rank = _ranges(np.zeros(len(wide), np.int64), wide)
+        chars = chars[np.cumsum(lengths)[order][rank] - np.repeat(far, wide)].astype(np.int64)
         n = len(chars)
-        word_end = np.repeat(np.cumsum(lengths), lengths)
-        frm, to, pid, weight, per = self._edges(chars, word_end)
-        at_end = to == word_end[frm]
-        # Log mass below each place, all places equally far from their word's end together.
-        left = (word_end - np.arange(n))[frm]
-        left = left.astype(np.int16) if lengths.max() < 1 << 15 else left
-        order = np.argsort(left, kind="stable")
-        cuts = np.searchsorted(left[order], np.arange(1, int(lengths.max()) + 2))
-        below, total = np.zeros(n + 1), np.empty(len(frm))
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            which = order[a:b]
-            score = weight[which] + np.where(at_end[which], 0.0, below[to[which]])
-            place = frm[which]
-            heads = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-            top = np.maximum.reduceat(score, heads)
-            mass = np.add.reduceat(np.exp(score - np.repeat(top, np.diff(np.append(heads, b - a)))),
-                                   heads)
-            below[place[heads]] = top + np.log(mass)
-            total[which] = score
-        logp = np.minimum(total - below[frm], 0.0)
-        heads = np.cumsum(per) - per
+        after = np.arange(n) - np.repeat(np.concatenate(([0], wide[:-1])), wide)
+        after[:len(new)] = n
+        to, pid, weight, per = self._edges(chars, after)
+        # Log mass below each place, from the words' ends on.
+        ends = np.concatenate(([0], np.cumsum(per)))
+        heads, edge_cuts = ends[:-1], ends[cuts].tolist()
+        below, cuts = np.zeros(n + 1), cuts.tolist()
+        for i, j, a, b in zip(cuts, cuts[1:], edge_cuts, edge_cuts[1:]):
+            score, first = weight[a:b], heads[i:j] - a
+            score += below[to[a:b]]
+            top = score[first]
+            if b > a and float(score.max() - top.min()) > 600:  # else no sum overflows
+                top = np.maximum.reduceat(score, first)
+            mass = np.add.reduceat(np.exp(score - np.repeat(top, per[i:j])), first)
+            below[i:j] = top + np.log(mass)
+        logp = np.minimum(weight - np.repeat(below[:n], per), 0.0)
         prob = np.exp(logp)
         run = np.cumsum(prob)
         cum = run - np.repeat(run[heads] - prob[heads], per)
-        cum[heads + per - 1] = 2.0  # the last edge takes what is left
-        nodes, edges = self.n_nodes, self.n_edges
-        self.first = self._room(self.first, nodes + n + 1)
-        self.first[nodes:nodes + n] = heads + edges
-        self.first[nodes + n] = edges + len(frm)
-        for name, values in (("to", np.where(at_end, -1, to + nodes)), ("piece", pid),
-                             ("logp", logp), ("cum", cum)):
-            array = self._room(getattr(self, name), edges + len(frm))
-            array[edges:edges + len(frm)] = values
+        cum[ends[1:] - 1] = 2.0  # the last edge takes what is left
+        size = self.n_edges + len(to)
+        link = np.empty(len(to), np.int64)
+        half, after = _halves(link)
+        half[:], after[:] = cum, np.where(to == n, -1, ends[to] + self.n_edges)
+        for name, values in (("link", link), ("piece", pid), ("logp", logp),
+                             ("owner", np.repeat(order[rank] + self.n_words, per))):
+            array = self._room(getattr(self, name), size)
+            array[self.n_edges:size] = values
             setattr(self, name, array)
-        self.n_nodes, self.n_edges = nodes + n, edges + len(frm)
-        a, b = len(self.words) - len(new), len(self.words)
-        self.begin = self._room(self.begin, b)
-        self.begin[a:b] = np.cumsum(lengths) - lengths + nodes
+        self.begin = self._room(self.begin, self.n_words + len(new))
+        self.begin[self.n_words + order] = heads[np.array(cuts)[lengths[order] - 1]
+                                                 + np.arange(len(new))] + self.n_edges
+        self.n_words, self.n_edges = self.n_words + len(new), size
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -350,26 +385,30 @@ def _draw_one(seed: int, place: int, step: int, stream: int) -> float:
 
 def _walk(lat: Lattices, start: np.ndarray, seed: np.ndarray, place: np.ndarray,
           stream: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sample each word from its start node; edges in word order, and how many each has."""
-    node, live = start, np.arange(len(start))
+    """Sample each word from its first node on; edges in word order, and how many each has."""
+    edge, live = start.astype(np.int64), np.arange(len(start))
+    key = seed + place.astype(np.uint64) * _PLACE  # as in _draw
     counts, waves, step = np.zeros(len(start), np.int64), [], 0
     while len(live):
-        u = _draw(seed, place, step, stream)
-        edge = lat.first[node].astype(np.int64)
-        behind = np.flatnonzero(lat.cum[edge] <= u)
+        u = _mix(key + np.uint64((step * int(_STEP) + stream * int(_STREAM)) & _ALL))
+        link = lat.link[edge]
+        behind = np.flatnonzero(_halves(link)[0] <= u)
         while len(behind):
-            edge[behind] += 1
-            behind = behind[lat.cum[edge[behind]] <= u[behind]]
-        counts[live] += 1
+            on = edge[behind] + 1
+            edge[behind] = on
+            link[behind] = on = lat.link[on]
+            behind = behind[_halves(on)[0] <= u[behind]]
         waves.append((live, edge))
-        node = lat.to[edge]
-        on = node >= 0
-        node, live, seed, place = node[on], live[on], seed[on], place[on]
+        after = _halves(link)[1]
+        on = np.flatnonzero(after >= 0)
+        counts[live] += 1
+        edge, live, key = after[on].astype(np.int64), live[on], key[on]
         step += 1
     out = np.empty(int(counts.sum()), np.int64)
     head = np.cumsum(counts) - counts
-    for k, (who, edge) in enumerate(waves):
-        out[head[who] + k] = edge
+    for who, edge in waves:
+        out[head[who]] = edge
+        head[who] += 1
     return out, counts
 
 
@@ -382,7 +421,7 @@ class _Search:
 
     def add(self, edges: np.ndarray, words: np.ndarray, logp: np.ndarray, top: float) -> int:
         """Keep a finished path with maximum ``top``; returns how many branches it may leave."""
-        self.paths.append((edges, words, top, float(logp.sum())))
+        self.paths.append((edges, words, top, logp))
         return self.samples + 1 - len(self.paths)
 
     def offer(self, best: np.ndarray, prefix: np.ndarray, fresh: int, ends: float,
@@ -393,15 +432,19 @@ class _Search:
         """
         need = self.samples + 1 - len(self.paths)
         path = len(self.paths) - 1
-        keep = np.argsort(-best, kind="stable")[:need].tolist()
+        rest, keep = best.copy(), []
+        while len(rest) and len(keep) < need:  # few: no sorting
+            at = int(rest.argmax())
+            if rest[at] == -np.inf:
+                break
+            keep.append(at)
+            rest[at] = -np.inf
         known = sorted(best[keep].tolist() + [-h[0] for h in self.heap], reverse=True)
         if not whole and (len(known) < need or known[need - 1] <= ends + FAR):
             return False
         edges = self.paths[path][0]
         for k in keep:
-            if best[k] > -np.inf:
-                self.push(float(best[k]), path, fresh + k, (int(edges[fresh + k]),),
-                          float(prefix[k]))
+            self.push(float(best[k]), path, fresh + k, (int(edges[fresh + k]),), float(prefix[k]))
         return True
 
     def push(self, best: float, path: int, step: int, taken: tuple, prefix: float) -> None:
@@ -417,17 +460,22 @@ class _Search:
         best = -best
         edges, words = self.paths[path][:2]
         inside = step > 0 and words[step - 1] == words[step]
-        node = int(lat.to[edges[step - 1]] if inside else self.start[words[step]])
-        rest = [e for e in range(int(lat.first[node]), int(lat.first[node + 1]))
-                if e not in taken]
-        prob = np.exp(lat.logp[rest])
-        place, seed = step + (path << 32), int(self.seed)
-        u = _draw_one(seed, place, 7, 2000 + len(taken))
-        edge = rest[min(int(np.searchsorted(np.cumsum(prob) / prob.sum(), u)), len(rest) - 1)]
-        others = float(prob.sum() - np.exp(lat.logp[edge]))
+        whole, after = _halves(lat.link)
+        edge = int(after[edges[step - 1]] if inside else self.start[words[step]])
+        node = [edge]
+        while whole[node[-1]] < 2:
+            node.append(node[-1] + 1)
+        rest = [e for e in node if e not in taken]
+        prob = [math.exp(lat.logp[e]) for e in rest]
+        place, seed, whole = step + (path << 32), int(self.seed), sum(prob)
+        u, at, run = _draw_one(seed, place, 7, 2000 + len(taken)) * whole, 0, prob[0]
+        while run < u and at + 1 < len(rest):
+            at += 1
+            run += prob[at]
+        edge, others = rest[at], whole - prob[at]
         if len(rest) > 1 and others > 0:
-            noise = np.log(-np.log(_draw_one(seed, place, 7, 3000 + len(taken))))
-            self.push(float(-np.logaddexp(-best, noise - prefix - np.log(others))),
+            noise = math.log(-math.log(_draw_one(seed, place, 7, 3000 + len(taken))))
+            self.push(float(-np.logaddexp(-best, noise - prefix - math.log(others))),
                       path, step, (*taken, edge), prefix)
         return path, step, edge, best
 
@@ -468,67 +516,56 @@ def _normalised(text: str | None) -> str:
     return SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE) if text else ""
 
 
-def _ids(lat: Lattices, edges: np.ndarray) -> np.ndarray:
-    """Piece ids of a path; characters spelt in several bytes are put in place."""
+def _ids(lat: Lattices, edges: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids of paths with these ends; characters spelt in several bytes are put in place."""
     pieces = lat.piece[edges]
     spelt = np.flatnonzero(pieces < 0)
     if not len(spelt):
-        return pieces
-    by, runs = lat.v.byte_ids, []
-    for p in pieces[spelt].tolist():
-        char = chr(-2 - p)
-        runs.append([by[b] for b in (SPACE if char == LITERAL else char).encode()])
+        return pieces, ends
+    codes, kind = np.unique(pieces[spelt], return_inverse=True)
+    by, chars = lat.v.byte_ids, [chr(-2 - p) for p in codes.tolist()]
+    runs = [[by[b] for b in (SPACE if c == LITERAL else c).encode()] for c in chars]
+    width = np.array([len(r) for r in runs])
     counts = np.ones(len(pieces), np.int64)
-    counts[spelt] = [len(r) for r in runs]
+    counts[spelt] = width[kind]
     out = np.repeat(pieces, counts)
-    out[out < 0] = [i for r in runs for i in r]
-    return out
+    out[out < 0] = np.array(sum(runs, []))[_ranges((np.cumsum(width) - width)[kind], width[kind])]
+    return out, np.concatenate(([0], np.cumsum(counts)))[ends]
 
 
-def sample_batch(lat: Lattices, texts: list[str | None], seeds: list[int],
-                 samples: int) -> Iterator[tuple[int, int, np.ndarray, float, float, float]]:
-    """Yield ``(row, nth, ids, log probability, perturbed, inclusion)`` for each text."""
-    split = [WORDS.findall(_normalised(t)) for t in texts]
-    if len(lat.words) > WORDS_KEPT:
-        lat.forget(WORDS_KEPT // 2)
-    starts = lat.starts([w for words in split for w in words])
-    bounds = np.cumsum([0] + [len(w) for w in split])
+def _walked(lat: Lattices, starts: np.ndarray, bounds: np.ndarray, seeds: list[int],
+            samples: int) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+    """``(row, nth, log probability, perturbed, inclusion)`` of all samples, their ids and their ends."""
+    n_words, seed = np.diff(bounds), np.array(seeds, np.uint64)
     searches = [_Search(lat, starts[a:b], s, samples)
                 for a, b, s in zip(bounds[:-1].tolist(), bounds[1:].tolist(), seeds)]
     # What is to be walked next in each search: (branch or None, first whole word)
     todo = []
     for i, s in enumerate(searches):
         u = _draw_one(int(s.seed), 0, 3, 99)
-        todo.append((i, None, 0, -np.log(-np.log(u))))
+        todo.append((i, None, 0, -math.log(-math.log(u))))
     for nth in range(samples):
-        starts_now, seeds_now, places, spans = [], [], [], []
-        for i, branch, word, _ in todo:
-            s = searches[i]
-            tail, where = s.start[word:], np.arange(word, len(s.start))
-            inside = int(lat.to[branch[2]]) if branch else -1
-            if inside >= 0:
-                tail = np.concatenate(([inside], tail))
-                where = np.concatenate(([word - 1], where))
-            starts_now.append(tail)
-            places.append(where)
-            seeds_now.append(np.full(len(tail), s.seed, np.uint64))
-            spans.append(len(tail))
         if not todo:
             break
-        place = np.concatenate(places)
-        edges, counts = _walk(lat, np.concatenate(starts_now), np.concatenate(seeds_now), place, nth)
-        owner = np.repeat(place, counts)
-        word_cuts = np.cumsum([0] + spans)
-        edge_cuts = np.concatenate(([0], np.cumsum(counts)))[word_cuts].tolist()
+        who, word = np.array([t[0] for t in todo]), np.array([t[2] for t in todo])
+        inside = lat.to[[t[1][2] for t in todo]].astype(np.int64) if nth else np.full(len(who), -1)
+        part = inside >= 0  # first the rest of the word that the branch stands in
+        spans = n_words[who] - word + part
+        place = _ranges(word - part, spans)
+        start = starts[place + np.repeat(bounds[who], spans)]
+        start[(np.cumsum(spans) - spans)[part]] = inside[part]
+        edges, counts = _walk(lat, start, np.repeat(seed[who], spans), place, nth)
+        owner, all_logp = np.repeat(place, counts), lat.logp[edges]
+        edge_cuts = np.concatenate(([0], np.cumsum(counts)))[np.cumsum([0, *spans])].tolist()
         ended, fresh, logps = [], [], []
         for (i, branch, _, top), a, b in zip(todo, edge_cuts[:-1], edge_cuts[1:]):
-            s, new, own, step = searches[i], edges[a:b], owner[a:b], -1
+            s, new, own, logp, step = searches[i], edges[a:b], owner[a:b], all_logp[a:b], -1
             if branch:
                 path, step, edge, _ = branch
-                old, words = s.paths[path][:2]
+                old, at, _, old_logp = s.paths[path]
                 new = np.concatenate((old[:step], [edge], new))
-                own = np.concatenate((words[:step + 1], own))
-            logp = lat.logp[new]
+                own = np.concatenate((at[:step + 1], own))
+                logp = np.concatenate((old_logp[:step], [lat.logp[edge]], logp))
             if s.add(new, own, logp, top) > 0:
                 ended.append(s)
                 fresh.append(step + 1)
@@ -540,12 +577,39 @@ def sample_batch(lat: Lattices, texts: list[str | None], seeds: list[int],
                 branch = s.pop()
                 if branch:
                     todo.append((i, branch, int(s.paths[branch[0]][1][branch[1]]) + 1, branch[3]))
+    rows, paths = [], []
     for i, s in enumerate(searches):
         kappa = -s.heap[0][0] if s.heap else -np.inf
         for nth, (edges, _, top, logp) in enumerate(s.paths):
+            logp = float(logp.sum())
             with np.errstate(over="ignore"):
                 score = float(-np.expm1(-np.exp(logp - kappa)))
-            yield i, nth + 1, _ids(lat, edges), logp, float(top), score
+            rows.append((i, nth + 1, logp, float(top), score))
+            paths.append(edges)
+    if not paths:
+        return [], np.zeros(0, np.int32), np.zeros(0, np.int64)
+    return rows, *_ids(lat, np.concatenate(paths), np.cumsum([len(p) for p in paths]))
+
+
+def _sampled(lat: Lattices, texts: list[str | None], seeds: list[int],
+             samples: int) -> Iterator[tuple[int, int, list[tuple], np.ndarray, np.ndarray]]:
+    """What ``_walked`` gives for parts of the texts, from and to which text first."""
+    words, bounds = _words(texts)
+    if len(lat.words) > WORDS_KEPT:
+        lat.forget(WORDS_KEPT // 2)
+    starts = lat.starts(words)
+    del words
+    for a, b in _parts(texts, CHARS_AT_ONCE):
+        yield a, b, *_walked(lat, starts[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a],
+                             seeds[a:b], samples)
+
+
+def sample_batch(lat: Lattices, texts: list[str | None], seeds: list[int],
+                 samples: int) -> Iterator[tuple[int, int, np.ndarray, float, float, float]]:
+    """Yield ``(row, nth, ids, log probability, perturbed, inclusion)`` for each text."""
+    for at, _, rows, ids, ends in _sampled(lat, texts, seeds, samples):
+        for (i, nth, *numbers), a, b in zip(rows, [0, *ends.tolist()], ends.tolist()):
+            yield at + i, nth, ids[a:b], *numbers
 
 
 _LATTICES: dict = {}
@@ -559,10 +623,10 @@ def _lattices(proto: bytes, alpha: float) -> Lattices:
     return _LATTICES[key]
 
 
-def _parts(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+def _parts(texts: list[str | None], chars: int) -> Iterator[tuple[int, int]]:
     at, size = 0, 0
     for i, t in enumerate(texts):
-        if size and size + len(t or "") > CHARS_AT_ONCE:
+        if size and size + len(t or "") > chars:
             yield at, i
             at, size = i, 0
         size += len(t or "") + 1
@@ -570,6 +634,24 @@ def _parts(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
+def _table(v: Vocabulary, keys: pa.Array, texts: list[str | None], rows: list[tuple],
+           ids: np.ndarray, ends: np.ndarray, schema: pa.Schema, with_ids: bool) -> pa.RecordBatch:
+    """The samples of some texts as rows of ``sample_segmentations``."""
+    which, nth, logp, top, score = zip(*rows)
+    ids, ends = np.ascontiguousarray(ids, "<i4"), np.append(0, ends)
+    spelt, at = v.spell(ids)
+    whole, cuts = [(t or "").encode() for t in texts], at[ends].tolist()
+    back = [spelt[a + 1:b] == whole[i] for i, a, b in zip(which, cuts, cuts[1:])]
+    crc = [zlib.crc32(ids[a:b]) for a, b in zip(ends.tolist(), ends[1:].tolist())]
+    values = (nth, np.diff(ends), logp, top, score, crc, back)
+    columns = [keys.take(pa.array(which, pa.int64()))]
+    columns += [pa.array(c, f.type) for c, f in zip(values, list(schema)[1:])]
+    if with_ids:  # one array of all ids and where each list begins
+        columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids),
+                                                type=schema[-1].type))
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
 def sample_segmentations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          samples: int = SAMPLES, alpha: float = ALPHA, model: str = MODEL,
                          seed: int = SEED, with_ids: bool = True) -> DataFrame:
@@ -596,24 +678,12 @@ def sample_segmentations(docs: DataFrame, id_col: str = "doc_id", text_col: str
         for batch in batches:
             keys, seeds = batch.column(0), batch.column(2).to_pylist()
             texts = batch.column(1).to_pylist()
-            for a, b in _parts(texts):
-                lat, rows, cells = _lattices(proto, alpha), [], []
-                for i, nth, ids, logp, top, score in sample_batch(lat, texts[a:b], seeds[a:b],
-                                                                  samples):
-                    small = ids.astype("<i4")
-                    back = lat.v.decode(ids) == (texts[a + i] or "").encode()
-                    row = (nth, len(ids), logp, top, score, zlib.crc32(small.tobytes()), back)
-                    rows.append(a + i)
-                    cells.append((*row, small) if with_ids else row)
-                columns = [keys.take(pa.array(rows, pa.int64()))]
-                values = list(zip(*cells))
-                columns += [pa.array(list(c), f.type) for c, f in zip(values[:7], list(schema)[1:])]
-                if with_ids:  # one array of all ids and where each list begins
-                    ends = np.cumsum([0, *map(len, values[7])]).astype(np.int32)
-                    columns.append(pa.ListArray.from_arrays(
-                        pa.array(ends), pa.array(np.concatenate(values[7])), type=schema[-1].type))
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
-        batch = texts = lat = rows = cells = columns = keys = values = None
+            lat = _lattices(proto, alpha)
+            for a, b in _parts(texts, CHARS_NUMBERED):
+                for i, j, *found in _sampled(lat, texts[a:b], seeds[a:b], samples):
+                    yield _table(lat.v, keys.slice(a + i, j - i), texts[a + i:a + j], *found, schema,
+                                 with_ids)
+        batch = texts = keys = seeds = lat = found = None
         for key, lat in _LATTICES.items():  # an idle worker keeps the vocabulary alone
             _LATTICES[key] = Lattices(lat.v)
         give_back()

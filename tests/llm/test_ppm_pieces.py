@@ -2,6 +2,7 @@
 
 import collections
 import math
+import re
 import zlib
 
 import numpy as np
@@ -171,6 +172,34 @@ def test_used_words_keep_their_lattices(monkeypatch):
     assert built.count("▁ab") == built.count("▁aba") == 1 and built.count("▁bab") == 3
 
 
+def test_words_come_numbered_by_kind():
+    """A word that comes often is one value; words are those of the plain pattern."""
+    texts = ["the cat  the\ncat", None, "", "  two\n\n x\n", "\n", " ", "é ▁ 𝒳▁ é", "the " * 50, "the"]
+    words, ends = pieces._words(texts)
+    got = [w.replace("▁", pieces.LITERAL).replace(" ", "▁") for w in words.to_pylist()]
+    plain = re.compile("▁+[^▁\n]*|\n|[^▁\n]+")
+    assert [got[a:b] for a, b in zip(ends, ends[1:])] == [
+        plain.findall(pieces._normalised(t)) for t in texts]
+    assert len(words.dictionary) == len(set(got))
+
+
+def test_lattices_built_and_sampled_in_parts_are_the_same(monkeypatch):
+    """New words, texts and moved edges are taken a few at a time, which bounds a worker's memory."""
+    texts = ["aba ab ba", "ab", "b a b a", "aab  b", "bbab aabb", "é aba", None, "baab bbb ab"] * 2
+    want = list(pieces.sample_batch(_small(), texts, range(16), 3))
+    sizes, add = [], pieces.Lattices._add
+    for name, n in (("WORDS_ADDED", 2), ("CHARS_AT_ONCE", 8), ("EDGES_MOVED", 3), ("WORDS_KEPT", 4)):
+        monkeypatch.setattr(pieces, name, n)
+    monkeypatch.setattr(pieces.Lattices, "_add", lambda self, new: (sizes.append(len(new)), add(self, new)))
+    lat = _small()
+    for _ in range(3):
+        got = list(pieces.sample_batch(lat, texts, range(16), 3))
+        for a, b in zip(got, want, strict=True):
+            assert a[:2] == b[:2] and a[2].tolist() == b[2].tolist() and a[3:] == pytest.approx(b[3:])
+    parts = list(pieces._sampled(lat, texts, range(16), 3))
+    assert max(sizes) == 2 and len(parts) > 8 and parts[-1][1] == 16
+
+
 def test_drawing_one_by_one_is_the_same():
     for seed, place, step, stream in ((5, 0, 3, 99), (2 ** 63 - 7, 12 + (2 << 32), 7, 2001)):
         many = pieces._draw(np.uint64(seed), np.array([place]), step, stream)
