@@ -218,3 +218,16 @@ def test_round_trip_of_odd_texts(spark):
     seen = collections.Counter((r.doc_id, tuple(r.ids)) for r in got if r.doc_id is not None)
     assert max(seen.values()) == 1 and {r.doc_id for r in got} == set(by)
     assert pieces.sample_segmentations(df.limit(0)).count() == 0
+
+
+def test_texts_without_words_alone():
+    schema = pa.schema([("doc_id", pa.int64()), ("sample", pa.int32()), ("n_pieces", pa.int64()),
+                        ("log_prob", pa.float64()), ("perturbed", pa.float64()),
+                        ("inclusion", pa.float64()), ("ids_crc32", pa.int64()),
+                        ("round_trip", pa.bool_()), ("ids", pa.list_(pa.int32()))])
+    lat = _small()
+    (_, _, *found), = pieces._sampled(lat, [None, ""], [1, 2], 2)
+    rows = pieces._table(lat.v, pa.array([7, 8]), [None, ""], *found, schema, True).to_pylist()
+    assert [(r["doc_id"], r["sample"], r["n_pieces"], r["ids"], r["ids_crc32"], r["inclusion"],
+             r["round_trip"]) for r in rows] == [(i, 1, 0, [], 0, 1.0, True) for i in (7, 8)]
+    assert lat.v.decode(np.zeros(0, np.int64)) == b""
